@@ -12,8 +12,10 @@ Work that a large group of copies could blow up:
 
 * texts with the same set are one class from the start; only classes are joined;
 * a class is first held against the smallest class under its key, never against all of them;
-* then only classes that are still in different components meet, and under each key those of the
-  largest component only meet others. So a group that the first step has joined makes no pairs.
+* then only classes are left that meet one of another component under some key. Whether such two are
+  linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
+  similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
+  smaller. Texts that merely share a passage, however many, have their own words there and make no pair.
 
 Defined results: null or empty texts, and texts without words, have n_shingles 0, are linked with
 nothing and stay. Repeated rows of a doc_id count as one node. Columns beside the two needed are ignored.
@@ -141,6 +143,37 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
     return links
 
 
+def _across(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components in ``mixed`` (class_id, root) that may have similarity 0.75.
+
+    None that has is missing: if |x| >= |y|, such sets share one of the |x| - ceil(3|x|/4) + 1 rarest
+    shingles of x that is one of the |y| - ceil(6|y|/7) + 1 rarest of y; and from the first that they
+    share on, either still has room for the 3/7 (|x| + |y|) that they must have in common.
+    """
+    sets = materialise(shingle_sets(docs, mixed.select("class_id")).dropDuplicates(["class_id"]), "mixedsets")
+    each = sets.select("class_id", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = each.join(often, "shingle").groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("common"))
+    n = F.col("n")
+    own = n - F.size("common")  # shingles that no other text has come first
+    whole = (
+        ranked.join(sets.select("class_id", F.size("shingles").alias("n")), "class_id")
+        .join(mixed, "class_id")
+        .withColumn("probe", n - F.floor((3 * n + 3) / 4).cast("int") + 1 - own)
+        .withColumn("entry", n - F.floor((6 * n + 6) / 7).cast("int") + 1 - own)
+        .where("probe > 0")
+        .withColumn("own", own)
+        .withColumn("common", F.slice("common", 1, F.greatest("probe", F.lit(0))))
+        .select("class_id", "root", "n", "entry", "own", F.posexplode("common").alias("i", "c"))
+        .select("class_id", "root", "n", (F.col("i") < F.col("entry")).alias("enters"), (n - F.col("own") - F.col("i")).alias("rest"), F.col("c.shingle").alias("shingle"))
+    )
+    whole = materialise(whole, "prefixes")
+    x = whole.select("shingle", F.col("class_id").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("rest").alias("tx"))
+    y = whole.where("enters").select("shingle", F.col("class_id").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("rest").alias("ty"))
+    pairs = x.join(y, "shingle").where("rx <> ry and nx >= ny and 4 * ny >= 3 * nx and 7 * least(tx, ty) >= 3 * (nx + ny)")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node that each node of ``edges`` (a, b) reaches, by alternating large-star and small-star.
 
@@ -185,20 +218,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     root = components(found)
 
     at = materialise(shared.select("key", "class_id", "n_shingles").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
-    counts = at.groupBy("key", "root").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("k")).where("k > 1").select("key", F.col("most.root").alias("main"))
-    all_sides = materialise(at.join(mixed, "key"), "mixed")
-    left = all_sides.where("root <> main").select("key", F.col("class_id").alias("x"), F.col("n_shingles").alias("nx"), F.col("root").alias("rx"))
-    right = all_sides.select("key", F.col("class_id").alias("y"), F.col("n_shingles").alias("ny"), F.col("root").alias("ry"), "main")
-    across = (
-        left.join(right, "key")
-        .where((F.col("rx") != F.col("ry")) & _like_size("nx", "ny") & ((F.col("ry") == F.col("main")) | (F.col("x") < F.col("y"))))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
+    counts = at.select("key", "root").distinct()
+    mixed = counts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    across = _across(docs, materialise(at.join(mixed.select("key"), "key", "left_semi").select("class_id", "root").distinct(), "mixed")).join(stars, ["a", "b"], "left_anti")
     more = confirmed(docs, across, classes)
-    for used in (shared, at, all_sides):
+    for used in (shared, at):
         discard(used)
     members = sketch.join(
         classes.select("set_hi", "set_lo", F.col("n_shingles").alias("n"), "class_id"), (sketch.set_hi == classes.set_hi) & (sketch.set_lo == classes.set_lo) & (sketch.n_shingles == F.col("n")), "left"
