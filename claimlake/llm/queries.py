@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import near_dedup
+from . import fingerprints, near_dedup, packing, token_files
 
 QUERIES = {
+    "op4_token_files": token_files.op4_token_files,
+    "op8_pack": packing.op8_pack,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 

@@ -117,7 +117,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, per_file: int = DO
 
         def close() -> pa.RecordBatch:
             name = f"{base}/{now:08d}-{part:04d}-{uuid.uuid4().hex}.zst"
-            with fs.open_output_stream(name) as out:
+            with fs.open_output_stream(name, compression=None) as out:
                 out.write(frame_file(np.array(held[0], np.int64), *held[1:]))
             row = [[now], [part], [name], [len(held[0])], [sum(held[2]) // 4]]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["range_no", "part", "file", "n_docs", "n_tokens"])

@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, for a byte-level BPE whose pieces end at white space.
 
-Such a tokenizer cuts a text before each space that follows other text, and encodes the pieces one by
-one; the ids of " word" are the same wherever it stands. So each worker keeps the ids of the pieces it
-has met (a bounded number) and hands only new ones to the library. A text in which a space stands
-inside or at the end of a longer run of white space is cut elsewhere; it is encoded whole.
+Such a tokenizer cuts a text before a space or line end that follows other text, and between a letter
+or digit and a mark; it encodes the pieces one by one, and the ids of " word" are the same wherever it
+stands. So each worker keeps the ids of the pieces it has met lately (a bounded number) and hands only
+new ones to the library. A text with longer runs of white space is cut elsewhere; it is encoded whole.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ import re
 import numpy as np
 
 END_ID = 0
-#: Pieces and ids that a worker keeps before it starts afresh.
-KEEP_PIECES, KEEP_IDS = 300_000, 4_000_000
-_RUN = re.compile(r"\s (?:\s|$)| $")
+#: Pieces that a worker keeps from either of its two last generations.
+KEEP_PIECES = 350_000
+#: In front of a piece: no space comes before it.
+_BARE = "\x01"
+_MARK_AFTER_MARK = re.compile(r"(?<=[\W_])[.,]\s")
 
 
 def default_tokenizer() -> str:
@@ -27,16 +29,25 @@ def default_tokenizer() -> str:
 class _Pieces(dict):
     def __init__(self) -> None:
         super().__init__()
+        self.older: dict[str, int] = {}
         self.fresh: list[str] = []
+        self.moved: list[tuple[int, int]] = []
         self.next = 0
 
     def __missing__(self, piece: str) -> int:
         i = self[piece] = self.next
         self.next += 1
-        self.fresh.append(piece)
+        if (was := self.older.get(piece)) is None:
+            self.fresh.append(piece)
+        else:
+            self.moved.append((i, was))
         return i
 
 
+def _spelled(piece: str) -> str:
+    return piece[1:] if piece[:1] == _BARE else " " + piece
+
+
 class Encoder:
     """Ids of texts, each followed by END_ID."""
 
@@ -51,7 +62,11 @@ class Encoder:
         self._restart()
 
     def _restart(self) -> None:
+        """Begin a generation: what it doesn't use again of the last one is forgotten with the next."""
+        older = getattr(self, "pieces", {})
+        self.old_ids, self.old_begin, self.old_length = getattr(self, "ids", None), getattr(self, "begin", None), getattr(self, "length", None)
         self.pieces = _Pieces()
+        self.pieces.older = dict(older)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
@@ -67,13 +82,16 @@ class Encoder:
             self.begin = np.resize(self.begin, 2 * self.pieces.next)
             self.length = np.resize(self.length, 2 * self.pieces.next)
 
-    def _store(self, number: int, ids: np.ndarray) -> None:
-        self._room()
+    def _append(self, ids: np.ndarray) -> int:
         if self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
         self.ids[self.used : self.used + len(ids)] = ids
-        self.begin[number], self.length[number] = self.used, len(ids)
         self.used += len(ids)
+        return self.used - len(ids)
+
+    def _store(self, number: int, ids: np.ndarray) -> None:
+        self._room()
+        self.begin[number], self.length[number] = self._append(ids), len(ids)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -81,40 +99,44 @@ class Encoder:
     def _learn(self) -> None:
         """Encode the pieces met for the first time, in one call between marks."""
         fresh, self.pieces.fresh = self.pieces.fresh, []
+        moved, self.pieces.moved = self.pieces.moved, []
         self._room()
-        easy = [p for p in fresh if self.mark is not None and self.mark not in p]
-        for p in fresh if self.mark is None else [p for p in fresh if self.mark in p]:
-            self._store(self.pieces[p], self._whole(" " + p))
-        if easy:
-            ids = np.array(self.split.encode(" " + (self.mark + " ").join(easy), add_special_tokens=False).ids, np.uint32)
+        if moved:
+            to, was = np.array(moved).T
+            size = self.old_length[was]
+            ends = np.cumsum(size)
+            at = self._append(self.old_ids[np.repeat(self.old_begin[was] - (ends - size), size) + np.arange(ends[-1])])
+            self.begin[to], self.length[to] = at + ends - size, size
+        hard = fresh if self.mark is None else [p for p in fresh if self.mark in p]
+        for p in hard:
+            self._store(self.pieces[p], self._whole(_spelled(p)))
+        easy = [p for p in fresh if self.mark not in p] if hard else fresh
+        if easy and self.mark is not None:
+            ids = np.array(self.split.encode(self.mark.join(map(_spelled, easy)), add_special_tokens=False).ids, np.uint32)
             cuts = np.flatnonzero(ids == self.mark_id)
             begin, end = np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)]))
             at = np.fromiter(map(self.pieces.__getitem__, easy), np.int64, len(easy))
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.begin[at], self.length[at] = self.used + begin, end - begin
-            self.used += len(ids)
+            self.begin[at], self.length[at] = self._append(ids) + begin, end - begin
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and the count of each."""
-        if len(self.pieces) > KEEP_PIECES or self.used > KEEP_IDS:
+        if len(self.pieces) > KEEP_PIECES or self.used > 16 * KEEP_PIECES:
             self._restart()
         numbers: list[int] = []
         per_text = np.zeros(len(texts), np.int64)
         get = self.pieces.__getitem__
         for i, text in enumerate(texts):
             had = len(numbers)
-            if _RUN.search(text):
+            if _BARE in text or " ".join(text.split()) != text.replace("\n", " "):  # not single blanks and line ends only
                 n = self._number()
                 self._store(n, self._whole(text))
                 numbers.append(n)
             elif text:
-                head, *rest = text.split(" ")
+                if not _MARK_AFTER_MARK.search(text):
+                    text = text.replace(", ", " \x01, ").replace(". ", " \x01. ").replace(".\n", " \x01.\n")
+                head, *rest = text.replace("\n", " \x01\n").split(" ")
                 if head:
-                    n = self._number()
-                    self._store(n, self._whole(head))
-                    numbers.append(n)
+                    numbers.append(get(_BARE + head))
                 numbers.extend(map(get, rest))
             numbers.append(0)
             per_text[i] = len(numbers) - had
