@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import fingerprints, near_dedup, packing, token_files
+from . import decontaminate, fingerprints, language_id, near_dedup, packing, pii, token_files
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
     "op4_token_files": token_files.op4_token_files,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_pii": pii.op7_pii,
     "op8_pack": packing.op8_pack,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_near_dedup": near_dedup.op10_near_dedup,
