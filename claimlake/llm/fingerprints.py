@@ -86,8 +86,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     at = slim.withColumn("part", -id_ranges(slim.select("doc_id"), PER_RANGE))
     heads = at.groupBy("part").agg(F.max("doc_id").alias("doc_id"))  # a row a range
     order = Window.orderBy("part")
-    last = heads.agg(F.max("part").alias("last"))
-    before = heads.crossJoin(F.broadcast(last)).select("doc_id", F.coalesce(F.lag("part").over(order), "last").alias("before"))
+    last = F.max("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = heads.select("doc_id", F.coalesce(F.lag("part").over(order), last).alias("before"))
     dealt = at.join(F.broadcast(before), "doc_id", "left")
     rows = dealt.select(
         F.explode(F.when(F.col("before").isNull(), F.array(F.struct("part", F.lit(0).alias("follower")))).otherwise(F.array(F.struct("part", F.lit(0).alias("follower")), F.struct(F.col("before").alias("part"), F.lit(1).alias("follower"))))).alias("to"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, language_id, near_dedup, packing, pii, token_files
+from . import chat_format, decontaminate, fingerprints, language_id, licenses, line_dedup, near_dedup, packing, pii, token_files
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_language_id": language_id.op2_language_id,
+    "op3_license_scan": licenses.op3_license_scan,
     "op4_token_files": token_files.op4_token_files,
+    "op5_chat_format": chat_format.op5_chat_format,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_pii": pii.op7_pii,
     "op8_pack": packing.op8_pack,
@@ -14,4 +17,8 @@ QUERIES = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+    "op3_license_scan": licenses.OP3_SQL,
+    "op5_chat_format": chat_format.OP5_SQL,
+}
