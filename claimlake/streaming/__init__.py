@@ -1 +1,86 @@
-"""Part of claimlake."""
+"""Structured Streaming jobs: incremental bronze, idempotent ingest, windows, stream joins."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators import ingest, merge, sinks
+
+
+def source(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """Files as they arrive; each is read once, as the checkpoint remembers it."""
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1000).load(path)
+
+
+def bronze(spark: SparkSession, path: str, schema, source_table: str, out: str, checkpoint: str) -> StreamingQuery:
+    """ST1: new files to bronze, then stop; run again for later files."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        sinks.append_bronze(merge.enrich_bronze(batch, source_table), out)
+
+    return source(spark, path, schema).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingest_claims(stream: DataFrame, claims_path: str, lines_path: str, checkpoint: str) -> StreamingQuery:
+    """ST2: insert, replace, void or skip claims of each batch against the stored ones.
+
+    A batch that is run again after a failure meets its own results: known claims with the same code are
+    skipped or replaced by the same values, so the effect is that of one run.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        claims, lines = spark.read.parquet(claims_path), spark.read.parquet(lines_path)
+        acted = ingest.claim_actions(batch, claims)
+        new_claims, new_lines = ingest.apply_claim_actions(claims, lines, acted)
+        ids = acted.where("action <> 'skip'").select("claim_id").distinct()
+        changed = new_claims.join(ids, "claim_id", "left_semi")
+        touched = new_lines.join(ids, "claim_id", "left_semi")
+        sinks.upsert_table(spark, touched, lines_path, ["claim_id", "line_number"])
+        sinks.upsert_table(spark, changed, claims_path, ["claim_id"])
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def deduplicated(stream: DataFrame, keys: list[str], time: str, horizon: str = "1 hour") -> DataFrame:
+    """ST3: the first event of each key within the horizon; state older than it is dropped."""
+    return stream.withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys)
+
+
+def rolling_counts(stream: DataFrame, time: str, kind: str, width: str = "1 hour", slide: str | None = None, late: str = "1 hour") -> DataFrame:
+    """ST4: events, errors and error share by window and kind; later than ``late`` is dropped."""
+    window = F.window(time, width, slide) if slide else F.window(time, width)
+    out = stream.withWatermark(time, late).groupBy(window.alias("w"), F.col(kind)).agg(F.count("*").alias("n"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), kind, "n")
+
+
+def claims_with_remittances(claims: DataFrame, remits: DataFrame, days: int = 45) -> DataFrame:
+    """ST5: each claim with the remittances that follow within ``days``; without one, once they are over."""
+    c = claims.withWatermark("filed_at", "1 day").alias("c")
+    r = remits.select(F.col("claim_id").alias("r_claim"), "paid_at", "paid_amount").withWatermark("paid_at", "1 day").alias("r")
+    on = F.expr(f"c.claim_id = r.r_claim and r.paid_at >= c.filed_at and r.paid_at <= c.filed_at + interval {days} days")
+    return c.join(r, on, "left_outer")
+
+
+def fan_out(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """ST6: events to a folder for each topic."""
+    return stream.writeStream.foreachBatch(lambda b, _: sinks.write_topics(b, path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def refresh_gold(stream: DataFrame, build: Callable[[SparkSession], dict[str, DataFrame]], path: str, checkpoint: str) -> StreamingQuery:
+    """ST7: gold tables anew after each batch of changes."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        for name, df in build(batch.sparkSession).items():
+            sinks.write_gold(df, f"{path}/{name}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_to_table(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
+    """Run a stream over all that is there and write its rows as Parquet."""
+    stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start().awaitTermination()
