@@ -71,7 +71,7 @@ def dead_letters(df: DataFrame, source: str, entity: str, category: str, detail:
 def resolve_letters(dlq: DataFrame, resolved: DataFrame, by: str) -> DataFrame:
     """K8: letters whose entity_id is in ``resolved`` are no longer pending."""
     done = resolved.select("entity_id").distinct().withColumn("_done", F.lit(True))
-    return dlq.join(done, "entity_id", "left").withColumns({"status": F.when("_done", F.lit("resolved")).otherwise(F.col("status")), "resolved_by": F.when("_done", F.lit(by))}).drop("_done")
+    return dlq.join(done, "entity_id", "left").withColumns({"status": F.when(F.col("_done"), F.lit("resolved")).otherwise(F.col("status")), "resolved_by": F.when(F.col("_done"), F.lit(by))}).drop("_done")
 
 
 def pending(dlq: DataFrame) -> DataFrame:
@@ -147,7 +147,7 @@ def backfill_dedup(incoming: DataFrame, existing: DataFrame) -> DataFrame:
         one = F.col(f"i.{c}").eqNullSafe(F.col(f"k.{c}"))
         on = one if on is None else on & one
     out = incoming.alias("i").join(known.alias("k"), on, "left").select("i.*", "_same").join(ids, "claim_id", "left")
-    return out.withColumn("outcome", F.when("_same", F.lit("duplicate")).when("_known", F.lit("conflict")).otherwise("new")).drop("_same", "_known")
+    return out.withColumn("outcome", F.when(F.col("_same"), F.lit("duplicate")).when(F.col("_known"), F.lit("conflict")).otherwise("new")).drop("_same", "_known")
 
 
 def apply_crosswalk(claims: DataFrame, crosswalk: DataFrame, source_system: str | None = None) -> DataFrame:

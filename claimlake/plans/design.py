@@ -21,7 +21,7 @@ def recovery_potential(open_disputes: DataFrame, decided: DataFrame, by: list[st
     """Amount times the historical win rate of its group; small ones go to review."""
     rate = decided.groupBy(*by).agg((F.count_if(F.col("outcome") == "won") / F.count("*")).alias("win_rate"))
     out = open_disputes.join(rate, by, "left")
-    potential = F.round(F.col("underpayment_amount").cast("double") * F.coalesce("win_rate", F.lit(0.0)), 2)
+    potential = F.col("underpayment_amount").cast("double") * F.coalesce("win_rate", F.lit(0.0))
     return out.withColumn("potential", potential).withColumn("route", F.when(F.col("potential") >= least, "pursue").otherwise("review"))
 
 

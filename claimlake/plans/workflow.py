@@ -63,7 +63,7 @@ def round_robin(cases: DataFrame, order: str, buckets: int = 64) -> DataFrame:
 def mark_in_dispute(claims: DataFrame, disputes: DataFrame) -> DataFrame:
     """Claims with a dispute have the status ``in_dispute``."""
     argued = disputes.select("claim_id").distinct().withColumn("_argued", F.lit(True))
-    return claims.join(argued, "claim_id", "left").withColumn("status", F.when("_argued", F.lit("in_dispute")).otherwise(F.col("status"))).drop("_argued")
+    return claims.join(argued, "claim_id", "left").withColumn("status", F.when(F.col("_argued"), F.lit("in_dispute")).otherwise(F.col("status"))).drop("_argued")
 
 
 def make_deadlines(disputes: DataFrame, types: list[str] | None = None, existing: DataFrame | None = None) -> DataFrame:
@@ -97,7 +97,7 @@ def mark_alerted(deadlines: DataFrame, alerts: DataFrame, as_of: str | None = No
 def escalate(cases: DataFrame, missed: DataFrame) -> DataFrame:
     """Cases that missed a critical deadline become critical."""
     late = missed.where(F.col("deadline_type").isin(CRITICAL_TYPES) & (F.col("status") == "missed")).select("case_id").distinct().withColumn("_late", F.lit(True))
-    return cases.join(late, "case_id", "left").withColumn("priority", F.when("_late", F.lit("critical")).otherwise(F.col("priority"))).drop("_late")
+    return cases.join(late, "case_id", "left").withColumn("priority", F.when(F.col("_late"), F.lit("critical")).otherwise(F.col("priority"))).drop("_late")
 
 
 def monitor(deadlines: DataFrame, cases: DataFrame, as_of: str | None = None) -> DataFrame:

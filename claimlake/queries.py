@@ -297,7 +297,7 @@ query("w10_deadline_status", "SELECT derived, count(*) AS n FROM (SELECT CASE WH
 
 # ---- design operators
 
-query("z2_recovery_potential", "SELECT d.dispute_id, round(CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0), 2) AS potential, CASE WHEN round(CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0), 2) >= 100 THEN 'pursue' ELSE 'review' END AS route FROM dsp d JOIN cs c ON c.case_id = d.case_id LEFT JOIN (SELECT d.payer_id, count(*) FILTER (WHERE outcome = 'won') / count(*) AS r FROM cs c JOIN dsp d ON d.case_id = c.case_id WHERE c.status IN ('decided', 'closed') GROUP BY d.payer_id) w ON w.payer_id = d.payer_id WHERE c.status NOT IN ('decided', 'closed')")(
+query("z2_recovery_potential", "SELECT d.dispute_id, CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0) AS potential, CASE WHEN CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0) >= 100 THEN 'pursue' ELSE 'review' END AS route FROM dsp d JOIN cs c ON c.case_id = d.case_id LEFT JOIN (SELECT d.payer_id, count(*) FILTER (WHERE outcome = 'won') / count(*) AS r FROM cs c JOIN dsp d ON d.case_id = c.case_id WHERE c.status IN ('decided', 'closed') GROUP BY d.payer_id) w ON w.payer_id = d.payer_id WHERE c.status NOT IN ('decided', 'closed')")(
     lambda m: (lambda j: design.recovery_potential(j.where("status not in ('decided', 'closed')"), j.where("status in ('decided', 'closed')"), ["payer_id"]).select("dispute_id", "potential", "route"))(workload.disputes(m).join(workload.cases(m).select("case_id", "status", "outcome"), "case_id"))
 )
 query("z3_tiered_alerts", "SELECT case_id, deadline_type, CASE WHEN k < 0 THEN 'missed' WHEN k <= 3 THEN 'urgent' ELSE 'warning' END AS tier FROM (SELECT *, due_date - DATE '2001-08-01' AS k FROM dl WHERE status = 'pending') t WHERE k <= 10")(lambda m: design.tiered_alerts(workload.deadlines(m), AS_OF).select("case_id", "deadline_type", "tier"))
