@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import read_documents, small_batches
+from .store import give_back, read_documents, small_batches
 
 ERROR_RATE = 0.08
 MIN_ITEM = 30
@@ -169,10 +169,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> Dat
     return out if out is not None else docs.sparkSession.createDataFrame([], _HITS)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold an item."""
-    bad = hits(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, docs.doc_id.cast("long") == bad.doc_id, "left_anti").select(docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+    """``docs`` without those that hold an item; rows are dropped where they are read, block by block of items."""
+    small_batches(docs.sparkSession)
+    out = docs
+    for block in item_blocks(benchmark):
+
+        def run(batches: Iterator[pa.RecordBatch], block: list[tuple[int, str]] = block) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(block, rate)
+            for batch in batches:
+                yield batch.filter(pa.array([not (text and matcher.matches(normal(text))) for text in batch.column("text").to_pylist()], pa.bool_()))
+            give_back()
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .store import read_documents, small_batches
+from .store import give_back, read_documents, small_batches
 
 UNKNOWN = "und"
 TRAIN_DOCS, TRAIN_WORDS, LABELS_MAX = 1200, 120, 64
@@ -244,6 +244,35 @@ class _Seen:
         return out
 
 
+#: Bytes of text whose words are labelled together.
+BLOCK = 1 << 19
+_HAS_LETTER = r"\p{L}"
+
+
+def label(texts: pa.Array, chain: Chain, seen: _Seen) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the likeliest language of each text (one past the last: none), its share, and the switches."""
+    raw, at = S.text_bytes(texts)
+    n, k = len(texts), len(chain.labels)
+    best, share, turns = np.full(n, k), np.zeros(n), np.zeros(n, np.int64)
+    if not k:
+        return best, share, turns
+    for i, j in S.blocks(at, BLOCK):
+        part = raw[at[i] : at[j]]
+        h, owner, start, end = words_of(part, at[i : j + 1] - at[i])
+        counts = np.bincount(owner, minlength=j - i)
+        rows = np.flatnonzero(counts)
+        if not len(rows):
+            continue
+        p, _ = chain.marginals(seen.scores(part, h, start, end), counts)
+        sums = np.add.reduceat(p, np.concatenate(([0], np.cumsum(counts)[:-1]))[rows], axis=0)
+        best[i + rows] = sums.argmax(axis=1)
+        share[i + rows] = np.minimum(sums.max(axis=1) / counts[rows], 1.0)
+        word = p.argmax(axis=1)
+        turn = np.concatenate(([False], (word[1:] != word[:-1]) & (owner[1:] == owner[:-1])))
+        turns[i:j] = np.bincount(owner, weights=turn, minlength=j - i)
+    return best, share, turns
+
+
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, lang_pred, score and n_switches (neighbouring words of different languages) of every text."""
     small_batches(docs.sparkSession)
@@ -252,39 +281,31 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
         seen = _Seen(chain)
         names = np.array([*chain.labels, UNKNOWN], dtype=object)
         for batch in batches:
-            raw, at = S.text_bytes(batch.column("text"))
-            best, share, turns = [], [], []
-            for i, j in S.blocks(at, 1 << 20):
-                part = raw[at[i] : at[j]]
-                h, owner, start, end = words_of(part, at[i : j + 1] - at[i])
-                counts = np.bincount(owner, minlength=j - i)
-                if not chain.labels:
-                    counts = np.zeros_like(counts)
-                if counts.sum():
-                    p, _ = chain.marginals(seen.scores(part, h, start, end), counts)
-                    sums = np.zeros((j - i, len(chain.labels)))
-                    rows = np.flatnonzero(counts)
-                    sums[rows] = np.add.reduceat(p, np.concatenate(([0], np.cumsum(counts)[:-1]))[rows], axis=0)
-                    word = p.argmax(axis=1)
-                    turn = np.concatenate(([False], (word[1:] != word[:-1]) & (owner[1:] == owner[:-1])))
-                    turns.append(np.bincount(owner, weights=turn, minlength=j - i))
-                    top = sums.argmax(axis=1)
-                    best.append(np.where(counts > 0, top, len(names) - 1))
-                    share.append(np.where(counts > 0, sums[np.arange(j - i), top] / np.maximum(counts, 1), 0.0))
-                else:
-                    best.append(np.full(j - i, len(names) - 1))
-                    share.append(np.zeros(j - i))
-                    turns.append(np.zeros(j - i))
-            cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names[cat(best, np.int64)], pa.string()), pa.array(np.minimum(cat(share, float), 1.0)), pa.array(cat(turns, np.int64))],
-                ["doc_id", "lang_pred", "score", "n_switches"],
-            )
-
-    text = F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text")
+            best, share, turns = label(batch.column("text"), chain, seen)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(share), pa.array(turns)], ["doc_id", "lang_pred", "score", "n_switches"])
+        give_back()
+
+    text = F.when(F.col("text").rlike(_HAS_LETTER), F.col("text")).alias("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, lang_pred string, score double, n_switches long")
 
 
+def keep_clear(docs: DataFrame, chain: Chain, least_score: float) -> DataFrame:
+    """``docs`` without those of unknown language or of a lower score; rows are dropped where they are read."""
+    small_batches(docs.sparkSession)
+    flag = "_has_letter_"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen(chain)
+        for batch in batches:
+            letter = batch.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
+            best, share, _ = label(batch.column("text"), chain, seen)
+            kept = batch.filter(pa.array(letter & (best < len(chain.labels)) & (share >= least_score)))
+            yield kept.drop_columns([flag])
+        give_back()
+
+    return docs.withColumn(flag, F.col("text").rlike(_HAS_LETTER)).mapInArrow(run, docs.schema)
+
+
 def held_out_column():
     """True for the documents that nothing is learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))

@@ -18,7 +18,7 @@ Work that a large group of copies could blow up:
   smaller. Texts that merely share a passage, however many, have their own words there and make no pair.
 
 Defined results: null or empty texts, and texts without words, have n_shingles 0, are linked with
-nothing and stay. Repeated rows of a doc_id count as one node. Columns beside the two needed are ignored.
+nothing and stay. Repeated rows of a doc_id are one node, whose text is that of any of them. Columns beside the two needed are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .store import discard, materialise, small_batches
+from .store import discard, give_back, materialise, small_batches
 
 SYMBOLS, SYMBOL_BITS, PER_CHUNK = 64, 16, 4
 CHUNKS = SYMBOLS // PER_CHUNK
@@ -63,6 +63,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         flat = np.concatenate(chunks).view(np.int64).ravel() if chunks else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * CHUNKS), pa.array(flat))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(both[:, 0]), pa.array(both[:, 1]), lists], ["doc_id", "n_shingles", "set_hi", "set_lo", "chunks"])
+    give_back()
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -82,6 +83,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, n = S.distinct_per_text(*S.shingle_hashes(h, owner, j - i))
             ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))], ["class_id", "shingles"])
+    give_back()
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -89,7 +91,6 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     small = wanted.count() <= BROADCAST_ROWS
     ids = F.broadcast(wanted) if small else wanted
     texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(ids, "class_id")
-    # Repeated rows of a doc_id: the greatest text counts; without a shuffle of texts where none repeats.
     return texts.mapInArrow(_set_batches, _SETS)
 
 

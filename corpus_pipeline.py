@@ -12,7 +12,6 @@ All stages but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimlake.llm import decontaminate, language_id, line_dedup, near_dedup, packing
 from claimlake.llm.store import materialise, read_documents
@@ -24,8 +23,7 @@ LEAST_SCORE = 0.4
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chain = language_id.train(docs.select("doc_id", "text", "lang"))
-    unclear = language_id.predict(docs, chain).where((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < LEAST_SCORE)).select("doc_id").distinct()
-    return docs.join(unclear, "doc_id", "left_anti").select(docs.columns)
+    return language_id.keep_clear(docs, chain, LEAST_SCORE)
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -232,6 +232,8 @@ def test_language_id_edges_and_switches(spark, docs, texts):
     assert [got[i]["lang_pred"] for i in range(4)] == ["und"] * 4 and got[0]["score"] == 0.0
     assert got[4]["lang_pred"] == "en" and 0.4 < got[4]["score"] < 0.95 and got[4]["n_switches"] >= 1
     assert got[5]["lang_pred"] == "en"
+    clear = language_id.keep_clear(frame(spark, [None, "", "12", half]).withColumn("score", F.lit(1)), chain, 0.4)
+    assert [r["doc_id"] for r in clear.collect()] == [3] and clear.columns[-1] == "score"
     assert language_id.predict(frame(spark, ["a"]), language_id.train(docs.limit(0))).first()["lang_pred"] == "und"
 
 
