@@ -1,6 +1,7 @@
 """The operators against brute force, exact round trips and edge cases, on small frames and the smallest tables."""
 
 import collections
+import functools
 import hashlib
 import io
 import re
@@ -118,12 +119,17 @@ def test_fingerprint_edges_and_links(spark):
     assert fingerprints.edited_likeness(df.limit(0)).count() == 0
 
 
-def plain_ids(text):
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_tokenizer())
     t.encode_special_tokens = True
-    return np.array(t.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+    return t
+
+
+def plain_ids(text):
+    return np.array(library().encode(text or "", add_special_tokens=False).ids + [0], "<u4")
 
 
 def test_encoder_equals_the_library(texts, monkeypatch):
