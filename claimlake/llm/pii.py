@@ -197,7 +197,7 @@ class Field:
                     pairs.append((base + i - 1, base + i))
                     kinds.append(False)
                 if len(t.form) > 5:
-                    if (j := last.get(t.form)) is not None and j != i - 1:
+                    if (j := last.get(t.form)) is not None:
                         pairs.append((base + j, base + i))
                         kinds.append(True)
                     last[t.form] = i
