@@ -74,13 +74,18 @@ class Mapped:
         )
 
     def fee_versions(self) -> DataFrame:
-        """Yearly versions of a rate for each payer, code and region."""
+        """Versions of a rate for each payer, code and region: one for every part row.
+
+        The first seven start yearly from 1995-01-01 on, each further one a day after the one before, so
+        that 3,292 fit before 2010-01-01, from when on the merge query's new rates apply.
+        """
         from pyspark.sql import Window
 
         payer = F.when(F.col("p_partkey") % 2 == 0, "MEDICARE").otherwise("FAIR_HEALTH")
         keyed = self.raw("part").select(payer.alias("payer_id"), F.col("p_brand").alias("cpt_code"), F.col("p_type").alias("geo_region"), money("p_retailprice").alias("rate"), F.col("p_partkey").alias("id"))
         version = F.row_number().over(Window.partitionBy("payer_id", "cpt_code", "geo_region").orderBy("id"))
-        return keyed.withColumn("v", version).where("v <= 7").withColumn("valid_from", F.make_date(F.col("v") + 1994, F.lit(1), F.lit(1)))
+        year = F.make_date(F.least("v", F.lit(7)) + 1994, F.lit(1), F.lit(1))
+        return keyed.withColumn("v", version).withColumn("valid_from", F.date_add(year, F.greatest(F.col("v") - 7, F.lit(0))))
 
     def cdc(self) -> DataFrame:
         op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
