@@ -22,6 +22,7 @@ they occur. No documents: no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -32,10 +33,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import materialise, read_documents, small_batches
-from .tokens import default_tokenizer, encoder, text_groups
+from .tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
 GROUPS = 512
+#: Turns of the simplex method for each size, at most; it says so if they don't suffice.
+TURNS = 40
 #: Pieces of one length that a shard holds, about; shards are numbered apart from each other.
 PER_SHARD = 20_000
 
@@ -49,9 +52,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(tokenizer)
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for i, j in text_groups(texts):
-                ids, counts = ids_of.encode(texts[i:j])
+            doc_ids = batch.column("doc_id").to_pylist()
+            for i, j, ids, counts in ids_of.encode(batch.column("text")):
                 raw, at = ids.astype("<u4", copy=False), np.cumsum(counts) - counts
                 rows: list[list] = [[], [], [], [], [], []]
                 for k in range(j - i):
@@ -94,7 +96,7 @@ def _optimise(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.
     basis = np.diag((capacity // sizes).clip(max=2).astype(float))
     inverse = np.linalg.inv(basis)
     x = inverse @ demand
-    for turn in range(40 * m):
+    for turn in range(TURNS * m):
         price = np.append(inverse.sum(axis=0), 0)
         worth = price[rows[:, 0]] + price[rows[:, 1]]
         best = int(np.argmax(worth))
@@ -112,6 +114,8 @@ def _optimise(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.
             inverse = inverse - np.outer(direction, row)
             inverse[out] = row
         x = np.maximum(inverse @ demand, 0)
+    else:
+        warnings.warn("the linear programme was stopped before its optimum; the packing is valid but may be looser", RuntimeWarning, stacklevel=2)
     return basis, x
 
 
@@ -239,7 +243,8 @@ def numbered(parts: DataFrame) -> DataFrame:
     cut = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
     sizes = cut.groupBy("length", "shard").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("length", "shard", "before")
-    within = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece")) - 1
+    # Rows that are equal in all of these are interchangeable, so a task that runs again gives the same places.
+    within = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
     return cut.withColumn("within", within).join(before, ["length", "shard"]).withColumn("number", F.col("within") + F.col("before")).drop("within", "before", "shard")
 
 

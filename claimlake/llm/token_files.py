@@ -2,10 +2,11 @@
 
 Format of a file (readable by any zstandard tool, as skippable frames are passed over):
 
-* a skippable frame (magic 0x184D2A51) with the doc_ids, 64-bit little-endian signed, one a document;
 * one zstandard frame a document: its ids, 32-bit little-endian unsigned, the end id last;
+* a skippable frame (magic 0x184D2A51) with the doc_ids, 64-bit little-endian signed, one a document;
 * a skippable frame (magic 0x184D2A5E), the seek table: for each document compressed size, size and
-  the low 32 bits of the XXH64 of the ids; then the number of frames, a flag byte and 0x8F92EAB1.
+  the low 32 bits of the XXH64 of the ids; then the number of frames, a flag byte and 0x8F92EAB1. The
+  frames stand first in the file, so a reader of that format finds each by adding up sizes.
 
 A reader takes the table from the end of the file and then fetches and expands only the frames it
 wants. Files hold documents in ascending doc_id order, and so does the list of files.
@@ -35,17 +36,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import materialise, new_path, read_documents, small_batches
-from .tokens import default_tokenizer, encoder, text_groups
+from .tokens import default_tokenizer, encoder
 
 IDS_MAGIC, SEEK_MAGIC, SEEK_END = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 DOCS_PER_FILE = 1000
+#: Files a writing or reading task has, about, once there are more than the session's shuffle partitions.
+FILES_PER_TASK = 50
 #: Ranges of ids at most; a file then holds more documents.
 MAX_RANGES = 1 << 16
 
 
-def id_ranges(docs: DataFrame, per_range: int) -> Column:
+def id_ranges(docs: DataFrame, per_range: int, n: int | None = None) -> Column:
     """Number of the quantile range of each doc_id, ascending; ranges hold about ``per_range`` rows."""
-    n = docs.count()
+    n = docs.count() if n is None else n
     k = min(MAX_RANGES, max(1, n // per_range))
     bounds: list[int] = []
     if k > 1:
@@ -56,15 +59,20 @@ def id_ranges(docs: DataFrame, per_range: int) -> Column:
     def range_of(doc_id):
         import pandas as pd
 
-        return pd.Series(np.searchsorted(np.array(bounds, dtype=np.float64 if doc_id.dtype.kind == "f" else np.int64), doc_id.fillna(-(2**63)).to_numpy(), side="left"))
+        return pd.Series(np.searchsorted(np.array(bounds, dtype=np.int64), doc_id.to_numpy(), side="left"))
+
+    return range_of(F.coalesce("doc_id", F.lit(-(2**63))))
+
 
-    return range_of(F.col("doc_id"))
+def task_count(spark: SparkSession, units: int, per_task: int) -> int:
+    """Partitions for a shuffle of ``units``: those of the session, or more where the data are larger."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-units // per_task))
 
 
 def frame_file(doc_ids: np.ndarray, frames: list[bytes], sizes: list[int], sums: list[int]) -> bytes:
     head = doc_ids.astype("<i8").tobytes()
     table = np.column_stack([[len(f) for f in frames], sizes, sums]).astype("<u4").tobytes() + struct.pack("<IBI", len(frames), 0x80, SEEK_END)
-    return b"".join([struct.pack("<II", IDS_MAGIC, len(head)), head, *frames, struct.pack("<II", SEEK_MAGIC, len(table)), table])
+    return b"".join([*frames, struct.pack("<II", IDS_MAGIC, len(head)), head, struct.pack("<II", SEEK_MAGIC, len(table)), table])
 
 
 class FrameFile:
@@ -78,12 +86,12 @@ class FrameFile:
             raise ValueError("not a seekable file")
         source.seek(end - 9 - 12 * n)
         self.table = np.frombuffer(source.read(12 * n), "<u4").reshape(n, 3)
-        source.seek(0)
+        self.at = np.concatenate(([0], np.cumsum(self.table[:, 0].astype(np.int64))))
+        source.seek(int(self.at[-1]))
         magic, size = struct.unpack("<II", source.read(8))
         if magic != IDS_MAGIC:
             raise ValueError("doc_ids are missing")
         self.doc_ids = np.frombuffer(source.read(size), "<i8")
-        self.at = 8 + size + np.concatenate(([0], np.cumsum(self.table[:, 0].astype(np.int64))))
         self.reader = zstandard.ZstdDecompressor()
 
     def __len__(self) -> int:
@@ -105,15 +113,16 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, per_file: int = DO
     """Write all documents under ``folder`` (a URI that every executor reaches) and return the manifest."""
     small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = id_ranges(slim.select("doc_id"), per_file)
-    tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = slim.count()
+    ranges = id_ranges(slim.select("doc_id"), per_file, n)
+    tasks = task_count(docs.sparkSession, -(-n // per_file), FILES_PER_TASK)
     dealt = slim.withColumn("range_no", ranges).repartition(tasks, "range_no").sortWithinPartitions("range_no", F.col("doc_id").asc_nulls_first(), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pa.fs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         ids_of, squeeze = encoder(tokenizer), zstandard.ZstdCompressor(level=1, write_checksum=False)
-        now, part, held = None, 0, [[], [], [], []]
+        now, part, held, held_bytes = None, 0, [[], [], [], []], 0
 
         def close() -> pa.RecordBatch:
             name = f"{base}/{now:08d}-{part:04d}-{uuid.uuid4().hex}.zst"
@@ -125,19 +134,18 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, per_file: int = DO
         for batch in batches:
             numbers = batch.column("range_no").to_numpy()
             doc_ids = batch.column("doc_id").fill_null(-(2**63)).to_numpy()
-            texts = batch.column("text").to_pylist()
-            for i, j in text_groups(texts):
-                ids, counts = ids_of.encode(texts[i:j])
+            for i, j, ids, counts in ids_of.encode(batch.column("text")):
                 raw, ends = ids.astype("<u4", copy=False), np.cumsum(counts)
                 for k in range(i, j):
-                    if held[0] and (numbers[k] != now or len(held[0]) >= 4 * per_file or sum(map(len, held[1])) > 1 << 26):
+                    if held[0] and (numbers[k] != now or len(held[0]) >= 4 * per_file or held_bytes > 1 << 26):
                         yield close()
                         part = part + 1 if numbers[k] == now else 0
-                        held = [[], [], [], []]
+                        held, held_bytes = [[], [], [], []], 0
                     now = int(numbers[k])
                     one = raw[ends[k - i] - counts[k - i] : ends[k - i]].tobytes()
                     held[0].append(int(doc_ids[k]))
                     held[1].append(squeeze.compress(one))
+                    held_bytes += len(held[1][-1])
                     held[2].append(len(one))
                     held[3].append(xxhash.xxh64_intdigest(one) & 0xFFFFFFFF)
         if held[0]:
@@ -153,7 +161,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     """One row a document, read back from the files: place of its ids among all, count and CRC-32."""
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("range_no", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = manifest.select("file", before.cast("long").alias("start"))  # a row a file: few enough for one task
-    tasks = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = task_count(manifest.sparkSession, manifest.count(), FILES_PER_TASK)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = pa.fs.FileSystem.from_uri(folder)
@@ -173,7 +181,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
 
 def fetch(manifest: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
     """doc_id and ids (bytes) of the documents in ``wanted`` (columns file, frame); no other frame is expanded."""
-    tasks = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = task_count(manifest.sparkSession, manifest.count(), FILES_PER_TASK)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = pa.fs.FileSystem.from_uri(folder)

@@ -3,7 +3,6 @@
 import collections
 import functools
 import hashlib
-import io
 import re
 import struct
 import zlib
@@ -123,25 +122,45 @@ def test_fingerprint_edges_and_links(spark):
 def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokens.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokens.default_tokenizer())
 
 
 def plain_ids(text):
     return np.array(library().encode(text or "", add_special_tokens=False).ids + [0], "<u4")
 
 
+def check_encoder(own, every, ids_of=plain_ids):
+    for k in range(0, len(every), 20):
+        some = every[k : k + 20]
+        for i, j, ids, n in own.encode(pa.array(some, pa.large_string())):
+            ends = np.cumsum(n)
+            for t, a, b in zip(some[i:j], ends - n, ends, strict=True):
+                assert ids[a:b].tolist() == ids_of(t).tolist(), repr(t)
+
+
 def test_encoder_equals_the_library(texts, monkeypatch):
-    monkeypatch.setattr(tokens, "KEEP_PIECES", 500)
+    import random
+
+    odd = ["", " ", "  ", "a  b", "a \n b", "x\t\ty ", "it's, ok. No.\nYes", "a.,b ., c", "<|endoftext|> x", "hello <|endoftext|> world", "\x01 a", "12 ab12, é. ß\n", "a  b", "\n\n", "a\n", "'sx 'lll x'res", "a\u00a0 b \u2003\n\nc\x85d\x1c e", "”q’s —x", None]
     own = tokens.Encoder(tokens.default_tokenizer())
-    odd = ["", " ", "  ", "a  b", "a \n b", "x\t\ty ", "it's, ok. No.\nYes", "a.,b ., c", "<|endoftext|> x", "\x01 a", "12 ab12, é. ß\n", "a  b", "\n\n", "a\n"]
     every = odd + [t or "" for t in list(texts.values())[:60]] + odd
-    for i in range(0, len(every), 20):
-        ids, n = own.encode(every[i : i + 20])
-        ends = np.cumsum(n)
-        for k, t in enumerate(every[i : i + 20]):
-            assert ids[ends[k] - n[k] : ends[k]].tolist() == plain_ids(t).tolist(), repr(t)
+    check_encoder(own, every)
+    random.seed(3)
+    parts = [" ", " ", "\n", "\t", "a", "ab", "the", "Z", "7", "42", ",", "'", "'s", "'ll", ".", "é", "ß", "—", "\u00a0", "\u3000", "漢", "🙂", "<|endoftext|>", "-", "\r", "\x0b"]
+    check_encoder(own, ["".join(random.choices(parts, k=random.randint(0, 25))) for _ in range(6000)])
+    monkeypatch.setattr(tokens, "SLICE", 300)
+    monkeypatch.setattr(tokens, "POOL", 2000)
+    monkeypatch.setattr(tokens, "SLOTS", 64)
+    check_encoder(tokens.Encoder(tokens.default_tokenizer()), ["word " * 900 + "x" * 700 + " \n y", *every])
+
+
+def test_encoder_of_another_kind_of_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other = Tokenizer.from_file(path)
+    check_encoder(tokens.Encoder(path), ["Some Words, here", "", "a  b"], lambda t: np.array(other.encode(t, add_special_tokens=False).ids + [0], "<u4"))
 
 
 def test_token_files_round_trip(spark, docs, texts):
@@ -156,20 +175,25 @@ def test_token_files_round_trip(spark, docs, texts):
         at += len(ids)
     wanted = token_files.read_files(manifest, folder).where("doc_id = 7").select("file", "frame")
     assert [bytes(r["ids"]) for r in token_files.fetch(manifest, folder, wanted).collect()] == [plain_ids(texts[7]).tobytes()]
-    name = manifest.first()["file"]
+    name = manifest.orderBy("range_no", "part").first()["file"]
     data = open(name, "rb").read()
     n, flag, magic = struct.unpack("<IBI", data[-9:])
     assert (flag, magic) == (0x80, 0x8F92EAB1) and n <= 160
-    size = struct.unpack("<I", data[4:8])[0]
-    first = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data[8 + size :])).read(4)
-    assert len(first) == 4
+    sizes = np.frombuffer(data[-9 - 12 * n : -9], "<u4").reshape(n, 3)
+    assert zstandard.ZstdDecompressor().decompress(data[: sizes[0, 0]], max_output_size=int(sizes[0, 1])) == plain_ids(texts[min(texts)]).tobytes()
+    at = int(sizes[:, 0].sum())
+    assert struct.unpack("<I", data[at : at + 4])[0] == token_files.IDS_MAGIC
     broken = bytearray(data)
-    broken[8 + size + 12] ^= 255
+    broken[12] ^= 255
     with pytest.raises((ValueError, zstandard.ZstdError)):
         token_files.FrameFile(pa.BufferReader(bytes(broken))).raw(0)
 
 
 def test_token_file_edges(spark):
+    big = spark.createDataFrame([(2**60 + i, "x") for i in range(40)] + [(None, "y")], "doc_id long, text string")
+    folder = store.new_path(spark, "tokens")
+    order = token_files.read_files(token_files.write_files(big, folder, tokens.default_tokenizer(), per_file=5), folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in order] == [None, *(2**60 + i for i in range(40))]
     df = frame(spark, [None, "", "a b"]).withColumn("start", F.lit(9))
     folder = store.new_path(spark, "tokens")
     got = token_files.read_files(token_files.write_files(df, folder, tokens.default_tokenizer()), folder).orderBy("doc_id").collect()
@@ -193,6 +217,12 @@ def test_plan_places_everything_and_is_tight():
     assert packing.Plan({1025: 50}).n_sequences == 50
 
 
+def test_plan_says_when_it_stops_early(monkeypatch):
+    monkeypatch.setattr(packing, "TURNS", 0)
+    with pytest.warns(RuntimeWarning):
+        assert packing.Plan({1000: 5, 900: 5, 700: 3}).n_sequences >= 6
+
+
 def test_packing(spark, docs, texts):
     placed = packing.pack(docs, tokens.default_tokenizer())
     by_sequence, by_doc = collections.defaultdict(list), collections.defaultdict(list)
