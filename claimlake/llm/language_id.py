@@ -6,10 +6,15 @@ transitions. Forward-backward gives each word the probability of each language,
 so a passage in another language is labelled as such. A text's language is that with the largest
 sum of probabilities, and the score is its share.
 
-The model is trained in a few seconds on the driver from a bounded sample: TRAIN_DOCS labelled
-documents (those of the smallest hash of doc_id, as many of each language) and of each the first
-TRAIN_WORDS words. So that transitions are learned from switches too, training sequences join
-stretches of different documents. Everything else runs on whole texts in the tasks.
+The model is trained in a few seconds on the driver from a bounded sample of rows: TRAIN_DOCS labelled
+documents, as many of each language, but LEAST_DOCS of each at least, however many languages there
+are. They are the smallest hashes of doc_id within as many slots, so one pass that combines within the
+tasks finds them. Of each come SPOTS runs of SPOT_WORDS words spread evenly from its first to its last
+word. So that transitions are learned from switches too, training sequences join stretches of different
+documents. Everything else runs on whole texts in the tasks.
+
+Forward-backward of a long text runs on stretches side by side: the product of a stretch's transfer
+matrices carries the messages across it, which gives what a word by word pass gives.
 
 Defined results: a null text, or one without a letter, has language ``und`` and score 0. A word is a
 run without white space that has a letter; others are left out. Repeated rows are predicted alike;
@@ -29,7 +34,10 @@ from . import shingles as S
 from .store import give_back, read_documents, small_batches
 
 UNKNOWN = "und"
-TRAIN_DOCS, TRAIN_WORDS, LABELS_MAX = 1200, 120, 64
+TRAIN_DOCS, LEAST_DOCS = 1200, 20
+SPOTS, SPOT_WORDS = 6, 20
+#: With more labels the matrices of stretches cost more than they save; texts are then passed word by word.
+MATRIX_LABELS = 16
 BUCKETS = 1 << 17
 EPOCHS, RATE, DECAY = 4, 0.3, 1e-6
 #: Slots of a worker's table of words that it has met.
@@ -102,48 +110,96 @@ class Chain:
         """Sum of the weights of each word's features for each label."""
         return np.add.reduceat(self.state[rows], begin, axis=0) if len(begin) else np.zeros((0, len(self.labels)), np.float32)
 
-    def marginals(self, score: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each label for each word of the texts of ``counts`` words, and each pair's expectation.
+    def marginals(self, score: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Probability of each label for each word of the texts of ``counts`` words."""
+        return self._messages(score, counts)[0]
+
+    def _messages(self, score: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Marginals, forward and backward messages and the words' own potentials, a row a word.
 
-        All texts advance together, longest first, so a step handles one word of every text that has one left.
+        Stretches of all texts advance together, longest first, so a step handles one word of each.
         """
         k = len(self.labels)
-        total = len(score)
-        order = np.argsort(-counts, kind="stable")
-        order = order[counts[order] > 0]
-        if not len(order):
-            return np.zeros((0, k)), np.zeros((k, k))
-        first = np.concatenate(([0], np.cumsum(counts)[:-1]))[order]
-        size = counts[order]
-        longest = int(size[0])
-        active = np.searchsorted(-size, -np.arange(longest), side="left")  # texts with a word at each step
-        e = np.exp(score - score.max(axis=1, keepdims=True)).astype(np.float64)
-        forward, back = np.empty((total, k)), np.empty((total, k))
+        e = np.exp(score - score.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float64)
+        counts = counts[counts > 0]
+        if not len(counts):
+            return np.zeros((0, k)), np.zeros((0, k)), np.zeros((0, k)), e
+        longest = int(counts.max())
+        span = longest if k > MATRIX_LABELS else min(longest, max(8, int(longest**0.5)))
+        per_text = -(-counts // span)
+        text = np.repeat(np.arange(len(counts)), per_text)
+        rank = np.arange(len(text)) - (np.cumsum(per_text) - per_text)[text]  # of the stretch in its text
+        begin = (np.cumsum(counts) - counts)[text] + rank * span
+        size = np.minimum(counts[text] - rank * span, span)
+        order = np.argsort(-size, kind="stable")
+        begin, size, opens = begin[order], size[order], rank[order] == 0
+        active = np.searchsorted(-size, -np.arange(span), side="left")  # stretches with a word at each step
         m = np.exp(self.move - self.move.max())
-        a = e[first] / e[first].sum(axis=1, keepdims=True)
-        forward[first] = a
-        for t in range(1, longest):
+
+        into, after = np.ones((len(text), k)), np.ones((len(text), k))  # messages at the stretches' ends, by stretch
+        if (deepest := int(per_text.max())) > 1:
+            product = np.repeat(np.eye(k)[None], len(text), axis=0)
+            for t in range(span):
+                n = active[t]
+                p = (product[:n].reshape(n * k, k) @ m).reshape(n, k, k) * e[begin[:n] + t][:, None, :]
+                product[:n] = p / p.max(axis=(1, 2), keepdims=True) if t % 8 == 7 else p
+            product /= product.max(axis=(1, 2), keepdims=True)
+            carry = np.empty_like(product)
+            carry[order] = product
+            first = np.cumsum(per_text) - per_text
+            # The first word of a text has no predecessor: its stretch gets e itself, whatever comes in.
+            head = np.empty((len(counts), k))
+            head[:] = e[np.cumsum(counts) - counts]
+            place = np.empty(len(text), np.int64)
+            place[order] = np.arange(len(text))
+            lead = first[per_text > 1]
+            v = head[per_text > 1]
+            where = begin[place[lead]]
+            for t in range(1, span):
+                v = (v @ m) * e[where + t]
+                v /= v.sum(axis=1, keepdims=True)
+            into[lead + 1] = v
+            for r in range(2, deepest):
+                at = first[per_text > r] + r
+                v = np.einsum("nk,nkl->nl", into[at - 1], carry[at - 1])
+                into[at] = v / v.sum(axis=1, keepdims=True)
+            for r in range(deepest - 2, -1, -1):
+                at = first[per_text > r + 1] + r
+                v = np.einsum("nkl,nl->nk", carry[at + 1], after[at + 1])
+                after[at] = v / v.sum(axis=1, keepdims=True)
+            into, after = into[order], after[order]
+        forward, back = np.empty_like(e), np.empty_like(e)
+        a = into
+        for t in range(span):
             n = active[t]
-            at = first[:n] + t
-            a = (a[:n] @ m) * e[at]
+            at = begin[:n] + t
+            a = a[:n] @ m
+            if t == 0:
+                a[opens] = 1.0
+            a *= e[at]
             a /= a.sum(axis=1, keepdims=True)
             forward[at] = a
-        b = np.ones((0, k))
-        for t in range(longest - 1, -1, -1):
+        b = np.zeros((0, k))
+        for t in range(span - 1, -1, -1):
             n = active[t]
-            at = first[:n] + t
-            fresh = np.full((n, k), 1.0 / k)
+            at = begin[:n] + t
+            fresh = after[:n].copy()
             if len(b):
-                fresh[: len(b)] = (e[first[: len(b)] + t + 1] * b) @ m.T
+                fresh[: len(b)] = (e[at[: len(b)] + 1] * b) @ m.T
                 fresh[: len(b)] /= fresh[: len(b)].sum(axis=1, keepdims=True)
             b = fresh
             back[at] = b
         p = forward * back
         p /= p.sum(axis=1, keepdims=True)
-        inner = np.ones(total, bool)
+        return p, forward, back, e
+
+    def expectations(self, score: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals, and how often each label is expected to follow each."""
+        p, forward, back, e = self._messages(score, counts)
+        inner = np.ones(len(score), bool)
         inner[np.cumsum(counts[counts > 0]) - 1] = False
         i = np.flatnonzero(inner)
-        pair = forward[i][:, :, None] * m[None] * (e[i + 1] * back[i + 1])[:, None, :]
+        pair = forward[i][:, :, None] * np.exp(self.move - self.move.max())[None] * (e[i + 1] * back[i + 1])[:, None, :]
         pair /= pair.sum(axis=(1, 2), keepdims=True)
         return p, pair.sum(axis=0)
 
@@ -179,7 +235,7 @@ class Chain:
                 counts = np.array([sum(z - x for x, z in s) for s in group])
                 f = np.repeat(begin[words] - np.concatenate(([0], np.cumsum(per_word[words])[:-1])), per_word[words]) + np.arange(int(per_word[words].sum()))
                 local = np.concatenate(([0], np.cumsum(per_word[words])[:-1]))
-                p, pair = self.marginals(self.scores(rows[f], local), counts)
+                p, pair = self.expectations(self.scores(rows[f], local), counts)
                 truth = y[words]
                 gap = -p
                 gap[np.arange(len(words)), truth] += 1
@@ -204,21 +260,25 @@ def train(docs: DataFrame, held_out=None) -> Chain:
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if held_out is not None:
         labelled = labelled.where(~held_out)
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS_MAX).collect()  # a bounded number of rows
-    labels = sorted(r["lang"] for r in counts)
+    h = F.xxhash64("doc_id")
+    slots = labelled.groupBy("lang", F.pmod(h, F.lit(TRAIN_DOCS)).alias("slot")).agg(F.min(h).alias("h")).collect()  # TRAIN_DOCS a language at most
+    labels = sorted({r["lang"] for r in slots})
     chain = Chain(labels)
     if not labels:
         return chain
-    each = -(-TRAIN_DOCS // len(labels))
-    near = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    ids = None
-    for label in labels:
-        one = near.where(F.col("lang") == label).orderBy("h", "doc_id").limit(each).select("doc_id")
-        ids = one if ids is None else ids.unionByName(one)
-    words = F.array_join(F.slice(F.split("text", r"\s+"), 1, TRAIN_WORDS), " ")
-    sample = labelled.join(F.broadcast(ids.distinct()), "doc_id").select("doc_id", "lang", words.alias("text")).orderBy("doc_id", "text").limit(2 * TRAIN_DOCS).collect()
+    each = max(LEAST_DOCS, -(-TRAIN_DOCS // len(labels)))
+    by_label: dict[str, list[int]] = {}
+    for r in sorted(slots, key=lambda r: r["h"]):
+        if len(mine := by_label.setdefault(r["lang"], [])) < each:
+            mine.append(r["h"])
+    wanted = docs.sparkSession.createDataFrame([(x, y) for x, ys in by_label.items() for y in ys], "lang string, h long")
+    words, step = F.split("text", r"\s+"), F.greatest(F.size(F.split("text", r"\s+")) - SPOT_WORDS, F.lit(0)) / (SPOTS - 1)
+    spots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SPOTS - 1)), lambda i: F.slice(words, 1 + F.floor(i * step).cast("int"), SPOT_WORDS)))
+    stretch = F.array_join(F.when(F.size(words) > SPOTS * SPOT_WORDS, spots).otherwise(words), " ")
+    few = labelled.select("lang", h.alias("h"), "text").join(F.broadcast(wanted), ["lang", "h"])
+    sample = few.select("lang", "h", stretch.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()  # a row for each of ``wanted``
     number = {label: i for i, label in enumerate(labels)}
-    sample = [r for r in sample if r["lang"] in number]
+    sample.sort(key=lambda r: (r["h"], r["lang"]))
     chain.fit([r["text"].encode() for r in sample], [number[r["lang"]] for r in sample])
     return chain
 
@@ -249,13 +309,14 @@ BLOCK = 1 << 19
 _HAS_LETTER = r"\p{L}"
 
 
-def label(texts: pa.Array, chain: Chain, seen: _Seen) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the likeliest language of each text (one past the last: none), its share, and the switches."""
+def label(texts: pa.Array, chain: Chain, seen: _Seen) -> tuple[np.ndarray, ...]:
+    """Number of the likeliest language of each text (one past the last: none), its share, the switches, how
+    sure the labels of its words are (mean of each word's largest probability), and the number of words."""
     raw, at = S.text_bytes(texts)
     n, k = len(texts), len(chain.labels)
-    best, share, turns = np.full(n, k), np.zeros(n), np.zeros(n, np.int64)
+    best, share, turns, sure, size = np.full(n, k), np.zeros(n), np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64)
     if not k:
-        return best, share, turns
+        return best, share, turns, sure, size
     for i, j in S.blocks(at, BLOCK):
         part = raw[at[i] : at[j]]
         h, owner, start, end = words_of(part, at[i : j + 1] - at[i])
@@ -263,14 +324,17 @@ def label(texts: pa.Array, chain: Chain, seen: _Seen) -> tuple[np.ndarray, np.nd
         rows = np.flatnonzero(counts)
         if not len(rows):
             continue
-        p, _ = chain.marginals(seen.scores(part, h, start, end), counts)
-        sums = np.add.reduceat(p, np.concatenate(([0], np.cumsum(counts)[:-1]))[rows], axis=0)
+        p = chain.marginals(seen.scores(part, h, start, end), counts)
+        first = np.concatenate(([0], np.cumsum(counts)[:-1]))[rows]
+        sums = np.add.reduceat(p, first, axis=0)
+        size[i:j] = counts
+        sure[i + rows] = np.add.reduceat(p.max(axis=1), first) / counts[rows]
         best[i + rows] = sums.argmax(axis=1)
         share[i + rows] = np.minimum(sums.max(axis=1) / counts[rows], 1.0)
         word = p.argmax(axis=1)
         turn = np.concatenate(([False], (word[1:] != word[:-1]) & (owner[1:] == owner[:-1])))
         turns[i:j] = np.bincount(owner, weights=turn, minlength=j - i)
-    return best, share, turns
+    return best, share, turns, sure, size
 
 
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -281,7 +345,7 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
         seen = _Seen(chain)
         names = np.array([*chain.labels, UNKNOWN], dtype=object)
         for batch in batches:
-            best, share, turns = label(batch.column("text"), chain, seen)
+            best, share, turns, _, _ = label(batch.column("text"), chain, seen)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(share), pa.array(turns)], ["doc_id", "lang_pred", "score", "n_switches"])
         give_back()
 
@@ -289,8 +353,13 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, lang_pred string, score double, n_switches long")
 
 
-def keep_clear(docs: DataFrame, chain: Chain, least_score: float) -> DataFrame:
-    """``docs`` without those of unknown language or of a lower score; rows are dropped where they are read."""
+def keep_clear(docs: DataFrame, chain: Chain, least_sure: float, few_words: int) -> DataFrame:
+    """``docs`` without those of unknown language, or whose words' labels are less sure on average.
+
+    A text may mix any number of languages: each word only has to follow one of them surely. Of a text
+    with fewer than ``few_words`` words, sureness says too little; it stays. Rows are dropped where they
+    are read.
+    """
     small_batches(docs.sparkSession)
     flag = "_has_letter_"
 
@@ -298,8 +367,8 @@ def keep_clear(docs: DataFrame, chain: Chain, least_score: float) -> DataFrame:
         seen = _Seen(chain)
         for batch in batches:
             letter = batch.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
-            best, share, _ = label(batch.column("text"), chain, seen)
-            kept = batch.filter(pa.array(letter & (best < len(chain.labels)) & (share >= least_score)))
+            best, _, _, sure, size = label(batch.column("text"), chain, seen)
+            kept = batch.filter(pa.array(letter & (best < len(chain.labels)) & ((sure >= least_sure) | (size < few_words))))
             yield kept.drop_columns([flag])
         give_back()
 

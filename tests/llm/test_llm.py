@@ -268,8 +268,10 @@ def test_language_id_edges_and_switches(spark, docs, texts):
     assert [got[i]["lang_pred"] for i in range(4)] == ["und"] * 4 and got[0]["score"] == 0.0
     assert got[4]["lang_pred"] == "en" and 0.4 < got[4]["score"] < 0.95 and got[4]["n_switches"] >= 1
     assert got[5]["lang_pred"] == "en"
-    clear = language_id.keep_clear(frame(spark, [None, "", "12", half]).withColumn("score", F.lit(1)), chain, 0.4)
-    assert [r["doc_id"] for r in clear.collect()] == [3] and clear.columns[-1] == "score"
+    mixed = " ".join(t[:300] for t in by_lang.values())  # as much of each of four languages
+    junk = " ".join(hashlib.md5(bytes([i])).hexdigest().translate({48: "q", 49: "x", 50: "z", 101: "k"}) for i in range(100))
+    clear = language_id.keep_clear(frame(spark, [None, "", "12", half, mixed, junk, "Odd"]).withColumn("score", F.lit(1)), chain, 0.75, 20)
+    assert [r["doc_id"] for r in clear.collect()] == [3, 4, 6] and clear.columns[-1] == "score"
     assert language_id.predict(frame(spark, ["a"]), language_id.train(docs.limit(0))).first()["lang_pred"] == "und"
 
 
@@ -279,7 +281,8 @@ def test_forward_backward_equals_enumeration():
     c = language_id.Chain(["a", "b"])
     c.move = np.array([[0.5, -0.2], [0.1, 0.3]])
     s = np.random.default_rng(1).normal(size=(7, 2))
-    p, _ = c.marginals(s, np.array([3, 0, 4]))
+    p, pair = c.expectations(s, np.array([3, 0, 4]))
+    assert np.isclose(pair.sum(), 5)
     at = 0
     for n in (3, 4):
         want = np.zeros((n, 2))
@@ -291,6 +294,29 @@ def test_forward_backward_equals_enumeration():
         at += n
 
 
+def test_stretches_equal_one_pass(monkeypatch):
+    rng = np.random.default_rng(0)
+    c = language_id.Chain(list("abcd"))
+    c.move = rng.normal(size=(4, 4))
+    counts = np.array([3, 0, 500, 1, 8, 9, 16, 17, 2000, 64])
+    s = 3 * rng.normal(size=(counts.sum(), 4))
+    by_stretch = c.marginals(s, counts)
+    monkeypatch.setattr(language_id, "MATRIX_LABELS", 1)
+    assert np.allclose(by_stretch, c.marginals(s, counts), atol=1e-12)
+
+
+def test_language_id_learns_every_label_and_the_whole_text(spark):
+    name = lambda i: "abcdefghijklmnopqrstuvwxyz"[i // 26] + "abcdefghijklmnopqrstuvwxyz"[i % 26]
+    rows = [(100 * i + j, " ".join(f"{name(i)}q{name(j)}{name(i)}" for _ in range(12)), name(i)) for i in range(70) for j in range(4)]
+    rows += [(7, "zzz zz zzzz", "zz")] * 3000 + [(8, "zzz zzzz z", "zz")]
+    rows += [(9000 + j, "the end " * 100 + f"yyv yv{j} " * 400, "yv") for j in range(4)]  # its own words come late
+    chain = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(chain.labels) == 72
+    ask = frame(spark, [r[1] for r in rows[:280:7]] + ["zzz zz", "yyv yv1 yyv"])
+    got = [r["lang_pred"] for r in language_id.predict(ask, chain).orderBy("doc_id").collect()]
+    assert np.mean([a == r[2] for a, r in zip(got, rows[:280:7])]) > 0.9 and got[-2:] == ["zz", "yv"]
+
+
 def brute_spans(text):
     out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]
