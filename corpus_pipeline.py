@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
-1. language ID drops texts without a letter and those whose words follow no language clearly;
+1. language ID drops texts without a letter and those of which the words follow no language surely;
 2. line dedup removes lines that many sites share, and documents of which nothing else is left;
 3. MinHash near-dedup keeps one document of each group, that of the smallest doc_id;
 4. decontamination drops documents that hold a benchmark item;
@@ -17,13 +17,13 @@ from claimlake.llm import decontaminate, language_id, line_dedup, near_dedup, pa
 from claimlake.llm.store import materialise, read_documents
 from claimlake.llm.tokens import default_tokenizer
 
-#: A text is rejected if its likeliest language has a smaller share of its words.
-LEAST_SCORE = 0.4
+#: A text of FEW_WORDS words or more is rejected if the labels of its words are less sure on average.
+LEAST_SURE, FEW_WORDS = 0.75, 20
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chain = language_id.train(docs.select("doc_id", "text", "lang"))
-    return language_id.keep_clear(docs, chain, LEAST_SCORE)
+    return language_id.keep_clear(docs, chain, LEAST_SURE, FEW_WORDS)
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
