@@ -1,9 +1,12 @@
 """MinHash fingerprints of texts, their likeness, and links between like texts by signature bands.
 
-A text is the set of its 5-word shingles; one of fewer than 30 words also has its 6-byte shingles, as
-its few words say too little. A fingerprint is 64 minima under universal hash functions, kept to 16
-bits each, in hexadecimal. The likeness of two fingerprints is the share of equal minima, which
-estimates the Jaccard similarity of the sets; two texts without a shingle are alike if they are equal.
+A text is the set of its 5-word shingles (with fewer words, of all its words as one). A fingerprint is 64
+minima under universal hash functions, kept to 16 bits each, in hexadecimal. The likeness of two
+fingerprints is the share of equal minima, which estimates the Jaccard similarity of the sets; two texts
+without a word are alike if they are equal.
+
+Texts that share a band of four minima are joined in Spark and verified on their full sets; links that
+hold make groups.
 
 Defined results: a null text counts as empty; equal doc_ids follow each other by text; a null doc_id
 comes last in descending order. The next document of the only one is itself. Further columns are
@@ -17,50 +20,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import near_dedup
 from . import shingles as S
-from .near_dedup import components
-from .store import discard, give_back, materialise, read_documents, small_batches
-from .token_files import id_ranges
+from .store import Run, give_back, read_documents, small_batches
+from .token_files import id_ranges, task_count
 
-SYMBOLS, FEW_WORDS, GRAM = 64, 30, 6
+SYMBOLS = 64
 #: Documents that go to one range of doc_ids; neighbours are found inside a range and its first follower.
 PER_RANGE = 64
+#: Ranges that a task has, about, once there are more than the session's shuffle partitions.
+RANGES_PER_TASK = 800
 #: Bands of four minima: at a Jaccard similarity of 0.75 a pair shares one of the 16 with a chance of 0.997.
 BAND = 4
-BROADCAST_ROWS = 1_000_000
-
-
-def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Ranges of texts with the distinct shingle hashes of each, one after another, and their counts."""
-    raw, at = S.text_bytes(texts)
-    for i, j in S.blocks(at):
-        part, cut = raw[at[i] : at[j]], at[i : j + 1] - at[i]
-        words, owner, _, _ = S.word_hashes(part, cut)
-        h, n = S.shingle_hashes(words, owner, j - i)
-        short = np.bincount(owner, minlength=j - i) < FEW_WORDS
-        if short.any():
-            lists = np.split(h, np.cumsum(n)[:-1])
-            for k in np.flatnonzero(short):
-                text = S._LOWER[part[cut[k] : cut[k + 1]]].astype(np.uint64)
-                if len(text) >= GRAM:
-                    gram = np.full(len(text) - GRAM + 1, GRAM, np.uint64)
-                    for g in range(GRAM):
-                        gram = gram * np.uint64(0x100000001B3) + text[g : g + len(gram)]
-                    lists[k] = np.concatenate([lists[k], S.mix(gram)])
-            h, n = np.concatenate(lists), np.array([len(x) for x in lists])
-        values, n = S.distinct_per_text(h, n)
-        yield i, j, values, n
+
+
+def _minima(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (S.mix(S.signatures(values, n, *S.permutations(SYMBOLS, seed=97))) >> np.uint64(48)).astype(np.uint16)
 
 
 def fingerprint_rows(texts: pa.Array) -> np.ndarray:
     """One row of 64 16-bit minima for each text."""
-    a, b = S.permutations(SYMBOLS, seed=97)
     out = np.zeros((len(texts), SYMBOLS), np.uint16)
-    for i, j, values, n in shingle_sets(texts):
-        out[i:j] = (S.mix(S.signatures(values, n, a, b)) >> np.uint64(48)).astype(np.uint16)
+    for i, j, values, n in near_dedup.text_sets(texts):
+        out[i:j] = _minima(values, n)
     return out
 
 
@@ -84,7 +69,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     document's successor comes right after it. Texts are shuffled once.
     """
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    at = slim.withColumn("part", -id_ranges(slim.select("doc_id"), PER_RANGE))
+    n = slim.count()
+    at = slim.withColumn("part", -id_ranges(slim.select("doc_id"), PER_RANGE, n))
     heads = at.groupBy("part").agg(F.max("doc_id").alias("doc_id"))  # a row a range
     order = Window.orderBy("part")
     last = F.max("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -95,7 +81,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         "doc_id",
         "text",
     ).select("to.part", "to.follower", "doc_id", "text")
-    tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = task_count(docs.sparkSession, -(-n // PER_RANGE), RANGES_PER_TASK)
     return rows.repartition(tasks, "part").sortWithinPartitions("part", "follower", F.desc("doc_id"), "text")
 
 
@@ -142,107 +128,32 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     return with_next(docs).mapInArrow(run, _EDITED)
 
 
-_PRINTS = "doc_id long, text_hash long, n long, set_hi long, set_lo long, fingerprint string"
+_PRINTS = "doc_id long, text_hash long, n_shingles long, set_hi long, set_lo long, fingerprint string"
 
 
 def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a, b = S.permutations(SYMBOLS, seed=97)
     for batch in batches:
-        for i, j, values, n in shingle_sets(batch.column("text")):
-            rows = (S.mix(S.signatures(values, n, a, b)) >> np.uint64(48)).astype(">u2")
-            begin = np.concatenate(([0], np.cumsum(n)))
-            sums = np.concatenate((np.zeros((1, 2), np.uint64), np.cumsum(np.stack([values, S.mix(values)], 1), axis=0, dtype=np.uint64)))
-            digests = (sums[begin[1:]] - sums[begin[:-1]]).view(np.int64)  # sums modulo 2**64: the same for the same set
+        for i, j, values, n in near_dedup.text_sets(batch.column("text")):
+            digests = near_dedup.set_digests(values, n)
+            rows = _minima(values, n).astype(">u2")
             ids = [batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash")]
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(n), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array([r.tobytes().hex() for r in rows])], ["doc_id", "text_hash", "n", "set_hi", "set_lo", "fingerprint"])
-    give_back()
-
-
-def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, j, values, n in shingle_sets(batch.column("text")):
-            ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))], ["class_id", "s"])
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(n), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array([r.tobytes().hex() for r in rows])], ["doc_id", "text_hash", "n_shingles", "set_hi", "set_lo", "fingerprint"])
     give_back()
 
 
-def _class_sets(slim: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Full shingle sets of the classes in ``wanted`` (class_id, distinct), from the text that represents each."""
-    names = materialise(classes.join(wanted, "class_id").select("class_id", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")), "wanted")
-    ids = F.broadcast(names) if names.count() <= BROADCAST_ROWS else names
-    texts = slim.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("class_id", "text")
-    return materialise(texts.mapInArrow(_set_batches, "class_id long, s array<long>").dropDuplicates(["class_id"]), "sets")
-
-
-def _verified(slim: DataFrame, classes: DataFrame, pairs: DataFrame, at_least: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets have at least that Jaccard similarity, with it."""
-    pairs = materialise(pairs, "pairs")
-    sets = _class_sets(slim, classes, pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
-    both = pairs.join(sets.select(F.col("class_id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("class_id").alias("b"), F.col("s").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    out = both.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard")).where(F.col("jaccard") >= at_least)
-    out = materialise(out, "links")
-    discard(sets)
-    discard(pairs)
-    return out
-
-
-def _across(sets: DataFrame, mixed: DataFrame, at_least: float) -> DataFrame:
-    """Pairs (a, b) of different components in ``mixed`` (class_id, root, n) that may be as similar.
-
-    With shingles in order of rarity, two such sets share one of the first n - ceil(at_least * n) + 1
-    of each, as they have at least at_least * n in common. A passage of many texts comes last there.
-    """
-    each = sets.select("class_id", F.explode("s").alias("shingle"))
-    often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = each.join(often, "shingle").groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("common"))
-    n = F.col("n")
-    prefix = n - F.ceil(n * at_least - 1e-6) + 1 - (n - F.size("common"))  # shingles that no other text has come first
-    heads = ranked.join(mixed, "class_id").withColumn("prefix", prefix.cast("int")).where("prefix > 0")
-    heads = materialise(heads.select("class_id", "root", "n", F.explode(F.slice("common", 1, F.col("prefix"))["shingle"]).alias("shingle")), "prefixes")
-    x = heads.select("shingle", F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = heads.select("shingle", F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = materialise(x.join(y, "shingle").where("a < b and ra <> rb").where(_like_size("na", "nb", at_least)).select("a", "b").distinct(), "across")
-    discard(heads)
-    return pairs
-
-
-def _like_size(a: str, b: str, at_least: float) -> Column:
-    """Sets whose sizes alone rule the similarity out need no look."""
-    return F.least(a, b) >= F.greatest(a, b) * at_least - 1e-6
-
-
-def _class_links(docs: DataFrame, at_least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _linked(run: Run, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(prints, classes, links): texts with a shingle, classes of equal sets, and links (a, b, jaccard) of class_ids."""
     small_batches(docs.sparkSession)
-    text = F.coalesce("text", F.lit(""))
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    prints = materialise(slim.mapInArrow(_print_batches, _PRINTS).where("n > 0"), "prints")
-    classes = prints.groupBy("set_hi", "set_lo", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("fingerprint").alias("fingerprint"))
-    classes = materialise(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
+    prints = run.table(near_dedup.slim_texts(docs).mapInArrow(_print_batches, _PRINTS).where("n_shingles > 0"), "prints")
+    classes = near_dedup.set_classes(run, prints, "fingerprint")
     width = 4 * BAND
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("fingerprint", k * width + 1, width)) for k in range(SYMBOLS // BAND)])
-    keyed = classes.select("class_id", "n", F.explode(bands).alias("band"))
-    first = keyed.groupBy("band").agg(F.min(F.struct("class_id", "n")).alias("first"), F.count("*").alias("k")).where("k > 1").select("band", "first")
-    shared = materialise(keyed.join(first, "band").select("band", "class_id", "n", F.col("first.class_id").alias("first_id"), F.col("first.n").alias("first_n")), "shared")
-    stars = shared.where("class_id <> first_id").where(_like_size("n", "first_n", at_least)).select(F.col("first_id").alias("a"), F.col("class_id").alias("b")).distinct()
-    found = _verified(slim, classes, stars, at_least)
-
-    root = components(found.select("a", "b"))
-    at = materialise(shared.select("band", "class_id", "n").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
-    several = at.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    mixed = materialise(at.join(several, "band", "left_semi").select("class_id", "root", "n").distinct(), "mixed")
-    for used in (shared, at):
-        discard(used)
-    sets = _class_sets(slim, classes, mixed.select("class_id"))
-    pairs = _across(sets, mixed, at_least)
-    discard(sets)
-    more = _verified(slim, classes, pairs, at_least)
-    return prints, classes, found.unionByName(more)
-
-
-def near_links(docs: DataFrame, at_least: float = 0.75) -> DataFrame:
-    """Links (a, b, jaccard) of texts that share a band of minima, verified on full shingle sets.
+    index = classes.select("class_id", "n_shingles", F.explode(bands).alias("key"))
+    return prints, classes, near_dedup.settle(run, docs, classes, index, lambda pairs: pairs)
+
+
+def near_links(docs: DataFrame) -> DataFrame:
+    """Links (a, b, jaccard) of texts that share a band of minima, verified on full shingle sets at 0.75 or more.
 
     Texts with equal sets are one class, whose members are linked with its smallest doc_id. Under each
     band the classes are held against the smallest one first, so a group of them makes as many rows as it
@@ -250,29 +161,29 @@ def near_links(docs: DataFrame, at_least: float = 0.75) -> DataFrame:
     prefixes. So the links connect what links of all pairs that share a band would; a link that would
     only close a circle inside a component need not be listed.
     """
-    prints, classes, links = _class_links(docs, at_least)
+    run = Run(docs.sparkSession, "near_links")
+    prints, classes, links = _linked(run, docs)
     name = classes.select("class_id", F.col("first.doc_id").alias("doc_id"))
     between = links.join(name.select(F.col("class_id").alias("a"), F.col("doc_id").alias("da")), "a").join(name.select(F.col("class_id").alias("b"), F.col("doc_id").alias("db")), "b")
-    inside = prints.join(classes.drop("fingerprint"), ["set_hi", "set_lo", "n"]).where(~(F.struct("doc_id", "text_hash").eqNullSafe(F.col("first"))))
-    return between.select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b"), "jaccard").unionByName(inside.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("jaccard")))
+    inside = prints.join(classes.drop("fingerprint"), ["set_hi", "set_lo", "n_shingles"]).where(~(F.struct("doc_id", "text_hash").eqNullSafe(F.col("first"))))
+    return run.result(between.select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b"), "jaccard").unionByName(inside.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("jaccard"))))
 
 
-def near_groups(docs: DataFrame, at_least: float = 0.75) -> DataFrame:
+def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, print_hash and near_group (smallest doc_id that links reach) of each text that has a shingle and is linked."""
-    prints, classes, links = _class_links(docs, at_least)
-    root = components(links.select("a", "b"))
+    run = Run(docs.sparkSession, "near_groups")
+    prints, classes, links = _linked(run, docs)
+    root = near_dedup.components(links.select("a", "b"), run)
     placed = classes.drop("first", "fingerprint").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
-    rows = materialise(prints.select("doc_id", "set_hi", "set_lo", "n", F.xxhash64("fingerprint").alias("print_hash")).join(placed, ["set_hi", "set_lo", "n"]).select("doc_id", "print_hash", "root"), "placed")
-    for used in (prints, classes):
-        discard(used)
+    rows = run.table(prints.select("doc_id", "set_hi", "set_lo", "n_shingles", F.xxhash64("fingerprint").alias("print_hash")).join(placed, ["set_hi", "set_lo", "n_shingles"]).select("doc_id", "print_hash", "root"), "placed")
     groups = rows.groupBy("root").agg(F.min("doc_id").alias("near_group"), F.count("*").alias("k")).where("k > 1").select("root", "near_group")
-    return materialise(rows.join(groups, "root").groupBy("doc_id", "print_hash").agg(F.min("near_group").alias("near_group")), "groups")
+    return run.result(rows.join(groups, "root").groupBy("doc_id", "print_hash").agg(F.min("near_group").alias("near_group")))
 
 
 def with_groups(docs: DataFrame) -> DataFrame:
     """:func:`edited_likeness` and near_group: the smallest doc_id that a chain of links reaches, else the own one."""
     groups = near_groups(docs).withColumnRenamed("doc_id", "_id")
-    few = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
+    few = F.broadcast(groups) if groups.count() <= near_dedup.BROADCAST_ROWS else groups
     rows = edited_likeness(docs)
     return rows.join(few, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("fingerprint") == F.col("print_hash")), "left").select(*rows.columns, F.coalesce("near_group", "doc_id").alias("near_group"))
 

@@ -16,14 +16,19 @@ Work that a large group of copies could blow up:
   linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
   similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
   smaller. Texts that merely share a passage, however many, have their own words there and make no pair.
+  Under a shingle, the largest component's classes only meet those of others, and a shingle of many
+  classes is dealt over several tasks.
 
 Defined results: null or empty texts, and texts without words, have n_shingles 0, are linked with
-nothing and stay. Repeated rows of a doc_id are one node, whose text is that of any of them. Columns beside the two needed are ignored.
+nothing and stay. Rows are nodes, whatever their doc_id: of two texts under one doc_id each has its own
+links, and repeated rows give equal rows. ``component_id`` is the smallest doc_id that is not null in
+the component, else null; ``kept`` is true for its rows, or, if it is null, for all of the component.
+:func:`deduplicate` keeps one row of each component even then. Columns beside the two needed pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .store import discard, give_back, materialise, small_batches
+from .store import Run, give_back, small_batches
 
 SYMBOLS, SYMBOL_BITS, PER_CHUNK = 64, 16, 4
 CHUNKS = SYMBOLS // PER_CHUNK
@@ -39,59 +44,74 @@ CHUNKS = SYMBOLS // PER_CHUNK
 MAX_DISTANCE = 2 * CHUNKS - 1
 #: Ids up to this many are broadcast (a few tens of MB); above, the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Classes under one shingle that one task holds against others.
+PER_PART = 4_000
 
-_SKETCH = "doc_id long, n_shingles long, set_hi long, set_lo long, chunks array<long>"
+
+def set_digests(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """128 bits of each set, as two longs: sums modulo 2**64, which are the same for the same set."""
+    begin = np.concatenate(([0], np.cumsum(n)))
+    sums = np.concatenate((np.zeros((1, 2), np.uint64), np.cumsum(np.stack([values, S.mix(values)], 1), axis=0, dtype=np.uint64)))
+    return (sums[begin[1:]] - sums[begin[:-1]]).view(np.int64)
+
+
+def text_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of texts with the distinct 5-word shingle hashes of each, one after another, and their counts."""
+    raw, at = S.text_bytes(texts)
+    for i, j in S.blocks(at):
+        h, owner, _, _ = S.word_hashes(raw[at[i] : at[j]], at[i : j + 1] - at[i])
+        values, n = S.distinct_per_text(*S.shingle_hashes(h, owner, j - i))
+        yield i, j, values, n
+
+
+_SKETCH = "doc_id long, text_hash long, n_shingles long, set_hi long, set_lo long, chunks array<long>"
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = S.permutations(SYMBOLS)
+    shift = np.arange(PER_CHUNK, dtype=np.uint64) * np.uint64(SYMBOL_BITS)
     for batch in batches:
-        raw, at = S.text_bytes(batch.column("text"))
-        sizes, sets, chunks = [], [], []
-        for i, j in S.blocks(at):
-            h, owner, _, _ = S.word_hashes(raw[at[i] : at[j]], at[i : j + 1] - at[i])
-            values, n = S.distinct_per_text(*S.shingle_hashes(h, owner, j - i))
+        for i, j, values, n in text_sets(batch.column("text")):
             low = S.mix(S.signatures(values, n, a, b)) >> np.uint64(64 - SYMBOL_BITS)
-            shift = np.arange(PER_CHUNK, dtype=np.uint64) * np.uint64(SYMBOL_BITS)
-            chunks.append(np.bitwise_or.reduce(low.reshape(len(n), CHUNKS, PER_CHUNK) << shift, axis=2))
-            begin = np.concatenate(([0], np.cumsum(n)))
-            sums = np.concatenate((np.zeros((1, 2), np.uint64), np.cumsum(np.stack([values, S.mix(values)], 1), axis=0, dtype=np.uint64)))
-            sets.append(sums[begin[1:]] - sums[begin[:-1]])  # sums modulo 2**64: the same for the same set
-            sizes.append(n)
-        size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        both = np.concatenate(sets).view(np.int64) if sets else np.zeros((0, 2), np.int64)
-        flat = np.concatenate(chunks).view(np.int64).ravel() if chunks else np.zeros(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * CHUNKS), pa.array(flat))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(both[:, 0]), pa.array(both[:, 1]), lists], ["doc_id", "n_shingles", "set_hi", "set_lo", "chunks"])
+            chunks = np.bitwise_or.reduce(low.reshape(len(n), CHUNKS, PER_CHUNK) << shift, axis=2).view(np.int64).ravel()
+            digests = set_digests(values, n)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * CHUNKS), pa.array(chunks))
+            ids = [batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash")]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(n), pa.array(digests[:, 0]), pa.array(digests[:, 1]), lists], ["doc_id", "text_hash", "n_shingles", "set_hi", "set_lo", "chunks"])
     give_back()
 
 
+def slim_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text (null: empty) and its hash."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """Set size, 128-bit digest of the set and signature of every text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch_batches, _SKETCH)
+    return slim_texts(docs).mapInArrow(_sketch_batches, _SKETCH)
 
 
-_SETS = "class_id long, shingles array<long>"
+def set_classes(run: Run, sketch: DataFrame, carry: str) -> DataFrame:
+    """One row for each distinct set: class_id, n_shingles, digest, its smallest (doc_id, text_hash), ``carry``."""
+    some = sketch.where("n_shingles > 0").groupBy("set_hi", "set_lo", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first(carry).alias(carry))
+    return run.table(some.withColumn("class_id", F.monotonically_increasing_id()), "classes")
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw, at = S.text_bytes(batch.column("text"))
-        ids = batch.column("class_id")
-        for i, j in S.blocks(at):
-            h, owner, _, _ = S.word_hashes(raw[at[i] : at[j]], at[i : j + 1] - at[i])
-            values, n = S.distinct_per_text(*S.shingle_hashes(h, owner, j - i))
+        for i, j, values, n in text_sets(batch.column("text")):
             ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))], ["class_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))], ["class_id", "shingles"])
     give_back()
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Full shingle sets of the documents whose id is in ``wanted`` (column class_id, distinct)."""
-    small = wanted.count() <= BROADCAST_ROWS
-    ids = F.broadcast(wanted) if small else wanted
-    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(ids, "class_id")
-    return texts.mapInArrow(_set_batches, _SETS)
+def class_sets(run: Run, docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Full shingle sets of the classes in ``wanted`` (class_id, distinct), from the text that represents each."""
+    names = run.table(classes.join(wanted, "class_id").select("class_id", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")), "wanted")
+    ids = F.broadcast(names) if names.count() <= BROADCAST_ROWS else names
+    texts = slim_texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("class_id", "text")
+    return run.table(texts.mapInArrow(_set_batches, "class_id long, shingles array<long>").dropDuplicates(["class_id"]), "sets")
 
 
 def _keys() -> Column:
@@ -118,46 +138,42 @@ def _distance(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda s, d: s + d)
 
 
+def _within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    sig = classes.select("class_id", "chunks")
+    both = pairs.join(sig.select(F.col("class_id").alias("a"), F.col("chunks").alias("ca")), "a").join(sig.select(F.col("class_id").alias("b"), F.col("chunks").alias("cb")), "b")
+    return both.where(_distance("ca", "cb") <= MAX_DISTANCE).select("a", "b")
+
+
 def _like_size(a: str, b: str) -> Column:
     """Sets whose sizes alone rule out 0.75 need no look."""
     return (F.col(a) * 4 >= F.col(b) * 3) & (F.col(b) * 4 >= F.col(a) * 3)
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are within the distance and have Jaccard similarity >= 0.75 on full sets."""
-    sig = classes.select("class_id", "chunks")
-    near = (
-        pairs.join(sig.select(F.col("class_id").alias("a"), F.col("chunks").alias("ca")), "a")
-        .join(sig.select(F.col("class_id").alias("b"), F.col("chunks").alias("cb")), "b")
-        .where(_distance("ca", "cb") <= MAX_DISTANCE)
-        .select("a", "b")
-    )
-    near = materialise(near, "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-    sets = shingle_sets(docs, materialise(wanted, "wanted")).dropDuplicates(["class_id"])
-    sets = materialise(sets, "sets")
-    both = near.join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    links = materialise(both.where(100 * common >= 75 * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "links")
-    discard(sets)
-    discard(near)
+def confirmed(run: Run, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) of class_ids with Jaccard similarity >= 0.75 on full sets, and that similarity."""
+    pairs = run.table(pairs, "pairs")
+    sets = class_sets(run, docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
+    both = pairs.join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("sb")), "b")
+    size = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("sizes"))
+    links = run.table(size.where("100 * common >= 75 * (sizes - common)").select("a", "b", (F.col("common") / (F.col("sizes") - F.col("common"))).alias("jaccard")), "links")
+    run.drop(sets, pairs)
     return links
 
 
-def _across(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+def _across(run: Run, docs: DataFrame, classes: DataFrame, mixed: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components in ``mixed`` (class_id, root) that may have similarity 0.75.
 
     None that has is missing: if |x| >= |y|, such sets share one of the |x| - ceil(3|x|/4) + 1 rarest
     shingles of x that is one of the |y| - ceil(6|y|/7) + 1 rarest of y; and from the first that they
     share on, either still has room for the 3/7 (|x| + |y|) that they must have in common.
     """
-    sets = materialise(shingle_sets(docs, mixed.select("class_id")).dropDuplicates(["class_id"]), "mixedsets")
+    sets = class_sets(run, docs, classes, mixed.select("class_id"))
     each = sets.select("class_id", F.explode("shingles").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     ranked = each.join(often, "shingle").groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("common"))
     n = F.col("n")
     own = n - F.size("common")  # shingles that no other text has come first
-    whole = (
+    heads = (
         ranked.join(sets.select("class_id", F.size("shingles").alias("n")), "class_id")
         .join(mixed, "class_id")
         .withColumn("probe", n - F.floor((3 * n + 3) / 4).cast("int") + 1 - own)
@@ -168,21 +184,30 @@ def _across(docs: DataFrame, mixed: DataFrame) -> DataFrame:
         .select("class_id", "root", "n", "entry", "own", F.posexplode("common").alias("i", "c"))
         .select("class_id", "root", "n", (F.col("i") < F.col("entry")).alias("enters"), (n - F.col("own") - F.col("i")).alias("rest"), F.col("c.shingle").alias("shingle"))
     )
-    whole = materialise(whole, "prefixes")
-    x = whole.select("shingle", F.col("class_id").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("rest").alias("tx"))
-    y = whole.where("enters").select("shingle", F.col("class_id").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("rest").alias("ty"))
-    pairs = x.join(y, "shingle").where("rx <> ry and nx >= ny and 4 * ny >= 3 * nx and 7 * least(tx, ty) >= 3 * (nx + ny)")
+    heads = run.table(heads, "prefixes")
+    run.drop(sets)
+    # Only shingles of several components matter. The largest component under a shingle needn't meet itself, so
+    # no more pairs are looked at than twice those of different components.
+    by_root = heads.groupBy("shingle", "root").agg(F.count("*").alias("k"))
+    at = by_root.groupBy("shingle").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.sum("k").alias("k"), F.count("*").alias("roots")).where("roots > 1").select("shingle", "main", "k")
+    marked = run.table(heads.join(at, "shingle").withColumn("is_main", F.col("root") == F.col("main")).withColumn("parts", F.ceil(F.col("k") / PER_PART).cast("int")).drop("main", "k"), "marked")
+    run.drop(heads)
+    to = F.explode(F.when(F.col("is_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
+    x = marked.select("shingle", to.alias("side"), F.pmod(F.xxhash64("class_id"), "parts").alias("part"), F.col("class_id").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("rest").alias("tx"))
+    y = marked.where("enters").select("shingle", F.col("is_main").alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), F.col("class_id").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("rest").alias("ty"))
+    pairs = x.join(y, ["shingle", "side", "part"]).where("rx <> ry and nx >= ny and 4 * ny >= 3 * nx and 7 * least(tx, ty) >= 3 * (nx + ny)")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
     """Smallest node that each node of ``edges`` (a, b) reaches, by alternating large-star and small-star.
 
     Columns node, root. Each round is two joins on sums of what a task has, so a hub needs no list of its
     neighbours; the number of rounds grows with the logarithm of a component's size.
     """
+    run = run or Run(edges.sparkSession, "components")
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = materialise(now, "edges")
+    now = run.table(now, "edges")
     before = None
     while True:
         sides = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -190,60 +215,76 @@ def components(edges: DataFrame) -> DataFrame:
         large = sides.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        step = materialise(small, "edges")
+        step = run.table(small, "edges")
         state = step.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        discard(now)
+        run.drop(now)
         now = step
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, links): class_id of every document, and confirmed links between classes.
+def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b, jaccard) that connect all classes of similarity 0.75 that meet under a key of ``index``.
 
-    The links connect two classes exactly if a chain of similarities >= 0.75 does; a link that would
-    only close a circle inside a component need not be listed.
+    ``index`` has key, class_id and n_shingles; ``near`` thins out pairs (a, b) before their sets are read.
+    A link that would only close a circle inside a component need not be listed.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    sketch = materialise(sketches(docs), "sketches")
-    some = sketch.where("n_shingles > 0")
-    classes = materialise(some.groupBy("set_hi", "set_lo", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.first("chunks").alias("chunks")), "classes")
-    index = classes.select("class_id", "n_shingles", _keys().alias("key"))
     first = index.groupBy("key").agg(F.min(F.struct("class_id", "n_shingles")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    shared = materialise(index.join(first, "key").select("key", "class_id", "n_shingles", F.col("first.class_id").alias("first_id"), F.col("first.n_shingles").alias("first_n")), "shared")
-
+    shared = run.table(index.join(first, "key").select("key", "class_id", "n_shingles", F.col("first.class_id").alias("first_id"), F.col("first.n_shingles").alias("first_n")), "shared")
     stars = shared.where((F.col("class_id") != F.col("first_id")) & _like_size("n_shingles", "first_n")).select(F.col("first_id").alias("a"), F.col("class_id").alias("b")).distinct()
-    found = confirmed(docs, stars, classes)
-    root = components(found)
-
-    at = materialise(shared.select("key", "class_id", "n_shingles").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
-    counts = at.select("key", "root").distinct()
-    mixed = counts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-    across = _across(docs, materialise(at.join(mixed.select("key"), "key", "left_semi").select("class_id", "root").distinct(), "mixed")).join(stars, ["a", "b"], "left_anti")
-    more = confirmed(docs, across, classes)
-    for used in (shared, at):
-        discard(used)
-    members = sketch.join(
-        classes.select("set_hi", "set_lo", F.col("n_shingles").alias("n"), "class_id"), (sketch.set_hi == classes.set_hi) & (sketch.set_lo == classes.set_lo) & (sketch.n_shingles == F.col("n")), "left"
-    ).select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
-    return members, found.unionByName(more)
+    found = confirmed(run, docs, classes, near(stars))
+    root = components(found.select("a", "b"), run)
+    at = run.table(shared.select("key", "class_id").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
+    run.drop(shared)
+    several = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    mixed = run.table(at.join(several, "key", "left_semi").select("class_id", "root").distinct(), "mixed")
+    run.drop(at)
+    return found.unionByName(confirmed(run, docs, classes, near(_across(run, docs, classes, mixed))))
+
+
+def placed(run: Run, docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles and root (a class_id; null without shingles) of every row."""
+    small_batches(docs.sparkSession)
+    sketch = run.table(sketches(docs), "sketches")
+    classes = set_classes(run, sketch, "chunks")
+    index = classes.select("class_id", "n_shingles", _keys().alias("key"))
+    links = settle(run, docs, classes, index, lambda pairs: _within_distance(pairs, classes))
+    root = components(links.select("a", "b"), run)
+    names = classes.select("set_hi", "set_lo", F.col("n_shingles").alias("n"), "class_id").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").select("set_hi", "set_lo", "n", F.coalesce("root", "class_id").alias("root"))
+    names = names.withColumnsRenamed({"set_hi": "_hi", "set_lo": "_lo"})
+    on = (F.col("set_hi") == F.col("_hi")) & (F.col("set_lo") == F.col("_lo")) & (F.col("n_shingles") == F.col("n"))
+    return run.table(sketch.drop("chunks").join(names, on, "left").select("doc_id", "text_hash", "n_shingles", "root"), "placed")
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept (doc_id is that one)."""
-    members, found = links(docs)
-    root = components(found)
-    return members.join(root, members.class_id == root.node, "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "class_id").alias("component_id"), (F.col("doc_id") == F.coalesce("root", "class_id")).alias("kept")
-    )
+    run = Run(docs.sparkSession, "near_dedup")
+    rows = placed(run, docs)
+    names = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(names, "root", "left").select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return run.result(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest doc_id."""
-    kept = groups(docs).where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+    """``docs`` with one row of each component: that of the smallest doc_id (null last), then text hash.
+
+    Repeated rows of it are one. Rows without shingles all stay.
+    """
+    run = Run(docs.sparkSession, "near_dedup")
+    rows = placed(run, docs)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    best = rows.where("root is not null").groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("best"))
+    copies = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("k"))
+    bare = rows.where("root is null").select("doc_id", "text_hash").distinct().select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"), F.lit(1).cast("long").alias("_copies"))
+    same = F.col("b.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("b.text_hash") == F.col("c.text_hash"))
+    kept = best.select("best.*").alias("b").join(copies.alias("c"), same).select(F.col("b.doc_id").alias("_kept_id"), F.col("b.text_hash").alias("_kept_hash"), F.col("k").alias("_copies"))
+    kept = run.result(kept.unionByName(bare))
+    held = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_kept_hash")))
+    once = held.where("_copies = 1").select([docs[c] for c in docs.columns])
+    if kept.where("_copies > 1").isEmpty():
+        return once
+    return once.unionByName(held.where("_copies > 1").dropDuplicates(["_kept_id", "_kept_hash"]).select([docs[c] for c in docs.columns]))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

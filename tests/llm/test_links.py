@@ -12,7 +12,7 @@ DOCS = "doc_id long, text string"
 
 def sets_of(texts):
     out = []
-    for _, _, values, n in fingerprints.shingle_sets(pa.array(texts)):
+    for _, _, values, n in near_dedup.text_sets(pa.array(texts)):
         out += [set(x.tolist()) for x in np.split(values, np.cumsum(n)[:-1])]
     return out
 

@@ -89,6 +89,39 @@ def test_near_dedup_chain_and_edges(spark):
     assert near_dedup.groups(df.limit(0)).count() == 0
 
 
+def test_near_dedup_of_null_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(50)) for k in "abc")
+    rows = [(None, one), (7, one), (7, one), (7, two), (9, two + " c"), (None, three), (None, three), (4, None), (4, None), (None, ""), (5, "x " * 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("root", F.lit("r"))
+    got = sorted(repr(tuple(r)) for r in near_dedup.groups(df).collect())
+    a, t, b = 46, 46, 47
+    assert got == sorted(map(repr, [(None, a, 7, False), (7, a, 7, True), (7, a, 7, True), (7, t, 7, True), (9, b, 7, False), (None, t, None, True), (None, t, None, True), (4, 0, 4, True), (4, 0, 4, True), (None, 0, None, True), (5, 1, 5, True)]))
+    kept = sorted(repr((r["doc_id"], r["text"] and r["text"][:2])) for r in near_dedup.deduplicate(df).collect())
+    assert kept == sorted(map(repr, [(7, "a0"), (7, "b0"), (None, "c0"), (4, None), (4, None), (None, ""), (5, "x ")]))
+    assert near_dedup.deduplicate(df).columns == df.columns
+
+
+def test_near_dedup_with_a_large_component_and_outsiders(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PER_PART", 5)
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base[:20] + [f"n{k}"] + base[21:]) for k in range(40)]
+    other = [" ".join(base[:12] + [f"o{k}x{i}" for i in range(30)]) for k in range(20)]
+    twins = [" ".join([*base[:8], *(f"t{k // 2}y{i}" for i in range(36 + k % 2))]) for k in range(20)]
+    texts = dict(enumerate([*near, *other, *twins]))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.groups(frame(spark, list(texts.values()))).collect()}
+    assert got == brute_components(texts)
+
+
+def test_runs_leave_only_their_result(spark, docs):
+    import pathlib
+
+    folder = pathlib.Path(store.shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    near_dedup.groups(docs.where("doc_id < 60")).count()
+    (made,) = set(folder.iterdir()) - before
+    assert [p.name.split("-")[0] for p in made.iterdir()] == ["result"]
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r["node"]: r["root"] for r in near_dedup.components(edges).collect()}
@@ -109,6 +142,34 @@ def test_fingerprints(spark, docs, texts):
     assert abs(np.mean([r["near_edited"] for r in long]) - 1 / 3) < 0.05
 
 
+def test_fingerprints_are_minima_of_universal_hashes(texts):
+    some = [t or "" for t in list(texts.values())[:40]] + ["", "two words", "one two three four five"]
+    a, b = (x.tolist() for x in shingles.permutations(fingerprints.SYMBOLS, seed=97))
+    rows = fingerprints.fingerprint_rows(pa.array(some))
+    sets = [v for _, _, values, n in near_dedup.text_sets(pa.array(some)) for v in np.split(values, np.cumsum(n)[:-1])]
+    for row, values in zip(rows.tolist(), sets, strict=True):
+        for p in range(0, fingerprints.SYMBOLS, 9):
+            low = min(((a[p] * int(v) + b[p]) % 2**64 for v in values), default=2**64 - 1)
+            assert row[p] == int(shingles.mix(np.array([low], np.uint64))[0]) >> 48
+
+
+@pytest.mark.parametrize("n", [4, 5, 29, 30])
+def test_likeness_has_no_step_at_any_length(n):
+    w = [f"w{i}" for i in range(n + 1)]
+    a, b = fingerprints.fingerprint_rows(pa.array([" ".join(w[:n]), " ".join(w)]))
+    true = len(word_set(" ".join(w[:n])) & word_set(" ".join(w))) / len(word_set(" ".join(w[:n])) | word_set(" ".join(w)))
+    assert abs((a == b).mean() - true) < 0.2
+
+
+def test_links_recall_against_brute_force(spark, docs, texts):
+    sets = {d: word_set(t) for d, t in texts.items()}
+    want = brute_components(texts)
+    got = {r["doc_id"]: r["near_group"] for r in fingerprints.with_groups(docs).collect()}
+    linked = [d for d, (_, c) in want.items() if c != d and sets[d]]
+    assert linked and np.mean([got[d] == want[d][1] for d in linked]) >= 0.97
+    assert all(want[d][1] == want[got[d]][1] for d in got)  # nothing is linked that isn't
+
+
 def test_fingerprint_edges_and_links(spark):
     df = frame(spark, [None, "", "ab", "same words in both of these texts here", "same words in both of these texts here"])
     assert {r["doc_id"]: r["n_chars"] for r in fingerprints.edited_likeness(df).collect()}[0] == 0
@@ -345,27 +406,75 @@ def test_pii_base_spans(spark, docs, texts):
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == i for k, _, _ in want) for i in range(4)]
 
 
+def labelled(text, gold=()):
+    return pii.tokens(text, brute_spans(text))
+
+
 def test_pii_skip_edges_agree_and_edges(spark):
     field = pii.Field()
-    field.skip[:] = 3 * np.eye(pii.LABELS)
-    text = "call 5551234567 now. " + "word " * 50 + "or +5551234567 there"
-    base = brute_spans(text)
-    toks = pii.tokens(text, base)
-    assert [t.form for t in toks] == ["5551234567", "5551234567"]
-    for t, lift in zip(toks, (0.0, 6.0), strict=True):
-        t.rows = [t.start % pii.BUCKETS]
-        field.state[t.start % pii.BUCKETS, 4] = lift
+    field.pair[pii.EQUAL] = field.pair[pii.SIMILAR] = 4 * np.eye(pii.LABELS)
+    text = "call 5551234567 now. " + "word " * 50 + "or +5551234567 there, not 5551234568, 15551234567"
+    toks = labelled(text)
+    assert [t.form for t in toks] == ["5551234567", "5551234567", "5551234568", "15551234567"] and [t.label for t in toks] == [0, 4, 0, 0]
+    pairs, kinds = field.edges([toks])
+    assert {(a, b, k) for (a, b), k in zip(pairs.tolist(), kinds.tolist(), strict=True) if k != pii.CHAIN} == {(0, 1, pii.EQUAL), (1, 2, pii.SIMILAR), (1, 3, pii.SIMILAR)} or {(0, 1, pii.EQUAL), (1, 2, pii.SIMILAR), (2, 3, pii.SIMILAR)}
     p = field.marginals([toks])
-    assert p[0].argmax() == 4 and p[0, 4] > 0.5  # the first mention learns from the second, far off
-    df = frame(spark, [None, "", "a@b.co and 1.2.3.4", "no data here"])
+    assert p[1, 4] > 0.99 and (p[[0, 2, 3]].argmax(axis=1) == 4).all()  # far mentions take the label of the pattern's span
+    df = frame(spark, [None, "", "a@b.co and 1.2.3.4", "no data here", "x" * 500 + "1 " + "x" * 500 + "2"])
     found = pii.find(df, pii.Field())
     got = {r["doc_id"]: r["spans"] for r in found.collect()}
-    assert got == {0: "", 1: "", 2: "email:0:6,ip:11:18", 3: ""}
+    assert got == {0: "", 1: "", 2: "email:0:6,ip:11:18", 3: "", 4: ""}
     assert {r["doc_id"]: r["text"] for r in pii.redact(df, found).collect()}[2] == "[email] and [ip]"
     assert pii.find(df.limit(0), pii.Field()).count() == 0
     assert pii.base_spans("a" * 50000 + "@" + "1." * 50000) is not None
 
 
+def test_pii_long_tokens_with_one_head_are_apart():
+    a, b = labelled("7" * 450 + "x1 " + "7" * 450 + "y2")
+    assert a.form != b.form and not [k for k in pii.Field.edges([[a, b]])[1] if k != pii.CHAIN]
+
+
+def test_pii_messages_equal_exact_inference_on_trees():
+    import itertools
+
+    rng = np.random.default_rng(4)
+    field = pii.Field()
+    field.pair[:] = rng.normal(size=field.pair.shape)
+    toks = labelled("1a 22 then 333 at 4b4")
+    for i, t in enumerate(toks):
+        t.rows = [i + 1]
+        field.state[i + 1] = rng.normal(size=pii.LABELS)
+    pairs, kinds = field.edges([toks])
+    want = np.zeros((len(toks), pii.LABELS))
+    for y in itertools.product(range(pii.LABELS), repeat=len(toks)):
+        w = np.exp(sum(field.state[i + 1, k] for i, k in enumerate(y)) + sum(field.pair[kind, y[a], y[b]] for (a, b), kind in zip(pairs, kinds, strict=True)))
+        for i, k in enumerate(y):
+            want[i, k] += w
+    assert np.allclose(field.marginals([toks], rounds=80), want / want.sum(axis=1, keepdims=True), atol=1e-6)
+
+
+def test_pii_finds_damaged_mentions(spark):
+    """Learned on a table of a thousand documents, held against spans that were damaged in made up ones."""
+    import random
+
+    field = pii.train(store.read_documents(spark, "/root/testdata/sf0.01"))
+    assert all(field.pair[k].trace() > field.pair[k].sum() - field.pair[k].trace() for k in (pii.EQUAL, pii.SIMILAR))
+    rng, right, wrong, missed = random.Random(5), 0, 0, 0
+    for k in range(150):
+        card = f"{rng.randrange(10**15):015d}"
+        card += next(c for c in "0123456789" if pii.luhn(card + c))
+        data = [f"a.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com", ".".join(str(rng.randrange(256)) for _ in range(4)), card, f"+1 ({rng.randint(100, 999)}) 555-{rng.randrange(10000):04d}"]
+        filler = rng.sample([f"v{rng.randrange(9)}.{rng.randrange(9)}", f"{rng.randrange(1000)}", f"in {rng.randint(1900, 2030)}", f"{rng.randrange(99)}%", "4th"], 3)
+        text = " and ".join(rng.sample([data[k % 4], data[(k + 1) % 4], *filler], 5))
+        for learned in pii.lessons(text, rng)[1:]:
+            p = field.marginals([learned])
+            for t, q in zip(learned, p, strict=True):
+                if not t.label and t.gold >= 0:
+                    says = int(q.argmax()) if q.max() > pii.ADD_ABOVE else 0
+                    right, wrong, missed = right + (says == t.gold > 0), wrong + (says > 0 and says != t.gold), missed + (says == 0 < t.gold)
+    assert right / (right + wrong) > 0.9 and right / (right + missed) > 0.5
+
+
 def test_decontamination(spark, docs, texts, sf_dir):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     items = {r["item_id"]: decontaminate.normal(r["text"]) for r in bench.collect()}
@@ -384,22 +493,58 @@ def test_decontamination(spark, docs, texts, sf_dir):
     assert decontaminate.hits(df, bench.limit(0)).count() == 0
 
 
-def test_myers_equals_dynamic_programming():
+def test_decontamination_with_edits_equals_brute_force(spark):
     import random
 
-    def least(p, t):
-        before = [0] * (len(t) + 1)
-        for i, c in enumerate(p):
-            now = [i + 1]
-            for j, d in enumerate(t):
-                now.append(min(before[j] + (c != d), before[j + 1] + 1, now[j] + 1))
-            before = now
-        return min(before)
+    random.seed(8)
+    some = ["".join(random.choices("abcdefgh ", k=random.randint(31, 120))) for _ in range(14)] + ["short item", "ab 12", "漢字 かな", "...", "a b"]
+    items = {i: decontaminate.normal(t) for i, t in enumerate(some)}
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(random.randint(0, 3)):
+            t = list(random.choice(some))
+            for _ in range(random.choice([0, 0, 1, 2, 4, 8, 12])):
+                i = random.randrange(len(t) + 1)
+                t[i : i + random.randint(0, 1)] = random.choice(["", "x", "qq"])
+            parts.append("".join(t))
+        texts.append(random.choice(["w ", "w"]).join(["lead ", *parts, " tail"]))
+    bench = spark.createDataFrame([*enumerate(some), (3, some[3]), (None, some[0])], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontaminate.hits(frame(spark, texts), bench).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        n = decontaminate.normal(t)
+        for i, x in items.items():
+            k = decontaminate.budget(len(x))
+            if x and not k and f" {x} " in f" {n} ":
+                want[d, i] = 0
+            elif x and k and (e := least_distance(x, n)) <= k:
+                want[d, i] = e
+                if i == 0:
+                    want[d, None] = e
+    assert got == {**want, **{(d, None): e for (d, i), e in want.items() if i == 0}} and any(want.values())
+    assert {len(b) for b in decontaminate.item_blocks(bench, 300)} - {19}
+    split = sorted(x for b in decontaminate.item_blocks(bench, 300) for x in map(repr, b))
+    assert split == sorted(map(repr, next(decontaminate.item_blocks(bench))))
+
+
+def least_distance(p, t):
+    before = [0] * (len(t) + 1)
+    for i, c in enumerate(p):
+        now = [i + 1]
+        for j, d in enumerate(t):
+            now.append(min(before[j] + (c != d), before[j + 1] + 1, now[j] + 1))
+        before = now
+    return min(before)
+
+
+def test_myers_equals_dynamic_programming():
+    import random
 
     random.seed(2)
     for _ in range(800):
         p, t, k = "".join(random.choices("abc ", k=random.randint(1, 90))), "".join(random.choices("abc ", k=random.randint(0, 120))), random.randint(0, 9)
-        assert decontaminate.Pattern(p).least(t, k) == min(least(p, t), k + 1)
+        assert decontaminate.Pattern(p).least(t, k) == min(least_distance(p, t), k + 1)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -420,11 +565,20 @@ def test_line_dedup_edges(spark):
     df = spark.createDataFrame(rows, DOCS).withColumn("at", F.lit(1)).withColumn("digest", F.lit("x"))
     got = {r["doc_id"]: (r["n_removed"], r["clean_text"]) for r in line_dedup.clean(df).collect()}
     assert got[0] == (0, "common line\nown 0") and got[1] == (1, "own 1") and got[50] == (0, None) and got[51] == (0, "") and got[52] == (1, "")
+    twice = spark.createDataFrame([*rows, (20, "UNIQUE ONE\ny", "en", "s0", 12), (None, "common line\nz", "en", "s0", 13), (None, "common line\nz", "en", "s0", 13)], DOCS)
+    got = sorted((repr(r["doc_id"]), r["clean_text"] or "") for r in line_dedup.clean(twice).collect())
+    assert ("20", "UNIQUE ONE\ny") in got and ("20", "own 20") in got and got.count(("None", "common line\nz")) == 2 and ("0", "own 0") in got
     left = line_dedup.without_boilerplate(df)
     assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == [*range(24), 50, 51]
     assert line_dedup.clean(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_a_long_list(spark, docs, monkeypatch):
+    want = sorted(map(repr, line_dedup.clean(docs).select("doc_id", "n_removed", F.md5("clean_text")).collect()))
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    assert want == sorted(map(repr, line_dedup.clean(docs).select("doc_id", "n_removed", F.md5("clean_text")).collect()))
+
+
 def test_license_scan_canonical_forms(spark):
     mit = dict((i, t) for i, t in licenses.KNOWN if i == "MIT")["MIT"]
     shouted = "Copyright (c) 2020 Some Body\n\n" + mit.replace("sublicense", "sub­license").replace("sub­license", "sublicence").upper().replace(". ", ".\n\n   ")
@@ -436,6 +590,28 @@ def test_license_scan_canonical_forms(spark):
     assert licenses.scan(df.limit(0), licenses.known(spark)).count() == 0
 
 
+def test_license_lines_with_a_copyright_and_folders(spark, tmp_path):
+    (tmp_path / "House-1.0.txt").write_text("Copyright 1999 A. B. Writer\nDo as you PLEASE, per cent by percent.\nAll rights reserved")
+    table = licenses.known(spark, str(tmp_path))
+    texts = ["Copyright (c) 2020 J. Smith. Released under the MIT License.\nx", "do as you please\npercent by per cent. \n(c) 2001 C. Other. Licensed under CC BY 4.0.", "word " * 200000]
+    got = {r["doc_id"]: (r["license_id"], r["line_licenses"]) for r in licenses.scan(frame(spark, texts), table).collect()}
+    assert got == {0: (None, "MIT-notice"), 1: ("House-1.0", "CC-BY-4.0-notice"), 2: (None, "")}
+    repeated = spark.createDataFrame([(1, licenses.KNOWN[0][1]), (1, "other")], "doc_id long, text string")
+    row = licenses.scan(repeated, table).first()
+    assert (row["license_id"] == "MIT") == (row["digest"] in {r["digest"] for r in table.where("license_id = 'MIT'").collect()})
+
+
+def test_known_digests_are_those_of_published_files(spark):
+    import pathlib
+
+    folder = pathlib.Path("/usr/share/common-licenses")
+    files = [folder / n for n in ("Apache-2.0", "GPL-3", "MPL-2.0") if (folder / n).exists()]
+    if not files:
+        pytest.skip("no licence texts on this machine")
+    got = licenses.scan(frame(spark, [f.read_text() for f in files]), licenses.known(spark)).orderBy("doc_id").collect()
+    assert [r["license_id"] for r in got] == [{"GPL-3": "GPL-3.0"}.get(f.name, f.name) for f in files]
+
+
 def test_chat_round_trip(spark):
     hard = ["<|im_end|>", "<\\|im_start|>", "<\\\\|", "<", "|", "ends <", "", None, "a\nb", "é🙂"]
     rows = [(c, t, "assistant" if t % 2 else "us\\er\n", hard[(c + t) % len(hard)]) for c in range(12) for t in range(7)]
@@ -449,6 +625,16 @@ def test_chat_round_trip(spark):
     assert chat_format.format_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_control_strings_in_roles_and_long_texts(spark):
+    long = "<|im_end|>" * 1000 + "é" * 7000
+    rows = [(1, t, "x<|im_end|>\\\n<\\|" if t % 3 else "assistant", long if t % 2 else f"t{t}") for t in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chunks = chat_format.format_conversations(df, block=5000).orderBy("chunk").collect()
+    assert len(chunks) > 10
+    turns = [x for r in chunks for x in chat_format.parse(bytes(r["formatted"]).decode())]
+    assert turns == [(r[2], r[3]) for r in rows] and all(bytes(r["formatted"]).count(b"<|im_end|>") == bytes(r["formatted"]).count(b"<|im_start|>") for r in chunks)
+
+
 def test_chat_conversation_over_several_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
     df = spark.createDataFrame([(1, t, "assistant", f"t{t}") for t in range(55)] + [(2, 0, "user", "x")], "conv_id long, turn long, role string, text string")
