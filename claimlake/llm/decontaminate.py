@@ -8,14 +8,16 @@ window in which Myers' bit-parallel algorithm, one machine word operation a char
 item's length, finds the least edit distance of the item to any stretch. Within the budget, the text
 is contaminated by the item. Hits that give the same window for an item are verified once.
 
-The items are the query set: they are held in blocks of at most BLOCK_ITEMS, each block of bounded size,
-against all texts; no text is shuffled, and the number of blocks, not a broadcast, grows with a larger
-benchmark. Pieces that are shorter than MIN_PIECE normalised characters would hit everywhere; items that
-short (under MIN_ITEM characters) are left out by definition.
-
-Defined results: null or empty texts and items match nothing. Items with equal normalised text count
-apart. Repeated documents give equal rows. Further columns are ignored. An empty benchmark leaves
-every text clean.
+An item under SHORT normalised characters, of which an edit would make another word, must stand in the
+text as it is, as whole words: its budget is 0 and it is one piece of the same automaton.
+
+The items are the query set: they are held in blocks of about BLOCK_CHARS characters, each block against
+all texts; no text is shuffled, and the number of blocks, not a broadcast, grows with a larger benchmark.
+All texts of one item_id are in one block, each distinct one once.
+
+Defined results: null or empty texts and items (also those without a letter or digit) match nothing. Of
+several texts of an item_id the nearest counts; a null item_id is an item like others. Repeated documents
+give equal rows. Further columns are ignored. An empty benchmark leaves every text clean.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from .store import give_back, read_documents, small_batches
 
 ERROR_RATE = 0.08
-MIN_ITEM = 30
-BLOCK_ITEMS = 5_000
+SHORT = 30
+BLOCK_CHARS = 4_000_000
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -41,7 +43,7 @@ def normal(text: str | None) -> str:
 
 
 def budget(n: int, rate: float = ERROR_RATE) -> int:
-    return max(1, int(n * rate))
+    return max(1, int(n * rate)) if n >= SHORT else 0
 
 
 def cut(item: str, k: int) -> list[tuple[int, str]]:
@@ -95,7 +97,7 @@ class Pattern:
 class Matcher:
     """All items of a block, ready to run over texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], rate: float) -> None:
         import ahocorasick
 
         self.items = [(i, t, budget(len(t), rate)) for i, t in items]
@@ -109,8 +111,10 @@ class Matcher:
         self.automaton.make_automaton()
         self.patterns: dict[int, Pattern] = {}
 
-    def matches(self, text: str) -> list[tuple[int, int]]:
+    def matches(self, text: str) -> list[tuple[int | None, int]]:
         """(item_id, distance) of each item in the normalised text, within its budget."""
+        if not self.items:
+            return []
         tried: set[tuple[int, int]] = set()
         found: dict[int, int] = {}
         for end, (size, places) in self.automaton.iter(text):
@@ -118,6 +122,10 @@ class Matcher:
                 if found.get(number) == 0:
                     continue
                 _, t, k = self.items[number]
+                if not k:  # whole words only
+                    if (end + 1 == len(text) or text[end + 1] == " ") and (end + 1 == size or text[end - size] == " "):
+                        found[number] = 0
+                    continue
                 q = (end + 1 - size - at) // (k + 1)  # the item would start there, were there no edits
                 if (number, q) in tried:
                     continue
@@ -126,39 +134,40 @@ class Matcher:
                 d = pattern.least(text[max(0, q * (k + 1) - k) : (q + 1) * (k + 1) + len(t) + k], k)
                 if d <= k:
                     found[number] = min(d, found.get(number, d))
-        return [(self.items[number][0], d) for number, d in sorted(found.items())]
+        best: dict[int | None, int] = {}
+        for number, d in sorted(found.items()):
+            item_id = self.items[number][0]
+            best[item_id] = min(d, best.get(item_id, d))
+        return list(best.items())
 
 
 _HITS = "doc_id long, item_id long, distance long"
 
 
-def item_blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size, in order of item_id."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    last = None
-    while True:
-        part = (rows if last is None else rows.where(F.col("item_id") > last)).orderBy("item_id", "text").limit(size).collect()
-        if not part:
-            return
-        last = part[-1]["item_id"]
-        more = rows.where(F.col("item_id") == last).collect() if len(part) == size else []  # an id at the edge, whole
-        part = [r for r in part if r["item_id"] != last] + more if more else part
-        block = [(r["item_id"], t) for r in part if len(t := normal(r["text"])) >= MIN_ITEM]
-        if block:
-            yield block
+def item_blocks(benchmark: DataFrame, size: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
+    """The normalised items in blocks of about ``size`` characters, dealt by the hash of item_id."""
+    rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    n = -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // size)
+    for k in range(n):
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+        items = {(r["item_id"], t) for r in part.distinct().toLocalIterator() if (t := normal(r["text"]))}
+        if items:
+            yield sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """One row for each document and item that it holds: doc_id, item_id and the least edit distance."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for block in item_blocks(benchmark):
+        shared = spark.sparkContext.broadcast(block)  # about BLOCK_CHARS characters
 
-        def run(batches: Iterator[pa.RecordBatch], block: list[tuple[int, str]] = block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, rate)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, rate)
             for batch in batches:
-                rows: list[tuple[int, int, int]] = []
+                rows: list[tuple[int | None, int | None, int]] = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     if text:
                         rows += [(doc_id, i, d) for i, d in matcher.matches(normal(text))]
@@ -166,17 +175,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> Dat
 
         part = slim.mapInArrow(run, _HITS)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], _HITS)
+    return out if out is not None else spark.createDataFrame([], _HITS)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """``docs`` without those that hold an item; rows are dropped where they are read, block by block of items."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     out = docs
     for block in item_blocks(benchmark):
+        shared = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], block: list[tuple[int, str]] = block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, rate)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, rate)
             for batch in batches:
                 yield batch.filter(pa.array([not (text and matcher.matches(normal(text))) for text in batch.column("text").to_pylist()], pa.bool_()))
             give_back()
