@@ -7,54 +7,71 @@ under it are not; those within BAND of it are counted exactly, over distinct pai
 Boilerplate goes everywhere but in its first place, so nothing is lost from the corpus altogether.
 
 Every aggregation combines within the tasks first, so a line that a third of all rows hold is one row a
-task in the shuffle. Only digests are shuffled until, at the end, each text meets the numbers of the
-lines that it loses.
+task in the shuffle. Lists of boilerplate up to BROADCAST_ROWS lines go to every task; a longer one is
+joined with each digest dealt over SALTS tasks, so a hot line is no hot task. Only digests are shuffled
+until, at the end, each text meets the numbers of the lines that it loses.
 
 Defined results: a null text stays null and has no lines; an empty one has one empty line. A null
-source is a site of its own. Repeated rows of a doc_id are treated alike: if a line is kept in one of
-them, it is in the others. Columns beside those used pass through. The same holds for empty tables.
+source is the site "". A row is known by doc_id and text: of rows that share a doc_id each loses its own
+lines, and rows equal in both are treated alike: if a line is kept in one of them, it is in the others. A
+null doc_id comes before all others. Columns beside those used pass through. The same holds for empty
+tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import materialise, read_documents
 
+#: Lines of a list that is broadcast at most (a few tens of MB).
+BROADCAST_ROWS, SALTS = 500_000, 16
 MIN_SITES, LOG_K, BAND = 10, 12, 0.2
 
 
+def _row_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, site, line number and digest of each line that isn't blank."""
-    each = docs.where(F.col("text").isNotNull()).select("doc_id", F.coalesce("source", F.lit("")).alias("site"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    return each.select("doc_id", "site", "at", F.trim("line").alias("line")).where("line <> ''").select("doc_id", "site", "at", F.unhex(F.md5("line")).alias("digest"))
+    """doc_id, hash of the text, site, line number and digest of each line that isn't blank."""
+    each = docs.where(F.col("text").isNotNull()).select("doc_id", _row_hash(F.col("text")).alias("row"), F.coalesce("source", F.lit("")).alias("site"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    return each.select("doc_id", "row", "site", "at", F.trim("line").alias("line")).where("line <> ''").select("doc_id", "row", "site", "at", F.unhex(F.md5("line")).alias("digest"))
+
+
+def _meet(each: DataFrame, listed: DataFrame) -> DataFrame:
+    """Inner join of lines with a list of distinct digests."""
+    if listed.count() <= BROADCAST_ROWS:
+        return each.join(F.broadcast(listed), "digest")
+    salted = each.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "row"), F.lit(SALTS)))
+    return salted.join(listed.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["digest", "_salt"]).drop("_salt")
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """digest, first_doc and first_at of the lines that at least ``min_sites`` sites have."""
+    """digest and first place (doc_id, row, at) of the lines that at least ``min_sites`` sites have."""
     each = lines(docs)
-    spread = each.groupBy("digest").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"), F.min(F.struct("doc_id", "at")).alias("first"))
+    spread = each.groupBy("digest").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"), F.min(F.struct("doc_id", "row", "at")).alias("first"))
     some = materialise(spread.where(F.col("sites") >= min_sites * (1 - BAND)), "spread")
     near = some.where(F.col("sites") <= min_sites * (1 + BAND)).select("digest")
-    exact = each.join(near, "digest", "left_semi").select("digest", "site").distinct().groupBy("digest").agg(F.count("*").alias("exact"))
-    return some.join(exact, "digest", "left").where(F.coalesce("exact", "sites") >= min_sites).select("digest", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at"))
+    exact = _meet(each, near).select("digest", "site").distinct().groupBy("digest").agg(F.count("*").alias("exact"))
+    return some.join(exact, "digest", "left").where(F.coalesce("exact", "sites") >= min_sites).select("digest", "first")
 
 
 def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with n_lines, n_removed and clean_text."""
     worst = materialise(boilerplate(docs, min_sites), "boilerplate")
-    hits = lines(docs).join(worst, "digest").where("not (doc_id = first_doc and at = first_at)").select("doc_id", "at")
-    drop = hits.groupBy("doc_id").agg(F.collect_set("at").alias("drop")).withColumnRenamed("doc_id", "drop_doc")
+    hits = _meet(lines(docs), worst).where(~F.struct("doc_id", "row", "at").eqNullSafe(F.col("first"))).select("doc_id", "row", "at")
+    drop = hits.groupBy(F.col("doc_id").alias("_drop_doc"), F.col("row").alias("_drop_row")).agg(F.collect_set("at").alias("_drop"))
     all_lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "drop")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "_drop")
     rest = F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
     return (
-        docs.join(drop, docs.doc_id == drop.drop_doc, "left")
-        .withColumn("clean_text", F.when(F.col("drop").isNull() | F.col("text").isNull(), F.col("text")).otherwise(rest))
+        docs.join(drop, docs["doc_id"].eqNullSafe(F.col("_drop_doc")) & (_row_hash(docs["text"]) == F.col("_drop_row")), "left")
+        .withColumn("clean_text", F.when(F.col("_drop").isNull() | F.col("text").isNull(), F.col("text")).otherwise(rest))
         .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long"))
-        .withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size("drop"), F.lit(0))).cast("long"))
-        .drop("drop_doc", "drop")
+        .withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size("_drop"), F.lit(0))).cast("long"))
+        .drop("_drop_doc", "_drop_row", "_drop")
     )
 
 
