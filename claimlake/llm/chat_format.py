@@ -3,14 +3,15 @@
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. A text must not end its turn: between ``<`` and
 ``|`` one more backslash is put wherever only backslashes (or nothing) stand between them, and taken
 out again by the reader; so every text comes back as it was. In a role, backslash and line end are
-written ``\\\\`` and ``\\n``.
+written ``\\\\`` and ``\\n`` beforehand.
 
-For each Arrow batch, numpy computes the lengths of all segments, their running offsets and the places
-that their bytes go to; headers and contents are then scattered into one preallocated buffer, which
-becomes the column. The loss mask is the byte ranges of the assistants' texts.
+For blocks of rows of about BLOCK bytes, numpy computes the lengths of all segments, their running offsets
+and the places that their bytes go to; headers and contents are then copied into one preallocated buffer,
+which becomes the column. The loss mask is the byte ranges of the assistants' texts.
 
-Rows are dealt by conversation and sorted by turn; a batch boundary ends a chunk, so a conversation
-however long is formatted, and read again, a bounded part at a time.
+Rows are dealt by ranges of conversation and turn, so a conversation however long is formatted by several
+tasks; the end of a block or task ends a chunk. Chunks are numbered in order. Only the running digests of
+a conversation, which have to be made in order, are left to one task, which holds one chunk at a time.
 
 Defined results: a null text or role counts as empty; equal turns are ordered by role, then text; a
 null turn comes first; rows of a null conv_id are one conversation; repeated rows are repeated turns;
@@ -19,6 +20,7 @@ further columns are ignored; no rows, no conversations.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -26,14 +28,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .store import materialise
+from .store import materialise, small_batches
+from .token_files import task_count
 
 START, STOP = "<|im_start|>", "<|im_end|>"
 LEARNED = "assistant"
+#: Bytes of texts that are assembled at once, and of a piece that is copied on its own.
+BLOCK, LONG = 4 << 20, 4096
+#: Rows that a task has, about, once there are more than the session's shuffle partitions.
+ROWS_PER_TASK = 500_000
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _CHUNKS = "conv_id long, chunk long, formatted binary, loss array<long>"
 
@@ -43,7 +51,7 @@ def _escape(texts: pa.Array) -> pa.Array:
 
 
 def _escape_role(roles: pa.Array) -> pa.Array:
-    return pc.replace_substring(pc.replace_substring(roles, "\\", "\\\\"), "\n", "\\n")
+    return _escape(pc.replace_substring(pc.replace_substring(roles, "\\", "\\\\"), "\n", "\\n"))
 
 
 def unescape(text: str) -> str:
@@ -51,13 +59,18 @@ def unescape(text: str) -> str:
 
 
 def unescape_role(role: str) -> str:
-    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role)
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
 def _scatter(out: np.ndarray, at: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> None:
     """Copy the pieces raw[offsets[i]:offsets[i+1]] to out[at[i]:]."""
-    if len(raw):
-        out[np.repeat(at - offsets[:-1], np.diff(offsets)) + np.arange(len(raw))] = raw
+    size = np.diff(offsets)
+    for i in np.flatnonzero(size >= LONG):
+        out[at[i] : at[i] + size[i]] = raw[offsets[i] : offsets[i + 1]]
+    few = np.flatnonzero((size > 0) & (size < LONG))
+    n = size[few]
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    out[np.repeat(at[few], n) + step] = raw[np.repeat(offsets[few], n) + step]
 
 
 def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,41 +90,39 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return out, np.append(begins[:, 0], len(out)), begins[:, 3], ends[:, 3]
 
 
-def _format_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, chunk = object(), 0
+def _format_batches(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        roles, texts = batch.column("role").fill_null(""), batch.column("text").fill_null("")
-        ids = batch.column("conv_id")
-        out, begins, text_begin, text_end = assemble(roles, texts)
-        values = ids.to_pylist()
-        first = np.array([i for i in range(len(values)) if i == 0 or values[i] != values[i - 1]])
-        edges = np.append(first, len(values))
-        chunks = np.zeros(len(first), np.int64)
-        chunk = chunk + 1 if values[0] == last else 0
-        chunks[0] = chunk
-        if len(first) > 1:
-            chunk = 0
-        last = values[-1]
-        offsets = begins[edges].astype(np.int32)
-        formatted = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
-        learned = np.array(roles.to_pylist(), dtype=object) == LEARNED
-        group = np.searchsorted(first, np.arange(len(values)), side="right") - 1
-        where = np.stack([text_begin, text_end], 1)[learned] - offsets[group[learned], None]
-        counts = np.concatenate(([0], np.cumsum(np.bincount(group[learned], minlength=len(first))))).astype(np.int32) * 2
-        loss = pa.ListArray.from_arrays(pa.array(counts), pa.array(where.ravel().astype(np.int64)))
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(first)), pa.array(chunks), formatted, loss], ["conv_id", "chunk", "formatted", "loss"])
-
-
-def format_conversations(rows: DataFrame) -> DataFrame:
+        _, at = S.text_bytes(batch.column("text"))
+        for i, j in S.blocks(at, block):
+            rows = batch.slice(i, j - i)
+            roles, ids = rows.column("role"), rows.column("conv_id")
+            out, begins, text_begin, text_end = assemble(roles, rows.column("text"))
+            if len(out) >= 1 << 31:
+                raise ValueError("a turn of over 2 GB")
+            values = ids.to_pylist()
+            first = np.array([k for k in range(len(values)) if k == 0 or values[k] != values[k - 1]])
+            offsets = begins[np.append(first, len(values))].astype(np.int32)
+            formatted = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+            learned = pc.equal(roles, LEARNED).to_numpy(zero_copy_only=False)
+            group = np.searchsorted(first, np.arange(len(values)), side="right") - 1
+            where = np.stack([text_begin, text_end], 1)[learned] - offsets[group[learned], None]
+            counts = np.concatenate(([0], np.cumsum(np.bincount(group[learned], minlength=len(first))))).astype(np.int32) * 2
+            loss = pa.ListArray.from_arrays(pa.array(counts), pa.array(where.ravel().astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(first)), pa.array(np.full(len(first), chunk)), formatted, loss], ["conv_id", "chunk", "formatted", "loss"])
+            chunk += 1
+
+
+def format_conversations(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """Formatted chunks of each conversation in ``rows`` (conv_id, turn, role, text), in order of chunk.
 
     ``loss`` has begin and end of each learned text, in bytes of the chunk, one after another.
     """
+    small_batches(rows.sparkSession)
     slim = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return slim.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text").mapInArrow(_format_batches, _CHUNKS)
+    tasks = task_count(rows.sparkSession, rows.count(), ROWS_PER_TASK)
+    dealt = slim.repartitionByRange(tasks, F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first())
+    return dealt.sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text").mapInArrow(functools.partial(_format_batches, block=block), _CHUNKS)
 
 
 def parse(formatted: str) -> Iterator[tuple[str, str]]:
@@ -159,8 +170,7 @@ def _rows(done: list[tuple]) -> pa.RecordBatch:
 
 def digests(chunks: DataFrame) -> DataFrame:
     """What formatted chunks hold, a row a conversation: turns, and the text under the loss mask."""
-    tasks = max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return chunks.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "chunk").select("conv_id", "formatted", "loss").mapInArrow(_read_batches, _READ)
+    return chunks.repartition(task_count(chunks.sparkSession, chunks.count(), ROWS_PER_TASK), "conv_id").sortWithinPartitions("conv_id", "chunk").select("conv_id", "formatted", "loss").mapInArrow(_read_batches, _READ)
 
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -182,6 +192,6 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(24 + length(replace(replace(role, '\', '\\'), chr(10), '\n')) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
+  CAST(sum(24 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
