@@ -11,7 +11,9 @@ on the full sets.
 Work that a large group of copies could blow up:
 
 * texts with the same set are one class from the start; only classes are joined;
-* a class is first held against the smallest class under its key, never against all of them;
+* a class is first held against the smallest class under its key, never against all of them; while many
+  classes are left under keys of several components, they meet other hubs, first those that share the
+  most keys, so variants of one origin become one component;
 * then only classes are left that meet one of another component under some key. Whether such two are
   linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
   similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
@@ -46,6 +48,8 @@ MAX_DISTANCE = 2 * CHUNKS - 1
 BROADCAST_ROWS = 1_000_000
 #: Classes under one shingle that one task holds against others.
 PER_PART = 4_000
+#: How often classes meet a hub before they meet each other, and how few of them needn't. No link depends on these.
+HUB_TURNS, FEW_CLASSES = 3, 1_000
 
 
 def set_digests(values: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -234,13 +238,41 @@ def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near
     shared = run.table(index.join(first, "key").select("key", "class_id", "n_shingles", F.col("first.class_id").alias("first_id"), F.col("first.n_shingles").alias("first_n")), "shared")
     stars = shared.where((F.col("class_id") != F.col("first_id")) & _like_size("n_shingles", "first_n")).select(F.col("first_id").alias("a"), F.col("class_id").alias("b")).distinct()
     found = confirmed(run, docs, classes, near(stars))
-    root = components(found.select("a", "b"), run)
-    at = run.table(shared.select("key", "class_id").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
-    run.drop(shared)
+    left = shared.select("key", "class_id", "n_shingles")
+    for turn in range(HUB_TURNS + 1):
+        left = _mixed(run, left, components(found.select("a", "b"), run))
+        if turn == 0:
+            run.drop(shared)
+        nodes = left.select("class_id", "root").distinct()
+        if turn == HUB_TURNS or nodes.count() <= FEW_CLASSES:
+            break
+        found = found.unionByName(confirmed(run, docs, classes, near(_hub_pairs(left, turn))))
+        left = left.drop("root")
+    return found.unionByName(confirmed(run, docs, classes, near(_across(run, docs, classes, run.table(nodes, "mixed")))))
+
+
+def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
+    """``rows`` (key, class_id, n_shingles) under keys of several components, with each class's root."""
+    at = run.table(rows.join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
     several = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    mixed = run.table(at.join(several, "key", "left_semi").select("class_id", "root").distinct(), "mixed")
-    run.drop(at)
-    return found.unionByName(confirmed(run, docs, classes, near(_across(run, docs, classes, mixed))))
+    return run.table(at.join(several, "key", "left_semi"), "left")
+
+
+def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each class with one hub under its key, if that is of another component.
+
+    The first hubs are the classes that meet the most others, as the origin of many variants does; then
+    they change from turn to turn.
+    """
+    if turn == 0:
+        size = rows.groupBy("key").agg(F.count("*").alias("k"))
+        rank = rows.join(size, "key").groupBy("class_id").agg(F.sum("k").alias("rank"))
+        ranked = rows.join(rank, "class_id")
+    else:
+        ranked = rows.withColumn("rank", F.xxhash64("class_id", F.lit(turn)))
+    hub = ranked.groupBy("key").agg(F.max(F.struct("rank", "class_id", "n_shingles", "root")).alias("hub"))
+    both = rows.join(hub.select("key", F.col("hub.class_id").alias("h"), F.col("hub.n_shingles").alias("nh"), F.col("hub.root").alias("rh")), "key")
+    return both.where((F.col("root") != F.col("rh")) & _like_size("n_shingles", "nh")).select(F.least("h", "class_id").alias("a"), F.greatest("h", "class_id").alias("b")).distinct()
 
 
 def placed(run: Run, docs: DataFrame) -> DataFrame:
