@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import streaming
 from .operators import ingest, merge, sinks
-from .plans import design, silver
-from .queries import fees, query
+from .plans import design, reports, silver
+from .queries import Gold, fees, query
+from .session import scratch
 from .sources.mapped import Mapped
 
 
@@ -43,39 +42,39 @@ def _validate_remits(m: Mapped) -> DataFrame:
     return ingest.validate_remittances(rows).groupBy(F.array_join("errors", "; ").alias("detail")).agg(F.count("*").alias("n"))
 
 
-@query("v6_dead_letters", "SELECT 'fee_csv' AS source, 'validation_failure' AS error_category, 'Missing geo_region' AS error_detail, count(*) AS n FROM part WHERE p_partkey % 9 = 0 HAVING count(*) > 0")
+@query("v6_dead_letters", "SELECT 'fee_csv' AS source, 'fee_schedule' AS entity_type, 'validation_failure' AS error_category, 'Missing geo_region' AS error_detail, CAST(p_partkey AS VARCHAR) AS entity_id, p_brand AS payload_code, 'pending' AS status FROM part WHERE p_partkey % 9 = 0")
 def _letters(m: Mapped) -> DataFrame:
     rows = m.raw("part").select(F.col("p_brand").alias("cpt_code"), F.when(F.col("p_partkey") % 9 != 0, F.col("p_type")).alias("geo_region"), F.col("p_retailprice").alias("rate"), F.lit("2024-01-01").alias("effective_date"), F.lit("medicare").alias("rate_type"), F.col("p_partkey").alias("id"))
     _, letters = ingest.split_valid(ingest.validate_fees(rows), "fee_csv", "fee_schedule", "id")
-    return letters.groupBy("source", "error_category", "error_detail").agg(F.count("*").alias("n"))
+    return letters.withColumn("payload_code", F.get_json_object("payload", "$.cpt_code")).drop("payload")
 
 
 _CODE = "CASE o_orderstatus WHEN 'F' THEN '7' WHEN 'P' THEN '8' ELSE '1' END"
 
 
-@query("e1_claim_actions", f"SELECT action, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 2 = 1 THEN 'insert' WHEN {_CODE} = '7' THEN 'update' WHEN {_CODE} = '8' THEN 'void' ELSE 'skip' END AS action FROM orders) t GROUP BY action")
+@query("e1_claim_actions", f"SELECT o_orderkey AS claim_id, CASE WHEN o_orderkey % 2 = 1 THEN 'insert' WHEN {_CODE} = '7' THEN 'update' WHEN {_CODE} = '8' THEN 'void' ELSE 'skip' END AS action FROM orders")
 def _actions(m: Mapped) -> DataFrame:
     code = F.when(F.col("o_orderstatus") == "F", "7").when(F.col("o_orderstatus") == "P", "8").otherwise("1")
     rows = m.raw("orders").select(F.col("o_orderkey").alias("claim_id"), code.alias("frequency_code"), F.col("o_orderdate").alias("arrival"))
-    return ingest.claim_actions(rows, rows.where("claim_id % 2 = 0")).groupBy("action").agg(F.count("*").alias("n"))
+    return ingest.claim_actions(rows, rows.where("claim_id % 2 = 0")).select("claim_id", "action")
 
 
 @query(
     "e5_match_claims",
-    "SELECT matched_by, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'exact' WHEN o_orderkey % 3 = 1 THEN 'normalised' WHEN o_orderkey % 2 = 0 THEN 'alias' END AS matched_by FROM orders) t GROUP BY matched_by",
+    "SELECT CASE o_orderkey % 3 WHEN 0 THEN 'C' WHEN 1 THEN '00c' ELSE 'A-' END || o_orderkey AS payer_claim_id, CASE WHEN matched_by IS NOT NULL THEN 'C' || o_orderkey END AS claim_id, matched_by FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'exact' WHEN o_orderkey % 3 = 1 THEN 'normalised' WHEN o_orderkey % 2 = 0 THEN 'alias' END AS matched_by FROM orders) t",
 )
 def _match(m: Mapped) -> DataFrame:
     claims = m.raw("orders").select(F.concat(F.lit("C"), F.col("o_orderkey")).alias("claim_id"), "o_orderkey")
     key = F.when(F.col("o_orderkey") % 3 == 0, F.col("claim_id")).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("00"), F.lower("claim_id"))).otherwise(F.concat(F.lit("A-"), F.col("o_orderkey")))
     alias = claims.where("o_orderkey % 2 = 0").select(F.concat(F.lit("A-"), F.col("o_orderkey")).alias("payer_claim_id"), F.lit("P").alias("payer_id"), "claim_id")
-    return ingest.match_claims(claims.select(key.alias("payer_claim_id"), F.lit("P").alias("payer_id")), claims.select("claim_id"), alias).groupBy("matched_by").agg(F.count("*").alias("n"))
+    return ingest.match_claims(claims.select(key.alias("payer_claim_id"), F.lit("P").alias("payer_id")), claims.select("claim_id"), alias).select("payer_claim_id", "claim_id", "matched_by")
 
 
-@query("e7_backfill_dedup", "SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN claim_id % 4 = 0 THEN 'new' WHEN claim_id % 4 = 1 THEN 'conflict' ELSE 'duplicate' END AS outcome FROM m_claims) t GROUP BY outcome")
+@query("e7_backfill_dedup", "SELECT claim_id, CASE WHEN claim_id % 4 = 0 THEN 'new' WHEN claim_id % 4 = 1 THEN 'conflict' ELSE 'duplicate' END AS outcome FROM m_claims")
 def _backfill(m: Mapped) -> DataFrame:
     old = m.claims().where("claim_id % 4 <> 0")
     new = m.claims().withColumn("total_billed", F.when(F.col("claim_id") % 4 == 1, F.col("total_billed") + 1).otherwise(F.col("total_billed")).cast("decimal(18,2)"))
-    return ingest.backfill_dedup(new.select("claim_id", "date_of_service", "provider_npi", "total_billed"), old).groupBy("outcome").agg(F.count("*").alias("n"))
+    return ingest.backfill_dedup(new.select("claim_id", "date_of_service", "provider_npi", "total_billed"), old).select("claim_id", "outcome")
 
 
 @query("e9_crosswalk", "SELECT CASE WHEN cpt_code = 'Brand#1' THEN 'STD-1' ELSE cpt_code END AS cpt_code, count(*) AS n FROM m_lines l WHERE EXISTS (SELECT 1 FROM m_claims c WHERE c.claim_id = l.claim_id) GROUP BY 1")
@@ -86,15 +85,29 @@ def _crosswalk(m: Mapped) -> DataFrame:
     return ingest.apply_crosswalk(claims, table).select(F.explode("lines").alias("l")).groupBy(F.col("l.cpt_code").alias("cpt_code")).agg(F.count("*").alias("n"))
 
 
-@query("k10_topics", "SELECT 'claims' AS topic, count(*) AS n FROM orders WHERE o_orderkey % 2 = 1 OR o_orderstatus IN ('F', 'P')")
+@query("k10_topics", "SELECT 'claims' AS topic, 'claim.received' AS event_type, 'claim' AS entity_type, CAST(o_orderkey AS VARCHAR) AS entity_id, CASE o_orderstatus WHEN 'F' THEN '7' WHEN 'P' THEN '8' ELSE '1' END AS code FROM orders WHERE o_orderkey % 2 = 1 OR o_orderstatus IN ('F', 'P')")
 def _topics(m: Mapped) -> DataFrame:
     code = F.when(F.col("o_orderstatus") == "F", "7").when(F.col("o_orderstatus") == "P", "8").otherwise("1")
     rows = m.raw("orders").select(F.col("o_orderkey").alias("claim_id"), code.alias("frequency_code"), F.col("o_orderdate").alias("arrival"))
-    return ingest.events(ingest.claim_actions(rows, rows.where("claim_id % 2 = 0")), "claim.received", "claim", "claim_id").groupBy("topic").agg(F.count("*").alias("n"))
+    return ingest.events(ingest.claim_actions(rows, rows.where("claim_id % 2 = 0")), "claim.received", "claim", "claim_id").withColumn("code", F.get_json_object("payload", "$.frequency_code")).drop("payload")
+
+
+query("k1_payload", "SELECT 'U' AS _cdc_operation, 'claims' AS _source_table, CAST(claim_id AS VARCHAR) AS claim_id, status, CAST(CAST(total_billed AS VARCHAR) AS DOUBLE) AS total_billed FROM m_claims")(
+    lambda m: sinks.as_payload(m.claims(), "claims", "U").select("_cdc_operation", "_source_table", F.get_json_object("payload", "$.claim_id").alias("claim_id"), F.get_json_object("payload", "$.status").alias("status"), F.get_json_object("payload", "$.total_billed").cast("double").alias("total_billed"))
+)
 
 
-query("k1_payload", "SELECT _source_table, count(*) AS n FROM (SELECT 'claims' AS _source_table FROM m_claims) t GROUP BY 1")(lambda m: sinks.as_payload(m.claims(), "claims").groupBy("_source_table").agg(F.count("payload").alias("n")))
-query("c5_enrich_bronze", "SELECT 'claims' AS _source_table, 'I' AS _cdc_operation, count(*) AS n FROM m_claims")(lambda m: merge.enrich_bronze(m.claims(), "claims").groupBy("_source_table", "_cdc_operation").agg(F.count("*").alias("n")))
+@query("k1_bronze", "SELECT CAST(ts AS DATE) AS cdc_date, seq AS _cdc_seq, row_pk, op AS _cdc_operation FROM m_cdc UNION ALL SELECT CAST(ts AS DATE), seq, row_pk, op FROM m_cdc WHERE op = 'D'")
+def _bronze(m: Mapped) -> DataFrame:
+    path = scratch(m.spark, "bronze")
+    sinks.append_bronze(m.cdc(), path)
+    sinks.append_bronze(m.cdc().where("_cdc_operation = 'D'"), path)
+    return m.spark.read.parquet(path).select("cdc_date", "_cdc_seq", "row_pk", "_cdc_operation")
+
+
+query("c5_enrich_bronze", "SELECT seq AS _cdc_seq, op AS _cdc_operation, 'events' AS _source_table, TRUE AS loaded, CAST(NULL AS VARCHAR) AS _source_file FROM m_cdc UNION ALL SELECT claim_id, 'I', 'claims', TRUE, 'f-' || claim_id FROM m_claims")(
+    lambda m: merge.enrich_bronze(m.cdc(), "events").select("_cdc_seq", "_cdc_operation", "_source_table", F.col("_bronze_loaded_ts").isNotNull().alias("loaded"), "_source_file").unionByName(merge.enrich_bronze(m.claims(), "claims", source_file=F.concat(F.lit("f-"), "claim_id")).select(F.col("claim_id").alias("_cdc_seq"), "_cdc_operation", "_source_table", F.col("_cdc_timestamp").isNotNull().alias("loaded"), "_source_file"))
+)
 
 
 @query(
@@ -107,14 +120,22 @@ def _expected(m: Mapped) -> DataFrame:
     return design.expected_vs_paid(rows, fees(m).where("payer_id = 'MEDICARE'"), ["cpt_code", "geo_region"], "billed_amount").groupBy("decision").agg(F.count("*").alias("n"))
 
 
-query("z12_rate_mismatch", "SELECT state, count(*) AS n FROM (SELECT CASE WHEN a.id IS NULL THEN 'contract_only' WHEN b.id IS NULL THEN 'published_only' ELSE 'differs' END AS state FROM (SELECT p_partkey AS id, p_retailprice AS r FROM part WHERE p_partkey % 3 <> 0) a FULL JOIN (SELECT p_partkey AS id, p_retailprice + (p_partkey % 2) AS r FROM part WHERE p_partkey % 5 <> 0) b ON a.id = b.id WHERE a.r IS DISTINCT FROM b.r) t GROUP BY state")(
-    lambda m: (lambda p: design.rate_mismatch(p.where("id % 3 <> 0"), p.where("id % 5 <> 0").withColumn("rate", F.col("rate") + F.col("id") % 2), ["id"]).groupBy("state").agg(F.count("*").alias("n")))(m.raw("part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("rate")))
+query("z12_rate_mismatch", "SELECT id, published_rate, contract_rate, state FROM (SELECT coalesce(a.id, b.id) AS id, a.r AS published_rate, b.r AS contract_rate, CASE WHEN a.id IS NULL THEN 'contract_only' WHEN b.id IS NULL THEN 'published_only' ELSE 'differs' END AS state FROM (SELECT p_partkey AS id, p_retailprice AS r FROM part WHERE p_partkey % 3 <> 0) a FULL JOIN (SELECT p_partkey AS id, p_retailprice + (p_partkey % 2) AS r FROM part WHERE p_partkey % 5 <> 0) b ON a.id = b.id WHERE a.r IS DISTINCT FROM b.r) t")(
+    lambda m: (lambda p: design.rate_mismatch(p.where("id % 3 <> 0"), p.where("id % 5 <> 0").withColumn("rate", F.col("rate") + F.col("id") % 2), ["id"]))(m.raw("part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("rate")))
 )
 query("z15_percentile_tiers", "SELECT cpt_code, geo_region, CAST(max(CASE WHEN payer_id = 'MEDICARE' THEN rate END) AS DOUBLE) AS MEDICARE, CAST(max(CASE WHEN payer_id = 'FAIR_HEALTH' THEN rate END) AS DOUBLE) AS FAIR_HEALTH, CAST(max(CASE WHEN payer_id = 'MEDICARE' THEN rate END) AS DOUBLE) AS default_rate FROM m_fees GROUP BY cpt_code, geo_region")(
     lambda m: design.percentile_tiers(m.fee_versions().withColumn("rate_type", F.col("payer_id")), ["MEDICARE", "FAIR_HEALTH"], "MEDICARE")
 )
-query("z10_localities", "SELECT status, count(*) AS n FROM m_claims GROUP BY status")(
-    lambda m: design.localities(m.claims().withColumn("zip", F.col("payer_id").cast("string")), m.payers().select(F.col("payer_id").cast("string").alias("zip3"), F.col("state").alias("locality"))).groupBy("status").agg(F.count("*").alias("n"))
+query("z10_localities", "SELECT c.claim_id, substr(CAST(700 + payer_id AS VARCHAR), 1, 3) AS zip3, CASE WHEN payer_id % 2 = 0 THEN 'LOC-' || payer_id END AS locality FROM m_claims c")(
+    lambda m: design.localities(m.claims().withColumn("zip", F.concat((F.col("payer_id") + 700).cast("string"), F.lit("12"))), m.payers().where("payer_id % 2 = 0").select((F.col("payer_id") + 700).cast("string").alias("zip3"), F.concat(F.lit("LOC-"), "payer_id").alias("locality"))).select("claim_id", "zip3", "locality")
+)
+query("r9_dead_letters", "SELECT entity_id, seen_at FROM (SELECT CAST(o_orderkey AS VARCHAR) AS entity_id, CAST(o_orderdate AS DATE) AS seen_at, CASE WHEN o_orderkey % 3 = 0 THEN 'pending' ELSE 'resolved' END AS status FROM orders WHERE o_orderkey % 2 = 0) t WHERE status = 'pending' ORDER BY seen_at DESC, entity_id LIMIT 20")(
+    lambda m: (lambda d: reports.latest(ingest.pending(ingest.resolve_letters(d, d.where("cast(entity_id as long) % 3 <> 0"), "tester")), "seen_at", "entity_id").select("entity_id", "seen_at"))(
+        m.raw("orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").cast("string").alias("entity_id"), F.col("o_orderdate").cast("date").alias("seen_at"), F.lit("pending").alias("status"))
+    )
+)
+query("r9_audit", "SELECT CAST(o_orderkey AS VARCHAR) AS entity_id, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS seen_at FROM orders ORDER BY CAST(o_orderdate AS DATE) DESC, CAST(o_orderkey AS VARCHAR) LIMIT 20")(
+    lambda m: reports.latest(ingest.audit(m.raw("orders"), "claim", "o_orderkey", "insert", at=F.col("o_orderdate").cast("date").cast("timestamp")), "timestamp", "entity_id").select("entity_id", F.col("timestamp").cast("timestamp_ntz").alias("seen_at"))
 )
 
 
@@ -128,9 +149,7 @@ def _stream(m: Mapped) -> DataFrame:
 
 def _ran(m: Mapped, stream: DataFrame, mode: str = "append") -> DataFrame:
     """All rows of a finished run, from a folder that all executors share."""
-    import tempfile
-
-    base = (m.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="claimlake-")).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    base = scratch(m.spark, "stream")
     if mode == "append":
         streaming.run_to_table(stream, f"{base}/out", f"{base}/checkpoint")
     else:
@@ -142,3 +161,69 @@ query("st3_stream_dedup", "SELECT count(DISTINCT event_id) AS n FROM events")(la
 query("st4_stream_windows", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")(
     lambda m: _ran(m, streaming.rolling_counts(_stream(m), "ts", "event_type", "1 day", late="3650 days"), "complete").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 )
+query("st4_stream_shares", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS hits, round(count(*) FILTER (WHERE event_type = 'error') * 100.0 / count(*), 2) AS share_pct FROM events GROUP BY 1")(
+    lambda m: _ran(m, streaming.rolling_shares(_stream(m), "ts", F.col("event_type") == "error", "1 day", late="3650 days"), "complete").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", "hits", "share_pct")
+)
+
+
+@query("st1_bronze", "SELECT event_id, user_id, event_type, 'I' AS _cdc_operation, 'events' AS _source_table FROM events")
+def _stream_bronze(m: Mapped) -> DataFrame:
+    """Two runs over the same files: the second finds nothing new."""
+    base = scratch(m.spark, "bronze")
+    m.raw("events").write.parquet(f"{base}/in")
+    for _ in range(2):
+        streaming.bronze(m.spark, f"{base}/in", m.raw("events").schema, "events", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return m.spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "_cdc_operation", "_source_table")
+
+
+def _stream_claims(m: Mapped) -> str:
+    from .source_queries import _incoming, _stored
+
+    base = scratch(m.spark, "claims")
+    claims, lines = _stored(m)
+    claims.write.parquet(f"{base}/claims")
+    lines.write.parquet(f"{base}/lines")
+    rows = _incoming(m)
+    for late in (False, True):  # two batches: the files of the second come when the first is done
+        rows.where("arrival >= 3" if late else "arrival < 3").write.mode("append").parquet(f"{base}/in")
+        streaming.ingest_claims(streaming.source(m.spark, f"{base}/in", rows.schema), f"{base}/claims", f"{base}/lines", f"{base}/checkpoint").awaitTermination()
+    return base
+
+
+def _register_claims() -> None:
+    from .source_queries import _AFTER, _AFTER_LINES
+
+    untouched = " UNION ALL SELECT claim_id, CAST(total_billed AS DOUBLE), 'filed' FROM m_claims WHERE claim_id % 4 = 0 AND claim_id NOT IN (SELECT claim_id FROM m_lines)"
+    query("st2_stream_claims", _AFTER + untouched)(lambda m: m.spark.read.parquet(f"{_stream_claims(m)}/claims").select("claim_id", "total_billed", "status"))
+    query("st2_stream_lines", _AFTER_LINES)(lambda m: m.spark.read.parquet(f"{_stream_claims(m)}/lines").groupBy("claim_id").agg(F.count("*").alias("n_lines")))
+
+
+_register_claims()
+
+
+@query(
+    "st5_claims_with_remittances",
+    "SELECT c.claim_id, CAST(r.paid_amount AS DOUBLE) AS paid_amount, CAST(r.era_date AS TIMESTAMP) AS paid_at FROM m_claims c JOIN m_remits r ON r.claim_id = c.claim_id AND r.era_date BETWEEN c.date_of_service AND c.date_of_service + 45",
+)
+def _stream_join(m: Mapped) -> DataFrame:
+    base = scratch(m.spark, "join")
+    m.claims().select("claim_id", F.col("date_of_service").cast("timestamp").alias("filed_at")).write.parquet(f"{base}/claims")
+    m.remittances().select("claim_id", F.col("era_date").cast("timestamp").alias("paid_at"), "paid_amount").write.parquet(f"{base}/remits")
+    read = lambda name: streaming.source(m.spark, f"{base}/{name}", m.spark.read.parquet(f"{base}/{name}").schema)
+    joined = streaming.claims_with_remittances(read("claims"), read("remits")).select("claim_id", "paid_amount", "paid_at")
+    # Claims that are still waiting at the end of the stream come without one, and so may come those past their time.
+    return _ran(m, joined).where("paid_at is not null").select("claim_id", "paid_amount", F.col("paid_at").cast("timestamp_ntz").alias("paid_at"))
+
+
+@query("st6_fan_out", "SELECT event_type AS topic, event_id FROM events")
+def _stream_topics(m: Mapped) -> DataFrame:
+    base = scratch(m.spark, "topics")
+    streaming.fan_out(_stream(m).select(F.col("event_type").alias("topic"), "event_id"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return m.spark.read.json(f"{base}/out").select("topic", "event_id")
+
+
+@query("st7_refresh_gold", "SELECT payer_id, total_claims, total_billed FROM g1")
+def _stream_gold(m: Mapped) -> DataFrame:
+    base = scratch(m.spark, "gold")
+    streaming.refresh_gold(_stream(m), lambda _: {"recovery": Gold(m)["recovery"]}, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return m.spark.read.parquet(f"{base}/out/recovery").select("payer_id", "total_claims", "total_billed")

@@ -18,6 +18,16 @@ def percent(part: Column, of: Column, digits: int = 2) -> Column:
     return F.when(whole > 0, F.round(F.coalesce(part.cast("double"), F.lit(0.0)) * 100.0 / whole, digits)).otherwise(F.lit(0.0))
 
 
+def mean(total: Column, n: Column, digits: int = 2) -> Column:
+    """total / n, rounded once, for a decimal sum: exact whatever the order of the rows; null without rows."""
+    return F.round(total.cast("decimal(28,6)") / F.nullif(n, F.lit(0)).cast("decimal(12,0)"), digits).cast("double")
+
+
+def share(amount: Column, n: Column) -> Column:
+    """An n-th of a decimal amount, to a millionth, so that sums of shares are exact."""
+    return F.round(money(amount) / n.cast("decimal(10,0)"), 6).cast("decimal(18,6)")
+
+
 def blank(c: str) -> Column:
     """Null or without a character."""
     return F.col(c).isNull() | (F.trim(F.col(c)) == "")

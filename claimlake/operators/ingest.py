@@ -78,39 +78,48 @@ def pending(dlq: DataFrame) -> DataFrame:
     return dlq.where("status = 'pending'")
 
 
+def _value_order(df: DataFrame) -> Column:
+    """A number that only depends on a row's values, to settle ties alike in every run."""
+    return F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+
+
 def claim_actions(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """What each incoming claim (claim_id, frequency_code, arrival) does: insert, update, void or skip.
 
     A claim that isn't known is inserted by its first record; any other follows its frequency code
-    (7 replaces, 8 voids, the rest are repeats).
+    (7 replaces, 8 voids, the rest are repeats). Records of one arrival come in order of code, then of values.
     """
     known = existing.select("claim_id").distinct().withColumn("_known", F.lit(True))
-    first = F.row_number().over(Window.partitionBy("claim_id").orderBy("arrival")) == 1
+    first = F.row_number().over(Window.partitionBy("claim_id").orderBy("arrival", "frequency_code", _value_order(incoming))) == 1
     code = F.col("frequency_code")
     action = F.when(F.col("_known").isNull() & first, "insert").when(code == "7", "update").when(code == "8", "void").otherwise("skip")
     return incoming.join(known, "claim_id", "left").withColumn("action", action).drop("_known")
 
 
 def apply_claim_actions(claims: DataFrame, lines: DataFrame, acted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(claims, lines) after the actions. The last insert or update of a claim gives its values and lines;
-    a void keeps both and sets the status, whatever comes before it."""
+    """(claims, lines) after the actions, taken in order of arrival. The last insert or update of a claim gives
+    its values and lines, all of which replace the old ones; a void keeps both and sets the status, until a
+    later update sets it again."""
     live = acted.where("action in ('insert', 'update')")
-    last = live.groupBy("claim_id").agg(F.max_by(F.struct(*[c for c in live.columns if c != "claim_id"]), F.col("arrival")).alias("r"))
-    voided = acted.where("action = 'void'").groupBy("claim_id").agg(F.max("arrival").alias("_void"))
+    rest = [c for c in live.columns if c != "claim_id"]
+    turn = F.struct("arrival", "action", _value_order(acted))
+    last = live.groupBy("claim_id").agg(F.max_by(F.struct(*rest), turn).alias("r"), F.max(F.struct("arrival", "action")).alias("_live"))
+    voided = acted.where("action = 'void'").groupBy("claim_id").agg(F.max(F.struct("arrival", "action")).alias("_void"))
     kinds = dict(claims.dtypes)
     status = F.when(F.col("r.action") == "insert", "received").otherwise("corrected")
     incoming = {c: F.col(f"r.{c}") for c in live.columns if c != "claim_id"} | {"status": status}
     fresh = last.select("claim_id", *[(incoming[c] if c in incoming else F.lit(None)).cast(kinds[c]).alias(c) for c in claims.columns if c != "claim_id"])
     old = claims.join(last.select("claim_id"), "claim_id", "left_anti")
-    merged = old.unionByName(fresh).join(voided, "claim_id", "left").withColumn("status", F.when(F.col("_void").isNotNull(), "voided").otherwise(F.col("status"))).drop("_void")
+    is_void = F.col("_void").isNotNull() & (F.col("_live").isNull() | (F.col("_void") > F.col("_live")))
+    merged = old.unionByName(fresh).join(voided, "claim_id", "left").join(last.select("claim_id", "_live"), "claim_id", "left").withColumn("status", F.when(is_void, "voided").otherwise(F.col("status"))).drop("_void", "_live")
     new_lines = last.select("claim_id", F.posexplode("r.lines").alias("line_number", "l")).select("claim_id", (F.col("line_number") + 1).alias("line_number"), "l.*")
     kept = lines.join(last.select("claim_id"), "claim_id", "left_anti")
     return merged, kept.unionByName(new_lines.select([F.col(c).cast(dict(lines.dtypes)[c]) if c in new_lines.columns else F.lit(None).cast(dict(lines.dtypes)[c]).alias(c) for c in lines.columns]))
 
 
-def new_by_key(incoming: DataFrame, existing: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Incoming rows whose key isn't known; of several in a batch the first."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+def new_by_key(incoming: DataFrame, existing: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """Incoming rows whose key isn't known; of several in a batch the first by ``order``, then by values."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, _value_order(incoming)))
     return incoming.join(existing.select(keys).distinct(), keys, "left_anti").withColumn("_n", first).where("_n = 1").drop("_n")
 
 
@@ -200,7 +209,7 @@ def upsert_patients(existing: DataFrame, *feeds: DataFrame) -> DataFrame:
 
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
     rest = [c for c in every.columns if c != "patient_id"]
-    last = every.groupBy("patient_id").agg(F.max_by(F.struct(*rest), F.col("last_updated")).alias("r")).select("patient_id", "r.*")
+    last = every.groupBy("patient_id").agg(F.max_by(F.struct(*rest), F.struct("last_updated", _value_order(every))).alias("r")).select("patient_id", "r.*")
     return upsert(existing, last, ["patient_id"])
 
 

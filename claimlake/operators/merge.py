@@ -102,30 +102,36 @@ def scd1_merge(existing: DataFrame, staged: DataFrame, keys: list[str], tracked:
 def scd2_merge(history: DataFrame, staged: DataFrame, keys: list[str], tracked: list[str], effective: str = "effective_date") -> DataFrame:
     """M2, M3: all versions after ``staged`` came in, with the action of each row.
 
-    A current version whose tracked values differ is closed the day before the new one takes effect. A
-    staged row becomes the new current version, unless the current one has the same values; null equals
-    null. ``history`` has valid_from, valid_to and is_current beside keys and tracked columns; other
-    columns of it are kept and null in new versions unless ``staged`` has them.
+    The staged rows of a key are folded in order of effective date (of several of one date the last by its
+    values counts). Each whose tracked values differ from those before it closes that version the day before
+    it takes effect and becomes the new current one; null equals null. A version whose ``is_current`` is null
+    is a current one. ``history`` has valid_from, valid_to and is_current beside keys and tracked columns;
+    other columns of it are kept and null in new versions unless ``staged`` has them.
     """
-    past = history.where("is_current = 0").withColumn("merge_action", F.lit("history"))
-    current = history.where("is_current = 1").withColumn("_here", F.lit(1))
-    new = staged.withColumn("_there", F.lit(1))
-    both = current.alias("o").join(new.alias("n"), _same(keys), "full_outer")
-    here, there = F.col("o._here").isNotNull(), F.col("n._there").isNotNull()
-    differs = reduce(lambda x, y: x | y, [~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in tracked])
-    replaced = here & there & differs
-    old_row = F.struct(
-        *[
-            F.when(replaced, F.date_sub(F.col(f"n.{effective}"), 1)).otherwise(F.col("o.valid_to")).alias(c) if c == "valid_to" else F.when(replaced, 0).otherwise(F.col("o.is_current")).alias(c) if c == "is_current" else F.col(f"o.{c}").alias(c)
-            for c in history.columns
-        ],
-        F.when(replaced, "closed").otherwise("unchanged").alias("merge_action"),
-    )
-    made = {"valid_from": F.col(f"n.{effective}"), "valid_to": F.lit(OPEN_END).cast("date"), "is_current": F.lit(1)}
+    open_ = F.coalesce(F.col("is_current"), F.lit(1)) != 0
+    past = history.where(~open_).withColumn("merge_action", F.lit("history"))
     kinds = dict(history.dtypes)
-    new_row = F.struct(*[(made[c] if c in made else F.col(f"n.{c}") if c in staged.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in history.columns], F.lit("inserted").alias("merge_action"))
-    rows = F.when(~here, F.array(new_row)).when(replaced, F.array(old_row, new_row)).otherwise(F.array(old_row))
-    return both.select(F.explode(rows).alias("r")).select("r.*").unionByName(past)
+    rest = [c for c in staged.columns if c not in keys and c != effective]
+    once = staged.groupBy(*keys, effective).agg(F.max(F.struct(*tracked, *[c for c in rest if c not in tracked])).alias("_r")).select(*keys, effective, "_r.*")
+    made = {"valid_from": F.col(effective), "valid_to": F.lit(OPEN_END).cast("date"), "is_current": F.lit(1)}
+    new = once.select([(made[c] if c in made else F.col(c) if c in once.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in history.columns]).withColumn("_new", F.lit(1))
+    rows = history.where(open_).withColumn("_new", F.lit(0)).unionByName(new)
+    order = Window.partitionBy(*keys).orderBy("_new", "valid_from", *tracked)
+    values = F.struct(*[F.col(c) for c in tracked])
+    changed = (F.col("_new") == 0) | F.lag(F.lit(1)).over(order).isNull() | ~values.eqNullSafe(F.lag(values).over(order))
+    kept = rows.withColumn("_changed", changed).where("_changed").withColumn("_next", F.lead("valid_from").over(order))
+    last = F.col("_next").isNull()
+    return (
+        kept.withColumns(
+            {
+                "valid_to": F.when(last, F.col("valid_to")).otherwise(F.date_sub("_next", 1)),
+                "is_current": F.when(last, 1).otherwise(0).cast(kinds["is_current"]),
+                "merge_action": F.when(F.col("_new") == 1, "inserted").when(last, "unchanged").otherwise("closed"),
+            }
+        )
+        .drop("_new", "_changed", "_next")
+        .unionByName(past)
+    )
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

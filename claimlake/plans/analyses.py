@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import measures, reports
 
-Gold = dict[str, DataFrame]
+Gold = Mapping[str, DataFrame]
 
 
 def recovery_opportunity(gold: Gold) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import percent
+from ..functions import mean, money, percent
 from ..operators.merge import as_of_lookup, snapshot_diff, upsert
 from .silver import as_date
 
@@ -40,21 +40,27 @@ def add_business_days(start: Column, days: int) -> Column:
 
 
 def recovery_cube(lines: DataFrame, cr: DataFrame) -> DataFrame:
-    """Line amounts by payer, code, region and year, with all subtotals."""
+    """Line amounts by year, payer, code and region, with the subtotals of every combination of them.
+
+    ``grouping`` tells which are summed over (bits, year first). Lines are summed up at the finest grain
+    first, so the sixteen groupings multiply few rows.
+    """
     side = cr.select("claim_id", "payer_id", F.year("date_of_service").alias("service_year"))
-    return lines.join(side, "claim_id").rollup("service_year", "payer_id", "cpt_code").agg(F.count("*").alias("line_count"), F.sum("billed_amount").cast("double").alias("total_billed"))
+    by = ["service_year", "payer_id", "cpt_code", "geo_region"]
+    fine = lines.join(side, "claim_id").groupBy(*by).agg(F.count("*").alias("k"), F.sum("billed_amount").alias("v"))
+    return fine.cube(*by).agg(F.grouping_id().alias("grouping"), F.sum("k").alias("line_count"), F.sum("v").cast("double").alias("total_billed"))
 
 
 def award_spread(disputes: DataFrame, cases: DataFrame) -> DataFrame:
     """Award against qualifying payment amount by payer."""
-    rows = disputes.join(cases.where("award_amount is not null").select("case_id", F.col("award_amount").cast("double").alias("award")), "case_id")
-    return rows.groupBy("payer_id").agg(F.count("*").alias("award_count"), F.round(F.avg(F.col("award") - F.col("qpa_amount").cast("double")), 2).alias("avg_spread"), percent(F.sum("award"), F.sum("qpa_amount")).alias("award_to_qpa_pct"))
+    rows = disputes.join(cases.where("award_amount is not null").select("case_id", money("award_amount").alias("award")), "case_id")
+    return rows.groupBy("payer_id").agg(F.count("*").alias("award_count"), mean(F.sum(F.col("award") - F.col("qpa_amount")), F.count("*")).alias("avg_spread"), percent(F.sum("award"), F.sum("qpa_amount")).alias("award_to_qpa_pct"))
 
 
 def adjustment_mix(remits: DataFrame, categories: DataFrame) -> DataFrame:
     """Amounts of adjustments by payer and category; the reason's category, else the group's."""
     rows = remits.select("payer_id", F.explode("adjustments").alias("a")).select("payer_id", "a.*")
-    side = F.broadcast(categories)  # a fixed list of codes
+    side = categories.groupBy("code").agg(F.min("category").alias("category"))
     by_reason = side.select(F.col("code").alias("reason_code"), F.col("category").alias("_r"))
     by_group = side.select(F.col("code").alias("group_code"), F.col("category").alias("_g"))
     kinds = ["denial", "contractual", "patient_resp", "informational"]

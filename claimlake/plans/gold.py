@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import percent
+from ..functions import mean, money, percent, share
+from ..schemas import MONEY
 from .silver import as_date
 
 
@@ -37,14 +38,13 @@ def current_rates(fees: DataFrame, payer: str) -> DataFrame:
 
 
 def cpt_analysis(claims: DataFrame, cr: DataFrame, fees: DataFrame | None = None) -> DataFrame:
-    """Each claim's sums split evenly over its codes, beside benchmark rates."""
+    """Each claim's sums split evenly over its codes (shares to a millionth), beside benchmark rates."""
     paid = cr.select("claim_id", "total_paid")
-    share = F.lit(1.0) / F.size("cpt_codes")
-    split = claims.where(F.size("cpt_codes") > 0).join(paid, "claim_id", "left").select(
-        F.explode("cpt_codes").alias("cpt_code"), (F.col("total_billed").cast("double") * share).alias("b"), (F.coalesce(F.col("total_paid").cast("double"), F.lit(0.0)) * share).alias("p")
-    )
+    n, zero = F.size("cpt_codes"), F.lit(0).cast("decimal(18,2)")
+    split = claims.where(n > 0).join(paid, "claim_id", "left").select(F.explode("cpt_codes").alias("cpt_code"), share(F.col("total_billed"), n).alias("b"), share(F.coalesce("total_paid", zero), n).alias("p"))
+    rows, cents = F.count("*"), lambda c: F.round(F.sum(c), 2).cast("double")
     out = split.groupBy("cpt_code").agg(
-        F.count("*").alias("claim_count"), F.round(F.sum("b"), 2).alias("total_billed"), F.round(F.sum("p"), 2).alias("total_paid"), F.round(F.avg("b"), 2).alias("avg_billed"), F.round(F.avg("p"), 2).alias("avg_paid")
+        rows.alias("claim_count"), cents("b").alias("total_billed"), cents("p").alias("total_paid"), mean(F.sum("b"), rows).alias("avg_billed"), mean(F.sum("p"), rows).alias("avg_paid")
     ).withColumn("payment_ratio_pct", percent(F.col("total_paid"), F.col("total_billed")))
     if fees is None:
         return out
@@ -56,8 +56,9 @@ def cpt_analysis(claims: DataFrame, cr: DataFrame, fees: DataFrame | None = None
 def cpt_line_level(lines: DataFrame, cr: DataFrame) -> DataFrame:
     """Real line amounts; a claim's payment is shared by its lines."""
     n = lines.groupBy("claim_id").agg(F.count("*").alias("n"))
-    paid = cr.select("claim_id", F.col("total_paid").cast("double").alias("paid")).join(n, "claim_id").select("claim_id", (F.col("paid") / F.col("n")).alias("paid"))
-    return lines.join(paid, "claim_id", "left").groupBy("cpt_code").agg(F.countDistinct("claim_id").alias("claim_count"), _sum("billed_amount").alias("total_billed"), F.round(_sum("paid"), 2).alias("total_paid"))
+    paid = cr.select("claim_id", "total_paid").join(n, "claim_id").select("claim_id", share(F.col("total_paid"), F.col("n")).alias("paid"))
+    total = F.coalesce(F.round(F.sum("paid"), 2).cast("double"), F.lit(0.0))
+    return lines.join(paid, "claim_id", "left").groupBy("cpt_code").agg(F.countDistinct("claim_id").alias("claim_count"), _sum("billed_amount").alias("total_billed"), total.alias("total_paid"))
 
 
 def payer_scorecard(cr: DataFrame, payers: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def payer_scorecard(cr: DataFrame, payers: DataFrame) -> DataFrame:
         F.count("*").alias("total_claims"),
         percent(F.sum("total_paid"), F.sum("total_billed")).alias("payment_rate_pct"),
         percent(F.sum("has_denial"), F.count("*")).alias("denial_rate_pct"),
-        F.round(F.avg(F.col("underpayment").cast("double")), 2).alias("avg_underpayment"),
+        mean(F.sum("underpayment"), F.count("underpayment")).alias("avg_underpayment"),
         _sum("underpayment").alias("total_underpayment"),
     )
     tier = F.when((F.col("payment_rate_pct") >= 80) & (F.col("denial_rate_pct") <= 10), "low").when((F.col("payment_rate_pct") >= 50) | (F.col("denial_rate_pct") <= 30), "medium").otherwise("high")
@@ -95,8 +96,8 @@ def financial_summary(cr: DataFrame) -> DataFrame:
         F.count_if(F.col("total_paid") > 0).cast("double").alias("paid_claims"),
         F.coalesce(F.sum("has_denial"), F.lit(0)).cast("double").alias("denial_count"),
         percent(F.sum("has_denial"), n).alias("denial_rate_pct"),
-        F.coalesce(F.round(F.sum("total_billed").cast("double") / F.nullif(n, F.lit(0)), 2), F.lit(0.0)).alias("avg_billed_per_claim"),
-        F.coalesce(F.round(F.sum("underpayment").cast("double") / F.nullif(n, F.lit(0)), 2), F.lit(0.0)).alias("avg_underpayment_per_claim"),
+        F.coalesce(mean(F.sum("total_billed"), n), F.lit(0.0)).alias("avg_billed_per_claim"),
+        F.coalesce(mean(F.sum("underpayment"), n), F.lit(0.0)).alias("avg_underpayment_per_claim"),
     )
     return one.unpivot([], METRICS, "metric_name", "metric_value")
 
@@ -150,9 +151,9 @@ def underpayment_detection(disputes: DataFrame) -> DataFrame:
 
 def win_loss(cases: DataFrame, disputes: DataFrame) -> DataFrame:
     """Outcomes of resolved cases; the win rate is over all outcomes of a payer and dispute type."""
-    rows = cases.where(F.col("status").isin("decided", "closed")).select("case_id", "outcome", F.col("award_amount").cast("double").alias("award")).join(disputes, "case_id")
+    rows = cases.where(F.col("status").isin("decided", "closed")).select("case_id", "outcome", F.coalesce(money("award_amount"), F.lit(0).cast(MONEY)).alias("award")).join(disputes.drop("outcome", "award"), "case_id")
     agg = rows.groupBy("payer_id", "payer_name", "dispute_type", "outcome").agg(
-        F.count("*").alias("case_count"), _sum("billed_amount").alias("total_billed"), _sum("underpayment_amount").alias("total_disputed"), _sum("award").alias("total_awarded"), F.round(F.avg(F.coalesce("award", F.lit(0.0))), 2).alias("avg_award")
+        F.count("*").alias("case_count"), _sum("billed_amount").alias("total_billed"), _sum("underpayment_amount").alias("total_disputed"), _sum("award").alias("total_awarded"), mean(F.sum("award"), F.count("*")).alias("avg_award")
     )
     group = Window.partitionBy("payer_id", "dispute_type")
     won = F.sum(F.when(F.col("outcome") == "won", F.col("case_count")).otherwise(0)).over(group)
@@ -234,12 +235,18 @@ def monthly_trends(cr: DataFrame, disputes: DataFrame, cases: DataFrame) -> Data
     return out.withColumn("recovery_rate_pct", percent(F.col("total_paid"), F.col("total_billed")))
 
 
-def run_all(builders: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Every aggregate that can be built, and the error of those that can't."""
+def run_all(builders: dict[str, Callable[[], DataFrame]], write: Callable[[str, DataFrame], object] | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Every aggregate that can be built and, with ``write`` (name, frame), run; and the error of those that can't.
+
+    A plan mostly fails at its action, so the writing is what isolates one table's trouble from the others.
+    """
     out, failed = {}, {}
     for name, build in builders.items():
         try:
-            out[name] = build()
+            df = build()
+            if write is not None:
+                write(name, df)
+            out[name] = df
         except Exception as error:
             failed[name] = f"{type(error).__name__}: {error}"
     return out, failed

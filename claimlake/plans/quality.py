@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def orphans(edges: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Q1: for each (name, child, key, parent, key) the children whose key has no parent; null keys aside."""
-    one = [
-        child.where(F.col(ck).isNotNull()).select(F.col(ck).alias("_k")).join(parent.select(F.col(pk).alias("_k")).distinct(), "_k", "left_anti").agg(F.count("*").alias("orphan_count")).select(F.lit(name).alias("check_name"), "orphan_count")
-        for name, child, ck, parent, pk in edges
-    ]
+def orphans(edges: list[tuple[str, DataFrame, str, DataFrame, str]], optional: tuple[str, ...] = ()) -> DataFrame:
+    """Q1: for each (name, child, key, parent, key) the children whose key has no parent.
+
+    A null key has none; in the checks named in ``optional`` it needs none.
+    """
+    one = []
+    for name, child, ck, parent, pk in edges:
+        keys = child.select(F.col(ck).alias("_k"))
+        keys = keys.where("_k is not null") if name in optional else keys
+        lost = keys.join(parent.select(F.col(pk).alias("_k")).distinct(), "_k", "left_anti")
+        one.append(lost.agg(F.count("*").alias("orphan_count")).select(F.lit(name).alias("check_name"), "orphan_count"))
     return reduce(DataFrame.unionByName, one)
 
 
@@ -52,9 +57,10 @@ def stale(gold: DataFrame, now: Column, minutes: int = 30) -> DataFrame:
     return gold.agg(age.alias("age_minutes")).withColumn("is_stale", F.coalesce(F.col("age_minutes") > minutes, F.lit(True)))
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Q6: for each column rows, share of nulls and approximate count of distinct values, from one pass."""
-    aggs = [x for c in df.columns for x in (F.avg(F.col(c).isNull().cast("double")).alias(f"{c}\u0001null"), F.approx_count_distinct(c).alias(f"{c}\u0001distinct"))]
+def profile(df: DataFrame, exact: bool = False) -> DataFrame:
+    """Q6: for each column rows, share of nulls and count of distinct values (a sketch's estimate, unless ``exact``)."""
+    distinct = F.countDistinct if exact else F.approx_count_distinct
+    aggs = [x for c in df.columns for x in (F.avg(F.col(c).isNull().cast("double")).alias(f"{c}\u0001null"), distinct(F.col(c)).alias(f"{c}\u0001distinct"))]
     one = df.agg(F.count("*").alias("n"), *aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("n").alias("row_count"), F.round(F.col(f"`{c}\u0001null`"), 4).alias("null_rate"), F.col(f"`{c}\u0001distinct`").alias("approx_distinct")) for c in df.columns]))
     return one.select(rows.alias("r")).select("r.*")

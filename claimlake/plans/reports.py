@@ -70,9 +70,9 @@ def open_deadlines(deadlines: DataFrame, as_of: str | None = None) -> DataFrame:
     return deadlines.where("status in ('pending', 'alerted')").select("case_id", "deadline_type", "due_date", F.datediff("due_date", as_date(as_of)).alias("days_remaining")).orderBy("due_date", "case_id", "deadline_type")
 
 
-def latest(df: DataFrame, by: str, k: int = 20) -> DataFrame:
-    """Newest rows first (audit, dead letters)."""
-    return df.orderBy(F.desc(by)).limit(k)
+def latest(df: DataFrame, by: str, *then: str, k: int = 20) -> DataFrame:
+    """Newest rows first (audit, dead letters); rows of one time by ``then``."""
+    return df.orderBy(F.desc(by), *then).limit(k)
 
 
 def distribution(df: DataFrame, column: str = "status") -> DataFrame:

@@ -23,9 +23,10 @@ def patients(df: DataFrame) -> DataFrame:
 
 
 def providers(df: DataFrame) -> DataFrame:
-    """The current version of each provider; of several current ones the latest."""
-    latest = Window.partitionBy("npi").orderBy(F.col("valid_from").desc_nulls_last())
-    return df.where("coalesce(is_current, 1) = 1").withColumn("_n", F.row_number().over(latest)).where("_n = 1").select("npi", "name", "specialty", "facility_name", "state")
+    """The current version of each provider; of several current ones the latest, then the first by its values."""
+    shown = ["name", "specialty", "facility_name", "state"]
+    latest = Window.partitionBy("npi").orderBy(F.col("valid_from").desc_nulls_last(), *shown)
+    return df.where("coalesce(is_current, 1) = 1").withColumn("_n", F.row_number().over(latest)).where("_n = 1").select("npi", *shown)
 
 
 def claims(df: DataFrame, lines: DataFrame) -> DataFrame:
@@ -100,8 +101,8 @@ def deadlines(df: DataFrame, as_of: str | None = None) -> DataFrame:
     return df.withColumn("days_remaining", left).withColumn("is_at_risk", F.coalesce((left <= AT_RISK_DAYS).cast("int"), F.lit(0)))
 
 
-def refresh(tables: dict[str, DataFrame], as_of: str | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """All silver tables that can be built, and why the others could not."""
+def refresh(tables: dict[str, DataFrame], as_of: str | None = None, write: Callable[[str, DataFrame], object] | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """All silver tables that can be built and, with ``write`` (name, frame), run; and why the others could not."""
     out: dict[str, DataFrame] = {}
     failed: dict[str, str] = {}
     builders: dict[str, Callable[[], DataFrame]] = {
@@ -117,7 +118,10 @@ def refresh(tables: dict[str, DataFrame], as_of: str | None = None) -> tuple[dic
     }
     for name, build in builders.items():
         try:
-            out[name] = build()
+            df = build()
+            if write is not None:  # plans mostly fail at their action
+                write(name, df)
+            out[name] = df
         except Exception as error:  # one table's trouble must not stop the others
             failed[name] = f"{type(error).__name__}: {error}"
     return out, failed

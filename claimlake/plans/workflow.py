@@ -9,6 +9,7 @@ from ..functions import money
 from ..schemas import DEADLINE_DAYS, DEFAULT_DEADLINES, TRANSITIONS
 from .silver import as_date
 
+# Analysts that take cases in turn, and deadline types whose miss makes a case critical.
 ANALYSTS = ["analyst_1", "analyst_2", "analyst_3"]
 CRITICAL_TYPES = ["idr_initiation", "idr_decision", "evidence_submission"]
 
@@ -46,11 +47,11 @@ def open_disputes(underpaid: DataFrame, filed: Column) -> DataFrame:
     )
 
 
-def open_cases(disputes: DataFrame) -> DataFrame:
-    """The new cases of new disputes; analysts take turns by the hash of the case, so no global order is needed."""
+def open_cases(disputes: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The new cases of new disputes, with columns of these to ``carry``; analysts take turns by the hash of the case, so no global order is needed."""
     turn = F.conv(F.substring(F.md5("case_id"), 1, 4), 16, 10).cast("int") % len(ANALYSTS)
     analyst = F.element_at(F.array(*map(F.lit, ANALYSTS)), (turn + 1).cast("int"))
-    return disputes.select("case_id", analyst.alias("assigned_analyst"), F.lit("open").alias("status"), priority(F.col("underpayment_amount")).alias("priority"), F.col("filed_date").alias("created_date"))
+    return disputes.select("case_id", analyst.alias("assigned_analyst"), F.lit("open").alias("status"), priority(F.col("underpayment_amount")).alias("priority"), F.col("filed_date").alias("created_date"), *carry)
 
 
 def round_robin(cases: DataFrame, order: str, buckets: int = 64) -> DataFrame:
@@ -117,21 +118,41 @@ def transition_rules(spark: SparkSession) -> DataFrame:
 
 
 def judge_transitions(requests: DataFrame, cases: DataFrame) -> DataFrame:
-    """Each request (case_id, target_status) with ``valid`` and, if it isn't, a reason."""
-    rules = F.broadcast(transition_rules(requests.sparkSession).withColumn("valid", F.lit(True)))  # a dozen rows
-    allowed = F.create_map(*[x for a, to in TRANSITIONS.items() for x in (F.lit(a), F.lit(", ".join(to)))])
-    out = requests.join(cases.select("case_id", F.col("status").alias("current_status")), "case_id", "left").join(rules.withColumnRenamed("status", "current_status"), ["current_status", "target_status"], "left")
+    """Each request (case_id, target_status and, if there is one, arrival) with ``valid`` and, if it isn't, a reason.
+
+    The requests of a case are taken in order of arrival (then of target): a valid one changes the status
+    that the next one meets.
+    """
+    allowed = F.create_map(*[x for a, to in TRANSITIONS.items() for x in (F.lit(a), F.array(*map(F.lit, to)))])
+    at = F.col("arrival") if "arrival" in requests.columns else F.lit(0)
+    wanted = requests.groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct(at.alias("arrival"), "target_status"))).alias("wanted"))
+    known = wanted.join(cases.select("case_id", F.col("status")), "case_id", "left")
+    none = F.array().cast("array<struct<current_status:string,target_status:string,valid:boolean>>")
+
+    def take(state: Column, request: Column) -> Column:
+        ok = F.coalesce(F.array_contains(F.try_element_at(allowed, state["status"]), request["target_status"]), F.lit(False))
+        judged = F.struct(state["status"].alias("current_status"), request["target_status"].alias("target_status"), ok.alias("valid"))
+        return F.struct(F.when(ok, request["target_status"]).otherwise(state["status"]).alias("status"), F.concat(state["judged"], F.array(judged)).alias("judged"))
+
+    start = F.struct(F.col("status").alias("status"), none.alias("judged"))
+    out = known.select("case_id", F.posexplode(F.aggregate("wanted", start, take)["judged"]).alias("step", "j")).select("case_id", "step", "j.*")
+    names = F.array_join(F.try_element_at(allowed, F.col("current_status")), ", ")
     why = F.when(F.col("current_status").isNull(), F.concat(F.lit("Case "), F.col("case_id"), F.lit(" not found"))).when(
-        F.col("valid").isNull(), F.concat(F.lit("Cannot transition from "), F.col("current_status"), F.lit(" to "), F.col("target_status"), F.lit("; allowed: "), F.coalesce(F.try_element_at(allowed, F.col("current_status")), F.lit("none")))
+        ~F.col("valid"), F.concat(F.lit("Cannot transition from "), F.col("current_status"), F.lit(" to "), F.col("target_status"), F.lit("; allowed: "), F.coalesce(names, F.lit("none")))
     )
-    return out.select("case_id", "current_status", "target_status", F.coalesce("valid", F.lit(False)).alias("valid"), why.alias("reason"))
+    return out.select("case_id", "step", "current_status", "target_status", "valid", why.alias("reason"))
+
+
+def _reached(judged: DataFrame) -> DataFrame:
+    """The last status of each case that has a valid request, and all that it passed."""
+    return judged.where("valid").groupBy("case_id").agg(F.max_by("target_status", "step").alias("_to"), F.collect_set("target_status").alias("_passed"))
 
 
 def apply_transitions(cases: DataFrame, judged: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Cases after the valid requests; of several for a case the first by target."""
-    go = judged.where("valid").groupBy("case_id").agg(F.min("target_status").alias("_to"))
+    """Cases after the valid requests, in their order."""
     today = as_date(as_of)
-    return cases.join(go, "case_id", "left").withColumns({"status": F.coalesce("_to", "status"), "last_activity_date": F.when(F.col("_to").isNotNull(), today).otherwise(F.col("last_activity_date")), "closed_date": F.when(F.col("_to") == "closed", today).otherwise(F.col("closed_date"))}).drop("_to")
+    moved = F.col("_to").isNotNull()
+    return cases.join(_reached(judged), "case_id", "left").withColumns({"status": F.coalesce("_to", "status"), "last_activity_date": F.when(moved, today).otherwise(F.col("last_activity_date")), "closed_date": F.when(F.col("_to") == "closed", today).otherwise(F.col("closed_date"))}).drop("_to", "_passed")
 
 
 # The deadline type that reaching a status completes.
@@ -141,12 +162,13 @@ COMPLETES = {"negotiation": "open_negotiation", "idr_initiated": "idr_initiation
 def transition_deadlines(deadlines: DataFrame, disputes: DataFrame, judged: DataFrame, as_of: str | None = None) -> DataFrame:
     """Deadlines after the valid requests: those completed are met, closing meets all open ones, and
     initiated arbitration adds its evidence deadline."""
-    go = judged.where("valid").groupBy("case_id").agg(F.min("target_status").alias("_to"))
+    go = _reached(judged)
     done = F.create_map(*[x for s, t in COMPLETES.items() for x in (F.lit(s), F.lit(t))])
+    completed = F.exists(F.col("_passed"), lambda s: F.coalesce(F.try_element_at(done, s) == F.col("deadline_type"), F.lit(False)))
     joined = deadlines.join(go, "case_id", "left")
-    meets = F.coalesce(F.col("status").isin("pending", "alerted") & ((F.col("_to") == "closed") | (F.try_element_at(done, F.col("_to")) == F.col("deadline_type"))), F.lit(False))
-    changed = joined.withColumn("status", F.when(meets, "met").otherwise(F.col("status"))).drop("_to")
-    started = disputes.join(go.where("_to = 'idr_initiated'").select("case_id"), "case_id", "left_semi")
+    meets = F.coalesce(F.col("status").isin("pending", "alerted") & (F.array_contains("_passed", "closed") | completed), F.lit(False))
+    changed = joined.withColumn("status", F.when(meets, "met").otherwise(F.col("status"))).drop("_to", "_passed")
+    started = disputes.join(go.where(F.array_contains("_passed", "idr_initiated")).select("case_id"), "case_id", "left_semi")
     return changed.unionByName(make_deadlines(started, ["evidence_submission"], deadlines), allowMissingColumns=True)
 
 

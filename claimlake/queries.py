@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import plain
+from .functions import money, plain
 from .operators import ingest, merge
 from .plans import analyses, design, gold, measures, quality, reports, silver, workflow
 from .sources import parsers, workload
@@ -24,7 +25,7 @@ _CTE = {
     "m_lines": "SELECT l_orderkey AS claim_id, CAST(l_linenumber AS BIGINT) AS line_number, p_brand AS cpt_code, p_type AS geo_region, CAST(l_quantity AS BIGINT) AS units, CAST(l_extendedprice AS DECIMAL(18,2)) AS billed_amount FROM lineitem JOIN part ON l_partkey = p_partkey",
     "m_claims": "SELECT o_orderkey AS claim_id, o_custkey AS patient_id, m.npi AS provider_npi, CAST(c_nationkey AS BIGINT) AS payer_id, CAST(o_orderdate AS DATE) AS date_of_service, CAST(o_totalprice AS DECIMAL(18,2)) AS total_billed, CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'filed' ELSE 'underpaid' END AS status FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS npi FROM lineitem GROUP BY l_orderkey) m ON m.l_orderkey = o_orderkey",
     "m_remits": "SELECT l_orderkey AS claim_id, CAST(l_linenumber AS BIGINT) AS trace_number, CAST(l_shipdate AS DATE) AS era_date, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS paid_amount, CAST(l_extendedprice AS DECIMAL(18,2)) AS allowed_amount, CASE l_returnflag WHEN 'R' THEN '50' WHEN 'A' THEN '' ELSE NULL END AS denial_code FROM lineitem WHERE l_linestatus = 'F'",
-    "m_fees": "SELECT payer_id, cpt_code, geo_region, rate, id, make_date(CAST(1994 + v AS INT), 1, 1) AS valid_from, v FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'MEDICARE' ELSE 'FAIR_HEALTH' END AS payer_id, p_brand AS cpt_code, p_type AS geo_region, CAST(p_retailprice AS DECIMAL(18,2)) AS rate, p_partkey AS id, row_number() OVER (PARTITION BY p_partkey % 2, p_brand, p_type ORDER BY p_partkey) AS v FROM part) t WHERE v <= 7",
+    "m_fees": "SELECT payer_id, cpt_code, geo_region, rate, id, CAST(make_date(CAST(1994 + least(v, 7) AS INT), 1, 1) + CAST(greatest(v - 7, 0) AS INT) AS DATE) AS valid_from, v FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'MEDICARE' ELSE 'FAIR_HEALTH' END AS payer_id, p_brand AS cpt_code, p_type AS geo_region, CAST(p_retailprice AS DECIMAL(18,2)) AS rate, p_partkey AS id, row_number() OVER (PARTITION BY p_partkey % 2, p_brand, p_type ORDER BY p_partkey) AS v FROM part) t",
     "h_fees": "SELECT *, coalesce(lead(valid_from) OVER w - 1, DATE '9999-12-31') AS valid_to, CASE WHEN lead(valid_from) OVER w IS NULL THEN 1 ELSE 0 END AS is_current FROM m_fees WINDOW w AS (PARTITION BY payer_id, cpt_code, geo_region ORDER BY valid_from)",
     "r1": "SELECT claim_id, sum(paid_amount) AS paid, sum(allowed_amount) AS allowed, count(*) AS n, max(CASE WHEN denial_code IS NOT NULL AND denial_code <> '' THEN 1 ELSE 0 END) AS denied FROM m_remits GROUP BY claim_id",
     "cr": "SELECT c.claim_id, c.payer_id, p.name AS payer_name, c.provider_npi, c.date_of_service, c.status, c.total_billed, coalesce(r.paid, 0) AS total_paid, coalesce(r.allowed, 0) AS total_allowed, c.total_billed - coalesce(r.paid, 0) AS underpayment, coalesce(r.n, 0) AS remittance_count, coalesce(r.denied, 0) AS has_denial FROM m_claims c LEFT JOIN r1 r ON c.claim_id = r.claim_id LEFT JOIN m_payers p ON c.payer_id = p.payer_id",
@@ -42,21 +43,42 @@ def _pct(a: str, b: str) -> str:
     return f"CASE WHEN CAST({b} AS DOUBLE) > 0 THEN round(coalesce(CAST({a} AS DOUBLE), 0) * 100.0 / CAST({b} AS DOUBLE), 2) ELSE 0.0 END"
 
 
+def _mean(total: str, n: str) -> str:
+    """A sum of amounts over a count, rounded half away from zero to cents, in integers."""
+    s = f"CAST({total} * 100 AS HUGEINT)"
+    return f"CASE WHEN {n} > 0 THEN CASE WHEN {total} < 0 THEN -((2 * -{s} + {n}) // (2 * {n})) ELSE (2 * {s} + {n}) // (2 * {n}) END / 100.0 END"
+
+
+def _mean_share(total: str, n: str) -> str:
+    """The same for a sum of millionths that isn't negative."""
+    return f"(2 * CAST({total} AS HUGEINT) + 10000 * {n}) // (20000 * {n}) / 100.0"
+
+
+def _share(amount: str, n: str) -> str:
+    """An n-th of a decimal amount, to a millionth."""
+    return f"CAST(((2 * CAST({amount} * 1000000 AS HUGEINT) + {n}) // (2 * {n})) AS DECIMAL(24,0))"
+
+
+def _cents(total: str) -> str:
+    """A sum of millionths that isn't negative, in cents rounded, as an amount."""
+    return f"(CAST({total} AS HUGEINT) + 5000) // 10000 / 100.0"
+
+
 _CTE |= {
     "g1": f"SELECT payer_id, max(payer_name) AS payer_name, count(*) AS total_claims, CAST(sum(total_billed) AS DOUBLE) AS total_billed, CAST(sum(total_paid) AS DOUBLE) AS total_paid, CAST(sum(underpayment) AS DOUBLE) AS total_underpayment, round(coalesce(avg(CASE WHEN total_billed > 0 THEN CAST(total_paid AS DOUBLE) * 100.0 / CAST(total_billed AS DOUBLE) END), 0), 2) AS avg_payment_pct, CAST(sum(has_denial) AS BIGINT) AS denial_count, {_pct('sum(total_paid)', 'sum(total_billed)')} AS recovery_rate_pct, {_pct('sum(has_denial)', 'count(*)')} AS denial_rate_pct FROM cr WHERE payer_id IS NOT NULL GROUP BY payer_id",
-    "g2s": "SELECT unnest(s.codes) AS cpt_code, CAST(s.total_billed AS DOUBLE) / len(s.codes) AS b, CAST(cr.total_paid AS DOUBLE) / len(s.codes) AS p FROM scl s JOIN cr ON s.claim_id = cr.claim_id WHERE len(s.codes) > 0",
+    "g2s": f"SELECT unnest(s.codes) AS cpt_code, {_share('s.total_billed', 'len(s.codes)')} AS b, {_share('cr.total_paid', 'len(s.codes)')} AS p FROM scl s JOIN cr ON s.claim_id = cr.claim_id WHERE len(s.codes) > 0",
     "rate1": "SELECT payer_id, cpt_code, CAST(rate AS DOUBLE) AS rate FROM (SELECT *, row_number() OVER (PARTITION BY payer_id, cpt_code ORDER BY geo_region, id) AS k FROM h_fees WHERE is_current = 1) t WHERE k = 1",
-    "g2": f"SELECT a.*, {_pct('a.total_paid', 'a.total_billed')} AS payment_ratio_pct, m.rate AS medicare_rate, f.rate AS fair_health_rate FROM (SELECT cpt_code, count(*) AS claim_count, round(sum(b), 2) AS total_billed, round(sum(p), 2) AS total_paid, round(avg(b), 2) AS avg_billed, round(avg(p), 2) AS avg_paid FROM g2s GROUP BY cpt_code) a LEFT JOIN rate1 m ON m.cpt_code = a.cpt_code AND m.payer_id = 'MEDICARE' LEFT JOIN rate1 f ON f.cpt_code = a.cpt_code AND f.payer_id = 'FAIR_HEALTH'",
-    "g3a": f"SELECT payer_id, max(payer_name) AS payer_name, count(*) AS total_claims, {_pct('sum(total_paid)', 'sum(total_billed)')} AS payment_rate_pct, {_pct('sum(has_denial)', 'count(*)')} AS denial_rate_pct, round(avg(CAST(underpayment AS DOUBLE)), 2) AS avg_underpayment, CAST(sum(underpayment) AS DOUBLE) AS total_underpayment FROM cr WHERE payer_id IS NOT NULL GROUP BY payer_id",
+    "g2": f"SELECT a.*, {_pct('a.total_paid', 'a.total_billed')} AS payment_ratio_pct, m.rate AS medicare_rate, f.rate AS fair_health_rate FROM (SELECT cpt_code, count(*) AS claim_count, {_cents('sum(b)')} AS total_billed, {_cents('sum(p)')} AS total_paid, {_mean_share('sum(b)', 'count(*)')} AS avg_billed, {_mean_share('sum(p)', 'count(*)')} AS avg_paid FROM g2s GROUP BY cpt_code) a LEFT JOIN rate1 m ON m.cpt_code = a.cpt_code AND m.payer_id = 'MEDICARE' LEFT JOIN rate1 f ON f.cpt_code = a.cpt_code AND f.payer_id = 'FAIR_HEALTH'",
+    "g3a": f"SELECT payer_id, max(payer_name) AS payer_name, count(*) AS total_claims, {_pct('sum(total_paid)', 'sum(total_billed)')} AS payment_rate_pct, {_pct('sum(has_denial)', 'count(*)')} AS denial_rate_pct, {_mean('sum(underpayment)', 'count(*)')} AS avg_underpayment, CAST(sum(underpayment) AS DOUBLE) AS total_underpayment FROM cr WHERE payer_id IS NOT NULL GROUP BY payer_id",
     "g3": "SELECT g3a.*, CASE WHEN payment_rate_pct >= 80 AND denial_rate_pct <= 10 THEN 'low' WHEN payment_rate_pct >= 50 OR denial_rate_pct <= 30 THEN 'medium' ELSE 'high' END AS risk_tier, p.type AS payer_type, CAST(NULL AS DOUBLE) AS avg_days_to_pay FROM g3a LEFT JOIN m_payers p ON p.payer_id = g3a.payer_id",
-    "g4w": f"SELECT CAST(count(*) AS DOUBLE) AS total_claims, CAST(sum(total_billed) AS DOUBLE) AS total_billed, CAST(sum(total_paid) AS DOUBLE) AS total_paid, CAST(sum(underpayment) AS DOUBLE) AS total_underpayment, {_pct('sum(total_paid)', 'sum(total_billed)')} AS recovery_rate_pct, CAST(count(*) FILTER (WHERE total_paid > 0) AS DOUBLE) AS paid_claims, CAST(sum(has_denial) AS DOUBLE) AS denial_count, {_pct('sum(has_denial)', 'count(*)')} AS denial_rate_pct, round(CAST(sum(total_billed) AS DOUBLE) / count(*), 2) AS avg_billed_per_claim, round(CAST(sum(underpayment) AS DOUBLE) / count(*), 2) AS avg_underpayment_per_claim FROM cr",
+    "g4w": f"SELECT CAST(count(*) AS DOUBLE) AS total_claims, CAST(sum(total_billed) AS DOUBLE) AS total_billed, CAST(sum(total_paid) AS DOUBLE) AS total_paid, CAST(sum(underpayment) AS DOUBLE) AS total_underpayment, {_pct('sum(total_paid)', 'sum(total_billed)')} AS recovery_rate_pct, CAST(count(*) FILTER (WHERE total_paid > 0) AS DOUBLE) AS paid_claims, CAST(sum(has_denial) AS DOUBLE) AS denial_count, {_pct('sum(has_denial)', 'count(*)')} AS denial_rate_pct, {_mean('sum(total_billed)', 'count(*)')} AS avg_billed_per_claim, {_mean('sum(underpayment)', 'count(*)')} AS avg_underpayment_per_claim FROM cr",
     "g4": "SELECT metric_name, metric_value FROM (UNPIVOT g4w ON COLUMNS(*) INTO NAME metric_name VALUE metric_value)",
     "g5": "SELECT aging_bucket, count(*) AS claim_count, CAST(sum(total_billed) AS DOUBLE) AS total_billed, CAST(sum(underpayment) AS DOUBLE) AS total_unpaid, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct_of_total FROM (SELECT *, CASE WHEN DATE '2001-08-01' - date_of_service <= 30 THEN '0-30 days' WHEN DATE '2001-08-01' - date_of_service <= 60 THEN '31-60 days' WHEN DATE '2001-08-01' - date_of_service <= 90 THEN '61-90 days' WHEN DATE '2001-08-01' - date_of_service <= 180 THEN '91-180 days' ELSE '180+ days' END AS aging_bucket FROM cr WHERE date_of_service IS NOT NULL) t GROUP BY aging_bucket",
     "scs": "SELECT cs.*, d.n_d AS dispute_count, d.b AS total_billed, d.u AS total_underpayment, CAST(DATE '2001-08-01' - created_date AS BIGINT) AS age_days FROM cs JOIN (SELECT case_id, count(*) AS n_d, sum(billed_amount) AS b, sum(underpayment_amount) AS u FROM dsp GROUP BY case_id) d ON d.case_id = cs.case_id",
     "g6": f"SELECT a.*, coalesce(b.sla, 0.0) AS sla_compliance_pct FROM (SELECT status, count(*) AS case_count, CAST(sum(total_billed) AS DOUBLE) AS total_billed, CAST(sum(total_underpayment) AS DOUBLE) AS total_underpayment, round(avg(age_days), 1) AS avg_age_days FROM scs GROUP BY status) a LEFT JOIN (SELECT c.status, {_pct('count(*) FILTER (WHERE l.status = ' + chr(39) + 'met' + chr(39) + ')', 'count(*)')} AS sla FROM cs c JOIN dl l ON l.case_id = c.case_id GROUP BY c.status) b ON a.status = b.status",
     "g7": f"SELECT deadline_type, count(*) AS total_deadlines, count(*) FILTER (WHERE status = 'met') AS met_count, count(*) FILTER (WHERE status = 'missed') AS missed_count, count(*) FILTER (WHERE status = 'pending') AS pending_count, CAST(sum(is_at_risk) AS BIGINT) AS at_risk_count, {_pct('count(*) FILTER (WHERE status = ' + chr(39) + 'met' + chr(39) + ')', 'count(*)')} AS compliance_pct FROM sdl GROUP BY deadline_type",
     "g8": f"SELECT dispute_id, claim_id, case_id, payer_id, payer_name, dispute_type, CAST(billed_amount AS DOUBLE) AS billed_amount, CAST(paid_amount AS DOUBLE) AS paid_amount, CAST(underpayment_amount AS DOUBLE) AS underpayment_amount, {_pct('underpayment_amount', 'billed_amount')} AS underpayment_pct, CAST(qpa_amount AS DOUBLE) AS qpa_amount, CAST(CASE WHEN {_pct('underpayment_amount', 'billed_amount')} > 25 AND billed_amount > coalesce(qpa_amount, 0) THEN 1 ELSE 0 END AS BIGINT) AS arbitration_eligible FROM dsp WHERE underpayment_amount > 0",
-    "g9a": "SELECT d.payer_id, d.payer_name, d.dispute_type, c.outcome, count(*) AS case_count, CAST(sum(d.billed_amount) AS DOUBLE) AS total_billed, CAST(sum(d.underpayment_amount) AS DOUBLE) AS total_disputed, coalesce(CAST(sum(c.award_amount) AS DOUBLE), 0.0) AS total_awarded, round(avg(CAST(coalesce(c.award_amount, 0) AS DOUBLE)), 2) AS avg_award FROM cs c JOIN dsp d ON d.case_id = c.case_id WHERE c.status IN ('decided', 'closed') GROUP BY ALL",
+    "g9a": f"SELECT d.payer_id, d.payer_name, d.dispute_type, c.outcome, count(*) AS case_count, CAST(sum(d.billed_amount) AS DOUBLE) AS total_billed, CAST(sum(d.underpayment_amount) AS DOUBLE) AS total_disputed, coalesce(CAST(sum(c.award_amount) AS DOUBLE), 0.0) AS total_awarded, {_mean('sum(coalesce(c.award_amount, 0))', 'count(*)')} AS avg_award FROM cs c JOIN dsp d ON d.case_id = c.case_id WHERE c.status IN ('decided', 'closed') GROUP BY ALL",
     "g9": f"SELECT *, {_pct('sum(CASE WHEN outcome = ' + chr(39) + 'won' + chr(39) + ' THEN case_count ELSE 0 END) OVER w', 'sum(case_count) OVER w')} AS win_rate_pct, {_pct('total_awarded', 'total_disputed')} AS recovery_roi_pct FROM g9a WINDOW w AS (PARTITION BY payer_id, dispute_type)",
     "g10": f"SELECT assigned_analyst, count(*) AS total_cases, count(*) FILTER (WHERE status NOT IN ('closed', 'decided')) AS active_cases, count(*) FILTER (WHERE status IN ('closed', 'decided')) AS resolved_cases, count(*) FILTER (WHERE outcome = 'won') AS won_cases, count(*) FILTER (WHERE outcome = 'lost') AS lost_cases, count(*) FILTER (WHERE outcome = 'settled') AS settled_cases, {_pct('count(*) FILTER (WHERE outcome = ' + chr(39) + 'won' + chr(39) + ')', 'count(*) FILTER (WHERE status IN (' + chr(39) + 'closed' + chr(39) + ', ' + chr(39) + 'decided' + chr(39) + '))')} AS win_rate_pct, coalesce(CAST(sum(award_amount) AS DOUBLE), 0.0) AS total_recovered, CAST(sum(underpayment_amount) AS DOUBLE) AS total_disputed, round(avg(closed_date - created_date), 1) AS avg_resolution_days, count(*) FILTER (WHERE priority = 'critical') AS critical_cases, count(*) FILTER (WHERE priority = 'high') AS high_priority_cases FROM cs GROUP BY assigned_analyst",
     "g11": f"SELECT status, priority, count(*) AS case_count, round(avg(coalesce(closed_date, DATE '2001-08-01') - created_date), 1) AS avg_days, CAST(min(coalesce(closed_date, DATE '2001-08-01') - created_date) AS BIGINT) AS min_days, CAST(max(coalesce(closed_date, DATE '2001-08-01') - created_date) AS BIGINT) AS max_days, CAST(sum(underpayment_amount) AS DOUBLE) AS total_at_stake, coalesce(CAST(sum(award_amount) AS DOUBLE), 0.0) AS total_recovered, {_pct('count(*) FILTER (WHERE outcome = ' + chr(39) + 'won' + chr(39) + ')', 'count(*)')} AS win_rate_pct FROM cs GROUP BY status, priority",
@@ -93,24 +115,33 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-def gold_tables(m: Mapped) -> dict[str, DataFrame]:
-    cr, dsp, cs, dl = workload.claim_remittance(m), workload.disputes(m), workload.cases(m), workload.silver_deadlines(m)
-    scl = silver.claims(m.claims(), m.claim_lines())
-    return {
-        "recovery": gold.recovery_by_payer(cr),
-        "cpt": gold.cpt_analysis(scl, cr, fees(m)),
-        "scorecard": gold.payer_scorecard(cr, m.payers()),
-        "summary": gold.financial_summary(cr),
-        "aging": gold.claims_aging(cr, AS_OF),
-        "pipeline": gold.case_pipeline(workload.silver_cases(m), workload.deadlines(m)),
-        "deadlines": gold.deadline_compliance(dl),
-        "underpayment": gold.underpayment_detection(dsp),
-        "win_loss": gold.win_loss(cs, dsp),
-        "analysts": gold.analyst_productivity(cs, dsp),
-        "resolution": gold.time_to_resolution(cs, dsp, AS_OF),
-        "providers": gold.provider_performance(m.providers(), cr, dsp, cs),
-        "months": gold.monthly_trends(cr, dsp, cs),
-    }
+class Gold:
+    """The gold tables by name; each is only planned when it is asked for."""
+
+    def __init__(self, m: Mapped) -> None:
+        dsp, cs, cr = (lambda: workload.disputes(m)), (lambda: workload.cases(m)), (lambda: workload.claim_remittance(m))
+        self.builders: dict[str, Callable[[], DataFrame]] = {
+            "recovery": lambda: gold.recovery_by_payer(cr()),
+            "cpt": lambda: gold.cpt_analysis(silver.claims(m.claims(), m.claim_lines()), cr(), fees(m)),
+            "scorecard": lambda: gold.payer_scorecard(cr(), m.payers()),
+            "summary": lambda: gold.financial_summary(cr()),
+            "aging": lambda: gold.claims_aging(cr(), AS_OF),
+            "pipeline": lambda: gold.case_pipeline(workload.silver_cases(m), workload.deadlines(m)),
+            "deadlines": lambda: gold.deadline_compliance(workload.silver_deadlines(m)),
+            "underpayment": lambda: gold.underpayment_detection(dsp()),
+            "win_loss": lambda: gold.win_loss(cs(), dsp()),
+            "analysts": lambda: gold.analyst_productivity(cs(), dsp()),
+            "resolution": lambda: gold.time_to_resolution(cs(), dsp(), AS_OF),
+            "providers": lambda: gold.provider_performance(m.providers(), cr(), dsp(), cs()),
+            "months": lambda: gold.monthly_trends(cr(), dsp(), cs()),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.builders[name]()
+
+
+def gold_tables(m: Mapped) -> Gold:
+    return Gold(m)
 
 
 def fees(m: Mapped) -> DataFrame:
@@ -121,19 +152,24 @@ def fees(m: Mapped) -> DataFrame:
 
 query("c4_resolve_cdc", "SELECT row_pk, value, props FROM (SELECT *, row_number() OVER (PARTITION BY row_pk ORDER BY ts DESC, seq DESC) AS k FROM m_cdc) t WHERE k = 1 AND op <> 'D'")(lambda m: merge.resolve_cdc(m.cdc(), ["row_pk"]))
 query("c2_watermark", "SELECT event_id, user_id, event_type, 'I' AS _cdc_operation FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'")(lambda m: merge.watermark_changes(m.raw("events"), "ts", "2024-01-15 00:00:00")[0].select("event_id", "user_id", "event_type", "_cdc_operation"))
-query("c3_sync_state", "SELECT 'events' AS _source_table, count(*) AS rows_last_sync, count(*) FILTER (WHERE op = 'I') AS inserts, count(*) FILTER (WHERE op = 'U') AS updates, count(*) FILTER (WHERE op = 'D') AS deletes FROM m_cdc")(lambda m: merge.sync_state(m.cdc().withColumn("_source_table", F.lit("events")), None).drop("last_sync"))
+query(
+    "c3_sync_state",
+    "SELECT 'events' AS _source_table, count(*) FILTER (WHERE seq % 3 = 0) AS rows_last_sync, count(*) FILTER (WHERE op = 'I') AS inserts, count(*) FILTER (WHERE op = 'U') AS updates, count(*) FILTER (WHERE op = 'D') AS deletes FROM m_cdc UNION ALL SELECT 'idle', 0, 7, 8, 9",
+)(lambda m: (lambda e: merge.sync_state(e.where("_cdc_seq % 3 = 0"), merge.sync_state(e.where("_cdc_seq % 3 <> 0"), m.spark.createDataFrame([("idle", 7, 8, 9, None)], "_source_table string, inserts long, updates long, deletes long, last_sync timestamp"))).drop("last_sync"))(m.cdc().withColumn("_source_table", F.lit("events"))))
 
 
 @query(
     "c1_snapshot_diff",
-    "SELECT op AS _cdc_operation, count(*) AS n FROM (SELECT CASE WHEN b.o_orderkey IS NULL THEN 'I' WHEN a.o_orderkey IS NULL THEN 'D' WHEN a.o_orderstatus <> b.o_orderstatus THEN 'U' END AS op FROM (SELECT * FROM orders WHERE o_orderkey % 10 <> 0) a FULL JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 11 <> 0) b ON a.o_orderkey = b.o_orderkey) t WHERE op IS NOT NULL GROUP BY op",
+    """SELECT op AS _cdc_operation, 'orders' AS _source_table, '{"o_orderkey":' || k || '}' AS row_pk, CASE op WHEN 'D' THEN '{"o_orderkey":' || k || '}' ELSE '{"o_orderkey":' || k || ',"o_orderstatus":"' || s || '"}' END AS payload FROM (
+      SELECT coalesce(a.o_orderkey, b.o_orderkey) AS k, a.o_orderstatus AS s, CASE WHEN b.o_orderkey IS NULL THEN 'I' WHEN a.o_orderkey IS NULL THEN 'D' WHEN a.o_orderstatus <> b.o_orderstatus THEN 'U' END AS op FROM (SELECT * FROM orders WHERE o_orderkey % 10 <> 0) a FULL JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 11 <> 0) b ON a.o_orderkey = b.o_orderkey
+    ) t WHERE op IS NOT NULL""",
 )
 def _snapshot(m: Mapped) -> DataFrame:
     now = m.raw("orders").select("o_orderkey", "o_orderstatus")
     old = now.where("o_orderkey % 11 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
     _, state = merge.snapshot_diff(old, ["o_orderkey"], None, "orders")
     events, _ = merge.snapshot_diff(now.where("o_orderkey % 10 <> 0"), ["o_orderkey"], state, "orders")
-    return events.groupBy("_cdc_operation").agg(F.count("*").alias("n"))
+    return events.drop("_cdc_timestamp")
 
 
 _STAGED = "SELECT payer_id, cpt_code, geo_region, CASE WHEN v % 2 = 0 THEN rate ELSE rate + 1 END AS rate FROM h_fees WHERE is_current = 1"
@@ -218,7 +254,7 @@ for _name, _key, _cte in [
 ]:
     query(_name, f"SELECT * FROM {_cte}")(lambda m, k=_key: gold_tables(m)[k])
 
-query("g2c_cpt_line_level", "SELECT l.cpt_code, count(DISTINCT l.claim_id) AS claim_count, CAST(sum(l.billed_amount) AS DOUBLE) AS total_billed, round(coalesce(sum(p.paid), 0), 2) AS total_paid FROM m_lines l LEFT JOIN (SELECT cr.claim_id, CAST(cr.total_paid AS DOUBLE) / n.n AS paid FROM cr JOIN (SELECT claim_id, count(*) AS n FROM m_lines GROUP BY claim_id) n ON n.claim_id = cr.claim_id) p ON p.claim_id = l.claim_id GROUP BY l.cpt_code")(
+query("g2c_cpt_line_level", f"SELECT l.cpt_code, count(DISTINCT l.claim_id) AS claim_count, CAST(sum(l.billed_amount) AS DOUBLE) AS total_billed, {_cents('coalesce(sum(p.paid), 0)')} AS total_paid FROM m_lines l LEFT JOIN (SELECT cr.claim_id, {_share('cr.total_paid', 'n.n')} AS paid FROM cr JOIN (SELECT claim_id, count(*) AS n FROM m_lines GROUP BY claim_id) n ON n.claim_id = cr.claim_id) p ON p.claim_id = l.claim_id GROUP BY l.cpt_code")(
     lambda m: gold.cpt_line_level(m.claim_lines(), workload.claim_remittance(m))
 )
 query("g3b_days_to_pay", "SELECT c.payer_id, round(avg(r.era_date - c.date_of_service), 2) AS avg_days_to_pay, count(*) AS remittance_count FROM m_claims c JOIN m_remits r ON r.claim_id = c.claim_id GROUP BY c.payer_id")(lambda m: gold.days_to_pay(m.claims(), m.remittances()))
@@ -260,12 +296,31 @@ query("r8_underpaid_listing", "SELECT claim_id, payer_name, CAST(total_billed AS
 query("r9_denials", "SELECT claim_id, trace_number, denial_code, CAST(paid_amount AS DOUBLE) AS paid_amount FROM m_remits WHERE denial_code IS NOT NULL AND denial_code <> ''")(lambda m: reports.denials(m.remittances()))
 query("r9_open_deadlines", "SELECT case_id, deadline_type, CAST(due_date AS DATE) AS due_date, CAST(due_date - DATE '2001-08-01' AS BIGINT) AS days_remaining FROM dl WHERE status = 'pending'")(lambda m: reports.open_deadlines(workload.deadlines(m), AS_OF))
 query("r10_status_distribution", "SELECT status, count(*) AS n FROM m_claims GROUP BY status")(lambda m: reports.distribution(m.claims()))
+query("r10_case_statuses", "SELECT status, count(*) AS n FROM cs GROUP BY status")(lambda m: reports.distribution(workload.cases(m)))
+query("r10_deadline_statuses", "SELECT status, count(*) AS n FROM dl GROUP BY status")(lambda m: reports.distribution(workload.deadlines(m)))
 query("r11_row_counts", "SELECT 'claims' AS table_name, count(*) AS n FROM m_claims UNION ALL SELECT 'claim_lines', count(*) FROM m_lines UNION ALL SELECT 'remittances', count(*) FROM m_remits")(lambda m: reports.row_counts({"claims": m.claims(), "claim_lines": m.claim_lines(), "remittances": m.remittances()}))
 query("r12_worst_ratios", "SELECT cpt_code, payment_ratio_pct FROM g2")(lambda m: reports.worst_ratios(gold_tables(m)["cpt"]).select("cpt_code", "payment_ratio_pct"))
 query("n1_recovery_opportunity", "SELECT payer_id, payer_name, arbitration_eligible, count(*) AS dispute_count, round(sum(underpayment_amount), 2) AS total_underpayment, round(sum(underpayment_amount) * 0.6, 2) AS expected_recovery FROM g8 GROUP BY ALL")(lambda m: analyses.run_analysis("recovery_opportunity", gold_tables(m)))
 query("n1_denial_patterns", "SELECT count(*) AS payer_count, round(avg(denial_rate_pct), 2) AS avg_denial_rate_pct, round(corr(denial_rate_pct, total_underpayment), 6) AS denial_underpayment_corr FROM g3")(lambda m: analyses.run_analysis("denial_patterns", gold_tables(m)))
 query("n1_provider_analysis", "SELECT specialty, count(*) AS provider_count, CAST(sum(total_claims) AS BIGINT) AS total_claims, CAST(sum(total_disputes) AS BIGINT) AS total_disputes, round(avg(payment_rate_pct), 2) AS avg_payment_rate_pct FROM g12 GROUP BY specialty")(lambda m: analyses.run_analysis("provider_analysis", gold_tables(m)))
 
+_N1 = {
+    "executive_summary": "SELECT * FROM g4",
+    "worst_payers": "SELECT * FROM g3 ORDER BY payment_rate_pct, payer_id LIMIT 5",
+    "arbitration_ready": "SELECT * FROM g8 WHERE arbitration_eligible = 1 ORDER BY underpayment_amount DESC, dispute_id LIMIT 10",
+    "cpt_underpayment": "SELECT * FROM g2",
+    "deadline_risk": "SELECT * FROM g7",
+    "case_pipeline": "SELECT * FROM g6",
+    "aging_analysis": "SELECT *, CAST(list_position(['0-30 days', '31-60 days', '61-90 days', '91-180 days', '180+ days'], aging_bucket) - 1 AS BIGINT) AS bucket_order FROM g5",
+    "payer_comparison": "SELECT * FROM g3",
+    "win_loss": "SELECT * FROM g9",
+    "analyst_performance": "SELECT * FROM g10",
+    "resolution_time": "SELECT * FROM g11",
+}
+for _name, _sql in _N1.items():
+    query(f"n1_{_name}", _sql)(lambda m, n=_name: analyses.run_analysis(n, gold_tables(m)))
+query("n1_monthly_trends", _A["a14_month_over_month"][2].replace("SELECT month", "SELECT month"))(lambda m: analyses.run_analysis("monthly_trends", gold_tables(m)).select("month", "claim_count", "new_disputes", "resolved_cases", "recovery_rate_pct", "growth_pct"))
+
 # ---- workflow
 
 query("w1_underpaid_claims", "SELECT claim_id, CAST(underpayment_amount AS DOUBLE) AS gap FROM dsp")(lambda m: workflow.underpaid_claims(m.claims(), m.remittances()).select("claim_id", (F.col("total_billed") - F.col("paid")).alias("gap")))
@@ -297,34 +352,101 @@ query("w10_deadline_status", "SELECT derived, count(*) AS n FROM (SELECT CASE WH
 
 # ---- design operators
 
-query("z2_recovery_potential", "SELECT d.dispute_id, CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0) AS potential, CASE WHEN CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0) >= 100 THEN 'pursue' ELSE 'review' END AS route FROM dsp d JOIN cs c ON c.case_id = d.case_id LEFT JOIN (SELECT d.payer_id, count(*) FILTER (WHERE outcome = 'won') / count(*) AS r FROM cs c JOIN dsp d ON d.case_id = c.case_id WHERE c.status IN ('decided', 'closed') GROUP BY d.payer_id) w ON w.payer_id = d.payer_id WHERE c.status NOT IN ('decided', 'closed')")(
-    lambda m: (lambda j: design.recovery_potential(j.where("status not in ('decided', 'closed')"), j.where("status in ('decided', 'closed')"), ["payer_id"]).select("dispute_id", "potential", "route"))(workload.disputes(m).join(workload.cases(m).select("case_id", "status", "outcome"), "case_id"))
+_CODED = "(SELECT d.*, k.cpt_code FROM dsp d JOIN (SELECT claim_id, min(cpt_code) AS cpt_code FROM m_lines GROUP BY claim_id) k ON k.claim_id = d.claim_id)"
+
+
+@query(
+    "z2_recovery_potential",
+    f"SELECT d.dispute_id, CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0) AS potential, CASE WHEN CAST(d.underpayment_amount AS DOUBLE) * coalesce(w.r, 0) >= 100 THEN 'pursue' ELSE 'review' END AS route FROM {_CODED} d JOIN cs c ON c.case_id = d.case_id LEFT JOIN (SELECT d.payer_id, d.cpt_code, count(*) FILTER (WHERE outcome = 'won') / count(*) AS r FROM cs c JOIN {_CODED} d ON d.case_id = c.case_id WHERE c.status IN ('decided', 'closed') GROUP BY 1, 2) w ON w.payer_id = d.payer_id AND w.cpt_code = d.cpt_code WHERE c.status NOT IN ('decided', 'closed')",
 )
+def _potential(m: Mapped) -> DataFrame:
+    code = m.claim_lines().groupBy("claim_id").agg(F.min("cpt_code").alias("cpt_code"))
+    rows = workload.disputes(m).join(workload.cases(m).select("case_id", "status", "outcome"), "case_id").join(code, "claim_id")
+    return design.recovery_potential(rows.where("status not in ('decided', 'closed')"), rows.where("status in ('decided', 'closed')"), ["payer_id", "cpt_code"]).select("dispute_id", "potential", "route")
+
+
 query("z3_tiered_alerts", "SELECT case_id, deadline_type, CASE WHEN k < 0 THEN 'missed' WHEN k <= 3 THEN 'urgent' ELSE 'warning' END AS tier FROM (SELECT *, due_date - DATE '2001-08-01' AS k FROM dl WHERE status = 'pending') t WHERE k <= 10")(lambda m: design.tiered_alerts(workload.deadlines(m), AS_OF).select("case_id", "deadline_type", "tier"))
 query("z4_business_days", "SELECT dispute_id, (SELECT CAST(d AS DATE) FROM (SELECT filed_date + CAST(i AS INT) AS d FROM range(1, 20) r(i)) s WHERE isodow(d) < 6 ORDER BY d LIMIT 1 OFFSET 3) AS due FROM dsp")(lambda m: workload.disputes(m).select("dispute_id", design.add_business_days(F.col("filed_date"), 4).alias("due")))
-query("z5_recovery_cube", "SELECT CAST(year(c.date_of_service) AS BIGINT) AS service_year, c.payer_id, l.cpt_code, count(*) AS line_count, CAST(sum(l.billed_amount) AS DOUBLE) AS total_billed FROM m_lines l JOIN m_claims c ON c.claim_id = l.claim_id GROUP BY ROLLUP (CAST(year(c.date_of_service) AS BIGINT), c.payer_id, l.cpt_code)")(lambda m: design.recovery_cube(m.claim_lines(), workload.claim_remittance(m)))
-query("z6_award_spread", f"SELECT d.payer_id, count(*) AS award_count, round(avg(CAST(c.award_amount AS DOUBLE) - CAST(d.qpa_amount AS DOUBLE)), 2) AS avg_spread, {_pct('sum(c.award_amount)', 'sum(d.qpa_amount)')} AS award_to_qpa_pct FROM dsp d JOIN cs c ON c.case_id = d.case_id WHERE c.award_amount IS NOT NULL GROUP BY d.payer_id")(lambda m: design.award_spread(workload.disputes(m), workload.cases(m)))
+query("z5_recovery_cube", "SELECT CAST(grouping(y, c.payer_id, l.cpt_code, l.geo_region) AS BIGINT) AS grouping, y AS service_year, c.payer_id, l.cpt_code, l.geo_region, count(*) AS line_count, CAST(sum(l.billed_amount) AS DOUBLE) AS total_billed FROM m_lines l JOIN (SELECT *, CAST(year(date_of_service) AS BIGINT) AS y FROM m_claims) c ON c.claim_id = l.claim_id GROUP BY CUBE (y, c.payer_id, l.cpt_code, l.geo_region)")(lambda m: design.recovery_cube(m.claim_lines(), workload.claim_remittance(m)))
+query("z6_award_spread", f"SELECT d.payer_id, count(*) AS award_count, {_mean('sum(c.award_amount - d.qpa_amount)', 'count(*)')} AS avg_spread, {_pct('sum(c.award_amount)', 'sum(d.qpa_amount)')} AS award_to_qpa_pct FROM dsp d JOIN cs c ON c.case_id = d.case_id WHERE c.award_amount IS NOT NULL GROUP BY d.payer_id")(lambda m: design.award_spread(workload.disputes(m), workload.cases(m)))
 query("z16_median_rates", "SELECT cpt_code, geo_region, count(*) AS contract_count, median(CAST(rate AS DOUBLE)) AS qpa FROM m_fees GROUP BY cpt_code, geo_region")(lambda m: design.median_rates(m.fee_versions()))
 
 # ---- quality
 
-query("q1_orphans", "SELECT 'line_claim' AS check_name, count(*) AS orphan_count FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'claim_patient', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'dispute_case', count(*) FROM dsp WHERE case_id NOT IN (SELECT case_id FROM cs)")(
-    lambda m: quality.orphans([("line_claim", m.raw("lineitem"), "l_orderkey", m.raw("orders"), "o_orderkey"), ("claim_patient", m.raw("orders"), "o_custkey", m.raw("customer"), "c_custkey"), ("dispute_case", workload.disputes(m), "case_id", workload.cases(m), "case_id")])
-)
-query("q2_rules", "SELECT rule_name, violations, CASE WHEN violations > 0 THEN 'FAIL' ELSE 'PASS' END AS result FROM (SELECT 'negative_billed' AS rule_name, count(*) FILTER (WHERE total_billed < 0) AS violations FROM cr UNION ALL SELECT 'paid_over_billed', count(*) FILTER (WHERE total_paid > total_billed) FROM cr UNION ALL SELECT 'no_date', count(*) FILTER (WHERE date_of_service IS NULL) FROM cr) t")(
-    lambda m: quality.rules(workload.claim_remittance(m), {"negative_billed": F.col("total_billed") < 0, "paid_over_billed": F.col("total_paid") > F.col("total_billed"), "no_date": F.col("date_of_service").isNull()})
+_EDGES = [
+    ("claims_payers", "m_claims", "payer_id", "(SELECT payer_id FROM m_payers WHERE payer_id % 5 <> 1)", "payer_id"),
+    ("claims_providers", "m_claims", "provider_npi", "(SELECT npi FROM m_providers WHERE npi % 6 <> 1)", "npi"),
+    ("claims_patients", "m_claims", "patient_id", "(SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 1)", "c_custkey"),
+    ("remittances_claims", "m_remits", "claim_id", "(SELECT claim_id FROM m_claims WHERE claim_id % 8 <> 1)", "claim_id"),
+    ("disputes_claims", "dsp", "claim_id", "(SELECT claim_id FROM m_claims WHERE claim_id % 9 <> 1)", "claim_id"),
+    ("disputes_cases", "dsp", "case_id", "(SELECT case_id FROM cs WHERE n % 4 <> 1)", "case_id"),
+    ("deadlines_cases", "dl", "case_id", "(SELECT case_id FROM cs WHERE n % 3 <> 1)", "case_id"),
+    ("deadlines_disputes", "dl", "dispute_id", "(SELECT dispute_id FROM dsp WHERE claim_id % 11 <> 1)", "dispute_id"),
+    ("evidence_cases", "(SELECT CASE WHEN n % 2 = 0 THEN case_id END AS case_id FROM cs)", "case_id", "(SELECT case_id FROM cs WHERE n % 3 <> 1)", "case_id"),
+]
+
+
+@query(
+    "q1_orphans",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, count(*) AS orphan_count FROM {child} x WHERE NOT EXISTS (SELECT 1 FROM {parent} y WHERE y.{pk} = x.{ck})" + (f" AND x.{ck} IS NOT NULL" if name == "evidence_cases" else "") for name, child, ck, parent, pk in _EDGES
+    ),
 )
+def _orphans(m: Mapped) -> DataFrame:
+    """Each parent lacks some rows, so that there is something to find."""
+    number = lambda df, c: df.where((F.regexp_extract(c, "[0-9]+", 0).cast("long") % 3) != 1)
+    cases, dsp, dl = workload.cases(m), workload.disputes(m), workload.deadlines(m)
+    n = F.regexp_extract("case_id", "[0-9]+", 0).cast("long")
+    evidence = cases.select(F.when(n % 2 == 0, F.col("case_id")).alias("case_id"))
+    return quality.orphans(
+        [
+            ("claims_payers", m.claims(), "payer_id", m.payers().where("payer_id % 5 <> 1"), "payer_id"),
+            ("claims_providers", m.claims(), "provider_npi", m.providers().where("npi % 6 <> 1"), "npi"),
+            ("claims_patients", m.claims(), "patient_id", m.raw("customer").where("c_custkey % 7 <> 1"), "c_custkey"),
+            ("remittances_claims", m.remittances(), "claim_id", m.claims().where("claim_id % 8 <> 1"), "claim_id"),
+            ("disputes_claims", dsp, "claim_id", m.claims().where("claim_id % 9 <> 1"), "claim_id"),
+            ("disputes_cases", dsp, "case_id", cases.where(n % 4 != 1), "case_id"),
+            ("deadlines_cases", dl, "case_id", number(cases, "case_id"), "case_id"),
+            ("deadlines_disputes", dl, "dispute_id", dsp.where("claim_id % 11 <> 1"), "dispute_id"),
+            ("evidence_cases", evidence, "case_id", number(cases, "case_id"), "case_id"),
+        ],
+        optional=("evidence_cases",),
+    )
+
+
+_RULES = {
+    "negative_billed": ("m_claims", "total_billed < 100000"),
+    "claims_invalid_status": ("m_claims", "status NOT IN ('filed', 'denied', 'underpaid')"),
+    "negative_paid": ("m_remits", "paid_amount < 20000"),
+    "paid_over_billed": ("dsp", "paid_amount > billed_amount * 0.4"),
+    "disputes_invalid_type": ("dsp", "dispute_type NOT IN ('appeal', 'idr', 'underpayment')"),
+    "decided_without_outcome": ("cs", "status = 'decided' AND outcome IS NULL"),
+    "cases_invalid_status": ("cs", "status NOT IN ('open', 'in_review', 'negotiation', 'idr_initiated', 'idr_submitted', 'closed')"),
+    "met_after_today": ("dl", "status = 'met' AND due_date > DATE '2001-08-01'"),
+}
+
+
+@query("q2_rules", " UNION ALL ".join(f"SELECT '{name}' AS rule_name, count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS result FROM {table} WHERE {cond}" for name, (table, cond) in _RULES.items()))
+def _rules(m: Mapped) -> DataFrame:
+    """The rules of each table from one pass over it; limits are such that some rows break them."""
+    tables = {"m_claims": m.claims(), "m_remits": m.remittances(), "dsp": workload.disputes(m), "cs": workload.cases(m), "dl": workload.deadlines(m)}
+    parts = [quality.rules(df, {n: F.expr(c) for n, (t, c) in _RULES.items() if t == name}) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 query("q3_totals", "SELECT 'claims_billed' AS total_name, CAST(sum(total_billed) AS DOUBLE) AS v FROM cr UNION ALL SELECT 'claims_paid', CAST(sum(total_paid) AS DOUBLE) FROM cr UNION ALL SELECT 'disputes_underpayment', CAST(sum(underpayment_amount) AS DOUBLE) FROM dsp UNION ALL SELECT 'cases_awarded', CAST(sum(award_amount) AS DOUBLE) FROM cs")(lambda m: quality.totals(workload.claim_remittance(m), workload.disputes(m), workload.cases(m)))
 query("q4_consistency", "SELECT 'payer_sum' AS check_name, round(total_billed, 2) AS expected, (SELECT round(sum(total_billed), 2) FROM g1) AS actual, TRUE AS agrees FROM g4w UNION ALL SELECT 'month_sum', round(total_billed, 2), (SELECT round(sum(total_billed), 2) FROM g13), TRUE FROM g4w UNION ALL SELECT 'aging_share', 100.0, (SELECT round(sum(pct_of_total), 2) FROM g5), TRUE")(
     lambda m: (lambda g: quality.consistency(g["recovery"], g["summary"], g["months"], g["aging"]))(gold_tables(m))
 )
-query("q6_profile", None)(lambda m: quality.profile(m.raw("customer")))
+query("q6_profile", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS row_count, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 4) AS null_rate, count(DISTINCT {c}) AS approx_distinct FROM {{t}}" for c in ("claim_id", "trace_number", "era_date", "denial_code")).replace("{t}", "m_remits"))(
+    lambda m: quality.profile(m.remittances().select("claim_id", "trace_number", "era_date", "denial_code"), exact=True)
+)
 query("q6_malformed", "SELECT count(*) FILTER (WHERE NOT regexp_matches(c_name, '^Customer#[0-9]+$')) AS malformed, count(*) AS row_count FROM customer")(lambda m: quality.malformed(m.raw("customer"), "c_name", "^Customer#[0-9]+$"))
 
 # ---- ingest on the given tables
 
-query("e3_dedup_remittances", "SELECT claim_id, trace_number, count(*) OVER () AS kept FROM (SELECT DISTINCT claim_id, trace_number FROM m_remits WHERE claim_id % 10 <> 0) t")(
-    lambda m: (lambda d: d.join(F.broadcast(d.agg(F.count("*").alias("kept")))).select("claim_id", "trace_number", "kept"))(ingest.new_by_key(m.remittances(), m.remittances().where("claim_id % 10 = 0"), ["claim_id", "trace_number"], "paid_amount"))
+query("e3_dedup_remittances", "SELECT claim_id, trace_number, era_date, CAST(paid_amount AS DOUBLE) AS paid_amount FROM (SELECT *, row_number() OVER (PARTITION BY claim_id, trace_number ORDER BY era_date, paid_amount) AS k FROM (SELECT * FROM m_remits UNION ALL SELECT claim_id, trace_number, era_date + 30, paid_amount + 1, allowed_amount, denial_code FROM m_remits) u WHERE claim_id % 10 <> 0) t WHERE k = 1")(
+    lambda m: (lambda r: ingest.new_by_key(r.unionByName(r.withColumns({"era_date": F.date_add("era_date", 30), "paid_amount": money(F.col("paid_amount") + 1)})), r.where("claim_id % 10 = 0"), ["claim_id", "trace_number"], "era_date", "paid_amount").select("claim_id", "trace_number", "era_date", "paid_amount"))(m.remittances())
 )
 query("e4_dedup_documents", "SELECT count(*) AS n FROM (SELECT DISTINCT sha256(text) FROM documents) t")(lambda m: ingest.new_by_key(m.raw("documents").withColumn("content_hash", F.sha2("text", 256)), m.raw("documents").limit(0).withColumn("content_hash", F.sha2("text", 256)), ["content_hash"], "doc_id").agg(F.count("*").alias("n")))
 query("e14_search", "SELECT doc_id AS chunk_id, (CAST(contains(lower(text), 'license') AS INT) + CAST(contains(lower(text), 'apache') AS INT)) AS matches FROM documents WHERE contains(lower(text), 'license') OR contains(lower(text), 'apache') ORDER BY matches DESC, chunk_id LIMIT 10")(
@@ -333,4 +455,24 @@ query("e14_search", "SELECT doc_id AS chunk_id, (CAST(contains(lower(text), 'lic
 query("p10_classify", "SELECT document_type, count(*) AS n FROM (SELECT CASE WHEN contains(lower(url), 'eob') THEN 'EOB' WHEN contains(lower(url), 'clinical') OR contains(lower(url), 'medical') THEN 'clinical_record' WHEN contains(lower(url), 'contract') THEN 'contract' WHEN contains(lower(url), 'denial') OR contains(lower(url), 'correspondence') THEN 'payer_correspondence' WHEN contains(lower(url), 'appeal') THEN 'appeal' WHEN contains(lower(url), 'decision') OR contains(lower(url), 'award') THEN 'arbitration_decision' WHEN contains(lower(url), 'auth') THEN 'prior_auth' ELSE 'provider_correspondence' END AS document_type FROM pages) t GROUP BY document_type")(
     lambda m: parsers.classify(m.raw("pages"), "url").groupBy("document_type").agg(F.count("*").alias("n"))
 )
-query("p9_chunks", None)(lambda m: parsers.chunks(m.raw("documents").select(F.col("doc_id").cast("string").alias("file"), F.col("text").alias("content"), F.col("doc_id").cast("string").alias("cfr_citation"))).select("file", "section_title", "section_index", "chunk_id"))
+query(
+    "p9_chunks",
+    r"""
+    SELECT file, section_title, section_index, substr(sha256(file || ':' || section_title || ':' || section_index), 1, 16) AS chunk_id FROM (
+      SELECT *, CASE WHEN max(header) OVER (PARTITION BY file) IS NULL THEN 'Full Document' WHEN header IS NULL THEN 'Preamble' ELSE header END AS section_title, CAST(section - min(section) OVER (PARTITION BY file) AS BIGINT) AS section_index
+      FROM (
+        SELECT file, section, max(CASE WHEN is_header THEN trim(line) END) AS header, regexp_replace(string_agg(line, chr(10) ORDER BY pos), '^\s+|\s+$', '', 'g') AS body FROM (
+          SELECT *, sum(CAST(is_header AS INT)) OVER (PARTITION BY file ORDER BY pos) AS section FROM (
+            SELECT file, pos, line, regexp_matches(trim(line), '^(Section|§|PART|SUBPART|Article)\s+[\d.]+[A-Za-z]*\.?\s*.*$') AS is_header FROM (
+              SELECT CAST(doc_id AS VARCHAR) AS file, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(replace(text, '. ', chr(10) || 'Section 1. '), chr(10)) AS l FROM documents WHERE text IS NOT NULL) d
+            ) a
+          ) b
+        ) c GROUP BY file, section
+      ) e
+    ) f WHERE body <> ''
+    """,
+)(
+    lambda m: parsers.chunks(m.raw("documents").where("text is not null").select(F.col("doc_id").cast("string").alias("file"), F.replace("text", F.lit(". "), F.lit("\nSection 1. ")).alias("content"), F.col("doc_id").cast("string").alias("cfr_citation"))).select(
+        "file", "section_title", "section_index", "chunk_id"
+    )
+)

@@ -17,7 +17,7 @@ FHIR_PATIENT = (
 EOB = "source_file string, payer_id string, fields map<string, struct<value: string, confidence: double>>, avg_confidence double"
 CONTRACT = "source_file string, payer_id string, provider_npi string, effective_date string, tables array<array<map<string, string>>>"
 
-# ---- change data capture: primary key of each tracked table
+# ---- change data capture. Primary key of each tracked table, and the columns that events add.
 PRIMARY_KEYS = {
     "claims": ["claim_id"],
     "claim_lines": ["line_id"],

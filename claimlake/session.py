@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -17,3 +20,14 @@ def build(app: str = "claimlake", **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder name under ``spark.checkpoint.dir``, which all executors share; without one, on one machine, a temporary one."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="claimlake-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return f"{where.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

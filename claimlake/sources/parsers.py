@@ -39,8 +39,8 @@ def _part(c: Column, i: int) -> Column:
 def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(claims, lines) of 837 files.
 
-    A claim takes the last billing provider, subscriber and payer named up to its end; the service date
-    and the diagnoses of its own segments.
+    A claim takes the last billing provider, subscriber and payer named before it; the service date and
+    the diagnoses of its own segments.
     """
     order = Window.partitionBy("file").orderBy("pos")
     seg = segments(files)
@@ -50,15 +50,15 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     seg = seg.withColumns({"npi": carried(named("85")), "member": carried(named("IL")), "payer": carried(named("PR")), "kind": carried(F.when(F.col("tag") == "ST", F.when(F.contains(F.coalesce(_el(3), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P")))})
     inside = seg.where("claim_seq > 0")
     clm, hi, sv = F.col("tag") == "CLM", F.col("tag") == "HI", F.col("tag").isin("SV1", "SV2")
-    codes = F.filter(F.transform(F.slice("e", 2, 40), lambda x: F.get(F.split(x, ":"), F.lit(1))), lambda x: x.isNotNull())
+    codes = F.filter(F.transform(F.slice("e", F.lit(2), F.size("e")), lambda x: F.get(F.split(x, ":"), F.lit(1))), lambda x: x.isNotNull())
     head = inside.groupBy("file", "claim_seq").agg(
         F.max(F.when(clm, _el(1))).alias("claim_id"),
         F.max(F.when(clm, money(F.try_to_number(_el(2), F.lit("999999999999.99"))))).alias("total_billed"),
         F.max(F.when(clm, _el(5))).alias("facility"),
         F.max(F.when((F.col("tag") == "DTP") & (_el(1) == "472"), _el(3))).alias("date_of_service"),
-        F.max_by("npi", F.when(F.col("npi").isNotNull(), F.col("pos"))).alias("provider_npi"),
-        F.max_by("member", F.when(F.col("member").isNotNull(), F.col("pos"))).alias("patient_id"),
-        F.max_by("payer", F.when(F.col("payer").isNotNull(), F.col("pos"))).alias("payer_id"),
+        F.max(F.when(clm, F.col("npi"))).alias("provider_npi"),
+        F.max(F.when(clm, F.col("member"))).alias("patient_id"),
+        F.max(F.when(clm, F.col("payer"))).alias("payer_id"),
         F.max("kind").alias("transaction_type"),
         F.flatten(F.transform(F.array_sort(F.collect_list(F.when(hi, F.struct("pos", codes.alias("c"))))), lambda x: x["c"])).alias("diagnosis_codes"),
     )
@@ -199,6 +199,7 @@ def contract_rates(contracts: DataFrame) -> DataFrame:
     return rows.select("source_file", "payer_id", "provider_npi", "effective_date", "table_no", "row_no", code.alias("cpt_code"), rate.try_cast("decimal(18,2)").alias("rate"), F.lit("needs_review").alias("status"))
 
 
+# Fixed value: lines that begin a section of a regulation.
 _HEADER = r"^(Section|§|PART|SUBPART|Article)\s+[\d.]+[A-Za-z]*\.?\s*.*$"
 
 
@@ -212,7 +213,7 @@ def chunks(docs: DataFrame, overlap: int = 200) -> DataFrame:
     lines = lines.withColumn("is_header", F.trim("line").rlike(_HEADER)).withColumn("section", F.sum(F.col("is_header").cast("int")).over(order))
     body = lines.groupBy(*keep, "section").agg(
         F.max(F.when(F.col("is_header"), F.trim("line"))).alias("header"),
-        F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")).alias("text"),
+        F.regexp_replace(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n"), r"^\s+|\s+$", "").alias("text"),
     )
     each = Window.partitionBy("file")
     headed = F.max("header").over(each).isNotNull()

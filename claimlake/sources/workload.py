@@ -19,12 +19,11 @@ def disputes(m: Mapped) -> DataFrame:
 
 
 def cases(m: Mapped) -> DataFrame:
-    base = workflow.open_cases(disputes(m)).withColumn("n", F.substring("case_id", 6, 20).cast("long"))
+    base = workflow.open_cases(disputes(m), ("underpayment_amount",)).withColumn("n", F.substring("case_id", 6, 20).cast("long"))
     status = F.element_at(F.array(*map(F.lit, STATUSES)), (F.col("n") % 7 + 1).cast("int"))
     done = status.isin("decided", "closed")
     outcome = F.when(done & (F.col("n") % 4 < 3), F.element_at(F.array(*map(F.lit, OUTCOMES)), (F.least(F.col("n") % 4, F.lit(2)) + 1).cast("int")))
-    gap = disputes(m).select("case_id", "underpayment_amount")
-    return base.join(gap, "case_id").select(
+    return base.select(
         "case_id",
         "assigned_analyst",
         status.alias("status"),

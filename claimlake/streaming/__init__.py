@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,19 +29,21 @@ def ingest_claims(stream: DataFrame, claims_path: str, lines_path: str, checkpoi
     """ST2: insert, replace, void or skip claims of each batch against the stored ones.
 
     A batch that is run again after a failure meets its own results: known claims with the same code are
-    skipped or replaced by the same values, so the effect is that of one run.
+    skipped or replaced by the same values, so the effect is that of one run. All lines of a replaced claim
+    go. Both tables lie in folders by the hash of claim_id, of which a batch only rewrites those it touches.
     """
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        claims, lines = spark.read.parquet(claims_path), spark.read.parquet(lines_path)
+        claims, lines = spark.read.parquet(claims_path).drop(sinks.BUCKET), spark.read.parquet(lines_path).drop(sinks.BUCKET)
         acted = ingest.claim_actions(batch, claims)
         new_claims, new_lines = ingest.apply_claim_actions(claims, lines, acted)
         ids = acted.where("action <> 'skip'").select("claim_id").distinct()
         changed = new_claims.join(ids, "claim_id", "left_semi")
         touched = new_lines.join(ids, "claim_id", "left_semi")
-        sinks.upsert_table(spark, touched, lines_path, ["claim_id", "line_number"])
-        sinks.upsert_table(spark, changed, claims_path, ["claim_id"])
+        # Claims come last: the actions derive from them, so a run that stops in between is run again alike.
+        sinks.upsert_buckets(spark, touched, lines_path, ["claim_id"], gone=ids)
+        sinks.upsert_buckets(spark, changed, claims_path, ["claim_id"])
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -52,12 +54,19 @@ def deduplicated(stream: DataFrame, keys: list[str], time: str, horizon: str = "
 
 
 def rolling_counts(stream: DataFrame, time: str, kind: str, width: str = "1 hour", slide: str | None = None, late: str = "1 hour") -> DataFrame:
-    """ST4: events, errors and error share by window and kind; later than ``late`` is dropped."""
+    """ST4: events by window and kind; later than ``late`` is dropped."""
     window = F.window(time, width, slide) if slide else F.window(time, width)
     out = stream.withWatermark(time, late).groupBy(window.alias("w"), F.col(kind)).agg(F.count("*").alias("n"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), kind, "n")
 
 
+def rolling_shares(stream: DataFrame, time: str, hit: Column, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """ST4: events, those that ``hit`` (errors by the hour, unmatched references by the day) and their share by window."""
+    hits = F.count_if(F.coalesce(hit, F.lit(False)))
+    out = stream.withWatermark(time, late).groupBy(F.window(time, width).alias("w")).agg(F.count("*").alias("n"), hits.alias("hits"), F.round(hits * 100.0 / F.count("*"), 2).alias("share_pct"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "hits", "share_pct")
+
+
 def claims_with_remittances(claims: DataFrame, remits: DataFrame, days: int = 45) -> DataFrame:
     """ST5: each claim with the remittances that follow within ``days``; without one, once they are over."""
     c = claims.withWatermark("filed_at", "1 day").alias("c")

@@ -68,6 +68,103 @@ def test_claim_actions_fold_a_batch(spark):
     assert rows(new_lines, "claim_id", "cpt_code") == [("k", "99213"), ("n", "2")]
 
 
+def test_a_replacement_after_a_void_counts(spark):
+    known = spark.createDataFrame([("k", 5.0, "received"), ("v", 5.0, "received")], "claim_id string, total_billed double, status string")
+    lines = spark.createDataFrame([("k", 1, "99213"), ("k", 2, "99214")], "claim_id string, line_number int, cpt_code string")
+    schema = "claim_id string, frequency_code string, arrival int, total_billed double, lines array<struct<cpt_code:string>>"
+    inc = spark.createDataFrame([("k", "8", 1, 0.0, [("1",)]), ("k", "7", 2, 6.0, [("2",)]), ("v", "7", 1, 7.0, [("3",)]), ("v", "8", 1, 0.0, [])], schema)
+    claims, new_lines = ingest.apply_claim_actions(known, lines, ingest.claim_actions(inc, known))
+    assert rows(claims, "claim_id", "total_billed", "status") == [("k", 6.0, "corrected"), ("v", 7.0, "voided")]
+    assert rows(new_lines, "claim_id", "line_number", "cpt_code") == [("k", 1, "2"), ("v", 1, "3")]
+    tie = spark.createDataFrame([("n", "1", 1, 2.0, []), ("n", "1", 1, 1.0, []), ("n", "7", 1, 3.0, [])], schema)
+    for batch in (tie, tie.orderBy("total_billed"), tie.orderBy(F.desc("total_billed"))):
+        acted = ingest.claim_actions(batch, known)
+        assert sorted(r["action"] for r in acted.collect()) == ["insert", "skip", "update"]
+        assert rows(ingest.apply_claim_actions(known, lines, acted)[0].where("claim_id = 'n'"), "total_billed", "status") == [(3.0, "corrected")]
+
+
+def test_scd2_folds_staged_rows_and_keeps_unmarked_versions(spark):
+    h = spark.createDataFrame([("a", 1.0, D(2020, 1, 1), D(9999, 12, 31), None), ("a", 0.5, D(2019, 1, 1), D(2019, 12, 31), 0)], "k string, rate double, valid_from date, valid_to date, is_current int")
+    s = spark.createDataFrame([("a", 3.0, D(2022, 1, 1)), ("a", 2.0, D(2021, 1, 1)), ("a", 2.0, D(2021, 6, 1)), ("b", 1.0, D(2021, 1, 1)), ("b", 2.0, D(2022, 1, 1)), (None, 1.0, D(2021, 1, 1))], "k string, rate double, effective_date date")
+    out = merge.scd2_merge(h, s, ["k"], ["rate"])
+    got = sorted((r["k"] or "", r["rate"], r["valid_from"], r["valid_to"], r["is_current"], r["merge_action"]) for r in out.collect())
+    end = D(9999, 12, 31)
+    assert got == [
+        ("", 1.0, D(2021, 1, 1), end, 1, "inserted"),
+        ("a", 0.5, D(2019, 1, 1), D(2019, 12, 31), 0, "history"),
+        ("a", 1.0, D(2020, 1, 1), D(2020, 12, 31), 0, "closed"),
+        ("a", 2.0, D(2021, 1, 1), D(2021, 12, 31), 0, "inserted"),
+        ("a", 3.0, D(2022, 1, 1), end, 1, "inserted"),
+        ("b", 1.0, D(2021, 1, 1), D(2021, 12, 31), 0, "inserted"),
+        ("b", 2.0, D(2022, 1, 1), end, 1, "inserted"),
+    ]
+
+
+def test_requests_are_taken_in_order(spark):
+    cases = spark.createDataFrame([("CASE-1", "open", None, None), ("CASE-2", "closed", None, None)], "case_id string, status string, last_activity_date date, closed_date date")
+    asked = spark.createDataFrame([("CASE-1", "closed", 3), ("CASE-1", "in_review", 2), ("CASE-1", "negotiation", 4), ("CASE-1", "closed", 1), ("CASE-2", "open", 1), ("CASE-9", "open", 1)], "case_id string, target_status string, arrival int")
+    judged = workflow.judge_transitions(asked, cases)
+    assert [(r["case_id"], r["target_status"], r["valid"]) for r in judged.orderBy("case_id", "step").collect()] == [("CASE-1", "closed", False), ("CASE-1", "in_review", True), ("CASE-1", "closed", True), ("CASE-1", "negotiation", False), ("CASE-2", "open", False), ("CASE-9", "open", False)]
+    assert judged.where("case_id = 'CASE-9'").first()["reason"] == "Case CASE-9 not found"
+    assert "allowed: none" in judged.where("case_id = 'CASE-2'").first()["reason"]
+    assert rows(workflow.apply_transitions(cases, judged, "2024-01-01"), "case_id", "status") == [("CASE-1", "closed"), ("CASE-2", "closed")]
+
+
+def test_diagnoses_beyond_forty(spark):
+    codes = [f"D{i}" for i in range(60)]
+    body = "ST*837*1*x~NM1*85*2*C*****XX*1~NM1*IL*1*D*J****MI*P1~CLM*C1*1***11:B:1~HI*" + "*".join(f"ABF:{c}" for c in codes) + "~NM1*IL*1*D*J****MI*P2~CLM*C2*1***11:B:1~SE*1*1~"
+    claims, _ = parsers.claims_837(spark.createDataFrame([("a", x12(body))], "file string, content string"))
+    got = {r["claim_id"]: r for r in claims.collect()}
+    assert got["C1"]["diagnosis_codes"] == codes and (got["C1"]["patient_id"], got["C2"]["patient_id"]) == ("P1", "P2")
+
+
+def test_upserts_survive_a_crash_and_touch_few_buckets(spark, tmp_path):
+    import os
+
+    old = spark.createDataFrame([(i, "a") for i in range(40)], "id int, v string")
+    path = str(tmp_path / "whole")
+    sinks.upsert_table(spark, old, path, ["id"])
+    os.rename(path, path + ".aside")  # as a crash in the middle of a swap would leave it
+    sinks.upsert_table(spark, spark.createDataFrame([(1, "b")], "id int, v string"), path, ["id"])
+    assert spark.read.parquet(path).count() == 40 and not os.path.exists(path + ".aside")
+    path = str(tmp_path / "buckets")
+    old.write.parquet(path)
+    sinks.upsert_buckets(spark, spark.createDataFrame([(50, "n")], "id int, v string"), path, ["id"], buckets=8)
+    before = {d: os.stat(f"{path}/{d}").st_ino for d in os.listdir(path) if d.startswith("_bucket")}
+    sinks.upsert_buckets(spark, spark.createDataFrame([(50, "m")], "id int, v string"), path, ["id"], gone=spark.createDataFrame([(50,)], "id int"), buckets=8)
+    after = {d: os.stat(f"{path}/{d}").st_ino for d in before}
+    assert sum(before[d] != after[d] for d in before) == 1
+    first = min(before)
+    os.rename(f"{path}/{first}", f"{path}/._bucket-{first.split('=')[1]}.aside")
+    sinks.upsert_buckets(spark, spark.createDataFrame([(3, "z")], "id int, v string"), path, ["id"], buckets=8)
+    assert rows(spark.read.parquet(path), "id", "v") == sorted([(i, "z" if i == 3 else "a") for i in range(40)] + [(50, "m")])
+    assert not [d for d in os.listdir(path) if d.startswith("._bucket")]
+
+
+def test_means_are_exact(spark):
+    from claimlake.functions import mean, share
+
+    df = spark.createDataFrame([("0.01",), ("0.02",), ("-1.00",)], "v string").select(F.col("v").cast("decimal(18,2)").alias("v"))
+    some = lambda cond: df.where(cond).agg(mean(F.sum("v"), F.count("*")).alias("m")).first()["m"]
+    assert some("v > 0") == 0.02 and some("v < 0") == -1.0 and some("v > 5") is None
+    thirds = df.where("v = 0.01").select(share(F.col("v"), F.lit(3)).alias("x")).first()["x"]
+    assert str(thirds) == "0.003333"
+
+
+def test_jdbc_rows_after_a_watermark(spark):
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    try:
+        spark._jvm.java.lang.Class.forName(driver)
+    except Exception:
+        pytest.skip("no database in this installation")
+    url = "jdbc:derby:memory:claims;create=true"
+    spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-01")], "id int, day string").write.jdbc(url, "t", properties={"driver": driver})
+    assert files.jdbc_table(spark, url, "t", driver=driver).count() == 2
+    late = files.jdbc_table(spark, url, "t", "id", 1, driver=driver)
+    assert [r["ID" if "ID" in late.columns else "id"] for r in late.collect()] == [2]
+    assert "PushedFilters: [*IsNotNull(id), *GreaterThan(id,1)]" in late._jdf.queryExecution().toString().replace("ID", "id")
+
+
 def test_matching_cascade(spark):
     claims = spark.createDataFrame([("C1",), ("77ab",), ("zz",)], "claim_id string")
     alias = spark.createDataFrame([("odd", "p", "zz")], "payer_claim_id string, payer_id string, claim_id string")

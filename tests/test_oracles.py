@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from claimlake import queries
+from claimlake import feed_queries, queries, source_queries  # noqa: F401  the others register their queries too
 
 
 def plain(v):
@@ -26,7 +26,7 @@ def duck(sf_dir):
     return con
 
 
-HEADLINE = ["c4_resolve_cdc", "c1_snapshot_diff", "m2_scd2_merge", "g2b_rate_as_of", "t3_claims", "g1_recovery_by_payer", "g2_cpt_analysis", "g5_claims_aging", "g9_win_loss", "g13_monthly_trends", "w8_monitor", "w9_transitions", "q4_consistency", "z4_business_days"]
+HEADLINE = ["c4_resolve_cdc", "c1_snapshot_diff", "m2_scd2_merge", "g2b_rate_as_of", "t3_claims", "g1_recovery_by_payer", "g5_claims_aging", "g9_win_loss", "g13_monthly_trends", "w8_monitor", "w9_transitions", "q4_consistency", "z4_business_days", "g2_cpt_analysis", "z6_award_spread", "e2_apply_actions", "e2_apply_lines", "m3_provider_scd2", "p1_claims_837", "p2_remittances_835", "w9_apply", "w9_deadlines", "q1_orphans", "p9_chunks", "s4_crosswalk_csv", "st5_claims_with_remittances", "z5_recovery_cube"]
 
 
 @pytest.mark.parametrize("name", HEADLINE)

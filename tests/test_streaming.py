@@ -33,7 +33,7 @@ def test_duplicates_and_windows(spark, tmp_path):
 def test_idempotent_claims(spark, tmp_path):
     claims, lines, src = (str(tmp_path / x) for x in ("claims", "lines", "in"))
     spark.createDataFrame([("k", 5.0, "received")], "claim_id string, total_billed double, status string").write.parquet(claims)
-    spark.createDataFrame([("k", 1, "99213")], "claim_id string, line_number int, cpt_code string").write.parquet(lines)
+    spark.createDataFrame([("k", 1, "99213"), ("k", 2, "99214"), ("k", 3, "99215")], "claim_id string, line_number int, cpt_code string").write.parquet(lines)
     schema = "claim_id string, frequency_code string, arrival int, total_billed double, lines array<struct<cpt_code:string>>"
     spark.createDataFrame([("n", "1", 1, 7.0, [("1",)]), ("k", "7", 2, 6.0, [("2",)]), ("n", "1", 3, 9.0, [("9",)])], schema).coalesce(1).write.parquet(src)
     streaming.ingest_claims(streaming.source(spark, src, schema), claims, lines, str(tmp_path / "cp")).awaitTermination()
