@@ -6,7 +6,10 @@
 4. decontamination drops documents that hold a benchmark item;
 5. best-fit packing places the token pieces of what remains in sequences of 2048.
 
-All stages but the last return the columns of documents.
+All stages but the last return the columns of documents, and further ones that they came with, whatever
+their names. A null or empty text has no letter, so it goes with the first stage; without labelled documents
+every text does. A null doc_id is a document like others; repeated rows are near copies of each other,
+of which one stays. Without documents there are no rows, without benchmark items nothing is contaminated.
 """
 
 from __future__ import annotations
