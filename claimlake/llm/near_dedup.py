@@ -11,9 +11,9 @@ on the full sets.
 Work that a large group of copies could blow up:
 
 * texts with the same set are one class from the start; only classes are joined;
-* a class is first held against the smallest class under its key, never against all of them; while many
-  classes are left under keys of several components, they meet other hubs, first those that share the
-  most keys, so variants of one origin become one component;
+* a class is first held against one hub under its key, never against all of them: the class that meets the
+  most others there, so variants of one origin become one component. While many classes are left under
+  keys of several components, they meet other hubs;
 * then only classes are left that meet one of another component under some key. Whether such two are
   linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
   similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
@@ -49,7 +49,7 @@ BROADCAST_ROWS = 1_000_000
 #: Classes under one shingle that one task holds against others.
 PER_PART = 4_000
 #: How often classes meet a hub before they meet each other, and how few of them needn't. No link depends on these.
-HUB_TURNS, FEW_CLASSES = 3, 1_000
+HUB_TURNS, FEW_CLASSES = 1, 1_000
 
 
 def set_digests(values: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -156,6 +156,8 @@ def _like_size(a: str, b: str) -> Column:
 def confirmed(run: Run, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) of class_ids with Jaccard similarity >= 0.75 on full sets, and that similarity."""
     pairs = run.table(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs.withColumn("jaccard", F.lit(None).cast("double"))
     sets = class_sets(run, docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
     both = pairs.join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("sb")), "b")
     size = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("sizes"))
@@ -171,6 +173,8 @@ def _across(run: Run, docs: DataFrame, classes: DataFrame, mixed: DataFrame) ->
     shingles of x that is one of the |y| - ceil(6|y|/7) + 1 rarest of y; and from the first that they
     share on, either still has room for the 3/7 (|x| + |y|) that they must have in common.
     """
+    if mixed.isEmpty():
+        return mixed.select(F.col("class_id").alias("a"), F.col("root").alias("b"))
     sets = class_sets(run, docs, classes, mixed.select("class_id"))
     each = sets.select("class_id", F.explode("shingles").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
@@ -213,7 +217,7 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = run.table(now, "edges")
     before = None
-    while True:
+    while not now.isEmpty():
         sides = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = sides.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = sides.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -224,8 +228,9 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
         run.drop(now)
         now = step
         if state == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            break
         before = state
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -234,15 +239,11 @@ def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near
     ``index`` has key, class_id and n_shingles; ``near`` thins out pairs (a, b) before their sets are read.
     A link that would only close a circle inside a component need not be listed.
     """
-    first = index.groupBy("key").agg(F.min(F.struct("class_id", "n_shingles")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    shared = run.table(index.join(first, "key").select("key", "class_id", "n_shingles", F.col("first.class_id").alias("first_id"), F.col("first.n_shingles").alias("first_n")), "shared")
-    stars = shared.where((F.col("class_id") != F.col("first_id")) & _like_size("n_shingles", "first_n")).select(F.col("first_id").alias("a"), F.col("class_id").alias("b")).distinct()
-    found = confirmed(run, docs, classes, near(stars))
-    left = shared.select("key", "class_id", "n_shingles")
+    several = index.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    left = run.table(index.join(several, "key").select("key", "class_id", "n_shingles", "k"), "shared")
+    found = confirmed(run, docs, classes, near(_hub_pairs(left.withColumn("root", F.col("class_id")), None)))
     for turn in range(HUB_TURNS + 1):
         left = _mixed(run, left, components(found.select("a", "b"), run))
-        if turn == 0:
-            run.drop(shared)
         nodes = left.select("class_id", "root").distinct()
         if turn == HUB_TURNS or nodes.count() <= FEW_CLASSES:
             break
@@ -252,22 +253,20 @@ def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near
 
 
 def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
-    """``rows`` (key, class_id, n_shingles) under keys of several components, with each class's root."""
+    """``rows`` (key, class_id, n_shingles, k) under keys of several components, with each class's root."""
     at = run.table(rows.join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
     several = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     return run.table(at.join(several, "key", "left_semi"), "left")
 
 
-def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
+def _hub_pairs(rows: DataFrame, turn: int | None) -> DataFrame:
     """Pairs (a, b) of each class with one hub under its key, if that is of another component.
 
-    The first hubs are the classes that meet the most others, as the origin of many variants does; then
-    they change from turn to turn.
+    The first hubs (no ``turn``) are the classes that meet the most others, as the origin of many variants
+    does; then they change from turn to turn.
     """
-    if turn == 0:
-        size = rows.groupBy("key").agg(F.count("*").alias("k"))
-        rank = rows.join(size, "key").groupBy("class_id").agg(F.sum("k").alias("rank"))
-        ranked = rows.join(rank, "class_id")
+    if turn is None:
+        ranked = rows.join(rows.groupBy("class_id").agg(F.sum("k").alias("rank")), "class_id")
     else:
         ranked = rows.withColumn("rank", F.xxhash64("class_id", F.lit(turn)))
     hub = ranked.groupBy("key").agg(F.max(F.struct("rank", "class_id", "n_shingles", "root")).alias("hub"))
