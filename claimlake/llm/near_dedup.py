@@ -115,7 +115,9 @@ def class_sets(run: Run, docs: DataFrame, classes: DataFrame, wanted: DataFrame)
     names = run.table(classes.join(wanted, "class_id").select("class_id", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")), "wanted")
     ids = F.broadcast(names) if names.count() <= BROADCAST_ROWS else names
     texts = slim_texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("class_id", "text")
-    return run.table(texts.mapInArrow(_set_batches, "class_id long, shingles array<long>").dropDuplicates(["class_id"]), "sets")
+    sets = run.table(texts.mapInArrow(_set_batches, "class_id long, shingles array<long>").dropDuplicates(["class_id"]), "sets")
+    run.drop(names)
+    return sets
 
 
 def _keys() -> Column:
@@ -174,7 +176,7 @@ def _across(run: Run, docs: DataFrame, classes: DataFrame, mixed: DataFrame) ->
     share on, either still has room for the 3/7 (|x| + |y|) that they must have in common.
     """
     if mixed.isEmpty():
-        return mixed.select(F.col("class_id").alias("a"), F.col("root").alias("b"))
+        return run.table(mixed.select(F.col("class_id").alias("a"), F.col("root").alias("b")), "across")
     sets = class_sets(run, docs, classes, mixed.select("class_id"))
     each = sets.select("class_id", F.explode("shingles").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
@@ -204,7 +206,9 @@ def _across(run: Run, docs: DataFrame, classes: DataFrame, mixed: DataFrame) ->
     x = marked.select("shingle", to.alias("side"), F.pmod(F.xxhash64("class_id"), "parts").alias("part"), F.col("class_id").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("rest").alias("tx"))
     y = marked.where("enters").select("shingle", F.col("is_main").alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), F.col("class_id").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("rest").alias("ty"))
     pairs = x.join(y, ["shingle", "side", "part"]).where("rx <> ry and nx >= ny and 4 * ny >= 3 * nx and 7 * least(tx, ty) >= 3 * (nx + ny)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    out = run.table(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "across")
+    run.drop(marked)
+    return out
 
 
 def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
@@ -230,7 +234,9 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
         if state == before:
             break
         before = state
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    out.shared_path = now.shared_path
+    return out
 
 
 def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -248,15 +254,25 @@ def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near
         if turn == HUB_TURNS or nodes.count() <= FEW_CLASSES:
             break
         found = found.unionByName(confirmed(run, docs, classes, near(_hub_pairs(left, turn))))
-        left = left.drop("root")
-    return found.unionByName(confirmed(run, docs, classes, near(_across(run, docs, classes, run.table(nodes, "mixed")))))
+    mixed = run.table(nodes, "mixed")
+    run.drop(left)
+    across = _across(run, docs, classes, mixed)
+    run.drop(mixed)
+    return found.unionByName(confirmed(run, docs, classes, near(across)))
 
 
 def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
-    """``rows`` (key, class_id, n_shingles, k) under keys of several components, with each class's root."""
-    at = run.table(rows.join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
+    """``rows`` (key, class_id, n_shingles, k) under keys of several components, with each class's root.
+
+    Takes the place of ``rows`` and ``root``, which go.
+    """
+    bare = rows.select("key", "class_id", "n_shingles", "k")
+    at = run.table(bare.join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
+    run.drop(root, rows)
     several = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    return run.table(at.join(several, "key", "left_semi"), "left")
+    out = run.table(at.join(several, "key", "left_semi"), "left")
+    run.drop(at)
+    return out
 
 
 def _hub_pairs(rows: DataFrame, turn: int | None) -> DataFrame:

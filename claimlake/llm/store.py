@@ -81,7 +81,7 @@ class Run:
         """Delete tables that no later plan reads."""
         for t in tables:
             discard(t)
-            self.tables = [x for x in self.tables if x is not t]
+            self.tables = [x for x in self.tables if x.shared_path != t.shared_path]
 
     def result(self, df: DataFrame) -> DataFrame:
         """Write the result; all other tables of the run go."""
