@@ -11,9 +11,7 @@ on the full sets.
 Work that a large group of copies could blow up:
 
 * texts with the same set are one class from the start; only classes are joined;
-* a class is first held against one hub under its key, never against all of them: the class that meets the
-  most others there, so variants of one origin become one component. While many classes are left under
-  keys of several components, they meet other hubs;
+* a class is first held against one hub under its key, never against all of them;
 * then only classes are left that meet one of another component under some key. Whether such two are
   linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
   similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
@@ -34,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
@@ -48,8 +46,8 @@ MAX_DISTANCE = 2 * CHUNKS - 1
 BROADCAST_ROWS = 1_000_000
 #: Classes under one shingle that one task holds against others.
 PER_PART = 4_000
-#: How often classes meet a hub before they meet each other, and how few of them needn't. No link depends on these.
-HUB_TURNS, FEW_CLASSES = 1, 1_000
+#: So few classes meet each other without a further hub. No link depends on this.
+FEW_CLASSES = 1_000
 
 
 def set_digests(values: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -218,42 +216,47 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
     neighbours; the number of rounds grows with the logarithm of a component's size.
     """
     run = run or Run(edges.sparkSession, "components")
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = run.table(now, "edges")
+
+    def write(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """The table, with its count and a sum of its rows' hashes as they were written."""
+        seen = Observation()
+        out = run.table(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")), "edges")
+        return out, (seen.get["n"], seen.get["hash"])
+
+    now, state = write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    while not now.isEmpty():
+    while state[0] and state != before:
+        before = state
         sides = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = sides.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = sides.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        step = run.table(small, "edges")
-        state = step.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        run.drop(now)
-        now = step
-        if state == before:
-            break
-        before = state
+        old, (now, state) = now, write(small)
+        run.drop(old)
     out = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out.shared_path = now.shared_path
     return out
 
 
-def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame], turns: int = 0) -> DataFrame:
     """Links (a, b, jaccard) that connect all classes of similarity 0.75 that meet under a key of ``index``.
 
     ``index`` has key, class_id and n_shingles; ``near`` thins out pairs (a, b) before their sets are read.
-    A link that would only close a circle inside a component need not be listed.
+    A link that would only close a circle inside a component need not be listed. Without ``turns`` the hub of
+    a key is its smallest class, which differs from key to key where a class has many of them. With ``turns``
+    it is the class that meets the most others, and so many more hubs follow while many classes are left.
     """
     several = index.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
     left = run.table(index.join(several, "key").select("key", "class_id", "n_shingles", "k"), "shared")
-    found = confirmed(run, docs, classes, near(_hub_pairs(left.withColumn("root", F.col("class_id")), None)))
-    for turn in range(HUB_TURNS + 1):
+    ranked = left.join(left.groupBy("class_id").agg(F.sum("k").alias("rank")), "class_id") if turns else left.withColumn("rank", -F.col("class_id"))
+    found = confirmed(run, docs, classes, near(_hub_pairs(ranked.withColumn("root", F.col("class_id")))))
+    for turn in range(turns + 1):
         left = _mixed(run, left, components(found.select("a", "b"), run))
         nodes = left.select("class_id", "root").distinct()
-        if turn == HUB_TURNS or nodes.count() <= FEW_CLASSES:
+        if turn == turns or nodes.count() <= FEW_CLASSES:
             break
-        found = found.unionByName(confirmed(run, docs, classes, near(_hub_pairs(left, turn))))
+        found = found.unionByName(confirmed(run, docs, classes, near(_hub_pairs(left.withColumn("rank", F.xxhash64("class_id", F.lit(turn)))))))
     mixed = run.table(nodes, "mixed")
     run.drop(left)
     across = _across(run, docs, classes, mixed)
@@ -275,17 +278,9 @@ def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
     return out
 
 
-def _hub_pairs(rows: DataFrame, turn: int | None) -> DataFrame:
-    """Pairs (a, b) of each class with one hub under its key, if that is of another component.
-
-    The first hubs (no ``turn``) are the classes that meet the most others, as the origin of many variants
-    does; then they change from turn to turn.
-    """
-    if turn is None:
-        ranked = rows.join(rows.groupBy("class_id").agg(F.sum("k").alias("rank")), "class_id")
-    else:
-        ranked = rows.withColumn("rank", F.xxhash64("class_id", F.lit(turn)))
-    hub = ranked.groupBy("key").agg(F.max(F.struct("rank", "class_id", "n_shingles", "root")).alias("hub"))
+def _hub_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class with the hub under its key, that of the highest rank, if it is of another component."""
+    hub = rows.groupBy("key").agg(F.max(F.struct("rank", "class_id", "n_shingles", "root")).alias("hub"))
     both = rows.join(hub.select("key", F.col("hub.class_id").alias("h"), F.col("hub.n_shingles").alias("nh"), F.col("hub.root").alias("rh")), "key")
     return both.where((F.col("root") != F.col("rh")) & _like_size("n_shingles", "nh")).select(F.least("h", "class_id").alias("a"), F.greatest("h", "class_id").alias("b")).distinct()
 
