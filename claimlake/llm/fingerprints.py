@@ -148,7 +148,7 @@ def _linked(run: Run, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     classes = near_dedup.set_classes(run, prints, "fingerprint")
     width = 4 * BAND
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("fingerprint", k * width + 1, width)) for k in range(SYMBOLS // BAND)])
-    index = classes.select("class_id", "n_shingles", F.explode(bands).alias("key"))
+    index = classes.select("class_id", "n_shingles", F.col("first.doc_id").alias("doc_id"), F.explode(bands).alias("key"))
     return prints, classes, near_dedup.settle(run, docs, classes, index, lambda pairs: pairs, turns=1)
 
 

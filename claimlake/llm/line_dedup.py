@@ -63,23 +63,24 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     worst = materialise(boilerplate(docs, min_sites), "boilerplate")
     hits = _meet(lines(docs), worst).where(~F.struct("doc_id", "row", "at").eqNullSafe(F.col("first"))).select("doc_id", "row", "at")
     drop = hits.groupBy(F.col("doc_id").alias("_drop_doc"), F.col("row").alias("_drop_row")).agg(F.collect_set("at").alias("_drop"))
-    all_lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "_drop")
+    text, lost = docs["text"], drop["_drop"]
+    all_lines = F.split(text, "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), lost)
     rest = F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
-    return (
-        docs.join(drop, docs["doc_id"].eqNullSafe(F.col("_drop_doc")) & (_row_hash(docs["text"]) == F.col("_drop_row")), "left")
-        .withColumn("clean_text", F.when(F.col("_drop").isNull() | F.col("text").isNull(), F.col("text")).otherwise(rest))
-        .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long"))
-        .withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size("_drop"), F.lit(0))).cast("long"))
-        .drop("_drop_doc", "_drop_row", "_drop")
+    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_drop_doc"]) & (_row_hash(text) == drop["_drop_row"]), "left").select(
+        *[docs[c] for c in docs.columns],
+        F.when(lost.isNull() | text.isNull(), text).otherwise(rest).alias("clean_text"),
+        F.when(text.isNull(), 0).otherwise(F.size(all_lines)).cast("long").alias("n_lines"),
+        F.when(text.isNull(), 0).otherwise(F.coalesce(F.size(lost), F.lit(0))).cast("long").alias("n_removed"),
     )
 
 
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with clean texts; a document of which nothing is left goes."""
-    out = clean(docs, min_sites).where("n_removed = 0 or trim(replace(clean_text, '\\n', ' ')) <> ''")
+    whole = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))  # no name can clash
+    out = clean(whole, min_sites).where("n_removed = 0 or trim(replace(clean_text, '\\n', ' ')) <> ''")
     done = {"text": F.col("clean_text").alias("text"), "n_chars": F.length("clean_text").cast("long").alias("n_chars")}
-    return out.select([done.get(c, F.col(c)) for c in docs.columns])
+    return out.select([done.get(c, F.col(f"_all.`{c}`").alias(c)) for c in docs.columns])
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

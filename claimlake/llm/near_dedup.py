@@ -11,7 +11,7 @@ on the full sets.
 Work that a large group of copies could blow up:
 
 * texts with the same set are one class from the start; only classes are joined;
-* a class is first held against one hub under its key, never against all of them;
+* a class is first held against one hub under its key, that of the smallest doc_id, never against all;
 * then only classes are left that meet one of another component under some key. Whether such two are
   linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
   similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
@@ -242,15 +242,14 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
 def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame], turns: int = 0) -> DataFrame:
     """Links (a, b, jaccard) that connect all classes of similarity 0.75 that meet under a key of ``index``.
 
-    ``index`` has key, class_id and n_shingles; ``near`` thins out pairs (a, b) before their sets are read.
-    A link that would only close a circle inside a component need not be listed. Without ``turns`` the hub of
-    a key is its smallest class, which differs from key to key where a class has many of them. With ``turns``
-    it is the class that meets the most others, and so many more hubs follow while many classes are left.
+    ``index`` has key, class_id, n_shingles and doc_id; ``near`` thins out pairs (a, b) before their sets are
+    read. A link that would only close a circle inside a component need not be listed. The hub of a key is
+    its class of the smallest doc_id, so often the origin of the variants that meet there. With ``turns``, so
+    many more hubs follow while many classes are left.
     """
     several = index.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-    left = run.table(index.join(several, "key").select("key", "class_id", "n_shingles", "k"), "shared")
-    ranked = left.join(left.groupBy("class_id").agg(F.sum("k").alias("rank")), "class_id") if turns else left.withColumn("rank", -F.col("class_id"))
-    found = confirmed(run, docs, classes, near(_hub_pairs(ranked.withColumn("root", F.col("class_id")))))
+    left = run.table(index.join(several, "key").select("key", "class_id", "n_shingles", "doc_id"), "shared")
+    found = confirmed(run, docs, classes, near(_hub_pairs(left.withColumns({"rank": -F.col("doc_id"), "root": F.col("class_id")}))))
     for turn in range(turns + 1):
         left = _mixed(run, left, components(found.select("a", "b"), run))
         nodes = left.select("class_id", "root").distinct()
@@ -265,11 +264,11 @@ def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near
 
 
 def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
-    """``rows`` (key, class_id, n_shingles, k) under keys of several components, with each class's root.
+    """``rows`` (key, class_id, n_shingles) under keys of several components, with each class's root.
 
     Takes the place of ``rows`` and ``root``, which go.
     """
-    bare = rows.select("key", "class_id", "n_shingles", "k")
+    bare = rows.select("key", "class_id", "n_shingles")
     at = run.table(bare.join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
     run.drop(root, rows)
     several = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
@@ -290,7 +289,7 @@ def placed(run: Run, docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     sketch = run.table(sketches(docs), "sketches")
     classes = set_classes(run, sketch, "chunks")
-    index = classes.select("class_id", "n_shingles", _keys().alias("key"))
+    index = classes.select("class_id", "n_shingles", F.col("first.doc_id").alias("doc_id"), _keys().alias("key"))
     links = settle(run, docs, classes, index, lambda pairs: _within_distance(pairs, classes))
     root = components(links.select("a", "b"), run)
     names = classes.select("set_hi", "set_lo", F.col("n_shingles").alias("n"), "class_id").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").select("set_hi", "set_lo", "n", F.coalesce("root", "class_id").alias("root"))
@@ -322,11 +321,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     same = F.col("b.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("b.text_hash") == F.col("c.text_hash"))
     kept = best.select("best.*").alias("b").join(copies.alias("c"), same).select(F.col("b.doc_id").alias("_kept_id"), F.col("b.text_hash").alias("_kept_hash"), F.col("k").alias("_copies"))
     kept = run.result(kept.unionByName(bare))
-    held = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_kept_hash")))
-    once = held.where("_copies = 1").select([docs[c] for c in docs.columns])
+    held = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["_kept_hash"]))
+    own = [docs[c] for c in docs.columns]
+    once = held.where(kept["_copies"] == 1).select(own)
     if kept.where("_copies > 1").isEmpty():
         return once
-    return once.unionByName(held.where("_copies > 1").dropDuplicates(["_kept_id", "_kept_hash"]).select([docs[c] for c in docs.columns]))
+    twice = held.where(kept["_copies"] > 1).select(F.struct(*own).alias("row"), kept["_kept_id"].alias("i"), kept["_kept_hash"].alias("h")).dropDuplicates(["i", "h"])
+    return once.unionByName(twice.select("row.*"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
