@@ -3,7 +3,7 @@
 A text is the set of its 5-word shingles (with fewer words, of all its words as one). A fingerprint is 64
 minima under universal hash functions, kept to 16 bits each, in hexadecimal. The likeness of two
 fingerprints is the share of equal minima, which estimates the Jaccard similarity of the sets; two texts
-without a word are alike if they are equal.
+without a word are alike.
 
 Texts that share a band of four minima are joined in Spark and verified on their full sets; links that
 hold make groups.
@@ -148,17 +148,17 @@ def _linked(run: Run, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     classes = near_dedup.set_classes(run, prints, "fingerprint")
     width = 4 * BAND
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("fingerprint", k * width + 1, width)) for k in range(SYMBOLS // BAND)])
-    index = classes.select("class_id", "n_shingles", F.col("first.doc_id").alias("doc_id"), F.explode(bands).alias("key"))
-    return prints, classes, near_dedup.settle(run, docs, classes, index, lambda pairs: pairs, turns=1)
+    index = classes.select("class_id", "n_shingles", F.col("first.doc_id").alias("doc_id"), F.lit(SYMBOLS // BAND).alias("keys"), F.explode(bands).alias("key"))
+    links = near_dedup.settle(run, index, lambda pairs: near_dedup.confirmed(run, docs, classes, pairs), lambda mixed: near_dedup._across(run, docs, classes, mixed))
+    return prints, classes, links
 
 
 def near_links(docs: DataFrame) -> DataFrame:
     """Links (a, b, jaccard) of texts that share a band of minima, verified on full shingle sets at 0.75 or more.
 
-    Texts with equal sets are one class, whose members are linked with its smallest doc_id. Under each
-    band the classes are held against the smallest one first, so a group of them makes as many rows as it
-    has members. Buckets that still hold several components are then settled on their full sets by
-    prefixes. So the links connect what links of all pairs that share a band would; a link that would
+    Texts with equal sets are one class, whose members are linked with its smallest doc_id. Classes are held
+    against hubs of their bands first, so a group of them makes as many rows as it has members. Bands
+    that still hold several components are then settled on their full sets by prefixes. So the links connect what links of all pairs that share a band would; a link that would
     only close a circle inside a component need not be listed.
     """
     run = Run(docs.sparkSession, "near_links")

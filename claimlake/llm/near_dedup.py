@@ -11,7 +11,10 @@ on the full sets.
 Work that a large group of copies could blow up:
 
 * texts with the same set are one class from the start; only classes are joined;
-* a class is first held against one hub under its key, that of the smallest doc_id, never against all;
+* a class is first held against two hubs, never against all: of the classes it meets, the one that meets the
+  most under its keys, and that of the smallest doc_id. So the origin of a group of variants meets all of
+  them, however documents are numbered, and a turn makes two pairs a class at most. Further turns take
+  hubs of other components at random while that leaves fewer;
 * then only classes are left that meet one of another component under some key. Whether such two are
   linked is settled on their full sets by prefixes: with shingles in order of rarity, sets of
   similarity 0.75 share one of the first quarter of the larger and of the first seventh of the
@@ -46,8 +49,8 @@ MAX_DISTANCE = 2 * CHUNKS - 1
 BROADCAST_ROWS = 1_000_000
 #: Classes under one shingle that one task holds against others.
 PER_PART = 4_000
-#: So few classes meet each other without a further hub. No link depends on this.
-FEW_CLASSES = 1_000
+#: Turns of hubs at most, and so few classes as meet each other without a further turn. No link depends on these.
+TURNS, FEW_CLASSES = 4, 1_000
 
 
 def set_digests(values: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -57,12 +60,12 @@ def set_digests(values: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (sums[begin[1:]] - sums[begin[:-1]]).view(np.int64)
 
 
-def text_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Ranges of texts with the distinct 5-word shingle hashes of each, one after another, and their counts."""
+def text_sets(texts: pa.Array, words: int = S.WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of texts with the distinct shingle hashes of each, one after another, and their counts."""
     raw, at = S.text_bytes(texts)
     for i, j in S.blocks(at):
         h, owner, _, _ = S.word_hashes(raw[at[i] : at[j]], at[i : j + 1] - at[i])
-        values, n = S.distinct_per_text(*S.shingle_hashes(h, owner, j - i))
+        values, n = S.distinct_per_text(*S.shingle_hashes(h, owner, j - i, words))
         yield i, j, values, n
 
 
@@ -100,20 +103,20 @@ def set_classes(run: Run, sketch: DataFrame, carry: str) -> DataFrame:
     return run.table(some.withColumn("class_id", F.monotonically_increasing_id()), "classes")
 
 
-def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, j, values, n in text_sets(batch.column("text")):
-            ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))], ["class_id", "shingles"])
-    give_back()
+def class_sets(run: Run, docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int = S.WORDS) -> DataFrame:
+    """Full shingle sets of the classes in ``wanted`` (class_id, distinct), from the text that represents each."""
 
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            for i, j, values, n in text_sets(batch.column("text"), words):
+                ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))], ["class_id", "shingles"])
+        give_back()
 
-def class_sets(run: Run, docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Full shingle sets of the classes in ``wanted`` (class_id, distinct), from the text that represents each."""
     names = run.table(classes.join(wanted, "class_id").select("class_id", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")), "wanted")
     ids = F.broadcast(names) if names.count() <= BROADCAST_ROWS else names
     texts = slim_texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("class_id", "text")
-    sets = run.table(texts.mapInArrow(_set_batches, "class_id long, shingles array<long>").dropDuplicates(["class_id"]), "sets")
+    sets = run.table(texts.mapInArrow(batches, "class_id long, shingles array<long>").dropDuplicates(["class_id"]), "sets")
     run.drop(names)
     return sets
 
@@ -148,9 +151,9 @@ def _within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(_distance("ca", "cb") <= MAX_DISTANCE).select("a", "b")
 
 
-def _like_size(a: str, b: str) -> Column:
-    """Sets whose sizes alone rule out 0.75 need no look."""
-    return (F.col(a) * 4 >= F.col(b) * 3) & (F.col(b) * 4 >= F.col(a) * 3)
+def _like_size(a: str, b: str, percent: int) -> Column:
+    """Sets whose sizes alone rule out so high a similarity need no look."""
+    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
 def confirmed(run: Run, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -194,6 +197,16 @@ def _across(run: Run, docs: DataFrame, classes: DataFrame, mixed: DataFrame) ->
     )
     heads = run.table(heads, "prefixes")
     run.drop(sets)
+    return pairs_between(run, heads, 75)
+
+
+def pairs_between(run: Run, heads: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of classes of different components that share a shingle of ``heads``.
+
+    ``heads`` has class_id, root, n (set size), shingle, rest (shingles of the set from this one on), and enters:
+    whether it is one of those that suffice for the smaller set of a pair. It goes. Pairs that size or rest rule out
+    are left out.
+    """
     # Only shingles of several components matter. The largest component under a shingle needn't meet itself, so
     # no more pairs are looked at than twice those of different components.
     by_root = heads.groupBy("shingle", "root").agg(F.count("*").alias("k"))
@@ -203,7 +216,7 @@ def _across(run: Run, docs: DataFrame, classes: DataFrame, mixed: DataFrame) ->
     to = F.explode(F.when(F.col("is_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
     x = marked.select("shingle", to.alias("side"), F.pmod(F.xxhash64("class_id"), "parts").alias("part"), F.col("class_id").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("rest").alias("tx"))
     y = marked.where("enters").select("shingle", F.col("is_main").alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), F.col("class_id").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("rest").alias("ty"))
-    pairs = x.join(y, ["shingle", "side", "part"]).where("rx <> ry and nx >= ny and 4 * ny >= 3 * nx and 7 * least(tx, ty) >= 3 * (nx + ny)")
+    pairs = x.join(y, ["shingle", "side", "part"]).where(f"rx <> ry and nx >= ny and 100 * ny >= {percent} * nx and {100 + percent} * least(tx, ty) >= {percent} * (nx + ny)")
     out = run.table(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "across")
     run.drop(marked)
     return out
@@ -239,36 +252,42 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
     return out
 
 
-def settle(run: Run, docs: DataFrame, classes: DataFrame, index: DataFrame, near: Callable[[DataFrame], DataFrame], turns: int = 0) -> DataFrame:
-    """Links (a, b, jaccard) that connect all classes of similarity 0.75 that meet under a key of ``index``.
+def settle(run: Run, index: DataFrame, confirm: Callable[[DataFrame], DataFrame], across: Callable[[DataFrame], DataFrame], percent: int = 75) -> DataFrame:
+    """Links that connect all classes of so high a similarity that meet under a key of ``index``.
 
-    ``index`` has key, class_id, n_shingles and doc_id; ``near`` thins out pairs (a, b) before their sets are
-    read. A link that would only close a circle inside a component need not be listed. The hub of a key is
-    its class of the smallest doc_id, so often the origin of the variants that meet there. With ``turns``, so
-    many more hubs follow while many classes are left.
+    ``index`` has key, class_id, n_shingles, doc_id and keys (how many keys the class may have); ``confirm`` returns
+    those of some pairs (a, b) that are links, ``across`` the pairs of different components among classes
+    (class_id, root) that may be. A link that would only close a circle inside a component need not be listed.
     """
     several = index.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-    left = run.table(index.join(several, "key").select("key", "class_id", "n_shingles", "doc_id"), "shared")
-    found = confirmed(run, docs, classes, near(_hub_pairs(left.withColumns({"rank": -F.col("doc_id"), "root": F.col("class_id")}))))
-    for turn in range(turns + 1):
+    met = index.join(several, "key")
+    left = run.table(met.select("key", "class_id", "n_shingles", "doc_id", "k"), "shared")
+    rank = run.table(met.groupBy("class_id").agg((F.sum("k") / F.first("keys")).alias("rank")), "ranks")
+    first = left.join(rank, "class_id").withColumn("root", F.col("class_id"))
+    found = confirm(_hub_pairs(first, percent).unionByName(_hub_pairs(first.withColumn("rank", -F.col("doc_id").cast("double")), percent)).distinct())
+    run.drop(rank)
+    before = None
+    for turn in range(1, TURNS + 1):
         left = _mixed(run, left, components(found.select("a", "b"), run))
         nodes = left.select("class_id", "root").distinct()
-        if turn == turns or nodes.count() <= FEW_CLASSES:
+        n = nodes.count()
+        if turn == TURNS or n <= FEW_CLASSES or (before is not None and 2 * n > before):
             break
-        found = found.unionByName(confirmed(run, docs, classes, near(_hub_pairs(left.withColumn("rank", F.xxhash64("class_id", F.lit(turn)))))))
+        before = n
+        found = found.unionByName(confirm(_hub_pairs(left.withColumn("rank", F.xxhash64("class_id", F.lit(turn)).cast("double")), percent)))
     mixed = run.table(nodes, "mixed")
     run.drop(left)
-    across = _across(run, docs, classes, mixed)
+    pairs = across(mixed)
     run.drop(mixed)
-    return found.unionByName(confirmed(run, docs, classes, near(across)))
+    return found.unionByName(confirm(pairs))
 
 
 def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
-    """``rows`` (key, class_id, n_shingles) under keys of several components, with each class's root.
+    """``rows`` under keys of several components, with each class's root.
 
     Takes the place of ``rows`` and ``root``, which go.
     """
-    bare = rows.select("key", "class_id", "n_shingles")
+    bare = rows.drop("root")
     at = run.table(bare.join(root.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id")), "placed")
     run.drop(root, rows)
     several = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
@@ -277,11 +296,16 @@ def _mixed(run: Run, rows: DataFrame, root: DataFrame) -> DataFrame:
     return out
 
 
-def _hub_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each class with the hub under its key, that of the highest rank, if it is of another component."""
-    hub = rows.groupBy("key").agg(F.max(F.struct("rank", "class_id", "n_shingles", "root")).alias("hub"))
-    both = rows.join(hub.select("key", F.col("hub.class_id").alias("h"), F.col("hub.n_shingles").alias("nh"), F.col("hub.root").alias("rh")), "key")
-    return both.where((F.col("root") != F.col("rh")) & _like_size("n_shingles", "nh")).select(F.least("h", "class_id").alias("a"), F.greatest("h", "class_id").alias("b")).distinct()
+def _hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each class with one other: of the hubs of its keys, the one of the highest rank.
+
+    The hub of a key is its class of the highest rank, then smallest class_id. At most one pair a class, and none
+    inside a component.
+    """
+    hub = rows.groupBy("key").agg(F.max(F.struct(F.coalesce("rank", F.lit(float("-inf"))).alias("rank"), (-F.col("class_id")).alias("minus"), "n_shingles", "root")).alias("hub"))
+    both = rows.select("key", "class_id", "n_shingles", "root").join(hub, "key").where("root <> hub.root").withColumn("nh", F.col("hub.n_shingles"))
+    chosen = both.where(_like_size("n_shingles", "nh", percent)).groupBy("class_id").agg(F.max("hub").alias("hub")).select("class_id", (-F.col("hub.minus")).alias("h"))
+    return chosen.select(F.least("h", "class_id").alias("a"), F.greatest("h", "class_id").alias("b")).distinct()
 
 
 def placed(run: Run, docs: DataFrame) -> DataFrame:
@@ -289,13 +313,18 @@ def placed(run: Run, docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     sketch = run.table(sketches(docs), "sketches")
     classes = set_classes(run, sketch, "chunks")
-    index = classes.select("class_id", "n_shingles", F.col("first.doc_id").alias("doc_id"), _keys().alias("key"))
-    links = settle(run, docs, classes, index, lambda pairs: _within_distance(pairs, classes))
+    index = classes.select("class_id", "n_shingles", F.col("first.doc_id").alias("doc_id"), F.lit(CHUNKS * PER_CHUNK).alias("keys"), _keys().alias("key"))
+    links = settle(run, index, lambda pairs: confirmed(run, docs, classes, _within_distance(pairs, classes)), lambda mixed: _across(run, docs, classes, mixed))
+    return by_class(run, sketch.drop("chunks"), classes, links)
+
+
+def by_class(run: Run, sketch: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles and root of each row of ``sketch``, from links (a, b) of classes."""
     root = components(links.select("a", "b"), run)
     names = classes.select("set_hi", "set_lo", F.col("n_shingles").alias("n"), "class_id").join(root.withColumnRenamed("node", "class_id"), "class_id", "left").select("set_hi", "set_lo", "n", F.coalesce("root", "class_id").alias("root"))
     names = names.withColumnsRenamed({"set_hi": "_hi", "set_lo": "_lo"})
     on = (F.col("set_hi") == F.col("_hi")) & (F.col("set_lo") == F.col("_lo")) & (F.col("n_shingles") == F.col("n"))
-    return run.table(sketch.drop("chunks").join(names, on, "left").select("doc_id", "text_hash", "n_shingles", "root"), "placed")
+    return run.table(sketch.join(names, on, "left").select("doc_id", "text_hash", "n_shingles", "root"), "placed")
 
 
 def groups(docs: DataFrame) -> DataFrame:

@@ -64,14 +64,21 @@ def blocks(at: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, text number, start and end of each word of the texts raw[at[i]:at[i+1]]."""
+def byte_table(chars: bytes) -> np.ndarray:
+    """True for the bytes of ``chars``."""
+    out = np.zeros(256, dtype=bool)
+    out[list(chars)] = True
+    return out
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text number, start and end of each word of the texts raw[at[i]:at[i+1]], cut at bytes of ``between``."""
     n = len(raw)
     if not n:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
     low = _LOWER[raw]
-    inside = ~_SPACE[low]
+    inside = ~between[low]
     cut = np.zeros(n + 1, dtype=bool)  # a text begins here
     cut[at] = True
     starts = np.flatnonzero(inside & ~(np.concatenate(([False], inside[:-1])) & ~cut[:-1]))
