@@ -64,6 +64,11 @@ def blocks(at: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def lower(raw: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case."""
+    return _LOWER[raw]
+
+
 def byte_table(chars: bytes) -> np.ndarray:
     """True for the bytes of ``chars``."""
     out = np.zeros(256, dtype=bool)
