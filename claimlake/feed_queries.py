@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import streaming
 from .operators import ingest, merge, sinks
+from .operators.table import VersionedTable
 from .plans import design, reports, silver
-from .queries import Gold, fees, query
+from .plans.incremental import CLAIM, REMITTANCE, GoldViews
+from .queries import CTE, fees, query
 from .session import scratch
-from .sources.mapped import Mapped
+from .sources.mapped import AS_OF, Mapped
 
 
 @query("t1_patients", "SELECT c_custkey AS patient_id, c_name AS last_name, c_mktsegment AS insurance_id FROM customer")
@@ -173,7 +175,29 @@ def _stream_bronze(m: Mapped) -> DataFrame:
     m.raw("events").write.parquet(f"{base}/in")
     for _ in range(2):
         streaming.bronze(m.spark, f"{base}/in", m.raw("events").schema, "events", f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return m.spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "_cdc_operation", "_source_table")
+    return VersionedTable(m.spark, f"{base}/out").read().select("event_id", "user_id", "event_type", "_cdc_operation", "_source_table")
+
+
+def _forget_last_batch(m: Mapped, checkpoint: str) -> None:
+    """Take a stream's last batch out of its log of finished ones, as a crash after the write leaves it."""
+    fs_path = m.spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = fs_path.getFileSystem(m.spark._jsc.hadoopConfiguration())
+    names = [s.getPath() for s in fs.listStatus(fs_path) if s.getPath().getName().isdigit()]
+    fs.delete(max(names, key=lambda p: int(p.getName())), False)
+
+
+@query("st1_replayed", "SELECT event_id, user_id, event_type, props, 'I' AS _cdc_operation, 'events' AS _source_table FROM events")
+def _replayed_bronze(m: Mapped) -> DataFrame:
+    """Two batches, the second of which is run twice."""
+    base = scratch(m.spark, "bronze")
+    rows = m.raw("events")
+    run = lambda: streaming.bronze(m.spark, f"{base}/in", rows.schema, "events", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    for part in ("event_id % 2 = 0", "event_id % 2 <> 0"):
+        rows.where(part).write.mode("append").parquet(f"{base}/in")
+        run()
+    _forget_last_batch(m, f"{base}/checkpoint")
+    run()
+    return VersionedTable(m.spark, f"{base}/out").read().select("event_id", "user_id", "event_type", "props", "_cdc_operation", "_source_table")
 
 
 def _stream_claims(m: Mapped) -> str:
@@ -181,8 +205,8 @@ def _stream_claims(m: Mapped) -> str:
 
     base = scratch(m.spark, "claims")
     claims, lines = _stored(m)
-    claims.write.parquet(f"{base}/claims")
-    lines.write.parquet(f"{base}/lines")
+    VersionedTable(m.spark, f"{base}/claims").upsert(claims, ["claim_id"])
+    VersionedTable(m.spark, f"{base}/lines").upsert(lines, ["claim_id"])
     rows = _incoming(m)
     for late in (False, True):  # two batches: the files of the second come when the first is done
         rows.where("arrival >= 3" if late else "arrival < 3").write.mode("append").parquet(f"{base}/in")
@@ -194,8 +218,8 @@ def _register_claims() -> None:
     from .source_queries import _AFTER, _AFTER_LINES
 
     untouched = " UNION ALL SELECT claim_id, CAST(total_billed AS DOUBLE), 'filed' FROM m_claims WHERE claim_id % 4 = 0 AND claim_id NOT IN (SELECT claim_id FROM m_lines)"
-    query("st2_stream_claims", _AFTER + untouched)(lambda m: m.spark.read.parquet(f"{_stream_claims(m)}/claims").select("claim_id", "total_billed", "status"))
-    query("st2_stream_lines", _AFTER_LINES)(lambda m: m.spark.read.parquet(f"{_stream_claims(m)}/lines").groupBy("claim_id").agg(F.count("*").alias("n_lines")))
+    query("st2_stream_claims", _AFTER + untouched)(lambda m: VersionedTable(m.spark, f"{_stream_claims(m)}/claims").read().select("claim_id", "total_billed", "status"))
+    query("st2_stream_lines", _AFTER_LINES)(lambda m: VersionedTable(m.spark, f"{_stream_claims(m)}/lines").read().groupBy("claim_id").agg(F.count("*").alias("n_lines")))
 
 
 _register_claims()
@@ -219,11 +243,74 @@ def _stream_join(m: Mapped) -> DataFrame:
 def _stream_topics(m: Mapped) -> DataFrame:
     base = scratch(m.spark, "topics")
     streaming.fan_out(_stream(m).select(F.col("event_type").alias("topic"), "event_id"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return m.spark.read.json(f"{base}/out").select("topic", "event_id")
+    return VersionedTable(m.spark, f"{base}/out").read().select("topic", "event_id")
+
+
+@query("st6_replayed", "SELECT event_type AS topic, event_id, user_id, props FROM events")
+def _replayed_topics(m: Mapped) -> DataFrame:
+    """One batch, run twice."""
+    base = scratch(m.spark, "topics")
+    run = lambda: streaming.fan_out(_stream(m).select(F.col("event_type").alias("topic"), "event_id", "user_id", "props"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    run()
+    _forget_last_batch(m, f"{base}/checkpoint")
+    run()
+    return VersionedTable(m.spark, f"{base}/out").read().select("topic", "event_id", "user_id", "props")
+
+
+# ---- gold by differences
+
+
+def _events(rows: DataFrame, table: str, op: str, seq: int) -> DataFrame:
+    return sinks.as_payload(rows, table, op, at=F.lit("2001-08-01").cast("timestamp")).withColumn("_cdc_seq", F.lit(seq).cast("long"))
+
+
+def _numbered(m: Mapped) -> DataFrame:
+    """Remittances with an id of their own inside their claim."""
+    order = Window.partitionBy("claim_id").orderBy("trace_number", "era_date", "paid_amount", "allowed_amount", F.coalesce("denial_code", F.lit("~")))
+    return m.remittances().withColumn("remit_id", F.col("claim_id") * 100 + F.row_number().over(order)).select([c.split()[0] for c in REMITTANCE.split(", ")])
+
+
+def _views(m: Mapped, batches: list[DataFrame]) -> GoldViews:
+    """Each batch's events come as files once the batch before is done."""
+    base = scratch(m.spark, "gold")
+    views = GoldViews(m.spark, f"{base}/views", m.payers())
+    for events in batches:
+        events.write.mode("append").parquet(f"{base}/in")
+        streaming.refresh_gold(streaming.source(m.spark, f"{base}/in", events.schema), views, f"{base}/checkpoint").awaitTermination()
+    return views
+
+
+def _claim_rows(m: Mapped) -> DataFrame:
+    return m.claims().select([c.split()[0] for c in CLAIM.split(", ")])
 
 
 @query("st7_refresh_gold", "SELECT payer_id, total_claims, total_billed FROM g1")
 def _stream_gold(m: Mapped) -> DataFrame:
-    base = scratch(m.spark, "gold")
-    streaming.refresh_gold(_stream(m), lambda _: {"recovery": Gold(m)["recovery"]}, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return m.spark.read.parquet(f"{base}/out/recovery").select("payer_id", "total_claims", "total_billed")
+    events = _events(_claim_rows(m), "claims", "I", 0).unionByName(_events(_numbered(m), "remittances", "I", 0))
+    return _views(m, [events]).recovery().select("payer_id", "total_claims", "total_billed")
+
+
+def _three_batches(m: Mapped) -> GoldViews:
+    """Inserts; inserts, updates and a changed payer; deletes, changed remittances and a claim twice in a batch."""
+    claims, remits = _claim_rows(m), _numbered(m)
+    one = [_events(claims.where("claim_id % 5 <> 0"), "claims", "I", 0), _events(remits.where("claim_id % 3 <> 0"), "remittances", "I", 0)]
+    moved = claims.where("claim_id % 4 = 0 and claim_id % 5 <> 0").withColumns({"total_billed": (F.col("total_billed") + 1).cast("decimal(18,2)"), "payer_id": (F.col("payer_id") + 1) % 25})
+    two = [_events(claims.where("claim_id % 5 = 0"), "claims", "I", 1), _events(moved, "claims", "U", 2), _events(remits.where("claim_id % 3 = 0"), "remittances", "I", 1)]
+    more = remits.where("remit_id % 6 = 0").withColumn("paid_amount", (F.col("paid_amount") + 2).cast("decimal(18,2)"))
+    again = claims.where("claim_id % 7 = 0").withColumn("total_billed", F.lit(1).cast("decimal(18,2)"))
+    three = [_events(again, "claims", "U", 3), _events(claims.where("claim_id % 7 = 0").select("claim_id"), "claims", "D", 4), _events(more, "remittances", "U", 3), _events(remits.where("remit_id % 11 = 0").select("claim_id", "remit_id"), "remittances", "D", 4)]
+    join = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(join(parts[1:]))
+    return _views(m, [join(x) for x in (one, two, three)])
+
+
+def _rebuilt(body: str) -> str:
+    """The SQL of a full build over the tables as the three batches leave them."""
+    claims = f"SELECT claim_id, patient_id, provider_npi, CASE WHEN claim_id % 4 = 0 AND claim_id % 5 <> 0 THEN (payer_id + 1) % 25 ELSE payer_id END AS payer_id, date_of_service, CAST(total_billed + CASE WHEN claim_id % 4 = 0 AND claim_id % 5 <> 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS total_billed, status FROM ({CTE['m_claims']}) c WHERE claim_id % 7 <> 0"
+    remits = f"SELECT claim_id, trace_number, era_date, CAST(paid_amount + CASE WHEN remit_id % 6 = 0 THEN 2 ELSE 0 END AS DECIMAL(18,2)) AS paid_amount, allowed_amount, denial_code FROM (SELECT *, claim_id * 100 + row_number() OVER (PARTITION BY claim_id ORDER BY trace_number, era_date, paid_amount, allowed_amount, coalesce(denial_code, '~')) AS remit_id FROM ({CTE['m_remits']}) r) r WHERE remit_id % 11 <> 0"
+    names = ["m_payers", "r1", "cr", "g1", "g3a", "g3", "g5"]
+    return f"WITH m_claims AS ({claims}), m_remits AS ({remits}), " + ", ".join(f"{n} AS ({CTE[n]})" for n in names) + " " + body
+
+
+query("st7_incremental", _rebuilt("SELECT * FROM g1"), whole=True)(lambda m: _three_batches(m).recovery())
+query("st7_incremental_scorecard", _rebuilt("SELECT payer_id, payer_name, total_claims, payment_rate_pct, denial_rate_pct, avg_underpayment, total_underpayment, risk_tier, payer_type FROM g3"), whole=True)(lambda m: _three_batches(m).scorecard())
+query("st7_incremental_aging", _rebuilt("SELECT * FROM g5"), whole=True)(lambda m: _three_batches(m).aging(AS_OF))

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .merge import upsert
+from .table import Snapshot, VersionedTable
 
 
 def append_bronze(df: DataFrame, path: str) -> None:
@@ -15,94 +13,16 @@ def append_bronze(df: DataFrame, path: str) -> None:
     df.withColumn("cdc_date", F.to_date("_cdc_timestamp")).write.mode("append").partitionBy("cdc_date").parquet(path)
 
 
+def append_bronze_once(spark: SparkSession, df: DataFrame, path: str, tag: tuple[str, int]) -> Snapshot:
+    """ST1: :func:`append_bronze` to a versioned table; a batch (``tag``: stream and number) that comes again changes nothing."""
+    return VersionedTable(spark, path).append(df.withColumn("cdc_date", F.to_date("_cdc_timestamp")), "cdc_date", tag)
+
+
 def as_payload(df: DataFrame, source_table: str, operation: str = "I", at: Column | None = None) -> DataFrame:
     """K1: change events with the row as JSON."""
     return df.select(F.lit(operation).alias("_cdc_operation"), (at if at is not None else F.current_timestamp()).alias("_cdc_timestamp"), F.lit(source_table).alias("_source_table"), F.to_json(F.struct(*df.columns)).alias("payload"))
 
 
-def _fs(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _swap(fs, old, new, aside) -> None:
-    """``new`` in place of ``old``; a crash in between leaves ``aside``, which :func:`_recover` puts back."""
-    if fs.exists(old):
-        fs.rename(old, aside)
-    fs.rename(new, old)
-    fs.delete(aside, True)
-
-
-def _recover(fs, old, aside) -> None:
-    if fs.exists(aside):
-        if fs.exists(old):
-            fs.delete(aside, True)
-        else:
-            fs.rename(aside, old)
-
-
-def upsert_table(spark: SparkSession, changes: DataFrame, path: str, keys: list[str], gone: DataFrame | None = None) -> None:
-    """K2: the table with ``changes`` in place of the rows of their keys; those of ``gone`` (keys) go anyway.
-
-    The new snapshot is complete before it takes the old one's place. The old one is set aside, not
-    deleted, until then, so a crash loses nothing: the next call puts it back.
-    """
-    fs, where = _fs(spark, path)
-    aside = _fs(spark, f"{path.rstrip('/')}.aside")[1]
-    _recover(fs, where, aside)
-    old = spark.read.parquet(path) if fs.exists(where) else None
-    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    _merged(old, changes, keys, gone).write.parquet(fresh)
-    _swap(fs, where, _fs(spark, fresh)[1], aside)
-
-
-def _merged(old: DataFrame | None, changes: DataFrame, keys: list[str], gone: DataFrame | None) -> DataFrame:
-    if old is None:
-        return changes
-    return upsert(old if gone is None else old.join(gone.select(keys).distinct(), keys, "left_anti"), changes, keys)
-
-
-BUCKET = "_bucket"
-
-
-def upsert_buckets(spark: SparkSession, changes: DataFrame, path: str, keys: list[str], gone: DataFrame | None = None, buckets: int = 64) -> None:
-    """K2 for tables that grow: kept in folders by the hash of the key, of which only those with changes are written.
-
-    A table that isn't in such folders yet is written whole, once. ``gone`` as in :func:`upsert_table`. What
-    ``changes`` and ``gone`` derive from the table itself is read before any folder is swapped.
-    """
-    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    fs, where = _fs(spark, path)
-    root = path.rstrip("/")
-    whole_aside = _fs(spark, f"{root}.aside")[1]
-    _recover(fs, where, whole_aside)
-    if fs.exists(where) and BUCKET not in spark.read.parquet(path).columns:
-        fresh = f"{root}.{uuid.uuid4().hex}"
-        _merged(spark.read.parquet(path), changes, keys, gone).withColumn(BUCKET, number).repartition(BUCKET).write.partitionBy(BUCKET).parquet(fresh)
-        _swap(fs, where, _fs(spark, fresh)[1], whole_aside)
-        return
-    folder = lambda base, b: _fs(spark, f"{base}/{BUCKET}={b}")[1]
-    aside = lambda b: _fs(spark, f"{root}/.{BUCKET}-{b}.aside")[1]  # noqa: E731  hidden from readers
-    for status in fs.listStatus(where) if fs.exists(where) else []:
-        if (name := status.getPath().getName()).startswith(f".{BUCKET}-"):
-            b = int(name.removeprefix(f".{BUCKET}-").removesuffix(".aside"))
-            _recover(fs, folder(root, b), aside(b))
-    ids = changes.select(keys) if gone is None else changes.select(keys).unionByName(gone.select(keys))
-    touched = sorted(r[0] for r in ids.select(number.alias("b")).distinct().collect())  # ``buckets`` at most
-    if not touched:
-        return
-    fresh = f"{root}.{uuid.uuid4().hex}"
-    old = spark.read.parquet(path).where(F.col(BUCKET).isin(touched)).drop(BUCKET) if fs.exists(where) else None
-    _merged(old, changes, keys, gone).withColumn(BUCKET, number).repartition(BUCKET).write.partitionBy(BUCKET).parquet(fresh)
-    fs.mkdirs(where)
-    for b in touched:
-        if fs.exists(folder(fresh, b)):
-            _swap(fs, folder(root, b), folder(fresh, b), aside(b))
-        elif fs.exists(folder(root, b)):  # all of its rows are gone
-            fs.delete(folder(root, b), True)
-    fs.delete(_fs(spark, fresh)[1], True)
-
-
 def overwrite(df: DataFrame, path: str) -> None:
     """K3, K5."""
     df.write.mode("overwrite").parquet(path)
@@ -118,3 +38,8 @@ def write_gold(df: DataFrame, path: str, at: Column | None = None) -> dict:
 def write_topics(events: DataFrame, path: str) -> None:
     """Events as JSON, a folder a topic."""
     events.write.mode("append").partitionBy("topic").json(path)
+
+
+def write_topics_once(spark: SparkSession, events: DataFrame, path: str, tag: tuple[str, int]) -> Snapshot:
+    """ST6: :func:`write_topics` to a versioned table; a batch that comes again changes nothing."""
+    return VersionedTable(spark, path).append(events, "topic", tag, form="json")

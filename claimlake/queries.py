@@ -103,13 +103,19 @@ def sql(body: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({_CTE[n]})" for n in need) + " " + body if need else body
 
 
-def query(name: str, oracle: str | None = None):
-    """Register a function of the mapped tables under ``name``; its columns get plain types."""
+CTE = _CTE
+
+
+def query(name: str, oracle: str | None = None, whole: bool = False):
+    """Register a function of the mapped tables under ``name``; its columns get plain types.
+
+    The SQL gets the common table expressions that it needs, unless it is ``whole`` already.
+    """
 
     def add(build: Callable[[Mapped], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: plain(build(Mapped(spark, sf_dir)))
         if oracle:
-            ORACLES[name] = sql(oracle)
+            ORACLES[name] = oracle if whole else sql(oracle)
         return build
 
     return add

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import schemas
 from .operators import ingest, merge, sinks
+from .operators.table import VersionedTable
 from .plans import design, quality, reports, silver, workflow
 from .plans import gold as gold_plans
 from .queries import Gold, fees, query
@@ -275,13 +276,30 @@ query(
 
 @query("k2_upsert_table", "SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'changed' ELSE s_name END AS s_name FROM supplier WHERE s_suppkey % 9 <> 1 UNION ALL SELECT s_suppkey + 1000000, 'new' FROM supplier WHERE s_suppkey % 4 = 0")
 def _upsert_table(m: Mapped) -> DataFrame:
-    path = scratch(m.spark, "upsert")
+    table = VersionedTable(m.spark, scratch(m.spark, "upsert"))
     old = m.raw("supplier").select("s_suppkey", "s_name")
-    sinks.upsert_buckets(m.spark, old, path, ["s_suppkey"], buckets=8)
+    table.upsert(old, ["s_suppkey"], buckets=8)
     some = old.where("s_suppkey % 4 = 0")
     changes = some.withColumn("s_name", F.lit("changed")).where("s_suppkey % 9 <> 1").unionByName(some.select((F.col("s_suppkey") + 1_000_000).alias("s_suppkey"), F.lit("new").alias("s_name")))
-    sinks.upsert_buckets(m.spark, changes, path, ["s_suppkey"], gone=old.where("s_suppkey % 9 = 1"), buckets=8)
-    return m.spark.read.parquet(path).drop(sinks.BUCKET)
+    table.upsert(changes, ["s_suppkey"], gone=old.where("s_suppkey % 9 = 1"))
+    return table.read()
+
+
+@query(
+    "k2_snapshots",
+    "SELECT v AS version, o_orderkey, CASE WHEN o_orderkey % 10 < v THEN o_orderpriority || '+' ELSE o_orderpriority END AS o_orderpriority, CASE WHEN o_orderkey % 10 < v THEN CAST(o_orderkey % 10 AS BIGINT) + 1 ELSE 0 END AS written_by FROM orders, (VALUES (0), (4), (10)) t(v) WHERE NOT (o_orderkey % 13 = 0 AND o_orderkey % 10 < v)",
+)
+def _snapshots(m: Mapped) -> DataFrame:
+    """Ten upserts with deletes; the rows of three versions, and who wrote them."""
+    table = VersionedTable(m.spark, scratch(m.spark, "snapshots"))
+    rows = m.raw("orders").select("o_orderkey", "o_orderpriority", F.lit(0).alias("written_by"))
+    table.upsert(rows, ["o_orderkey"], buckets=4)
+    for turn in range(10):
+        mine = rows.where(F.col("o_orderkey") % 10 == turn)
+        changed = mine.where("o_orderkey % 13 <> 0").withColumns({"o_orderpriority": F.concat("o_orderpriority", F.lit("+")), "written_by": F.lit(turn + 1)})
+        table.upsert(changed, ["o_orderkey"], gone=mine.where("o_orderkey % 13 = 0"))
+    out = [table.read(v).withColumn("version", F.lit(v)) for v in (0, 4, 10)]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("k3_overwrite", "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 0")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import ingest, merge, sinks
+from ..operators.table import VersionedTable
+from ..plans.incremental import GoldViews
 
 
 def source(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
@@ -16,34 +16,40 @@ def source(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> Data
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1000).load(path)
 
 
+def _tag(batch: DataFrame, number: int) -> tuple[str, int]:
+    """What a table remembers of a batch: the query, which its checkpoint keeps over restarts, and the batch's number."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream", number
+
+
 def bronze(spark: SparkSession, path: str, schema, source_table: str, out: str, checkpoint: str) -> StreamingQuery:
-    """ST1: new files to bronze, then stop; run again for later files."""
+    """ST1: new files to bronze (a versioned table), then stop; run again for later files.
+
+    A batch that is run again, as after a crash between its write and its entry in the checkpoint, adds nothing.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
-        sinks.append_bronze(merge.enrich_bronze(batch, source_table), out)
+    def write(batch: DataFrame, number: int) -> None:
+        sinks.append_bronze_once(batch.sparkSession, merge.enrich_bronze(batch, source_table), out, _tag(batch, number))
 
     return source(spark, path, schema).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def ingest_claims(stream: DataFrame, claims_path: str, lines_path: str, checkpoint: str) -> StreamingQuery:
-    """ST2: insert, replace, void or skip claims of each batch against the stored ones.
+    """ST2: insert, replace, void or skip claims of each batch against the stored ones, in versioned tables by claim_id.
 
-    A batch that is run again after a failure meets its own results: known claims with the same code are
-    skipped or replaced by the same values, so the effect is that of one run. All lines of a replaced claim
-    go. Both tables lie in folders by the hash of claim_id, of which a batch only rewrites those it touches.
+    All lines of a replaced claim go. A batch reads and writes only buckets with its claims. Lines are committed
+    first and claims, from which the actions derive, last, each once a batch: a run that stops in between
+    finds the claims as they were, and takes the same actions again.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        claims, lines = spark.read.parquet(claims_path).drop(sinks.BUCKET), spark.read.parquet(lines_path).drop(sinks.BUCKET)
+    def write(batch: DataFrame, number: int) -> None:
+        spark, tag = batch.sparkSession, _tag(batch, number)
+        stored_claims, stored_lines = VersionedTable(spark, claims_path), VersionedTable(spark, lines_path)
+        claims, lines = stored_claims.read_of(batch), stored_lines.read_of(batch)
         acted = ingest.claim_actions(batch, claims)
         new_claims, new_lines = ingest.apply_claim_actions(claims, lines, acted)
         ids = acted.where("action <> 'skip'").select("claim_id").distinct()
-        changed = new_claims.join(ids, "claim_id", "left_semi")
-        touched = new_lines.join(ids, "claim_id", "left_semi")
-        # Claims come last: the actions derive from them, so a run that stops in between is run again alike.
-        sinks.upsert_buckets(spark, touched, lines_path, ["claim_id"], gone=ids)
-        sinks.upsert_buckets(spark, changed, claims_path, ["claim_id"])
+        stored_lines.upsert(new_lines.join(ids, "claim_id", "left_semi"), ["claim_id"], gone=ids, tag=tag)
+        stored_claims.upsert(new_claims.join(ids, "claim_id", "left_semi"), ["claim_id"], tag=tag)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -76,18 +82,14 @@ def claims_with_remittances(claims: DataFrame, remits: DataFrame, days: int = 45
 
 
 def fan_out(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """ST6: events to a folder for each topic."""
-    return stream.writeStream.foreachBatch(lambda b, _: sinks.write_topics(b, path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def refresh_gold(stream: DataFrame, build: Callable[[SparkSession], dict[str, DataFrame]], path: str, checkpoint: str) -> StreamingQuery:
-    """ST7: gold tables anew after each batch of changes."""
+    """ST6: events to a folder for each topic, in a versioned table that takes each batch once."""
+    write = lambda b, n: sinks.write_topics_once(b.sparkSession, b, path, _tag(b, n)) and None
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    def write(batch: DataFrame, _: int) -> None:
-        for name, df in build(batch.sparkSession).items():
-            sinks.write_gold(df, f"{path}/{name}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def refresh_gold(stream: DataFrame, views: GoldViews, checkpoint: str) -> StreamingQuery:
+    """ST7: gold brought up to date by each batch of change events, by their differences alone."""
+    return stream.writeStream.foreachBatch(lambda b, n: views.apply(b, _tag(b, n))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_to_table(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
