@@ -117,9 +117,21 @@ query("c5_enrich_bronze", "SELECT seq AS _cdc_seq, op AS _cdc_operation, 'events
     "SELECT decision, count(*) AS n FROM (SELECT CASE WHEN h.rate IS NULL THEN 'no_rate' WHEN CAST(h.rate AS DOUBLE) - CAST(l.billed_amount AS DOUBLE) > CAST(h.rate AS DOUBLE) * 0.01 THEN 'dispute' ELSE 'close' END AS decision FROM (SELECT claim_id, line_number, min(cpt_code) AS cpt_code, min(geo_region) AS geo_region, min(billed_amount) AS billed_amount FROM m_lines GROUP BY 1, 2) l JOIN m_claims c ON c.claim_id = l.claim_id LEFT JOIN h_fees h ON h.payer_id = 'MEDICARE' AND h.cpt_code = l.cpt_code AND h.geo_region = l.geo_region AND c.date_of_service BETWEEN h.valid_from AND h.valid_to) t GROUP BY decision",
 )
 def _expected(m: Mapped) -> DataFrame:
+    return _decisions(m).groupBy("decision").agg(F.count("*").alias("n"))
+
+
+@query(
+    "z1_decisions",
+    "SELECT l.claim_id, l.line_number, CAST(h.rate AS DOUBLE) AS rate, CASE WHEN h.rate IS NULL THEN 'no_rate' WHEN CAST(h.rate AS DOUBLE) - CAST(l.billed_amount AS DOUBLE) > CAST(h.rate AS DOUBLE) * 0.01 THEN 'dispute' ELSE 'close' END AS decision FROM (SELECT claim_id, line_number, min(cpt_code) AS cpt_code, min(geo_region) AS geo_region, min(billed_amount) AS billed_amount FROM m_lines GROUP BY 1, 2) l JOIN m_claims c ON c.claim_id = l.claim_id LEFT JOIN h_fees h ON h.payer_id = 'MEDICARE' AND h.cpt_code = l.cpt_code AND h.geo_region = l.geo_region AND c.date_of_service BETWEEN h.valid_from AND h.valid_to",
+)
+def _decision_rows(m: Mapped) -> DataFrame:
+    return _decisions(m).select("claim_id", "line_number", "rate", "decision")
+
+
+def _decisions(m: Mapped) -> DataFrame:
     lines = m.claim_lines().groupBy("claim_id", "line_number").agg(F.min("cpt_code").alias("cpt_code"), F.min("geo_region").alias("geo_region"), F.min("billed_amount").alias("billed_amount"))
     rows = lines.join(m.claims().select("claim_id", "date_of_service"), "claim_id")
-    return design.expected_vs_paid(rows, fees(m).where("payer_id = 'MEDICARE'"), ["cpt_code", "geo_region"], "billed_amount").groupBy("decision").agg(F.count("*").alias("n"))
+    return design.expected_vs_paid(rows, fees(m).where("payer_id = 'MEDICARE'"), ["cpt_code", "geo_region"], "billed_amount")
 
 
 query("z12_rate_mismatch", "SELECT id, published_rate, contract_rate, state FROM (SELECT coalesce(a.id, b.id) AS id, a.r AS published_rate, b.r AS contract_rate, CASE WHEN a.id IS NULL THEN 'contract_only' WHEN b.id IS NULL THEN 'published_only' ELSE 'differs' END AS state FROM (SELECT p_partkey AS id, p_retailprice AS r FROM part WHERE p_partkey % 3 <> 0) a FULL JOIN (SELECT p_partkey AS id, p_retailprice + (p_partkey % 2) AS r FROM part WHERE p_partkey % 5 <> 0) b ON a.id = b.id WHERE a.r IS DISTINCT FROM b.r) t")(

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,16 +143,94 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy("merge_action").agg(F.count("*").alias("n"))
 
 
-def as_of_lookup(facts: DataFrame, history: DataFrame, keys: list[str], at: str, fact_id: list[str], value: str) -> DataFrame:
-    """M4: ``facts`` with the value of the version valid on ``at``; null without one.
+#: Facts of one key above which they are cut by date into slices of about so many.
+HOT_FACTS = 1_000_000
+#: Hot keys up to which their slices are broadcast, and slices of a key.
+BROADCAST_KEYS, MAX_SLICES = 10_000, 1_000
 
-    The equal keys make it a plain join with the interval as a residual condition. Where versions overlap,
-    the current one counts, then the latest start, picked by a maximum that combines before the shuffle.
+
+def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From versions (key, start, after, rank) by key and start: the highest rank that is active from each moment on.
+
+    A rank of null says that none is. Of a key only the versions that overlap are held.
+    """
+    key, open_, now, out = None, [], None, []
+
+    def until(moment: float) -> None:
+        """Close versions that end up to ``moment``."""
+        nonlocal now
+        while open_ and open_[0][1] <= moment:
+            ended = -open_[0][0]
+            at = open_[0][1]
+            heapq.heappop(open_)
+            while open_ and open_[0][1] <= at:  # ended before it, under it
+                heapq.heappop(open_)
+            if ended == now:
+                now = -open_[0][0] if open_ else None
+                out.append((key, at, now))
+
+    def rows() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.int64())], ["key", "start", "rank"])
+        out.clear()
+        return made
+
+    for batch in batches:
+        for k, start, after, rank in zip(*[batch.column(c).to_pylist() for c in ("key", "start", "after", "rank")], strict=True):
+            if k != key:
+                until(math.inf)
+                key, now = k, None
+                open_.clear()
+            until(start)
+            heapq.heappush(open_, (-rank, after))
+            if now is None or rank > now:
+                now = rank
+                out.append((key, start, now))
+        yield rows()
+    until(math.inf)
+    yield rows()
+
+
+def _moment(c: Column, kind: str) -> Column:
+    """A date or time as a whole number, of which the next one is a day or a microsecond later."""
+    return (F.unix_date(c) if kind == "date" else F.unix_micros(c.cast("timestamp"))).cast("long")
+
+
+def as_of_lookup(facts: DataFrame, history: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
+    """M4: ``facts`` with the value of the version valid on ``at`` (both ends count); null without one.
+
+    Where versions overlap, the current one counts, then the latest start, then the highest value. The versions of
+    a key are first turned into stretches that don't overlap, in one sweep that holds the active ones. Facts
+    and the starts of stretches are then one sorted sequence a key, in which each fact takes the last start before
+    it: as many rows as facts and stretches, however many versions a key has. Facts of a key with over
+    HOT_FACTS are cut into slices by date, each with the stretch that it begins in.
     """
-    right = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col("is_current").alias("_current"), F.col(value).alias("_value"))
-    on = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]) & F.col(at).between(F.col("_from"), F.col("_to"))
-    best = facts.select(*dict.fromkeys([*fact_id, *keys, at])).join(right, on).groupBy(*fact_id).agg(F.max_by("_value", F.struct("_current", "_from", "_value")).alias(value))
-    return facts.join(best, fact_id, "left")
+    kind = dict(history.dtypes)["valid_from"]
+    kinds = dict(history.dtypes)
+    key = lambda: F.to_json(F.struct(*[F.col(k).cast(kinds[k]).alias(k) for k in keys]))
+    some = history.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys]) & (F.col("valid_from") <= F.col("valid_to")))
+    order = Window.partitionBy("key").orderBy("is_current", "valid_from", value)
+    versions = some.select(key().alias("key"), "is_current", "valid_from", F.col(value), _moment(F.col("valid_from"), kind).alias("start"), (_moment(F.col("valid_to"), kind) + 1).alias("after")).withColumn("rank", F.row_number().over(order).cast("long"))
+    sweep = versions.select("key", "start", "after", "rank").repartition("key").sortWithinPartitions("key", "start", "rank").mapInArrow(_active, "key string, start long, rank long")
+    last = sweep.groupBy("key", "start").agg(F.max(F.coalesce("rank", F.lit(-1))).alias("rank"))  # what a moment ends with
+    stretches = last.join(versions.select("key", "rank", F.struct(F.col(value).alias("v")).alias("found")), ["key", "rank"], "left").select("key", "start", F.coalesce("found", F.struct(F.lit(None).cast(kinds[value]).alias("v"))).alias("found"))
+    rows = facts.select(key().alias("key"), _moment(F.col(at), kind).alias("at"), F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("row"))
+    counted = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT_FACTS)
+    n_hot, most = counted.agg(F.count("*"), F.max("n")).first()
+    if n_hot:
+        shares = [i / n for n in [min(MAX_SLICES, -(-most // HOT_FACTS))] for i in range(1, n)]
+        hot = rows.select("key", "at").join(counted.select("key"), "key", "left_semi").groupBy("key").agg(F.array_distinct(F.percentile_approx("at", shares, 10 * MAX_SLICES)).alias("cuts"))
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+        number = lambda c: F.coalesce(F.size(F.filter("cuts", lambda x: x <= F.col(c))), F.lit(0))
+        rows = rows.join(hot, "key", "left").withColumn("slice", number("at")).drop("cuts")
+        after = F.coalesce(F.lead("start").over(Window.partitionBy("key").orderBy("start")), F.lit(2**62))
+        reach = stretches.withColumn("end", after - 1).join(hot, "key", "left").withColumn("first", number("start"))
+        stretches = reach.withColumn("slice", F.explode(F.sequence("first", number("end")))).select("key", "slice", F.when(F.col("slice") == F.col("first"), F.col("start")).otherwise(F.get("cuts", F.col("slice") - 1)).alias("start"), "found")
+    else:
+        rows, stretches = rows.withColumn("slice", F.lit(0)), stretches.withColumn("slice", F.lit(0))
+    both = rows.select("key", "slice", "at", F.lit(1).alias("is_fact"), "row", F.lit(None).cast(stretches.schema["found"].dataType).alias("found")).unionByName(stretches.select("key", "slice", F.col("start").alias("at"), F.lit(0).alias("is_fact"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"), "found"))
+    line = Window.partitionBy("key", "slice").orderBy("at", "is_fact").rowsBetween(Window.unboundedPreceding, 0)
+    found = F.when(F.col("at").isNotNull(), F.last("found", ignorenulls=True).over(line)["v"])
+    return both.withColumn("value", found).where("is_fact = 1").select("row.*", F.col("value").alias(value))
 
 
 def yearly_history(versions: DataFrame, keys: list[str]) -> DataFrame:

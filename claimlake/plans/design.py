@@ -12,7 +12,7 @@ from .silver import as_date
 
 def expected_vs_paid(lines: DataFrame, history: DataFrame, keys: list[str], paid: str, tolerance: float = 0.01) -> DataFrame:
     """Contract rate on the date of service against what was paid: dispute, close, or no rate."""
-    priced = as_of_lookup(lines, history, keys, "date_of_service", ["claim_id", "line_number"], "rate")
+    priced = as_of_lookup(lines, history, keys, "date_of_service", "rate")
     gap = F.col("rate").cast("double") - F.col(paid).cast("double")
     return priced.withColumn("decision", F.when(F.col("rate").isNull(), "no_rate").when(gap > F.col("rate").cast("double") * tolerance, "dispute").otherwise("close"))
 

@@ -216,7 +216,7 @@ _FACTS = "SELECT l.claim_id, l.cpt_code, l.geo_region, c.date_of_service FROM (S
 @query("g2b_rate_as_of", f"SELECT f.claim_id, f.cpt_code, f.geo_region, f.date_of_service, CAST(h.rate AS DOUBLE) AS rate FROM ({_FACTS}) f LEFT JOIN h_fees h ON h.payer_id = 'MEDICARE' AND h.cpt_code = f.cpt_code AND h.geo_region = f.geo_region AND f.date_of_service BETWEEN h.valid_from AND h.valid_to")
 def _as_of(m: Mapped) -> DataFrame:
     facts = m.claim_lines().groupBy("claim_id").agg(F.min("cpt_code").alias("cpt_code"), F.min("geo_region").alias("geo_region")).join(m.claims().select("claim_id", "date_of_service"), "claim_id")
-    return merge.as_of_lookup(facts, fees(m).where("payer_id = 'MEDICARE'"), ["cpt_code", "geo_region"], "date_of_service", ["claim_id"], "rate")
+    return merge.as_of_lookup(facts, fees(m).where("payer_id = 'MEDICARE'"), ["cpt_code", "geo_region"], "date_of_service", "rate")
 
 
 # ---- silver

@@ -44,10 +44,59 @@ def test_scd2_closes_the_day_before_and_null_equals_null(spark):
     ]
 
 
+@pytest.mark.parametrize("hot", [1_000_000, 7])
+def test_as_of_lookup_equals_brute_force(spark, monkeypatch, hot):
+    """Overlapping, nested, equal and backward versions, keys of two columns with nulls, hot keys cut by date."""
+    import random
+
+    monkeypatch.setattr(merge, "HOT_FACTS", hot)
+    r = random.Random(4)
+    day = lambda n: D(2020, 1, 1) + datetime.timedelta(days=n)
+    versions = []
+    for _ in range(120):
+        a = r.randrange(60)
+        versions.append((r.choice("abc"), r.choice([1, 2, None]), float(r.randrange(9)) if r.random() < 0.9 else None, day(a), day(a + r.choice([-1, 0, 1, 5, 40, 3000])), r.choice([0, 0, 0, 1, None])))
+    facts = [(i, r.choice("aaabz"), r.choice([1, 1, 2, None]), day(r.randrange(-3, 70)) if r.random() < 0.95 else None) for i in range(200)]
+    h = spark.createDataFrame(versions, "k string, m int, rate double, valid_from date, valid_to date, is_current int")
+    f = spark.createDataFrame(facts, "id int, k string, m long, d date").repartition(3)
+    low = lambda x: (x is not None, x if x is not None else 0)
+    want = []
+    for i, k, m, d in facts:
+        valid = [v for v in versions if m is not None and d is not None and v[:2] == (k, m) and v[3] <= d <= v[4]]
+        want.append((i, max(valid, key=lambda v: (low(v[5]), v[3], low(v[2])))[2] if valid else None))
+    out = merge.as_of_lookup(f, h, ["k", "m"], "d", "rate")
+    assert sorted((x["id"], x["rate"]) for x in out.collect()) == want
+    assert out.columns == ["id", "k", "m", "d", "rate"]
+
+
+def test_as_of_lookup_of_many_versions_makes_few_rows(spark):
+    """3,000 versions a key: what goes into the sequence is facts and stretches."""
+    h = spark.range(6000).selectExpr("id % 2 as k", "id as rate", "date_add(date'2000-01-01', cast(id div 2 as int)) as valid_from", "date'9999-12-31' as valid_to", "0 as is_current")
+    f = spark.range(1000).selectExpr("id", "id % 2 as k", "timestamp_seconds(946684800 + id * 200000) as d").withColumn("d", F.to_date("d"))
+    out = merge.as_of_lookup(f, h, ["k"], "d", "rate")
+    got = {r["id"]: r["rate"] for r in out.collect()}
+    assert got == {r["id"]: min((r["d"] - D(2000, 1, 1)).days, 2999) * 2 + r["k"] for r in f.collect()}
+    plan = out._jdf.queryExecution().executedPlan()
+    made = []
+
+    def walk(node):
+        if "Join" in node.nodeName():
+            made.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+
+    walk(plan)
+    assert made and sum(made) <= 1000 + 2 * 6000 + 2
+
+
 def test_as_of_lookup_picks_the_valid_version(spark):
     h = spark.createDataFrame([("a", 1.0, D(2020, 1, 1), D(2020, 12, 31), 0), ("a", 2.0, D(2021, 1, 1), D(9999, 12, 31), 1)], "k string, rate double, valid_from date, valid_to date, is_current int")
     f = spark.createDataFrame([(1, "a", D(2020, 6, 1)), (2, "a", D(2022, 1, 1)), (3, "a", D(2019, 1, 1)), (4, "z", D(2022, 1, 1))], "id int, k string, d date")
-    assert [tuple(r) for r in merge.as_of_lookup(f, h, ["k"], "d", ["id"], "rate").select("id", "rate").orderBy("id").collect()] == [(1, 1.0), (2, 2.0), (3, None), (4, None)]
+    assert [tuple(r) for r in merge.as_of_lookup(f, h, ["k"], "d", "rate").select("id", "rate").orderBy("id").collect()] == [(1, 1.0), (2, 2.0), (3, None), (4, None)]
 
 
 def test_validation_messages(spark):
