@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -136,7 +137,7 @@ def scan(shard: DataFrame, bits: Broadcast, singles: bool) -> DataFrame:
     """Counts, by task, of what may be active in one shard; of languages and words too with ``singles``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(tuple(np.frombuffer(b, np.uint8) for b in bits.value), singles)
+        counter = _Counter(tuple(np.frombuffer(zstandard.decompress(b), np.uint8) for b in bits.value), singles)
         for batch in batches:
             counter.add(batch)
             if counter.n >= TOGETHER:
@@ -177,7 +178,7 @@ def frequent(run: Run, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame
     state, reached, n_reached, final = None, [], 0, []
     bits: list[np.ndarray] = []  # of what each scan reached
     for t in range(LONGEST * SHARDS):
-        known = spark.sparkContext.broadcast(tuple(np.bitwise_or.reduce([none, *b]).tobytes() for b in (bits, bits[-SHARDS:])))
+        known = spark.sparkContext.broadcast(tuple(zstandard.compress(np.bitwise_or.reduce([none, *b]).tobytes()) for b in (bits, bits[-SHARDS:])))
         raw = scan(shards.where(F.col("shard") == t % SHARDS), known, t < SHARDS)
         if state is not None:
             carried = state.where(F.col("act") + SHARDS > t).select("key", "size", "text", (F.col("before") + F.col("now")).alias("before"), F.lit(0).cast("long").alias("now"), "act", F.lit(None).cast("long").alias("prefix"), F.lit(None).cast("long").alias("suffix"))
@@ -192,7 +193,7 @@ def frequent(run: Run, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame
             begun = F.when(F.col("ps").isNotNull() & F.col("qs").isNotNull(), F.greatest("ps", "qs") + 1)
             sums = both.withColumn("act", F.coalesce("act", begun)).drop("p", "q", "pk", "ps", "qk", "qs")
         old, state = state, run.table(sums.where(F.col("act").isNotNull() & (F.col("act") + SHARDS > t)), "state")
-        known.unpersist()
+        known.destroy()
         if old is not None:
             run.drop(old)
         total = F.col("before") + F.col("now")
