@@ -1,19 +1,16 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Items and texts are normalised: lower case, each run of anything but letters and digits one blank. An
-item of n characters may occur with k = floor(n * ERROR_RATE) edits (and at least one). Cut into k + 1
-pieces, at least one piece must then stand unchanged in any such occurrence, where it belongs to within
-k places. One automaton of all pieces of a block of items runs over each whole text; every hit gives a
+Items and texts are normalised: lower case, each run of anything but letters and digits one blank, and one
+at both ends. An item of n characters may occur with k = floor(n * ERROR_RATE) edits, the blanks at its ends
+counting like other characters: where there is no edit, it must stand as whole words. Cut into k + 1
+pieces, at least one piece must stand unchanged in any such occurrence, where it belongs to within k places. One automaton of all pieces of a block of items runs over each whole text; every hit gives a
 window in which Myers' bit-parallel algorithm, one machine word operation a character whatever the
 item's length, finds the least edit distance of the item to any stretch. Within the budget, the text
 is contaminated by the item. Hits that give the same window for an item are verified once.
 
-An item under SHORT normalised characters, of which an edit would make another word, must stand in the
-text as it is, as whole words: its budget is 0 and it is one piece of the same automaton.
-
 The items are the query set: they are held in blocks of about BLOCK_CHARS characters, each block against
 all texts; no text is shuffled, and the number of blocks, not a broadcast, grows with a larger benchmark.
-All texts of one item_id are in one block, each distinct one once.
+Distinct texts are dealt to blocks on their own, so one item_id with many of them is in many blocks.
 
 Defined results: null or empty texts and items (also those without a letter or digit) match nothing. Of
 several texts of an item_id the nearest counts; a null item_id is an item like others. Repeated documents
@@ -24,26 +21,28 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import give_back, read_documents, small_batches
+from .store import give_back, packed, read_documents, small_batches, unpacked
 
 ERROR_RATE = 0.08
-SHORT = 30
 BLOCK_CHARS = 4_000_000
 
 _OTHER = re.compile(r"[\W_]+")
 
 
 def normal(text: str | None) -> str:
-    return _OTHER.sub(" ", (text or "").lower()).strip()
+    """Words with one blank between them, and one at both ends; "" without a word."""
+    words = _OTHER.sub(" ", (text or "").lower()).strip()
+    return f" {words} " if words else ""
 
 
 def budget(n: int, rate: float = ERROR_RATE) -> int:
-    return max(1, int(n * rate)) if n >= SHORT else 0
+    return int(n * rate)
 
 
 def cut(item: str, k: int) -> list[tuple[int, str]]:
@@ -100,7 +99,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, str]], rate: float) -> None:
         import ahocorasick
 
-        self.items = [(i, t, budget(len(t), rate)) for i, t in items]
+        self.items = [(i, t, budget(len(t) - 2, rate)) for i, t in items]
         where: dict[str, list[tuple[int, int]]] = {}
         for number, (_, t, k) in enumerate(self.items):
             for at, piece in cut(t, k):
@@ -122,9 +121,8 @@ class Matcher:
                 if found.get(number) == 0:
                     continue
                 _, t, k = self.items[number]
-                if not k:  # whole words only
-                    if (end + 1 == len(text) or text[end + 1] == " ") and (end + 1 == size or text[end - size] == " "):
-                        found[number] = 0
+                if not k:  # its one piece is all of it
+                    found[number] = 0
                     continue
                 q = (end + 1 - size - at) // (k + 1)  # the item would start there, were there no edits
                 if (number, q) in tried:
@@ -145,44 +143,50 @@ _HITS = "doc_id long, item_id long, distance long"
 
 
 def item_blocks(benchmark: DataFrame, size: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
-    """The normalised items in blocks of about ``size`` characters, dealt by the hash of item_id."""
+    """The normalised items in blocks of about ``size`` characters, dealt by the hash of item_id and text."""
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     n = -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // size)
     for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         items = {(r["item_id"], t) for r in part.distinct().toLocalIterator() if (t := normal(r["text"]))}
         if items:
             yield sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, size: int = BLOCK_CHARS) -> DataFrame:
     """One row for each document and item that it holds: doc_id, item_id and the least edit distance."""
     spark = docs.sparkSession
     small_batches(spark)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for block in item_blocks(benchmark):
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    parts = []
+    for number, block in enumerate(item_blocks(benchmark, size)):
         shared = spark.sparkContext.broadcast(block)  # about BLOCK_CHARS characters
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, rate)
             for batch in batches:
-                rows: list[tuple[int | None, int | None, int]] = []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                rows: list[tuple[int | None, ...]] = []
+                for doc_id, h, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")], strict=True):
                     if text:
-                        rows += [(doc_id, i, d) for i, d in matcher.matches(normal(text))]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["doc_id", "item_id", "distance"])
+                        rows += [(doc_id, h, i, d) for i, d in matcher.matches(normal(text))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["doc_id", "text_hash", "item_id", "distance"])
 
-        part = slim.mapInArrow(run, _HITS)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], _HITS)
+        parts.append(slim.mapInArrow(run, "doc_id long, text_hash long, item_id long, distance long").withColumn("block", F.lit(number)))
+    if not parts:
+        return spark.createDataFrame([], _HITS)
+    if len(parts) == 1:
+        return parts[0].select("doc_id", "item_id", "distance")
+    # Several texts of an item may be in different blocks: of each document as many rows as it is repeated, the nearest text's.
+    once = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "text_hash", "item_id", "block").agg(F.count("*").alias("n"), F.min("distance").alias("distance"))
+    best = once.groupBy("doc_id", "text_hash", "item_id").agg(F.max("n").alias("n"), F.min("distance").alias("distance"))
+    return best.withColumn("copy", F.explode(F.expr("sequence(1, cast(n as int))"))).select("doc_id", "item_id", "distance")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """``docs`` without those that hold an item; rows are dropped where they are read, block by block of items."""
     spark = docs.sparkSession
     small_batches(spark)
-    out = docs
+    rows = packed(docs, ["text"])
     for block in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
 
@@ -192,8 +196,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RAT
                 yield batch.filter(pa.array([not (text and matcher.matches(normal(text))) for text in batch.column("text").to_pylist()], pa.bool_()))
             give_back()
 
-        out = out.mapInArrow(run, docs.schema)
-    return out
+        rows = rows.mapInArrow(run, rows.schema)
+    return unpacked(rows, docs.columns)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .store import give_back, read_documents, small_batches
+from .store import give_back, packed, read_documents, small_batches, unpacked
 
 UNKNOWN = "und"
 TRAIN_DOCS, LEAST_DOCS = 1200, 20
@@ -340,8 +340,10 @@ def label(texts: pa.Array, chain: Chain, seen: _Seen) -> tuple[np.ndarray, ...]:
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, lang_pred, score and n_switches (neighbouring words of different languages) of every text."""
     small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(chain)  # half a MB a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain = shared.value
         seen = _Seen(chain)
         names = np.array([*chain.labels, UNKNOWN], dtype=object)
         for batch in batches:
@@ -353,26 +355,27 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, lang_pred string, score double, n_switches long")
 
 
-def keep_clear(docs: DataFrame, chain: Chain, least_sure: float, few_words: int) -> DataFrame:
+def keep_clear(docs: DataFrame, chain: Chain, least_sure: float, sure_words: int) -> DataFrame:
     """``docs`` without those of unknown language, or whose words' labels are less sure on average.
 
-    A text may mix any number of languages: each word only has to follow one of them surely. Of a text
-    with fewer than ``few_words`` words, sureness says too little; it stays. Rows are dropped where they
-    are read.
+    A text may mix any number of languages: each word only has to follow one of them surely. The mean counts
+    ``sure_words`` sure words beside the text's own, so the fewer they are, the more unsure they have to be.
+    Rows are dropped where they are read.
     """
     small_batches(docs.sparkSession)
-    flag = "_has_letter_"
+    rows = packed(docs, ["text"]).select(F.col("text").rlike(_HAS_LETTER).alias("has_letter"), "text", "_row")
+    shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Seen(chain)
+        seen = _Seen(shared.value)
         for batch in batches:
-            letter = batch.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
-            best, _, _, sure, size = label(batch.column("text"), chain, seen)
-            kept = batch.filter(pa.array(letter & (best < len(chain.labels)) & ((sure >= least_sure) | (size < few_words))))
-            yield kept.drop_columns([flag])
+            letter = batch.column("has_letter").fill_null(False).to_numpy(zero_copy_only=False)
+            best, _, _, sure, size = label(batch.column("text"), shared.value, seen)
+            clear = (sure * size + sure_words) / (size + sure_words) >= least_sure
+            yield batch.select(["_row"]).filter(pa.array(letter & (best < len(shared.value.labels)) & clear))
         give_back()
 
-    return docs.withColumn(flag, F.col("text").rlike(_HAS_LETTER)).mapInArrow(run, docs.schema)
+    return unpacked(rows.mapInArrow(run, rows.select("_row").schema), docs.columns)
 
 
 def held_out_column():

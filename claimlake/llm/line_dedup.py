@@ -9,7 +9,7 @@ Boilerplate goes everywhere but in its first place, so nothing is lost from the
 Every aggregation combines within the tasks first, so a line that a third of all rows hold is one row a
 task in the shuffle. Lists of boilerplate up to BROADCAST_ROWS lines go to every task; a longer one is
 joined with each digest dealt over SALTS tasks, so a hot line is no hot task. Only digests are shuffled
-until, at the end, each text meets the numbers of the lines that it loses.
+until, at the end, each text meets the numbers of the lines that it loses; these are broadcast if they are few.
 
 Defined results: a null text stays null and has no lines; an empty one has one empty line. A null
 source is the site "". A row is known by doc_id and text: of rows that share a doc_id each loses its own
@@ -23,10 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import materialise, read_documents
+from .store import materialise, packed, read_documents, unpacked
 
 #: Lines of a list that is broadcast at most (a few tens of MB).
 BROADCAST_ROWS, SALTS = 500_000, 16
+#: Numbers of lines to drop that are broadcast at most, beside as many texts as above.
+BROADCAST_LINES = 4_000_000
 MIN_SITES, LOG_K, BAND = 10, 12, 0.2
 
 
@@ -58,29 +60,37 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return some.join(exact, "digest", "left").where(F.coalesce("exact", "sites") >= min_sites).select("digest", "first")
 
 
-def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with n_lines, n_removed and clean_text."""
-    worst = materialise(boilerplate(docs, min_sites), "boilerplate")
-    hits = _meet(lines(docs), worst).where(~F.struct("doc_id", "row", "at").eqNullSafe(F.col("first"))).select("doc_id", "row", "at")
-    drop = hits.groupBy(F.col("doc_id").alias("_drop_doc"), F.col("row").alias("_drop_row")).agg(F.collect_set("at").alias("_drop"))
-    text, lost = docs["text"], drop["_drop"]
+def _cleaned(docs: DataFrame, min_sites: int) -> DataFrame:
+    """_row (:func:`packed`), clean_text, n_lines and n_removed of each row."""
+    rows = packed(docs, ["doc_id", "text", "source"])
+    worst = materialise(boilerplate(rows, min_sites), "boilerplate")
+    hits = _meet(lines(rows), worst).where(~F.struct("doc_id", "row", "at").eqNullSafe(F.col("first"))).select("doc_id", "row", "at")
+    drop = materialise(hits.groupBy(F.col("doc_id").alias("_drop_doc"), F.col("row").alias("_drop_row")).agg(F.collect_set("at").alias("_drop")), "drop")
+    size = drop.agg(F.count("*"), F.sum(F.size("_drop"))).first()
+    if size[0] <= BROADCAST_ROWS and (size[1] or 0) <= BROADCAST_LINES:  # then no text is shuffled
+        drop = F.broadcast(drop)
+    text, lost = F.col("text"), F.col("_drop")
     all_lines = F.split(text, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), lost)
     rest = F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
-    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_drop_doc"]) & (_row_hash(text) == drop["_drop_row"]), "left").select(
-        *[docs[c] for c in docs.columns],
+    return rows.join(drop, F.col("doc_id").eqNullSafe(F.col("_drop_doc")) & (_row_hash(text) == F.col("_drop_row")), "left").select(
+        "_row",
         F.when(lost.isNull() | text.isNull(), text).otherwise(rest).alias("clean_text"),
         F.when(text.isNull(), 0).otherwise(F.size(all_lines)).cast("long").alias("n_lines"),
         F.when(text.isNull(), 0).otherwise(F.coalesce(F.size(lost), F.lit(0))).cast("long").alias("n_removed"),
     )
 
 
+def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` with n_lines, n_removed and clean_text, in place of columns of these names."""
+    return unpacked(_cleaned(docs, min_sites), docs.columns, **{c: F.col(c) for c in ("clean_text", "n_lines", "n_removed")})
+
+
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with clean texts; a document of which nothing is left goes."""
-    whole = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))  # no name can clash
-    out = clean(whole, min_sites).where("n_removed = 0 or trim(replace(clean_text, '\\n', ' ')) <> ''")
-    done = {"text": F.col("clean_text").alias("text"), "n_chars": F.length("clean_text").cast("long").alias("n_chars")}
-    return out.select([done.get(c, F.col(f"_all.`{c}`").alias(c)) for c in docs.columns])
+    out = _cleaned(docs, min_sites).where("n_removed = 0 or trim(replace(clean_text, '\n', ' ')) <> ''")
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    return unpacked(out, docs.columns, **{c: v for c, v in new.items() if c in docs.columns})
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .store import Run, give_back, small_batches
+from .store import Run, give_back, packed, small_batches, unpacked
 
 SYMBOLS, SYMBOL_BITS, PER_CHUNK = 64, 16, 4
 CHUNKS = SYMBOLS // PER_CHUNK
@@ -350,13 +350,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     same = F.col("b.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("b.text_hash") == F.col("c.text_hash"))
     kept = best.select("best.*").alias("b").join(copies.alias("c"), same).select(F.col("b.doc_id").alias("_kept_id"), F.col("b.text_hash").alias("_kept_hash"), F.col("k").alias("_copies"))
     kept = run.result(kept.unionByName(bare))
-    held = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["_kept_hash"]))
-    own = [docs[c] for c in docs.columns]
-    once = held.where(kept["_copies"] == 1).select(own)
-    if kept.where("_copies > 1").isEmpty():
-        return once
-    twice = held.where(kept["_copies"] > 1).select(F.struct(*own).alias("row"), kept["_kept_id"].alias("i"), kept["_kept_hash"].alias("h")).dropDuplicates(["i", "h"])
-    return once.unionByName(twice.select("row.*"))
+    all_ = packed(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("i"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "_row")
+    held = all_.join(kept, F.col("i").eqNullSafe(F.col("_kept_id")) & (F.col("h") == F.col("_kept_hash")))
+    once = held.where("_copies = 1").select("_row")
+    if not kept.where("_copies > 1").isEmpty():
+        once = once.unionByName(held.where("_copies > 1").select("i", "h", "_row").dropDuplicates(["i", "h"]).select("_row"))
+    return unpacked(once, docs.columns)
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import read_documents, small_batches
+from .store import packed, read_documents, small_batches, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + len(KINDS)  # 0 is plain
@@ -52,8 +52,8 @@ SPOTS, SPOT_CHARS = 10, 2_000
 #: Times that a document with spans is seen with these damaged, each time otherwise.
 COPIES = 4
 ADD_ABOVE = 0.9
-#: Digits at the end that make two numbers similar, and sizes of forms that are compared but for a character.
-SUFFIX, FORM_SIZES = 7, range(8, 41)
+#: Digits at the end that make two numbers similar; forms of so many characters or more that differ in one are, too.
+SUFFIX, ALIKE_FROM = 7, 8
 ROUNDS = 8
 BUCKETS = 1 << 14
 
@@ -289,6 +289,24 @@ def _damaged_copy(text: str, spans: list[tuple[int, int, int]], rng: random.Rand
 # ---- the field
 
 CHAIN, EQUAL, SIMILAR = range(3)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _but_one(form: str) -> list[tuple[int, int]]:
+    """Keys of the form without each of its characters in turn, and of all of it as what a longer one leaves.
+
+    Two forms that differ by one character, in place of another or one more, share a key.
+
+    From sums of characters times powers: those before the one left out, and those behind it a power down. So a
+    form of any length has as many keys as characters, in a time that grows with their number alone.
+    """
+    steps = np.full(len(form), _BASE, np.uint64)
+    steps[0] = 1
+    c = np.array([ord(x) + 1 for x in form], np.uint64) * np.cumprod(steps, dtype=np.uint64)
+    before = np.concatenate(([np.uint64(0)], np.cumsum(c, dtype=np.uint64)))
+    rest = before[:-1] + (before[-1] - before[1:]) * np.uint64(_INVERSE)
+    return [*((len(form), h) for h in rest.tolist()), (len(form) + 1, int(before[-1]))]
 
 
 class Field:
@@ -303,20 +321,17 @@ class Field:
         """Pairs of token numbers (over all documents) that share a potential, and the kind of each."""
         pairs, kinds, base = [], [], 0
         for toks in docs:
-            last: dict[str, int] = {}
+            last: dict[str | tuple[int, int], int] = {}
             for i, t in enumerate(toks):
                 if i:
                     pairs.append((base + i - 1, base + i))
                     kinds.append(CHAIN)
-                size = len(t.form)
-                if size <= 5:
-                    continue
                 if (j := last.get(t.form)) is not None:
                     pairs.append((base + j, base + i))
                     kinds.append(EQUAL)
-                keys = []
-                if size in FORM_SIZES:
-                    keys = [f"-{t.form[:c]}{t.form[c + 1 :]}" for c in range(size)] + [f"-{t.form}"]
+                keys: list[str | tuple[int, int]] = []
+                if len(t.form) >= ALIKE_FROM:
+                    keys = _but_one(t.form)
                     digits = _digits(t.form)
                     if len(digits) > SUFFIX:
                         keys.append(f"~{digits[-SUFFIX:]}")
@@ -432,13 +447,22 @@ def _added(text: str, toks: list[Token], p: np.ndarray, spans: list[tuple[int, i
             e -= 1
         i = bisect.bisect_left(starts, e)
         if s < e and not any(x < e and s < y for x, y in taken[max(0, i - 3) : i + 1]):
-            if out and out[-1][0] == k - 1 and len(text[out[-1][2] : s].strip(_TRIM + " ")) == 0 and s - out[-1][2] <= 3:
+            if out and out[-1][0] == k - 1 and len(text[out[-1][2] : s].strip(_TRIM + " ")) == 0 and s - out[-1][2] <= 3 and _one(k - 1, text[out[-1][1] : e]):
                 out[-1] = (k - 1, out[-1][1], e)
             else:
                 out.append((k - 1, s, e))
     return out
 
 
+def _one(kind: int, text: str) -> bool:
+    """Whether neighbouring pieces may together be one mention of the kind: not more than fits into one."""
+    if KINDS[kind] == "email":
+        return text.count("@") <= 1
+    if KINDS[kind] == "ip":
+        return len(re.findall(r"[0-9]+", text)) <= 4
+    return len(_digits(text)) <= (19 if KINDS[kind] == "card" else 15)
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
@@ -475,23 +499,33 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, _FOUND)
 
 
-def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id and text with each span replaced by its kind in brackets (of overlapping ones the first)."""
+def redact(docs: DataFrame, field: Field) -> DataFrame:
+    """``docs`` with each span in its text replaced by its kind in brackets (of overlapping ones the first).
+
+    Rows are rewritten where they are read, each by its own spans, whatever their doc_id.
+    """
     small_batches(docs.sparkSession)
+    rows = packed(docs, ["text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                parts, at = [], 0
-                for s, e, k in sorted((int(s), int(e), k) for k, s, e in (x.split(":") for x in (spans or "").split(",") if x)):
+            texts = batch.column("text").to_pylist()
+            some = [i for i, t in enumerate(texts) if t and _SUSPECT.search(t)]
+            bases = {i: base_spans(texts[i]) for i in some}
+            toks = {i: tokens(texts[i], bases[i]) for i in some}
+            p, n = field.marginals([toks[i] for i in some]), 0
+            for i in some:
+                text, parts, at = texts[i], [], 0
+                more = _added(text, toks[i], p[n : n + len(toks[i])], bases[i])
+                n += len(toks[i])
+                for s, e, k in sorted((s, e, k) for k, s, e in bases[i] + more):
                     if s >= at:
-                        parts += [text[at:s], f"[{k}]"]
+                        parts += [text[at:s], f"[{KINDS[k]}]"]
                         at = e
-                out.append(None if text is None else "".join(parts) + text[at:])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
+                texts[i] = "".join(parts) + text[at:]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("_row")], names=["text", "_row"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(found.select("doc_id", "spans"), "doc_id").mapInArrow(run, "doc_id long, text string")
+    return unpacked(rows.mapInArrow(run, rows.schema), docs.columns, text=F.col("text"))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

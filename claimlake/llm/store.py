@@ -8,7 +8,8 @@ import tempfile
 import uuid
 
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes that Arrow hands to Python at once; texts may be very long, so few of them.
 BATCH_ROWS, BATCH_BYTES = 256, 32 << 20
@@ -99,6 +100,23 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def packed(docs: DataFrame, wanted: list[str]) -> DataFrame:
+    """The ``wanted`` columns, and the whole row in a struct ``_row`` whose fields go by number.
+
+    So no name of another column (with a dot, in other case, or one that an operator uses) can clash.
+    """
+    names = docs.columns
+    safe = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return safe.select(*[F.col(f"c{names.index(w)}").alias(w) for w in wanted], F.struct(*safe.columns).alias("_row"))
+
+
+def unpacked(rows: DataFrame, names: list[str], **new: Column) -> DataFrame:
+    """The rows of :func:`packed` again, under their names; ``new`` columns take the place of their namesakes."""
+    own = [(n, new[n] if n in new else F.col(f"_row.c{i}")) for i, n in enumerate(names)]
+    own += [(n, c) for n, c in new.items() if n not in names]
+    return rows.select([c.alias(f"c{i}") for i, (_, c) in enumerate(own)]).toDF(*[n for n, _ in own])
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

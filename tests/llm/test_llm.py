@@ -332,8 +332,11 @@ def test_language_id_edges_and_switches(spark, docs, texts):
     assert got[5]["lang_pred"] == "en"
     mixed = " ".join(t[:300] for t in by_lang.values())  # as much of each of four languages
     junk = " ".join(hashlib.md5(bytes([i])).hexdigest().translate({48: "q", 49: "x", 50: "z", 101: "k"}) for i in range(100))
-    clear = language_id.keep_clear(frame(spark, [None, "", "12", half, mixed, junk, "Odd"]).withColumn("score", F.lit(1)), chain, 0.75, 20)
+    clear = language_id.keep_clear(frame(spark, [None, "", "12", half, mixed, junk, "Odd"]).withColumn("score", F.lit(1)), chain, 0.75, 10)
     assert [r["doc_id"] for r in clear.collect()] == [3, 4, 6] and clear.columns[-1] == "score"
+    of = [" ".join(junk.split()[:n]) for n in range(1, 41)]  # the fewer words, the more unsure; no step
+    left = {r["doc_id"] for r in language_id.keep_clear(frame(spark, of), chain, 0.75, 10).collect()}
+    assert 0 in left and 39 not in left
     assert language_id.predict(frame(spark, ["a"]), language_id.train(docs.limit(0))).first()["lang_pred"] == "und"
 
 
@@ -425,11 +428,37 @@ def test_pii_skip_edges_agree_and_edges(spark):
     found = pii.find(df, pii.Field())
     got = {r["doc_id"]: r["spans"] for r in found.collect()}
     assert got == {0: "", 1: "", 2: "email:0:6,ip:11:18", 3: "", 4: ""}
-    assert {r["doc_id"]: r["text"] for r in pii.redact(df, found).collect()}[2] == "[email] and [ip]"
+    assert {r["doc_id"]: r["text"] for r in pii.redact(df, pii.Field()).collect()}[2] == "[email] and [ip]"
     assert pii.find(df.limit(0), pii.Field()).count() == 0
     assert pii.base_spans("a" * 50000 + "@" + "1." * 50000) is not None
 
 
+def test_pii_skip_edges_reach_forms_of_any_length():
+    for size in (3, 5, 8, 40, 41, 200):
+        form = "".join("0123456789abcdef"[i * 7 % 16] for i in range(size))
+        changed = form[: size // 2] + "z" + form[size // 2 + 1 :]
+        shorter = form[:-1]
+        for other, kind in ((form, pii.EQUAL), (changed, pii.SIMILAR), (shorter, pii.SIMILAR)):
+            text = f"{form} then {other}1" if other == form else f"{form} then {other}"
+            text = f"{form} then {other}" if other != form else f"{form} then {form}"
+            pairs, kinds = pii.Field.edges([pii.tokens(text, [])])
+            if kind == pii.EQUAL or size >= pii.ALIKE_FROM + 1:
+                assert kind in kinds.tolist(), (size, other)
+
+
+def test_pii_neighbours_join_only_to_what_fits():
+    assert not pii._one(2, "4465758382889437 4465758382889437") and pii._one(2, "4465 7583 8288 9437")
+    assert not pii._one(0, "a@b.c d@e.f") and pii._one(1, "1.2.3 .4") and not pii._one(1, "1.2.3.4 5.6.7.8")
+
+
+def test_pii_redaction_by_row(spark, docs):
+    field = pii.train(docs)
+    df = spark.createDataFrame([(None, "to a@b.com"), (1, "card 4111111111111111 x"), (1, "no"), (2, None), (1, "card 4111111111111111 x")], "doc_id long, text string").withColumn("a.b", F.lit("k"))
+    out = pii.redact(df, field)
+    assert out.columns == df.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect()) == sorted([("None", "to [email]"), ("1", "card [card] x"), ("1", "no"), ("2", "None"), ("1", "card [card] x")])
+
+
 def test_pii_long_tokens_with_one_head_are_apart():
     a, b = labelled("7" * 450 + "x1 " + "7" * 450 + "y2")
     assert a.form != b.form and not [k for k in pii.Field.edges([[a, b]])[1] if k != pii.CHAIN]
@@ -516,19 +545,42 @@ def test_decontamination_with_edits_equals_brute_force(spark):
     for d, t in enumerate(texts):
         n = decontaminate.normal(t)
         for i, x in items.items():
-            k = decontaminate.budget(len(x))
-            if x and not k and f" {x} " in f" {n} ":
-                want[d, i] = 0
-            elif x and k and (e := least_distance(x, n)) <= k:
+            k = decontaminate.budget(len(x) - 2)
+            if x and (e := least_distance(x, n)) <= k:
                 want[d, i] = e
                 if i == 0:
                     want[d, None] = e
     assert got == {**want, **{(d, None): e for (d, i), e in want.items() if i == 0}} and any(want.values())
     assert {len(b) for b in decontaminate.item_blocks(bench, 300)} - {19}
+    by_block = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontaminate.hits(frame(spark, texts), bench, size=300).collect()}
+    assert by_block == got
     split = sorted(x for b in decontaminate.item_blocks(bench, 300) for x in map(repr, b))
     assert split == sorted(map(repr, next(decontaminate.item_blocks(bench))))
 
 
+def test_decontamination_has_no_step_at_any_length(spark):
+    """One letter changed: found as soon as the rate allows an edit, whatever the length; no item stands inside a word."""
+    words = "abcde fghij klmno pqrst uvwxy zabcd efghi jklmn".split()
+    for size in (12, 13, 28, 29, 30, 31):
+        item = " ".join(words)[:size].strip()
+        bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+        changed = item[:7] + "#".replace("#", "q") + item[8:]
+        got = {r["doc_id"]: r["distance"] for r in decontaminate.hits(frame(spark, [f"lead {changed} tail", f"lead {item} tail", f"lead x{item}x tail"]), bench).collect()}
+        k = decontaminate.budget(len(item))
+        assert got == {1: 0} | ({0: 1} if k >= 1 else {}) | ({2: 2} if k >= 2 else {}), size
+
+
+def test_decontamination_deals_one_item_id_over_blocks(spark):
+    texts = [f"{'word' * 3} {i:05d} and some more of it" for i in range(60)]
+    bench = spark.createDataFrame([(7, t) for t in texts] + [(None, t) for t in texts], "item_id long, text string")
+    blocks = list(decontaminate.item_blocks(bench, 400))
+    assert len(blocks) > 4 and max(map(len, blocks)) < 60
+    docs = frame(spark, [f"x {texts[3]} y {texts[40]}", f"x {texts[3]} y {texts[40]}", "nothing"])
+    docs = docs.unionByName(docs.where("doc_id = 0"))
+    got = sorted((r["doc_id"], r["item_id"] or -1, r["distance"]) for r in decontaminate.hits(docs, bench, size=400).collect())
+    assert got == [(0, -1, 0), (0, -1, 0), (0, 7, 0), (0, 7, 0), (1, -1, 0), (1, 7, 0)]
+
+
 def least_distance(p, t):
     before = [0] * (len(t) + 1)
     for i, c in enumerate(p):
@@ -580,6 +632,12 @@ def test_line_dedup_of_a_long_list(spark, docs, monkeypatch):
     assert want == sorted(map(repr, line_dedup.clean(docs).select("doc_id", "n_removed", F.md5("clean_text")).collect()))
 
 
+def test_line_dedup_replaces_columns_of_its_names(spark):
+    df = frame(spark, ["a", "b"]).withColumns({"clean_text": F.lit(1), "n_removed": F.lit("x"), "a.b": F.lit(2)})
+    out = line_dedup.clean(df)
+    assert sorted(out.columns) == sorted([*df.columns, "n_lines"]) and [r["clean_text"] for r in out.orderBy("doc_id").collect()] == ["a", "b"]
+
+
 def test_license_scan_canonical_forms(spark):
     mit = dict((i, t) for i, t in licenses.KNOWN if i == "MIT")["MIT"]
     shouted = "Copyright (c) 2020 Some Body\n\n" + mit.replace("sublicense", "sub­license").replace("sub­license", "sublicence").upper().replace(". ", ".\n\n   ")
@@ -675,7 +733,7 @@ def test_pipeline_stages_on_odd_rows(spark, docs, tmp_path):
     late = " ".join(random.Random("late").choices(some["es"].split(), k=150))
     item = "".join(chr(97 + i * 7 % 26) + (" " if i % 5 == 4 else "") for i in range(120))
     rows = [(None, some["en"]), (None, some["en"]), (7, some["fr"]), (7, some["de"]), (8, None), (9, ""), (10, "12 34"), (11, some["es"] + " " + item), (12, (late + "\n") * 400)]
-    extra = {c: F.lit("x") for c in ("text_hash", "row", "root", "digest", "number", "length", "h", "label", "class_id", "_drop", "shingles")}
+    extra = {c: F.lit("x") for c in ("text_hash", "row", "root", "digest", "number", "length", "h", "i", "label", "class_id", "_drop", "shingles", "a.b", "doc_id.x", "_has_letter_", "has_letter", "clean_text", "n_removed", "n_lines", "_row", "c0", "c1", "_kept_id")}
     df = spark.createDataFrame([(d, t, "en", "s", None) for d, t in rows], DOCS).unionByName(docs.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id between 100 and 140")).withColumns(extra)
     spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     at = df
