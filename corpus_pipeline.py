@@ -17,16 +17,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimlake.llm import decontaminate, language_id, line_dedup, near_dedup, packing
-from claimlake.llm.store import materialise, read_documents
+from claimlake.llm.store import discard, materialise, read_documents
 from claimlake.llm.tokens import default_tokenizer
 
-#: A text of FEW_WORDS words or more is rejected if the labels of its words are less sure on average.
-LEAST_SURE, FEW_WORDS = 0.75, 20
+#: A text is rejected if the labels of its words, and of SURE_WORDS sure ones beside them, are less sure on average.
+LEAST_SURE, SURE_WORDS = 0.75, 10
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chain = language_id.train(docs.select("doc_id", "text", "lang"))
-    return language_id.keep_clear(docs, chain, LEAST_SURE, FEW_WORDS)
+    return language_id.keep_clear(docs, chain, LEAST_SURE, SURE_WORDS)
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +59,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over the documents of ``sf_dir``."""
-    docs = read_documents(spark, sf_dir)
+    docs, before = read_documents(spark, sf_dir), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = materialise(docs, name)
+            before, docs = before, materialise(docs, name)
+            if before is not None:  # nothing reads it any more
+                discard(before)
+            before = docs
     return docs
