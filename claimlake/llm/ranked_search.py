@@ -5,17 +5,19 @@ descending order of impact, all lists down to the same impact, round by round. W
 is the lower end of its score for an item; what its other terms could still add, as no list holds
 more than the impact it is read down to, makes the upper end. Per item
 
-* a document goes as soon as its upper end is below the tenth best lower end;
-* once documents that weren't seen yet can't reach that either, the item is closed: further reads are for
-  the documents that are left only;
-* reads go on until these have no room between their ends, so that members, ties and scores are final.
+* a document is out as soon as its upper end is below the tenth best lower end of all documents, the bar;
+* once documents that weren't seen yet can't reach the bar either, no more come in;
+* reads go on until nobody who is in has room between their ends, so that members, ties and scores are final.
 
-No list is ever looked up for one document. The lists of all items' terms are one table, in folders by
-level (powers of two of the impact); a round reads the folders that follow, each about ROUND times as many rows as
-all before. So rare terms settle most items, and of frequent ones' long lists only rows of documents that are left
-go on. Lists are kept of terms of items alone: the corpus is read once for each MAX_TERMS of them.
+No list is ever looked up for one document. The lists are cut by documents into shards of SHARD_DOCS: a row of
+the index is a shard, with a column for each level of impact (a power of two), in which the entries of all
+lists lie in descending order. A round is one job that reads the columns down to its level, adds up the ends of
+a shard's documents in numpy, and returns by item the best lower ends above the bar, the most that an
+unseen document could have, and how many documents are in and still open. Shards share nothing but
+the bar of each item, which follows from all of them after each round. Nothing is shuffled but these few rows.
 
-Terms are known by 64-bit hashes. Statistics count all documents.
+The items are the query set, taken in blocks of about BLOCK_TERMS terms, each against all documents. Terms are
+known by 64-bit hashes. Statistics count all documents.
 
 Defined results: an item is a row of the table with its item_id, which may be null or repeated (each such row has
 ranks of its own); a null text, or one without a term, has none. A null text of a document has no term; rows
@@ -30,19 +32,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import shingles as S
 from .store import Run, give_back, read_documents, small_batches
 
 TOP = 10
-#: Terms of items that one pass over the corpus looks for (8 bytes each in a broadcast).
-MAX_TERMS = 1_000_000
-#: Rows of items' terms, or of documents that are left, up to which they are broadcast (a few tens of MB).
-BROADCAST_ROWS = 500_000
-#: A round reads about so many times the rows of all rounds before, the first about FIRST_ROWS.
-ROUND, FIRST_ROWS = 3, 100_000
+#: Terms of items that are looked for together (with repeats over items; about 16 bytes each in a broadcast).
+BLOCK_TERMS = 1_000_000
+#: Documents of a shard, and items whose ends are added up together: two arrays of 8 bytes each.
+SHARD_DOCS, ITEMS_TOGETHER = 8192, 64
+#: Levels of impact: entries of 2**TOP_LEVEL and more, of half as much and more, and so on; the last has all the rest.
+TOP_LEVEL, LEVELS = 33, 14
 #: Bytes that end a term: of ASCII all but digits and letters.
 _BETWEEN = S.byte_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 
@@ -69,7 +71,7 @@ def item_terms(items: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """row, doc_id, n (its terms with repeats) and, of ``wanted`` (hashes, ascending), those it has with their counts."""
+    """doc_id, n (its terms with repeats) and, of ``wanted`` (hashes, ascending), those it has with their counts."""
     known = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,76 +79,235 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         for batch in batches:
             for i, j, h, owner in _terms(batch):
                 n = np.bincount(owner, minlength=j - i)
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                hit = keys[at] == h
-                pairs, counts = np.unique(owner[hit] * len(keys) + at[hit], return_counts=True)
-                ends = pa.array(np.searchsorted(pairs, np.arange(j - i + 1) * len(keys)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (keys[pairs % len(keys)].view(np.int64), counts.astype(np.int64))]
-                out = pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(n.astype(np.int64)), *lists], ["row", "doc_id", "n", "terms", "counts"])
+                at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+                hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+                pairs, counts = np.unique(owner[hit] * max(len(keys), 1) + at[hit], return_counts=True)
+                ends = pa.array(np.searchsorted(pairs, np.arange(j - i + 1) * max(len(keys), 1)).astype(np.int32))
+                own = keys[pairs % len(keys)].view(np.int64) if len(pairs) else np.zeros(0, np.int64)
+                listed = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (own, counts.astype(np.int64))]
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(n.astype(np.int64)), *listed], ["doc_id", "n", "terms", "counts"])
                 yield out.filter(pa.array(n > 0))
         give_back()
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, n long, terms array<long>, counts array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, terms array<long>, counts array<long>")
+
+
+def _weights(counts: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Documents, their terms, and the terms that weigh more than 0 with their weights (BLOCK_TERMS at most)."""
+    docs, all_terms = counts.agg(F.count("*"), F.sum("n")).first()
+    df = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    rows = df.select("term", F.floor(1000 * F.log(F.lit(2 * docs + 2) / (2 * F.col("df") + 1))).alias("w")).where("w > 0").toArrow()
+    terms = rows["term"].to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    return docs, all_terms or 1, terms[order], rows["w"].to_numpy()[order]
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of 64-bit numbers, one after another, their lengths first."""
+    return np.concatenate([np.array([len(arrays), *map(len, arrays)], np.int64), *[a.astype(np.int64) for a in arrays]]).tobytes()
+
+
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    x = np.frombuffer(blob, np.int64)
+    ends = np.cumsum(x[1 : 1 + x[0]]) + 1 + x[0]
+    return [x[e - n : e] for e, n in zip(ends.tolist(), x[1 : 1 + x[0]].tolist(), strict=True)]
+
+
+_SHARD = "shard long, doc_ids binary, ends binary, " + ", ".join(f"l{i} binary" for i in range(LEVELS))
+
+
+def lists(counts: DataFrame, docs: int, all_terms: int, terms: np.ndarray, weights: np.ndarray) -> DataFrame:
+    """A row a shard: doc_ids; of each term its largest and smallest impact; and by level terms, ends, documents, impacts.
+
+    A level has the entries of each of its terms one after another, in descending order of impact.
+    """
+    shared = counts.sparkSession.sparkContext.broadcast((terms, weights))
+    none = np.iinfo(np.int64).max
+
+    def shard(number: int, rows: list[tuple]) -> list:
+        known, weight = shared.value
+        ids = np.array([none if r[0] is None else r[0] for r in rows], np.int64)
+        n = np.array([r[1] for r in rows], np.int64)
+        size = np.array([len(r[2]) for r in rows])
+        doc = np.repeat(np.arange(len(rows)), size)
+        key = np.concatenate([r[2] for r in rows]).view(np.uint64)
+        tf = np.concatenate([r[3] for r in rows])
+        at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+        heavy = known[at] == key if len(known) else np.zeros(len(key), bool)
+        doc, at, tf = doc[heavy], at[heavy], tf[heavy]
+        m = 100 - 90 + (90 * n[doc] * docs) // all_terms
+        impact = weight[at] * ((1_000_000_000 * tf) // (1000 * tf + 8 * m))
+        some = impact > 0
+        doc, at, impact = doc[some], at[some], impact[some]
+        order = np.lexsort((doc, -impact, at))
+        doc, at, impact = doc[order], at[order], impact[order]
+        term, first = np.unique(at, return_index=True)
+        last = np.concatenate((first[1:], [len(at)]))[: len(term)]
+        out = [number, ids.tobytes(), _pack(term, impact[first], impact[last - 1])]
+        level = np.clip(TOP_LEVEL - np.frexp(impact.astype(np.float64))[1] + 1, 0, LEVELS - 1)
+        for i in range(LEVELS):
+            mine = np.flatnonzero(level == i)
+            t, begin = np.unique(at[mine], return_index=True)
+            out.append(_pack(t, np.concatenate((begin, [len(mine)])), doc[mine], impact[mine]))
+        return out
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.binary()) for c in _SHARD.split(", ")])
+        held: list[tuple] = []
+        part, seen = 0, 0
 
-def _count(run: Run, docs: DataFrame, terms: DataFrame) -> list[DataFrame]:
-    """Tables of :func:`term_counts`, one for each MAX_TERMS of ``terms``; the first says which documents there are."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = max(1, -(-terms.count() // MAX_TERMS))
-    if blocks > 1:
-        rows = run.table(rows, "rows")  # so that a row has the same number in each pass
-    out = []
-    for b in range(blocks):
-        some = terms.where(F.pmod("term", F.lit(blocks)) == b).toPandas()["term"].to_numpy(np.int64).view(np.uint64)
-        out.append(run.table(term_counts(rows, np.sort(some)), "counts"))
+        def flush() -> pa.RecordBatch:
+            nonlocal seen
+            seen += 1
+            row = shard((part << 24) + seen, held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "n")]
+            arrays = []
+            for c in ("terms", "counts"):
+                ends, flat = batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()
+                arrays.append([flat[x:y].copy() for x, y in zip(ends[:-1], ends[1:], strict=True)])
+            for row in zip(*cols, *arrays, strict=True):
+                held.append(row)
+                if len(held) == SHARD_DOCS:
+                    yield flush()
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+        if held:
+            yield flush()
+        give_back()
+
+    return counts.select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "n", "terms", "counts").mapInArrow(run, _SHARD)
+
+
+class _Items:
+    """Items of a block that are still open: for each term the numbers of its items."""
+
+    def __init__(self, term: np.ndarray, item: np.ndarray, bars: np.ndarray) -> None:
+        order = np.lexsort((item, term))
+        term, self.item, self.bars = term[order], item[order], bars
+        self.term, self.first = np.unique(term, return_index=True)
+        self.last = np.concatenate((self.first[1:], [len(term)]))[: len(self.term)]
+
+    def of(self, term: int, lo: int, hi: int) -> np.ndarray:
+        """Those of the term between two numbers, counted from the lower one."""
+        i = int(np.searchsorted(self.term, term))
+        if i == len(self.term) or self.term[i] != term:
+            return self.item[:0]
+        some = self.item[self.first[i] : self.last[i]]
+        return some[np.searchsorted(some, lo) : np.searchsorted(some, hi)] - lo
+
+
+def _round(shards: DataFrame, items: _Items, level: int) -> DataFrame:
+    """Read all lists down to ``level``: of each shard and item the best lower ends, and a row for what is open.
+
+    Columns item, doc_id, row (null in a row for what is open), low, unseen, n_open.
+    """
+    shared = shards.sparkSession.sparkContext.broadcast(items)
+    down_to = 0 if level == LEVELS - 1 else 1 << (TOP_LEVEL - level)
+    none = np.iinfo(np.int64).max
+
+    def ends_of(blobs: list, ids: np.ndarray, bounds: list[np.ndarray], lo: int, hi: int) -> tuple:
+        """Lower ends, upper ends and the most of an unseen document, for items lo to hi."""
+        asked: _Items = shared.value
+        low = np.zeros((hi - lo, len(ids)), np.int64)
+        own = np.zeros_like(low)
+        unseen = np.zeros(hi - lo, np.int64)
+        room = np.where(bounds[2] >= down_to, 0, np.minimum(bounds[1], down_to - 1))
+        left = dict(zip(bounds[0].tolist(), room.tolist(), strict=True))
+        who = {t: asked.of(t, lo, hi) for t in left}
+        for t, r in left.items():
+            unseen[who[t]] += r
+        for term, begin, doc, impact in blobs:
+            for i, t in enumerate(term.tolist()):
+                if len(some := who[t]):
+                    a, b = begin[i], begin[i + 1]
+                    cells = some[:, None], doc[a:b]
+                    low[cells] += impact[a:b]
+                    if left[t]:
+                        own[cells] += left[t]
+        return low, low + unseen[:, None] - own, unseen
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bars = shared.value.bars
+        for batch in batches:
+            for k in range(batch.num_rows):
+                number = batch.column("shard")[k].as_py()
+                ids = np.frombuffer(batch.column("doc_ids")[k].as_py(), np.int64)
+                bounds = _unpack(batch.column("ends")[k].as_py())
+                blobs = [_unpack(batch.column(f"l{i}")[k].as_py()) for i in range(level + 1)]
+                out: list[tuple] = []
+                for lo in range(0, len(bars), ITEMS_TOGETHER):
+                    hi = min(len(bars), lo + ITEMS_TOGETHER)
+                    low, high, unseen = ends_of(blobs, ids, bounds, lo, hi)
+                    bar = bars[lo:hi, None]
+                    n_open = ((high >= bar) & (high > low)).sum(axis=1)
+                    for i in range(hi - lo):
+                        good = np.flatnonzero((low[i] >= bar[i]) & (low[i] > 0))
+                        if len(good) > TOP:
+                            least = np.partition(low[i][good], len(good) - TOP)[len(good) - TOP]
+                            good = good[low[i][good] >= least]
+                        best = good[np.lexsort((good, ids[good], -low[i][good]))][:TOP]
+                        out += [(lo + i, None if ids[d] == none else int(ids[d]), number * SHARD_DOCS + int(d), int(low[i, d]), None, None) for d in best.tolist()]
+                        out.append((lo + i, None, None, None, int(unseen[i]), int(n_open[i])))
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(6)], ["item", "doc_id", "row", "low", "unseen", "n_open"])
+        give_back()
+
+    read = shards.select("shard", "doc_ids", "ends", *[f"l{i}" for i in range(level + 1)])
+    return read.mapInArrow(run, "item long, doc_id long, row long, low long, unseen long, n_open long")
+
+
+def _levels(run: Run, shards: DataFrame) -> list[int]:
+    """The level that each round reads down to: one or more further ones, together at least as large as all before."""
+    sizes = shards.agg(*[F.sum(F.length(f"l{i}")).alias(f"l{i}") for i in range(LEVELS)]).first()
+    out, before, here = [], 0, 0
+    for i in range(LEVELS):
+        here += sizes[i] or 0
+        if i == LEVELS - 1 or here >= max(1, 2 * before):
+            out.append(i)
+            before, here = before + here, 0
     return out
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def impact_lists(run: Run, counts: list[DataFrame], n_terms: int) -> DataFrame:
-    """row, doc_id, term, impact and level of each entry above 0 of the lists, in folders by level."""
-    docs, all_terms = counts[0].agg(F.count("*"), F.sum("n")).first()
-    each = [c.select("row", "doc_id", "n", F.explode(F.arrays_zip("terms", "counts")).alias("e")).select("row", "doc_id", "n", "e.terms", "e.counts") for c in counts]
-    entries = each[0]
-    for e in each[1:]:
-        entries = entries.unionByName(e)
-    entries = entries.withColumnRenamed("terms", "term").withColumnRenamed("counts", "tf")
-    df = entries.groupBy("term").agg(F.count("*").alias("df"))
-    weight = run.table(df.select(F.col("term").alias("w_term"), F.floor(1000 * F.log(F.lit(2 * docs + 2) / (2 * F.col("df") + 1))).alias("w")).where("w > 0"), "weights")
-    m = F.expr(f"10 + (90 * n * {docs}L) div {all_terms or 1}L")
-    rows = entries.join(_small(weight, n_terms), F.col("term") == F.col("w_term")).withColumn("m", m)
-    rows = rows.select("row", "doc_id", "term", F.expr("w * ((1000000000L * tf) div (1000 * tf + 8 * m))").alias("impact")).where("impact > 0")
-    path = f"{run.path}/lists"
-    rows.withColumn("level", F.length(F.bin("impact"))).write.partitionBy("level").parquet(path)
-    run.drop(weight)
-    return counts[0].sparkSession.read.schema("row long, doc_id long, term long, impact long, level int").parquet(path)
-
-
-def _rounds(levels: dict[int, int]) -> list[tuple[int, int]]:
-    """(lowest level, highest level) of each round, highest first, for so many rows on each level."""
-    out, seen, here, high = [], 0, 0, None
-    for level in sorted(levels, reverse=True):
-        high = level if high is None else high
-        here += levels[level]
-        if here >= max(FIRST_ROWS, (ROUND - 1) * seen):
-            out.append((level, high))
-            seen, here, high = seen + here, 0, None
-    return [*out, (min(levels), high)] if high is not None else out
-
-
-def _ends(seen: DataFrame, lists: DataFrame, room: Column) -> DataFrame:
-    """item, row, doc_id, low and high of the scores of what was ``seen``; ``room`` is what a list may still add."""
-    every = lists.groupBy("item").agg(F.sum(room).alias("all"))
-    ends = seen.groupBy("item", "row", "doc_id").agg(F.sum("impact").alias("low"), F.sum(room).alias("own"))
-    return ends.join(every, "item").select("item", "row", "doc_id", "low", (F.col("low") + F.col("all") - F.col("own")).alias("high"), F.col("all").alias("unseen"))
-
-
-def _best(ends: DataFrame) -> DataFrame:
+def _search_block(run: Run, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """item, rank, doc_id, score for the items of one block (item, term)."""
+    spark = docs.sparkSession
+    asked = wanted.select("item", "term").toArrow()  # BLOCK_TERMS rows, about
+    item, names = np.unique(asked["item"].to_numpy(), return_inverse=True)[::-1]
+    term = asked["term"].to_numpy().view(np.uint64)
+    counts = run.table(term_counts(docs, np.unique(term)), "counts")
+    n_docs, all_terms, heavy, weights = _weights(counts)
+    shards = run.table(lists(counts, n_docs, all_terms, heavy, weights), "lists")
+    run.drop(counts)
+    at = np.minimum(np.searchsorted(heavy, term), max(len(heavy) - 1, 0))
+    some = heavy[at] == term if len(heavy) else np.zeros(len(term), bool)
+    term, item = at[some], item[some]
+    open_ = np.unique(item)  # numbers of the items that aren't final
+    bars = np.zeros(len(names), np.int64)
+    found: list[DataFrame] = []
     order = Window.partitionBy("item").orderBy(F.desc("low"), F.asc_nulls_last("doc_id"), "row")
-    return ends.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP)
+    for level in _levels(run, shards):
+        if not len(open_):
+            break
+        mine = np.isin(item, open_)
+        rows = run.table(_round(shards, _Items(term[mine], np.searchsorted(open_, item[mine]), bars[open_]), level), "round")
+        best = rows.where("row is not null").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP)
+        best = run.table(best.select("item", "rank", "doc_id", "low"), "best")
+        ends = best.groupBy("item").agg(F.count("*").alias("k"), F.min("low").alias("bar"))
+        state = rows.where("row is null").groupBy("item").agg(F.max("unseen").alias("unseen"), F.sum("n_open").alias("n_open")).join(ends, "item", "left").toArrow()  # a row an item
+        now, unseen, n_open = (state[c].to_numpy() for c in ("item", "unseen", "n_open"))
+        full = state["k"].fill_null(0).to_numpy() == TOP
+        bar = np.where(full, state["bar"].fill_null(0).to_numpy(), 0)
+        bars[open_[now]] = np.maximum(bars[open_[now]], bar)
+        final = (n_open == 0) & (full & (unseen < bar) | (level == LEVELS - 1))
+        found.append(best.join(F.broadcast(spark.createDataFrame([(int(i), int(names[open_[i]])) for i in now[final]], "item long, number long")), "item").select(F.col("number").alias("item"), "rank", "doc_id", F.col("low").alias("score")))
+        run.drop(rows)
+        open_ = np.setdiff1d(open_, open_[now[final]])
+    out = spark.createDataFrame([], "item long, rank int, doc_id long, score long")
+    for f in found:
+        out = out.unionByName(f)
+    return run.table(out, "found")
 
 
 def search(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -155,47 +316,14 @@ def search(docs: DataFrame, items: DataFrame) -> DataFrame:
     run = Run(spark, "search")
     small_batches(spark)
     wanted = run.table(item_terms(items), "items")
-    terms = run.table(wanted.select("term").distinct(), "terms")
-    counts = _count(run, docs, terms)
-    entries = impact_lists(run, counts, terms.count())
-    run.drop(terms, *counts)
-    ends_of = entries.groupBy("term").agg(F.max("impact").alias("most"), F.min("impact").alias("least"))
-    lists = run.table(wanted.join(ends_of, "term").select("item", "term", "most", "least"), "of_items")
-    n_lists = lists.count()
-    levels = {r["level"]: r["count"] for r in entries.groupBy("level").count().collect()}  # at most 63
-    seen = left = result = None
-    open_lists, n_left = lists, 0
-    for lowest, highest in _rounds(levels) if levels else []:
-        new = entries.where((F.col("level") >= lowest) & (F.col("level") <= highest)).drop("level")
-        found = new.join(_small(open_lists, n_lists), "term")
-        if left is not None:  # of closed items
-            some = new.join(_small(left.select("row").distinct(), n_left), "row", "left_semi").join(_small(lists, n_lists), "term")
-            found = found.unionByName(some.join(_small(left.select("item", "row"), n_left), ["item", "row"]))
-        found = found.select("item", "row", "doc_id", "term", "impact", "most", "least")
-        seen = run.table(found if seen is None else seen.unionByName(found), "seen")
-        # Levels are numbers of binary digits: everything from 2**(lowest - 1) on is read.
-        down_to = 1 << (lowest - 1)
-        room = F.when(F.col("least") >= down_to, 0).otherwise(F.least("most", F.lit(down_to - 1)))
-        ends = run.table(_ends(seen, lists, room), "ends")
-        tenth = _best(ends).groupBy("item").agg(F.min("low").alias("least_low"), F.count("*").alias("k"))
-        tenth = tenth.select("item", F.when(F.col("k") == TOP, F.col("least_low")).otherwise(0).alias("bar"))
-        stay = run.table(ends.join(tenth, "item").where("high >= bar").withColumn("closed", F.col("unseen") < F.col("bar")), "stay")
-        run.drop(ends)
-        # An item is final when no one is unseen and nobody left has room.
-        state = run.table(stay.groupBy("item").agg(F.min("closed").alias("closed"), F.max(F.col("high") - F.col("low")).alias("room")).withColumn("final", F.expr("room = 0 and (closed or false)")), "state")
-        done = run.table(_best(stay.join(state.where("final").select("item"), "item")).select("item", "rank", "doc_id", F.col("low").alias("score")), "final")
-        result = done if result is None else result.unionByName(done)
-        left = run.table(stay.join(state.where("closed and not final").select("item"), "item").select("item", "row"), "open_rows")
-        n_left = left.count()
-        kept = stay.join(state.where("not final").select("item"), "item").select("item", "row")
-        seen = run.table(seen.join(kept, ["item", "row"], "left_semi"), "kept")
-        open_lists = lists.join(state.where("closed").select("item"), "item", "left_anti")
-    if seen is not None:  # every list is read to its end: of items that weren't closed, what was seen is all there is
-        result = result.unionByName(_best(seen.groupBy("item", "row", "doc_id").agg(F.sum("impact").alias("low"))).select("item", "rank", "doc_id", F.col("low").alias("score")))
-    else:
-        result = spark.createDataFrame([], "item long, rank int, doc_id long, score long")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    blocks = max(1, -(-wanted.count() // BLOCK_TERMS))
+    out = None
+    for b in range(blocks):
+        found = _search_block(run, slim, wanted.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b))
+        out = found if out is None else out.unionByName(found)
     names = wanted.select("item", "item_id").distinct()
-    return run.result(result.join(names, "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
+    return run.result(out.join(names, "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
 
 
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
