@@ -8,7 +8,7 @@ full cycle, and its count is then exact.
 
 A scan is a job over one shard: tasks count what may be active and add up their own counts before the
 shuffle. Which phrases have reached the threshold is known to the tasks by bits of their hashes (2**BITS of
-them, a fixed 8 MB, set by what was reached at all and in the last cycle); what the bits let through too
+them, a fixed 2 MB, set by what was reached at all and in the last cycle); what the bits let through too
 much goes in a join of the summed counts with the table of what was reached, broadcast up to BROADCAST_ROWS
 rows. At most ``4 * SHARDS`` scans end it. Phrases are known by 64-bit hashes of their words and language.
 
@@ -28,14 +28,14 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import shingles as S
 from .store import Run, give_back, read_documents, small_batches
 
-MIN_COUNT, LONGEST, SHARDS, TOP = 30, 4, 4, 2000
-BITS = 26
+MIN_COUNT, LONGEST, SHARDS, TOP = 30, 4, 3, 2000
+BITS = 24
 BROADCAST_ROWS = 1_000_000
 #: Words that a task counts together.
 TOGETHER = 1 << 20
@@ -176,9 +176,9 @@ def frequent(run: Run, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame
     shards = spark.read.schema("lang string, lang_key long, text string, shard int").parquet(path)
     none = np.zeros(1 << (BITS - 3), np.uint8)
     state, reached, n_reached, final = None, [], 0, []
-    bits: list[np.ndarray] = []  # of what each scan reached
+    ever, recent = none, [none]  # bits of what was reached so far, and by each scan of the last cycle
     for t in range(LONGEST * SHARDS):
-        known = spark.sparkContext.broadcast(tuple(zstandard.compress(np.bitwise_or.reduce([none, *b]).tobytes()) for b in (bits, bits[-SHARDS:])))
+        known = spark.sparkContext.broadcast(tuple(zstandard.compress(np.bitwise_or.reduce([none, *b]).tobytes()) for b in ([ever], recent)))
         raw = scan(shards.where(F.col("shard") == t % SHARDS), known, t < SHARDS)
         if state is not None:
             carried = state.where(F.col("act") + SHARDS > t).select("key", "size", "text", (F.col("before") + F.col("now")).alias("before"), F.lit(0).cast("long").alias("now"), "act", F.lit(None).cast("long").alias("prefix"), F.lit(None).cast("long").alias("suffix"))
@@ -192,28 +192,36 @@ def frequent(run: Run, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame
             both = asked.join(when.withColumnsRenamed({"k": "pk", "s": "ps"}), F.col("p") == F.col("pk"), "left").join(when.withColumnsRenamed({"k": "qk", "s": "qs"}), F.col("q") == F.col("qk"), "left")
             begun = F.when(F.col("ps").isNotNull() & F.col("qs").isNotNull(), F.greatest("ps", "qs") + 1)
             sums = both.withColumn("act", F.coalesce("act", begun)).drop("p", "q", "pk", "ps", "qk", "qs")
-        old, state = state, run.table(sums.where(F.col("act").isNotNull() & (F.col("act") + SHARDS > t)), "state")
+        total = F.col("before") + F.col("now")
+        is_ended = (F.col("act") + SHARDS - 1 == t) & (total >= min_count)
+        is_fresh = (F.col("before") < min_count) & (total >= min_count)
+        seen = Observation()
+        counted = {"ended": is_ended, "fresh": is_fresh, "counting": F.col("act") + SHARDS - 1 > t}
+        now = sums.where(F.col("act").isNotNull() & (F.col("act") + SHARDS > t)).observe(seen, *[F.count_if(c).alias(name) for name, c in counted.items()])
+        old, state = state, run.table(now, "state")
         known.destroy()
         if old is not None:
             run.drop(old)
-        total = F.col("before") + F.col("now")
-        ended = state.where((F.col("act") + SHARDS - 1 == t) & (total >= min_count))
-        final.append(run.table(ended.select("key", "size", total.alias("a")), "final"))
-        fresh = state.where((F.col("before") < min_count) & (total >= min_count))
+        if seen.get["ended"]:
+            final.append(run.table(state.where(is_ended).select("key", "size", total.alias("a")), "final"))
+        fresh = state.where(is_fresh)
         names = fresh.where("size < 2").select("key", "size", F.coalesce("prefix", "key").alias("lang_key"), "text")
         if reached:
             so_far = _union(reached).select(F.col("key").alias("k"), "lang_key", "text")
             longer = fresh.where("size >= 2").select("key", "size", "prefix", "suffix").join(so_far.withColumnRenamed("text", "head"), F.col("prefix") == F.col("k")).drop("k")
             longer = longer.join(so_far.select("k", F.substring_index("text", " ", -1).alias("tail")), F.col("suffix") == F.col("k"))
             names = names.unionByName(longer.select("key", "size", "lang_key", F.concat_ws(" ", "head", "tail").alias("text")))
-        reached.append(run.table(names.withColumn("scan", F.lit(t)), "reached"))
-        n = reached[-1].count()
-        n_reached += n
-        bits.append(_bits(reached[-1].where((F.col("size") > 0) & (F.col("size") < LONGEST))) if n else none)
-        counting = not state.where(F.col("act") + SHARDS - 1 > t).isEmpty()
-        if t + 1 >= SHARDS and not counting and not any(b.any() for b in bits[-SHARDS:]):
+        latest = none
+        if seen.get["fresh"]:
+            reached.append(run.table(names.withColumn("scan", F.lit(t)), "reached"))
+            n_reached += seen.get["fresh"]
+            latest = _bits(reached[-1].where((F.col("size") > 0) & (F.col("size") < LONGEST)))
+        ever, recent = ever | latest, [*recent, latest][-SHARDS:]
+        if t + 1 >= SHARDS and not seen.get["counting"] and not any(b.any() for b in recent):
             break
     run.drop(state)
+    if not final:
+        return spark.createDataFrame([], "lang string, size int, phrase string, a long")
     names = _union(reached).select("key", "lang_key", "text")
     langs = names.join(_union(final).where("size = 0").select("key"), "key").select(F.col("key").alias("l"), F.col("text").alias("lang"))
     return run.table(_union(final).join(names, "key").join(langs, F.col("lang_key") == F.col("l")).select("lang", "size", F.col("text").alias("phrase"), "a"), "frequent")
