@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from .functions import money, plain
 from .operators import ingest, merge
+from .operators.digests import SnapshotState
 from .plans import analyses, design, gold, measures, quality, reports, silver, workflow
+from .session import scratch
 from .sources import parsers, workload
 from .sources.mapped import AS_OF, Mapped
 
@@ -178,6 +180,16 @@ def _snapshot(m: Mapped) -> DataFrame:
     return events.drop("_cdc_timestamp")
 
 
+@query("c1_ranged_diff", ORACLES["c1_snapshot_diff"], whole=True)
+def _ranged(m: Mapped) -> DataFrame:
+    """The same by digests of key ranges, over a stored state."""
+    now = m.raw("orders").select("o_orderkey", "o_orderstatus")
+    old = now.where("o_orderkey % 11 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
+    state = SnapshotState(m.spark, scratch(m.spark, "state"), buckets=32)
+    state.diff(old, ["o_orderkey"], "orders")
+    return state.diff(now.where("o_orderkey % 10 <> 0"), ["o_orderkey"], "orders").drop("_cdc_timestamp")
+
+
 _STAGED = "SELECT payer_id, cpt_code, geo_region, CASE WHEN v % 2 = 0 THEN rate ELSE rate + 1 END AS rate FROM h_fees WHERE is_current = 1"
 
 

@@ -11,7 +11,7 @@ from .operators import ingest, merge, sinks
 from .operators.table import VersionedTable
 from .plans import design, quality, reports, silver, workflow
 from .plans import gold as gold_plans
-from .queries import Gold, fees, query
+from .queries import ORACLES, Gold, fees, query
 from .session import scratch
 from .sources import files, parsers, workload
 from .sources.mapped import AS_OF, Mapped
@@ -94,6 +94,10 @@ def _amount(c: str) -> Column:
 
 
 def _x12_claims(m: Mapped) -> DataFrame:
+    return files.whole_texts(m.spark, _x12_claim_files(m))
+
+
+def _x12_claim_files(m: Mapped) -> str:
     """Files of 837 claims made of orders and their lines."""
     lines = m.claim_lines().groupBy("claim_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "cpt_code", "billed_amount", "units"))), lambda x: F.concat(F.lit("LX*1~SV1*HC:"), x["cpt_code"], F.lit("*"), x["billed_amount"].cast("string"), F.lit("*UN*"), x["units"].cast("string"), F.lit("~"))), "").alias("sv")
@@ -104,7 +108,7 @@ def _x12_claims(m: Mapped) -> DataFrame:
         F.lit("~DTP*472*D8*"), F.date_format("date_of_service", "yyyyMMdd"), F.lit("~HI*" + "*".join("ABF:" + c for c in _CODES) + "~"), "sv",
     )
     records = m.claims().join(lines, "claim_id").select("claim_id", body.alias("text"))
-    return files.whole_texts(m.spark, _files(m, records, "x837", "claim_id", "text", head=_ISA + "ST*837*0001*005010X222A1~", tail="SE*1*1~"))
+    return _files(m, records, "x837", "claim_id", "text", head=_ISA + "ST*837*0001*005010X222A1~", tail="SE*1*1~")
 
 
 query("s5_segments", "SELECT 'CLM' AS tag, count(*) AS n FROM m_claims c WHERE claim_id IN (SELECT claim_id FROM m_lines) UNION ALL SELECT 'SV1', count(*) FROM m_lines l WHERE claim_id IN (SELECT claim_id FROM m_claims)")(
@@ -119,6 +123,25 @@ query("p1_lines_837", "SELECT CAST(claim_id AS VARCHAR) AS claim_id, cpt_code, C
 )
 
 
+def _in_splits(m: Mapped, path: str) -> DataFrame:
+    """Segments of files that are read in splits of 64 kB."""
+    before = m.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    m.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = parsers.split_segments(m.spark, path)
+        out = scratch(m.spark, "segments")
+        rows.write.parquet(out)
+        return m.spark.read.parquet(out)
+    finally:
+        m.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+query("p1_claims_split", ORACLES["p1_claims_837"], whole=True)(
+    lambda m: parsers.claims_837(_in_splits(m, _x12_claim_files(m)))[0].select("claim_id", "total_billed", "provider_npi", "patient_id", "payer_id", "date_of_service", "frequency_code", F.size("diagnosis_codes").alias("n_codes"), F.element_at("diagnosis_codes", -1).alias("last_code"))
+)
+query("p1_lines_split", ORACLES["p1_lines_837"], whole=True)(lambda m: parsers.claims_837(_in_splits(m, _x12_claim_files(m)))[1].select("claim_id", "cpt_code", "billed_amount", "units"))
+
+
 def _x12_remits(m: Mapped) -> DataFrame:
     """Files of 835 remittances made of lines."""
     rest = (F.col("allowed_amount") - F.col("paid_amount")).cast("decimal(18,2)").cast("string")

@@ -1,33 +1,79 @@
 """Healthcare formats as set-based Spark jobs: a row a segment, context carried forward by windows.
 
-Files come as (file, content). No Python runs per file; a file's segments are sorted within its own
-partition group, so any number of files parse in parallel.
+X12 files come as (file, content), or in splits of any size (:func:`split_segments`). What a segment takes from
+those before it is carried forward inside its split first, then from split to split by one scan over the
+splits' last values, so one large interchange parses in as many tasks as it has splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import blank, money
 
 
 def segments(files: DataFrame) -> DataFrame:
-    """Segments of X12 files that begin with ISA: file, pos, tag and elements e (from 0). Separators are
+    """Segments of X12 files that begin with ISA: file, block (0), pos, tag and elements e (from 0). Separators are
     the characters at 3 and 105."""
     element, end = F.substring("content", 4, 1), F.substring("content", 106, 1)
     parts = F.split(F.col("content"), F.concat(F.lit("\\Q"), end, F.lit("\\E")))
-    rows = files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", element.alias("sep"), F.posexplode(parts).alias("pos", "raw"))
+    rows = files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", F.lit(0).cast("long").alias("block"), element.alias("sep"), F.posexplode(parts).alias("pos", "raw"))
     text = F.trim(F.regexp_replace("raw", r"[\r\n]+", ""))
-    out = rows.select("file", "pos", F.split(text, F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))).alias("e"), text.alias("raw")).where("raw <> ''").drop("raw")
+    out = rows.select("file", "block", "pos", F.split(text, F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))).alias("e"), text.alias("raw")).where("raw <> ''").drop("raw")
     return out.withColumn("tag", F.get("e", F.lit(0)))
 
 
+def split_segments(spark: SparkSession, path: str, terminator: str = "~") -> DataFrame:
+    """The same of files that Spark reads in splits, each from one segment terminator to the next.
+
+    Of files whose header ends with another terminator nothing comes; :func:`odd_terminators` has their names,
+    for :func:`segments`.
+    """
+    raw = _split_text(spark, path, terminator)
+    heads = raw.where("block = 0 and raw like 'ISA%' and length(raw) = 105").groupBy("file").agg(F.min_by(F.substring("raw", 4, 1), "pos").alias("sep"), F.min("pos").alias("first"))
+    text = F.trim(F.regexp_replace("raw", r"[\r\n]+", ""))
+    rows = raw.join(heads, "file").select("file", "block", "pos", "sep", text.alias("raw")).where("raw <> ''")
+    return rows.select("file", "block", "pos", F.split("raw", F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))).alias("e")).withColumn("tag", F.get("e", F.lit(0)))
+
+
+def odd_terminators(spark: SparkSession, path: str, terminator: str = "~") -> DataFrame:
+    """Files that :func:`split_segments` leaves out."""
+    raw = _split_text(spark, path, terminator)
+    return raw.groupBy("file").agg(F.max((F.col("block") == 0) & F.col("raw").startswith("ISA") & (F.length("raw") == 105)).alias("ok")).where("not ok").select("file")
+
+
+def _split_text(spark: SparkSession, path: str, terminator: str) -> DataFrame:
+    rows = spark.read.option("lineSep", terminator).text(path)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.col("value").alias("raw"))
+
+
+def carried(seg: DataFrame, starts: Column, values: dict[str, Column]) -> DataFrame:
+    """``seg`` (file, block, pos) with ``seq``, how many rows that ``starts`` were there so far, and the last of each of
+    ``values`` that isn't null, both over the file up to the row.
+
+    A segmented prefix scan: windows see one split (block) at a time; one row a split goes through the second.
+    """
+    names = list(values)
+    rows = seg.withColumns({n: v for n, v in values.items()} | {"seq": starts.cast("int")})
+    inside = Window.partitionBy("file", "block").orderBy("pos")
+    local = rows.withColumns({n: F.last(n, ignorenulls=True).over(inside) for n in names} | {"seq": F.sum("seq").over(inside)})
+    each = rows.groupBy("file", "block").agg(F.sum("seq").alias("seq"), *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in names])
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    into = each.select("file", "block", F.coalesce(F.sum("seq").over(before), F.lit(0)).alias("_seq"), *[F.last(n, ignorenulls=True).over(before).alias(f"_{n}") for n in names])
+    out = local.join(into, ["file", "block"])
+    return out.withColumns({n: F.coalesce(n, f"_{n}") for n in names} | {"seq": F.col("seq") + F.col("_seq")}).drop("_seq", *[f"_{n}" for n in names])
+
+
 def rejected(files: DataFrame) -> DataFrame:
     """Files that are not X12."""
     return files.where(~(F.col("content").startswith("ISA") & (F.length("content") > 105)))
 
 
+def _segments(files: DataFrame) -> DataFrame:
+    return files if "tag" in files.columns else segments(files)
+
+
 def _el(i: int) -> Column:
     return F.get("e", F.lit(i))
 
@@ -37,17 +83,14 @@ def _part(c: Column, i: int) -> Column:
 
 
 def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(claims, lines) of 837 files.
+    """(claims, lines) of 837 files (file, content), or of their segments.
 
     A claim takes the last billing provider, subscriber and payer named before it; the service date and
     the diagnoses of its own segments.
     """
-    order = Window.partitionBy("file").orderBy("pos")
-    seg = segments(files)
-    seg = seg.withColumn("claim_seq", F.sum((F.col("tag") == "CLM").cast("int")).over(order))
     named = lambda code: F.when((F.col("tag") == "NM1") & (_el(1) == code), _el(9))
-    carried = lambda c: F.last(c, ignorenulls=True).over(order)
-    seg = seg.withColumns({"npi": carried(named("85")), "member": carried(named("IL")), "payer": carried(named("PR")), "kind": carried(F.when(F.col("tag") == "ST", F.when(F.contains(F.coalesce(_el(3), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P")))})
+    kind = F.when(F.col("tag") == "ST", F.when(F.contains(F.coalesce(_el(3), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P"))
+    seg = carried(_segments(files), F.col("tag") == "CLM", {"npi": named("85"), "member": named("IL"), "payer": named("PR"), "kind": kind}).withColumnRenamed("seq", "claim_seq")
     inside = seg.where("claim_seq > 0")
     clm, hi, sv = F.col("tag") == "CLM", F.col("tag") == "HI", F.col("tag").isin("SV1", "SV2")
     codes = F.filter(F.transform(F.slice("e", F.lit(2), F.size("e")), lambda x: F.get(F.split(x, ":"), F.lit(1))), lambda x: x.isNotNull())
@@ -60,7 +103,7 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.max(F.when(clm, F.col("member"))).alias("patient_id"),
         F.max(F.when(clm, F.col("payer"))).alias("payer_id"),
         F.max("kind").alias("transaction_type"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.when(hi, F.struct("pos", codes.alias("c"))))), lambda x: x["c"])).alias("diagnosis_codes"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.when(hi, F.struct("block", "pos", codes.alias("c"))))), lambda x: x["c"])).alias("diagnosis_codes"),
     )
     claims = head.withColumn("frequency_code", F.coalesce(_part(F.col("facility"), 2), F.lit("1"))).withColumn("facility_type", _part(F.col("facility"), 0)).drop("facility")
     second = F.col("tag") == "SV2"
@@ -70,7 +113,7 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = inside.where(sv).select(
         "file",
         "claim_seq",
-        F.row_number().over(Window.partitionBy("file", "claim_seq").orderBy("pos")).alias("line_number"),
+        F.row_number().over(Window.partitionBy("file", "claim_seq").orderBy("block", "pos")).alias("line_number"),
         _part(service, 1).alias("cpt_code"),
         F.coalesce(_part(service, 2), F.lit("")).alias("modifier"),
         money(F.try_to_number(amount, F.lit("999999999999.99"))).alias("billed_amount"),
@@ -81,24 +124,19 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def remittances_835(files: DataFrame) -> DataFrame:
-    """One row a CLP of 835 files, with its adjustments, service lines and denial code."""
-    order = Window.partitionBy("file").orderBy("pos")
-    carried = lambda c: F.last(c, ignorenulls=True).over(order)
+    """One row a CLP of 835 files (or of their segments), with its adjustments, service lines and denial code."""
     number = lambda c: money(F.try_to_number(c, F.lit("S999999999999.99")))
-    seg = segments(files)
-    seg = seg.withColumns(
-        {
-            "seq": F.sum((F.col("tag") == "CLP").cast("int")).over(order),
-            "trace": carried(F.when(F.col("tag") == "TRN", _el(2))),
-            "payer": carried(F.when((F.col("tag") == "N1") & (_el(1) == "PR"), F.coalesce(F.nullif(_el(4), F.lit("")), _el(2)))),
-            "era": carried(F.when((F.col("tag") == "DTM") & (_el(1) == "405"), _el(2))),
-        }
-    )
+    given = {
+        "trace": F.when(F.col("tag") == "TRN", _el(2)),
+        "payer": F.when((F.col("tag") == "N1") & (_el(1) == "PR"), F.coalesce(F.nullif(_el(4), F.lit("")), _el(2))),
+        "era": F.when((F.col("tag") == "DTM") & (_el(1) == "405"), _el(2)),
+    }
+    seg = carried(_segments(files), F.col("tag") == "CLP", given)
     inside = seg.where("seq > 0")
     clp, cas, svc = F.col("tag") == "CLP", F.col("tag") == "CAS", F.col("tag") == "SVC"
     at = F.when(F.size("e") > 2, F.sequence(F.lit(2), F.greatest(F.size("e") - 1, F.lit(2)), F.lit(3))).otherwise(F.array().cast("array<int>"))
     triplets = F.filter(F.transform(at, lambda i: F.struct(_el(1).alias("group_code"), F.get("e", i).alias("reason_code"), number(F.get("e", i + 1)).alias("amount"))), lambda a: F.coalesce(a["reason_code"], F.lit("")) != "")
-    listed = lambda cond, value, name: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("pos", value.alias("v"))))), lambda x: x["v"]).alias(name)
+    listed = lambda cond, value, name: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("block", "pos", value.alias("v"))))), lambda x: x["v"]).alias(name)
     line = F.struct(_part(_el(1), 1).alias("cpt_code"), number(_el(2)).alias("billed_amount"), number(_el(3)).alias("paid_amount"))
     from ..operators.ingest import denial_code
 

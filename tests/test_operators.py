@@ -167,6 +167,36 @@ def test_diagnoses_beyond_forty(spark):
     assert got["C1"]["diagnosis_codes"] == codes and (got["C1"]["patient_id"], got["C2"]["patient_id"]) == ("P1", "P2")
 
 
+@pytest.mark.parametrize("size", ["400", "1500", "128m"])
+def test_x12_in_splits_equals_whole_files(spark, tmp_path, size):
+    """Claims across splits of any size, with context that changes now and then, and a file with another terminator."""
+    body = "ST*837*1*005010X222A1~NM1*85*2*C*****XX*N0~"
+    for i in range(60):
+        if i % 7 == 0:
+            body += f"NM1*85*2*C*****XX*N{i}~"
+        if i % 5 != 4:
+            body += f"NM1*IL*1*D*J****MI*P{i}~NM1*PR*2*X*****PI*Y{i % 3}~"
+        body += f"CLM*C{i}*{i + 1}.50***11:B:{1 + 6 * (i % 2)}~DTP*472*D8*202401{i % 28 + 1:02d}~HI*ABK:A{i}*ABF:B{i}~" + "".join(f"LX*{k}~SV1*HC:9{i}{k}*{k}.00*UN*{k}~" for k in range(1, i % 4 + 1))
+    (tmp_path / "a.edi").write_text(x12(body + "SE*1*1~"))
+    (tmp_path / "b.edi").write_text(x12(body.replace("CLM*C", "CLM*Z") + "SE*1*1~"))
+    (tmp_path / "odd.edi").write_text(x12(body).replace("~", "!"))
+    (tmp_path / "none.edi").write_text("no interchange")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        split = parsers.split_segments(spark, str(tmp_path))
+        whole = files.whole_texts(spark, f"{tmp_path}/[ab].edi")
+        show = lambda df: sorted(map(repr, df.drop("file").collect()))
+        for got, want in zip(parsers.claims_837(split), parsers.claims_837(whole), strict=True):
+            assert show(got) == show(want) and got.count() >= 90
+        assert size == "128m" or split.select("file", "block").distinct().count() > 6
+        assert sorted(r["file"].rsplit("/", 1)[1] for r in parsers.odd_terminators(spark, str(tmp_path)).collect()) == ["none.edi", "odd.edi"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_means_are_exact(spark):
     from claimlake.functions import mean, share
 

@@ -150,3 +150,25 @@ def test_gold_views_touch_their_groups_only(spark, tmp_path):
     after = views.by_payer.snapshot()
     touched = {number[i] for i in (1, 2, 3, 4)}
     assert all(before.parts.get(b) == after.parts.get(b) for b in number.values() if b not in touched)
+
+
+def test_ranged_diff_reads_changed_ranges_only(spark, tmp_path):
+    from claimlake.operators import merge
+    from claimlake.operators.digests import SnapshotState
+
+    state = SnapshotState(spark, str(tmp_path / "state"), buckets=64)
+    one = [(i, f"v{i}") for i in range(300)]
+    events = lambda df: sorted((r["_cdc_operation"], r["row_pk"], r["payload"]) for r in df.select("_cdc_operation", "row_pk", "payload").collect())
+    first = state.diff(frame(spark, one), ["id"], "t")
+    _, old = merge.snapshot_diff(frame(spark, one), ["id"], None, "t")
+    assert len(events(first)) == 300 and {e[0] for e in events(first)} == {"I"}
+    two = [(i, "new" if i == 7 else v) for i, v in one if i != 9] + [(900, "n"), (901, None)]
+    want = events(merge.snapshot_diff(frame(spark, two), ["id"], old, "t")[0])
+    before = state.rows.snapshot().parts
+    assert events(state.diff(frame(spark, two), ["id"], "t")) == want and len(want) == 4
+    assert 1 <= len(state.read_leaves) <= 4
+    after = state.rows.snapshot().parts
+    assert {int(k) for k in before.keys() | after.keys() if before.get(k) != after.get(k)} <= set(state.read_leaves)
+    assert events(state.diff(frame(spark, two), ["id"], "t")) == [] and state.read_leaves == []
+    gone = state.diff(frame(spark, two).limit(0), ["id"], "t")
+    assert {e[0] for e in events(gone)} == {"D"} and gone.count() == 301
