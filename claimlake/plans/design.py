@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mean, money, percent
 from ..operators.merge import as_of_lookup, snapshot_diff, upsert
+from ..operators.selection import exact_median
 from .silver import as_date
 
 
@@ -99,5 +100,6 @@ def percentile_tiers(fees: DataFrame, tiers: list[str], default: str) -> DataFra
 
 
 def median_rates(history: DataFrame) -> DataFrame:
-    """Median contracted rate by code and region."""
-    return history.groupBy("cpt_code", "geo_region").agg(F.count("*").alias("contract_count"), F.median(F.col("rate").cast("double")).alias("qpa"))
+    """Median contracted rate by code and region, by selection over value bits."""
+    counts = history.groupBy("cpt_code", "geo_region").agg(F.count("*").alias("contract_count"))
+    return counts.join(exact_median(history.withColumn("rate", money("rate")), ["cpt_code", "geo_region"], "rate"), ["cpt_code", "geo_region"]).select("cpt_code", "geo_region", "contract_count", F.col("median").alias("qpa"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,51 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
 def malformed(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Q6: values of a column that don't have the given form."""
     return df.agg(F.count_if(~F.coalesce(F.col(column).cast("string"), F.lit("")).rlike(pattern)).alias("malformed"), F.count("*").alias("row_count"))
+
+
+QUANTILES = [i / 20 for i in range(1, 20)]
+
+
+def day_sketches(df: DataFrame, columns: list[str], day: Column, k: int = 200) -> DataFrame:
+    """Of each numeric column and day the count and a quantile sketch, which later days' can be merged with.
+
+    A sketch of k = 200 gives the rank of a value within 1.65 % of the rows with a confidence of 99 %.
+    """
+    tall = df.select(day.alias("day"), F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])).alias("v")).select("day", "v.*")
+    return tall.groupBy("column_name", "day").agg(F.count("x").alias("n"), F.kll_sketch_agg_double("x", F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, *by: str) -> DataFrame:
+    """Q6: quantiles of each column over all days, or ``by`` further columns of the stored sketches."""
+    one = sketches.where("n > 0").groupBy("column_name", *by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    return one.select("column_name", *by, "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"q{round(q * 100):02d}") for q in QUANTILES])
+
+
+def distribution_drift(sketches: DataFrame, limit: float = 0.1) -> DataFrame:
+    """For each column and day the largest gap in rank between its quantiles and those of the day before that has any.
+
+    Each quantile of the day is placed among those of the day before; ``drifts`` if one lies further off than
+    ``limit`` of the rows (steps of 5 %). The first day has nothing before it (null).
+    """
+    before = Window.partitionBy("column_name").orderBy("day")  # a row a column and day
+    pairs = sketches.where("n > 0").withColumn("old", F.lag("sketch").over(before))
+    pairs = pairs.select("column_name", "day", "n", *[F.when(F.col(c).isNotNull(), F.array(*[F.kll_sketch_get_quantile_double(c, F.lit(q)) for q in QUANTILES])).alias(c) for c in ("sketch", "old")])
+    rank = lambda x: (F.size(F.filter("old", lambda y: y < x)) + F.size(F.filter("old", lambda y: y <= x))) / (2 * (len(QUANTILES) + 1))
+    gap = F.when(F.col("old").isNotNull(), F.array_max(F.transform("sketch", lambda x, i: F.abs(rank(x) - (i + 0.5) / (len(QUANTILES) + 1)))))
+    return pairs.select("column_name", "day", "n", gap.alias("gap")).withColumn("drifts", F.coalesce(F.col("gap") > limit, F.lit(False)))
+
+
+def frequent_values(df: DataFrame, columns: list[str], day: Column, share: float = 0.05) -> DataFrame:
+    """Q6: values (as text) that at least ``share`` of a day's rows of a column have, with their exact counts.
+
+    The first pass counts hashes of values in 10 / share buckets a day, which combine in the tasks; a value with the
+    share lies in a bucket that has it. The second counts the values of such buckets alone, exactly.
+    """
+    buckets = int(10 / share)
+    rows = df.select(day.alias("day"), F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])).alias("v")).select("day", "v.*")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(buckets)).cast("int"))
+    each = rows.groupBy("column_name", "day", "bucket").agg(F.count("*").alias("c"))
+    n = each.groupBy("column_name", "day").agg(F.sum("c").alias("n"))
+    heavy = each.join(n, ["column_name", "day"]).where(F.col("c") >= share * F.col("n")).select("column_name", "day", "bucket", "n")
+    counts = rows.join(heavy, ["column_name", "day", "bucket"]).groupBy("column_name", "day", "value").agg(F.count("*").alias("value_count"), F.first("n").alias("n"))
+    return counts.where(F.col("value_count") >= share * F.col("n")).select("column_name", "day", "value", "value_count", "n")

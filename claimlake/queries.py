@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import money, plain
 from .operators import ingest, merge
 from .operators.digests import SnapshotState
+from .operators.text_index import ChunkIndex
 from .plans import analyses, design, gold, measures, quality, reports, silver, workflow
 from .session import scratch
 from .sources import parsers, workload
@@ -470,6 +471,38 @@ query("e4_dedup_documents", "SELECT count(*) AS n FROM (SELECT DISTINCT sha256(t
 query("e14_search", "SELECT doc_id AS chunk_id, (CAST(contains(lower(text), 'license') AS INT) + CAST(contains(lower(text), 'apache') AS INT)) AS matches FROM documents WHERE contains(lower(text), 'license') OR contains(lower(text), 'apache') ORDER BY matches DESC, chunk_id LIMIT 10")(
     lambda m: ingest.search_chunks(m.raw("documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("chunk_text")), ["license", "apache"]).select("chunk_id", "matches")
 )
+_WORDS = ["license", "apache", "the of", "warranty", "copyright", "@", "tion and", "zzzqqq"]
+
+
+@query("e14_indexed_search", " UNION ALL ".join(f"SELECT '{w}' AS keyword, doc_id AS chunk_id, CAST(1 AS BIGINT) AS matches FROM (SELECT doc_id FROM documents WHERE contains(lower(text), '{w}') ORDER BY doc_id LIMIT 10)" for w in _WORDS))
+def _indexed(m: Mapped) -> DataFrame:
+    """Eight keywords by the index of trigrams, which two batches have filled."""
+    index = ChunkIndex(m.spark, scratch(m.spark, "index"))
+    chunks = m.raw("documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("chunk_text"))
+    index.add(chunks.where("chunk_id % 3 = 0"))
+    index.add(chunks.where("chunk_id % 3 <> 0"))
+    return reduce(DataFrame.unionByName, [index.search([w]).select(F.lit(w).alias("keyword"), "chunk_id", "matches") for w in _WORDS])
+
+
+@query(
+    "q6_frequent_values",
+    " UNION ALL ".join(f"SELECT * FROM (SELECT '{c}' AS column_name, day, CAST({c} AS VARCHAR) AS value, count(*) AS value_count, any_value(n) AS n FROM (SELECT *, date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS day, count(*) OVER (PARTITION BY date_trunc('month', CAST(o_orderdate AS DATE))) AS n FROM orders) GROUP BY day, {c}) WHERE value_count >= 0.05 * n" for c in ("o_orderstatus", "o_orderpriority", "o_custkey")),
+)
+def _frequent(m: Mapped) -> DataFrame:
+    return quality.frequent_values(m.raw("orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"], F.trunc(F.col("o_orderdate").cast("date"), "month"))
+
+
+@query(
+    "z11_distribution_drift",
+    "SELECT 'price' AS column_name, m AS month, count(*) AS n, m > 1 AND m % 2 = 1 AS drifts FROM (SELECT CAST(month(o_orderdate) AS BIGINT) AS m FROM orders) GROUP BY m",
+)
+def _drift(m: Mapped) -> DataFrame:
+    """Amounts that double in every other pair of months: the sketches of neighbouring months tell."""
+    month = F.month("o_orderdate")
+    rows = m.raw("orders").select(month.alias("m"), (F.col("o_totalprice") * F.when(month % 4 >= 3, 2).when(month % 4 == 0, 2).otherwise(1)).alias("price"))
+    return quality.distribution_drift(quality.day_sketches(rows, ["price"], F.col("m")), 0.2).select("column_name", F.col("day").alias("month"), "n", "drifts")
+
+
 query("p10_classify", "SELECT document_type, count(*) AS n FROM (SELECT CASE WHEN contains(lower(url), 'eob') THEN 'EOB' WHEN contains(lower(url), 'clinical') OR contains(lower(url), 'medical') THEN 'clinical_record' WHEN contains(lower(url), 'contract') THEN 'contract' WHEN contains(lower(url), 'denial') OR contains(lower(url), 'correspondence') THEN 'payer_correspondence' WHEN contains(lower(url), 'appeal') THEN 'appeal' WHEN contains(lower(url), 'decision') OR contains(lower(url), 'award') THEN 'arbitration_decision' WHEN contains(lower(url), 'auth') THEN 'prior_auth' ELSE 'provider_correspondence' END AS document_type FROM pages) t GROUP BY document_type")(
     lambda m: parsers.classify(m.raw("pages"), "url").groupBy("document_type").agg(F.count("*").alias("n"))
 )

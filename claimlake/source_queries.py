@@ -277,6 +277,22 @@ def _tolerant(m: Mapped) -> DataFrame:
     return files.tolerant(m.spark, path)
 
 
+@query("s11_jdbc_incremental", "SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders UNION ALL SELECT o_orderkey + 100000000, 'N', 1.0 FROM orders WHERE o_orderkey % 7 = 0")
+def _jdbc(m: Mapped) -> DataFrame:
+    """Orders in an embedded database, of which new ones come between two loads (a database that a local master's tasks reach)."""
+    url = f"jdbc:derby:memory:{scratch(m.spark, 'db').rsplit('/', 1)[1].replace('-', '')};create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = m.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice").coalesce(2)
+    rows.write.jdbc(url, "orders", properties=driver | {"createTableColumnTypes": "o_orderstatus varchar(8)"})
+    path = scratch(m.spark, "jdbc")
+    files.jdbc_load(m.spark, url, "orders", "o_orderkey", path, **driver)
+    late = rows.where("o_orderkey % 7 = 0").select((F.col("o_orderkey") + 100_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"))
+    late.write.mode("append").jdbc(url, "orders", properties=driver)
+    for _ in range(2):  # the second load finds nothing
+        files.jdbc_load(m.spark, url, "orders", "o_orderkey", path, **driver)
+    return VersionedTable(m.spark, path).read()
+
+
 query("s14_table_or_empty", "SELECT s_suppkey, s_name FROM supplier")(
     lambda m: files.table_or_empty(m.spark, f"{m.sf_dir}/supplier.parquet", m.raw("supplier").select("s_suppkey", "s_name").schema).unionByName(files.table_or_empty(m.spark, f"{scratch(m.spark, 'none')}", m.raw("supplier").select("s_suppkey", "s_name").schema))
 )
