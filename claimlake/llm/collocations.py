@@ -46,7 +46,7 @@ _ROW = "key long, size int, text string, before long, now long, act int, prefix
 
 
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys >> np.uint64(64 - BITS)
+    at = keys >> np.uint64(65 - (8 * len(bits)).bit_length())  # as many high bits as there are to choose from
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 

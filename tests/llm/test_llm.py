@@ -603,7 +603,7 @@ def test_myers_equals_dynamic_programming():
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     df = queries.QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
