@@ -161,14 +161,14 @@ def win_loss(cases: DataFrame, disputes: DataFrame) -> DataFrame:
 
 
 def _per_case(disputes: DataFrame) -> DataFrame:
-    return disputes.groupBy("case_id").agg(F.sum("underpayment_amount").cast("double").alias("disputed"))
+    return disputes.groupBy("case_id").agg(F.sum("underpayment_amount").alias("disputed"))
 
 
 def analyst_productivity(cases: DataFrame, disputes: DataFrame) -> DataFrame:
     """G10."""
     done = F.col("status").isin("closed", "decided")
     won = F.count_if(F.col("outcome") == "won")
-    return cases.select("case_id", "assigned_analyst", "status", "outcome", "priority", "created_date", "closed_date", F.col("award_amount").cast("double").alias("award")).join(_per_case(disputes), "case_id", "left").groupBy("assigned_analyst").agg(
+    return cases.select("case_id", "assigned_analyst", "status", "outcome", "priority", "created_date", "closed_date", money("award_amount").alias("award")).join(_per_case(disputes), "case_id", "left").groupBy("assigned_analyst").agg(
         F.count("*").alias("total_cases"),
         F.count_if(~done).alias("active_cases"),
         F.count_if(done).alias("resolved_cases"),
@@ -187,7 +187,7 @@ def analyst_productivity(cases: DataFrame, disputes: DataFrame) -> DataFrame:
 def time_to_resolution(cases: DataFrame, disputes: DataFrame, as_of: str | None = None) -> DataFrame:
     """G11."""
     days = F.datediff(F.coalesce("closed_date", as_date(as_of)), F.col("created_date"))
-    return cases.select("case_id", "status", "priority", "outcome", days.alias("days"), F.col("award_amount").cast("double").alias("award")).join(_per_case(disputes), "case_id", "left").groupBy("status", "priority").agg(
+    return cases.select("case_id", "status", "priority", "outcome", days.alias("days"), money("award_amount").alias("award")).join(_per_case(disputes), "case_id", "left").groupBy("status", "priority").agg(
         F.count("*").alias("case_count"),
         F.round(F.avg("days"), 1).alias("avg_days"),
         F.min("days").alias("min_days"),
@@ -202,7 +202,7 @@ def provider_performance(providers: DataFrame, cr: DataFrame, disputes: DataFram
     """Claims, disputes and awards are summed up by provider on their own, then joined."""
     claims = cr.groupBy(F.col("provider_npi").alias("npi")).agg(F.countDistinct("claim_id").alias("total_claims"), _sum("total_billed").alias("total_billed"), _sum("total_paid").alias("total_paid"), _sum("underpayment").alias("total_underpayment"))
     argued = disputes.groupBy(F.col("provider_npi").alias("npi")).agg(F.countDistinct("dispute_id").alias("total_disputes"))
-    award = disputes.select("case_id", F.col("provider_npi").alias("npi")).distinct().join(cases.select("case_id", F.col("award_amount").cast("double").alias("award")), "case_id").groupBy("npi").agg(F.sum("award").alias("won"))
+    award = disputes.select("case_id", F.col("provider_npi").alias("npi")).distinct().join(cases.select("case_id", money("award_amount").alias("award")), "case_id").groupBy("npi").agg(F.sum("award").alias("won"))
     return (
         providers.join(claims, "npi")
         .join(argued, "npi", "left")
@@ -230,7 +230,7 @@ def monthly_trends(cr: DataFrame, disputes: DataFrame, cases: DataFrame) -> Data
         F.count("*").alias("claim_count"), F.sum("total_billed").cast("double").alias("total_billed"), F.sum("total_paid").cast("double").alias("total_paid"), F.sum("underpayment").cast("double").alias("total_underpayment"), F.sum("has_denial").alias("denial_count")
     )
     b = disputes.where("filed_date is not null").groupBy(month("filed_date")).agg(F.count("*").alias("new_disputes"))
-    c = cases.where("closed_date is not null and status in ('closed', 'decided')").groupBy(month("closed_date")).agg(F.count("*").alias("resolved_cases"), F.sum(F.col("award_amount").cast("double")).alias("total_awarded"))
+    c = cases.where("closed_date is not null and status in ('closed', 'decided')").groupBy(month("closed_date")).agg(F.count("*").alias("resolved_cases"), F.sum(money("award_amount")).cast("double").alias("total_awarded"))
     out = a.join(b, "month", "full_outer").join(c, "month", "full_outer").fillna(0)
     return out.withColumn("recovery_rate_pct", percent(F.col("total_paid"), F.col("total_billed")))
 

@@ -29,6 +29,19 @@ def rules(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return out.withColumn("result", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS")).orderBy(F.when(F.col("violations") > 0, 0).otherwise(1), "rule_name")
 
 
+# What claims and cases must cover, and the number of each that must be exceeded.
+LEAST = {"claim_months": 6, "claim_payers": 4, "claim_providers": 3, "case_outcomes": 5, "case_analysts": 2}
+
+
+def coverage(claims: DataFrame, cases: DataFrame) -> DataFrame:
+    """Q2: whether there are enough different months, payers and providers of claims, and outcomes and analysts of cases."""
+    of_claims = {"claim_months": F.countDistinct(F.date_format("date_of_service", "yyyy-MM")), "claim_payers": F.countDistinct("payer_id"), "claim_providers": F.countDistinct("provider_npi")}
+    of_cases = {"case_outcomes": F.count("outcome"), "case_analysts": F.countDistinct("assigned_analyst")}
+    parts = [df.agg(*[c.alias(n) for n, c in checks.items()]).unpivot([], list(checks), "check_name", "n") for df, checks in ((claims, of_claims), (cases, of_cases))]
+    least = F.element_at(F.create_map(*[F.lit(x) for pair in LEAST.items() for x in pair]), F.col("check_name"))
+    return parts[0].unionByName(parts[1]).select("check_name", "n", least.alias("more_than"), (F.col("n") > least).alias("enough"))
+
+
 def totals(cr: DataFrame, disputes: DataFrame, cases: DataFrame) -> DataFrame:
     """Q3: totals of the layers side by side, as rows."""
     sums = [
@@ -98,8 +111,8 @@ def distribution_drift(sketches: DataFrame, limit: float = 0.1) -> DataFrame:
     before = Window.partitionBy("column_name").orderBy("day")  # a row a column and day
     pairs = sketches.where("n > 0").withColumn("old", F.lag("sketch").over(before))
     pairs = pairs.select("column_name", "day", "n", *[F.when(F.col(c).isNotNull(), F.array(*[F.kll_sketch_get_quantile_double(c, F.lit(q)) for q in QUANTILES])).alias(c) for c in ("sketch", "old")])
-    rank = lambda x: (F.size(F.filter("old", lambda y: y < x)) + F.size(F.filter("old", lambda y: y <= x))) / (2 * (len(QUANTILES) + 1))
-    gap = F.when(F.col("old").isNotNull(), F.array_max(F.transform("sketch", lambda x, i: F.abs(rank(x) - (i + 0.5) / (len(QUANTILES) + 1)))))
+    among = lambda c, x: (F.size(F.filter(c, lambda y: y < x)) + F.size(F.filter(c, lambda y: y <= x))) / (2 * len(QUANTILES))
+    gap = F.when(F.col("old").isNotNull(), F.array_max(F.transform("sketch", lambda x: F.abs(among("old", x) - among("sketch", x)))))
     return pairs.select("column_name", "day", "n", gap.alias("gap")).withColumn("drifts", F.coalesce(F.col("gap") > limit, F.lit(False)))
 
 

@@ -9,8 +9,8 @@ from ..functions import money
 from ..schemas import DEADLINE_DAYS, DEFAULT_DEADLINES, TRANSITIONS
 from .silver import as_date
 
-# Analysts that take cases in turn, and deadline types whose miss makes a case critical.
-ANALYSTS = ["analyst_1", "analyst_2", "analyst_3"]
+# The analyst who gets the cases of each priority, and deadline types whose miss makes a case critical.
+ANALYST_OF = {"high": "analyst_kpatel", "medium": "analyst_mchen", "low": "analyst_jsmith"}
 CRITICAL_TYPES = ["idr_initiation", "idr_decision", "evidence_submission"]
 
 
@@ -48,17 +48,12 @@ def open_disputes(underpaid: DataFrame, filed: Column) -> DataFrame:
 
 
 def open_cases(disputes: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """The new cases of new disputes, with columns of these to ``carry``; analysts take turns by the hash of the case, so no global order is needed."""
-    turn = F.conv(F.substring(F.md5("case_id"), 1, 4), 16, 10).cast("int") % len(ANALYSTS)
-    analyst = F.element_at(F.array(*map(F.lit, ANALYSTS)), (turn + 1).cast("int"))
-    return disputes.select("case_id", analyst.alias("assigned_analyst"), F.lit("open").alias("status"), priority(F.col("underpayment_amount")).alias("priority"), F.col("filed_date").alias("created_date"), *carry)
-
-
-def round_robin(cases: DataFrame, order: str, buckets: int = 64) -> DataFrame:
-    """Analysts in turn within each of ``buckets`` groups of cases: an even deal without one sorted task."""
-    group = F.pmod(F.xxhash64("case_id"), F.lit(buckets))
-    n = F.row_number().over(Window.partitionBy("_g").orderBy(order, "case_id"))
-    return cases.withColumn("_g", group).withColumn("assigned_analyst", F.element_at(F.array(*map(F.lit, ANALYSTS)), (n % len(ANALYSTS) + 1).cast("int"))).drop("_g")
+    """The new cases of new disputes, with columns of these to ``carry``; the priority says who gets a case."""
+    level = priority(F.col("underpayment_amount"))
+    analyst = F.lit(None).cast("string")
+    for name, who in ANALYST_OF.items():
+        analyst = F.when(level == name, who).otherwise(analyst)
+    return disputes.select("case_id", analyst.alias("assigned_analyst"), F.lit("open").alias("status"), level.alias("priority"), F.col("filed_date").alias("created_date"), *carry)
 
 
 def mark_in_dispute(claims: DataFrame, disputes: DataFrame) -> DataFrame:
@@ -190,3 +185,42 @@ def metric_alerts(dlq: DataFrame, claims_in: int, confidence: DataFrame) -> Data
     limit = F.when(F.col("metric") == "dlq_depth", 50.0).when(F.col("metric") == "parse_failure_pct", 5.0).when(F.col("metric") == "unmatched_pct", 10.0).otherwise(85.0)
     over = F.when(F.col("metric") == "avg_confidence_pct", F.col("value") < limit).otherwise(F.col("value") > limit)
     return one.unionByName(conf).select("metric", "value", limit.alias("threshold"), F.coalesce(over, F.lit(False)).alias("alert"))
+
+
+# Metrics by window, with the window's width, the threshold and whether a value below it alerts.
+WINDOW_LIMITS = {
+    "claims_per_hour": ("1 hour", 10.0, True),
+    "era_per_day": ("1 day", 1.0, True),
+    "parse_failure_pct": ("1 hour", 5.0, False),
+    "unmatched_pct": ("1 day", 10.0, False),
+    "avg_confidence_pct": ("1 day", 85.0, True),
+}
+
+
+def windowed_alerts(events: DataFrame, open_from: int = 0, open_to: int = 24) -> DataFrame:
+    """W11 by window: metric, window_start, value and alert, from rows (at, kind, failed, confidence).
+
+    ``kind`` is claim, message (``failed``: it couldn't be parsed), era (``failed``: without a claim) or document
+    (with ``confidence``). Counts are asked of each window between the first and the last row of their kind, so one
+    without rows counts 0; claims an hour only of hours from ``open_from`` up to ``open_to``. Shares and means
+    are of windows with rows.
+    """
+    w = lambda width: F.window("at", width)["start"].alias("window_start")
+    out = None
+    for metric, kind in (("claims_per_hour", "claim"), ("era_per_day", "era")):
+        width = WINDOW_LIMITS[metric][0]
+        have = events.where(F.col("kind") == kind).groupBy(w(width)).agg(F.count("*").cast("double").alias("n"))
+        span = have.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b")).where("a is not null")
+        every = span.select(F.explode(F.expr(f"sequence(a, b, interval {width})")).alias("window_start"))
+        rows = every.join(have, "window_start", "left").select(F.lit(metric).alias("metric"), "window_start", F.coalesce("n", F.lit(0.0)).alias("value"))
+        if metric == "claims_per_hour":
+            rows = rows.where((F.hour("window_start") >= open_from) & (F.hour("window_start") < open_to))
+        out = rows if out is None else out.unionByName(rows)
+    shares = {"parse_failure_pct": ("message", F.count_if("failed") * 100.0 / F.count("*")), "unmatched_pct": ("era", F.count_if("failed") * 100.0 / F.count("*")), "avg_confidence_pct": ("document", F.avg("confidence") * 100.0)}
+    for metric, (kind, value) in shares.items():
+        rows = events.where(F.col("kind") == kind).groupBy(w(WINDOW_LIMITS[metric][0])).agg(F.round(value, 4).alias("value"))
+        out = out.unionByName(rows.select(F.lit(metric).alias("metric"), "window_start", "value"))
+    alert = F.lit(False)
+    for metric, (_, limit, below) in WINDOW_LIMITS.items():
+        alert = F.when(F.col("metric") == metric, (F.col("value") < limit) if below else (F.col("value") > limit)).otherwise(alert)
+    return out.withColumn("alert", F.coalesce(alert, F.lit(False)))

@@ -33,10 +33,11 @@ _CTE = {
     "r1": "SELECT claim_id, sum(paid_amount) AS paid, sum(allowed_amount) AS allowed, count(*) AS n, max(CASE WHEN denial_code IS NOT NULL AND denial_code <> '' THEN 1 ELSE 0 END) AS denied FROM m_remits GROUP BY claim_id",
     "cr": "SELECT c.claim_id, c.payer_id, p.name AS payer_name, c.provider_npi, c.date_of_service, c.status, c.total_billed, coalesce(r.paid, 0) AS total_paid, coalesce(r.allowed, 0) AS total_allowed, c.total_billed - coalesce(r.paid, 0) AS underpayment, coalesce(r.n, 0) AS remittance_count, coalesce(r.denied, 0) AS has_denial FROM m_claims c LEFT JOIN r1 r ON c.claim_id = r.claim_id LEFT JOIN m_payers p ON c.payer_id = p.payer_id",
     "dsp": "SELECT 'DSP-' || claim_id AS dispute_id, claim_id, 'CASE-' || claim_id AS case_id, CASE WHEN total_paid > 0 THEN 'underpayment' ELSE 'denial' END AS dispute_type, payer_id, payer_name, provider_npi, total_billed AS billed_amount, total_paid AS paid_amount, underpayment AS underpayment_amount, CAST(CASE WHEN total_allowed > 0 THEN total_allowed ELSE round(total_billed * CAST(0.6 AS DECIMAL(4,2)), 2) END AS DECIMAL(18,2)) AS qpa_amount, date_of_service + CAST(claim_id % 60 AS INT) AS filed_date FROM cr WHERE underpayment > 0",
-    "cs0": "SELECT case_id, claim_id AS n, ['analyst_1', 'analyst_2', 'analyst_3'][CAST(('0x' || substr(md5(case_id), 1, 4)) AS INT) % 3 + 1] AS assigned_analyst, ['open', 'in_review', 'negotiation', 'idr_initiated', 'idr_submitted', 'decided', 'closed'][claim_id % 7 + 1] AS status, CASE WHEN underpayment_amount > 500 THEN 'high' WHEN underpayment_amount > 200 THEN 'medium' ELSE 'low' END AS priority, filed_date AS created_date, underpayment_amount FROM dsp",
+    "cs0": "SELECT case_id, claim_id AS n, CASE WHEN underpayment_amount > 500 THEN 'analyst_kpatel' WHEN underpayment_amount > 200 THEN 'analyst_mchen' ELSE 'analyst_jsmith' END AS assigned_analyst, ['open', 'in_review', 'negotiation', 'idr_initiated', 'idr_submitted', 'decided', 'closed'][claim_id % 7 + 1] AS status, CASE WHEN underpayment_amount > 500 THEN 'high' WHEN underpayment_amount > 200 THEN 'medium' ELSE 'low' END AS priority, filed_date AS created_date, underpayment_amount FROM dsp",
     "cs": "SELECT *, created_date + CAST(n % 30 AS INT) AS last_activity_date, CASE WHEN n % 7 >= 5 THEN created_date + CAST(30 + n % 90 AS INT) END AS closed_date, CASE WHEN n % 7 >= 5 AND n % 4 < 3 THEN ['won', 'lost', 'settled'][n % 4 + 1] END AS outcome, CASE WHEN n % 7 >= 5 AND n % 4 = 0 THEN underpayment_amount END AS award_amount FROM cs0",
     "dl": "SELECT d.case_id, d.dispute_id, t.deadline_type, d.filed_date + t.days AS due_date, CASE d.claim_id % 5 WHEN 0 THEN 'met' WHEN 1 THEN 'missed' ELSE 'pending' END AS status FROM dsp d CROSS JOIN (VALUES ('open_negotiation', 30), ('idr_initiation', 34), ('idr_decision', 64)) t(deadline_type, days)",
     "sdl": "SELECT *, CASE WHEN status NOT IN ('met', 'missed') THEN CAST(due_date - DATE '2001-08-01' AS BIGINT) END AS days_remaining, CASE WHEN status NOT IN ('met', 'missed') AND due_date - DATE '2001-08-01' <= 5 THEN 1 ELSE 0 END AS is_at_risk FROM dl",
+    "dlc": "SELECT *, CASE WHEN status = 'met' AND dayofmonth(due_date) > 3 THEN due_date END AS completed_date FROM dl",
     "m_cdc": "SELECT event_id AS seq, ts, user_id AS row_pk, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op, value, props FROM events",
     "scl": "SELECT c.claim_id, c.total_billed, coalesce(l.line_count, 0) AS line_count, coalesce(l.codes, []) AS codes, coalesce(l.units, 0) AS total_units FROM m_claims c LEFT JOIN (SELECT claim_id, count(*) AS line_count, list_sort(list(DISTINCT cpt_code)) AS codes, sum(units) AS units FROM m_lines GROUP BY claim_id) l ON c.claim_id = l.claim_id",
 }
@@ -365,6 +366,28 @@ def _transitions(m: Mapped) -> DataFrame:
     return workflow.judge_transitions(wanted, cases).groupBy("current_status", "target_status", "valid").agg(F.count("*").alias("n"))
 
 
+@query(
+    "w11_windowed_alerts",
+    """
+    WITH e AS (SELECT date_trunc('hour', ts) AS h, date_trunc('day', ts) AS d, event_type, event_id FROM events),
+    ch AS (SELECT unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM e WHERE event_type = 'purchase'), ed AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS d FROM e WHERE event_type = 'signup')
+    SELECT metric, CAST(w AS TIMESTAMP) AS window_start, value, alert FROM (
+      SELECT 'claims_per_hour' AS metric, ch.h AS w, CAST(count(e.h) AS DOUBLE) AS value, count(e.h) < 10 AS alert FROM ch LEFT JOIN e ON e.h = ch.h AND event_type = 'purchase' WHERE hour(ch.h) BETWEEN 8 AND 17 GROUP BY ch.h
+      UNION ALL SELECT 'era_per_day', ed.d, CAST(count(e.d) AS DOUBLE), count(e.d) < 1 FROM ed LEFT JOIN e ON e.d = ed.d AND event_type = 'signup' GROUP BY ed.d
+      UNION ALL SELECT 'parse_failure_pct', h, round(count(*) FILTER (WHERE event_id % 19 = 0) * 100.0 / count(*), 4), count(*) FILTER (WHERE event_id % 19 = 0) * 100.0 / count(*) > 5 FROM e WHERE event_type = 'view' GROUP BY h
+      UNION ALL SELECT 'unmatched_pct', d, round(count(*) FILTER (WHERE event_id % 10 = 0) * 100.0 / count(*), 4), round(count(*) FILTER (WHERE event_id % 10 = 0) * 100.0 / count(*), 4) > 10 FROM e WHERE event_type = 'signup' GROUP BY d
+      UNION ALL SELECT 'avg_confidence_pct', d, round(avg((event_id % 30 + 70) / 100.0) * 100.0, 4), round(avg((event_id % 30 + 70) / 100.0) * 100.0, 4) < 85 FROM e WHERE event_type = 'click' GROUP BY d)
+    """,
+    whole=True,
+)
+def _windowed_alerts(m: Mapped) -> DataFrame:
+    """Events as claims, messages, remittances and documents that came in."""
+    kind = F.when(F.col("event_type") == "purchase", "claim").when(F.col("event_type") == "view", "message").when(F.col("event_type") == "signup", "era").when(F.col("event_type") == "click", "document")
+    failed = F.when(F.col("event_type") == "view", F.col("event_id") % 19 == 0).otherwise(F.col("event_id") % 10 == 0)
+    rows = m.raw("events").select(F.col("ts").cast("timestamp").alias("at"), kind.alias("kind"), failed.alias("failed"), ((F.col("event_id") % 30 + 70) / 100.0).alias("confidence"))
+    return workflow.windowed_alerts(rows, 8, 18).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 query("w10_deadline_status", "SELECT derived, count(*) AS n FROM (SELECT CASE WHEN status = 'met' THEN 'met' WHEN due_date < DATE '2001-08-01' THEN 'missed' WHEN due_date - DATE '2001-08-01' <= 5 THEN 'at_risk' ELSE 'pending' END AS derived FROM dl) t GROUP BY derived")(
     lambda m: workload.deadlines(m).withColumn("derived", workflow.deadline_status(F.col("due_date"), F.col("status") == "met", AS_OF)).groupBy("derived").agg(F.count("*").alias("n"))
 )
@@ -442,6 +465,7 @@ _RULES = {
     "decided_without_outcome": ("cs", "status = 'decided' AND outcome IS NULL"),
     "cases_invalid_status": ("cs", "status NOT IN ('open', 'in_review', 'negotiation', 'idr_initiated', 'idr_submitted', 'closed')"),
     "met_after_today": ("dl", "status = 'met' AND due_date > DATE '2001-08-01'"),
+    "met_without_completed_date": ("dlc", "status = 'met' AND completed_date IS NULL"),
 }
 
 
@@ -449,10 +473,19 @@ _RULES = {
 def _rules(m: Mapped) -> DataFrame:
     """The rules of each table from one pass over it; limits are such that some rows break them."""
     tables = {"m_claims": m.claims(), "m_remits": m.remittances(), "dsp": workload.disputes(m), "cs": workload.cases(m), "dl": workload.deadlines(m)}
+    tables["dlc"] = tables["dl"].withColumn("completed_date", F.when((F.col("status") == "met") & (F.dayofmonth("due_date") > 3), F.col("due_date")))
     parts = [quality.rules(df, {n: F.expr(c) for n, (t, c) in _RULES.items() if t == name}) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "q2_coverage",
+    "SELECT * FROM (SELECT 'claim_months' AS check_name, count(DISTINCT strftime(date_of_service, '%Y-%m')) AS n, CAST(6 AS BIGINT) AS more_than, count(DISTINCT strftime(date_of_service, '%Y-%m')) > 6 AS enough FROM m_claims UNION ALL SELECT 'claim_payers', count(DISTINCT payer_id), 4, count(DISTINCT payer_id) > 4 FROM m_claims UNION ALL SELECT 'claim_providers', count(DISTINCT provider_npi), 3, count(DISTINCT provider_npi) > 3 FROM m_claims UNION ALL SELECT 'case_outcomes', count(outcome), 5, count(outcome) > 5 FROM cs UNION ALL SELECT 'case_analysts', count(DISTINCT assigned_analyst), 2, count(DISTINCT assigned_analyst) > 2 FROM cs)",
+)
+def _coverage(m: Mapped) -> DataFrame:
+    return quality.coverage(m.claims(), workload.cases(m))
+
+
 query("q3_totals", "SELECT 'claims_billed' AS total_name, CAST(sum(total_billed) AS DOUBLE) AS v FROM cr UNION ALL SELECT 'claims_paid', CAST(sum(total_paid) AS DOUBLE) FROM cr UNION ALL SELECT 'disputes_underpayment', CAST(sum(underpayment_amount) AS DOUBLE) FROM dsp UNION ALL SELECT 'cases_awarded', CAST(sum(award_amount) AS DOUBLE) FROM cs")(lambda m: quality.totals(workload.claim_remittance(m), workload.disputes(m), workload.cases(m)))
 query("q4_consistency", "SELECT 'payer_sum' AS check_name, round(total_billed, 2) AS expected, (SELECT round(sum(total_billed), 2) FROM g1) AS actual, TRUE AS agrees FROM g4w UNION ALL SELECT 'month_sum', round(total_billed, 2), (SELECT round(sum(total_billed), 2) FROM g13), TRUE FROM g4w UNION ALL SELECT 'aging_share', 100.0, (SELECT round(sum(pct_of_total), 2) FROM g5), TRUE")(
     lambda m: (lambda g: quality.consistency(g["recovery"], g["summary"], g["months"], g["aging"]))(gold_tables(m))

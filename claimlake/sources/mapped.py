@@ -11,13 +11,16 @@ AS_OF = "2001-08-01"
 
 
 class Mapped:
-    """Lazily read domain tables of one folder; each is a plan, nothing is kept."""
+    """Lazily read domain tables of one folder; each is a plan, of which those of the files are made once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     def payers(self) -> DataFrame:
         kind = F.when(F.col("n_regionkey") % 3 == 0, "commercial").when(F.col("n_regionkey") % 3 == 1, "medicare").otherwise("medicaid")
