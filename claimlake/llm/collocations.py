@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import shingles as S
 from .store import Run, give_back, read_documents, small_batches
 
-MIN_COUNT, LONGEST, SHARDS, TOP = 30, 4, 3, 2000
+MIN_COUNT, LONGEST, SHARDS, TOP = 30, 4, 2, 2000
 BITS = 24
 BROADCAST_ROWS = 1_000_000
 #: Words that a task counts together.
