@@ -184,7 +184,7 @@ def links(run: Run, docs: DataFrame, classes: DataFrame) -> DataFrame:
     run.drop(live)
     heads = _prefixes(paths)
     ids = classes.select("class_id", F.col("first.doc_id").alias("doc_id"))
-    index = heads.select("class_id", F.col("n").alias("n_shingles"), F.col("probe").alias("keys"), F.col("shingle").alias("key")).join(ids, "class_id")
+    index = heads.select("class_id", F.col("n").alias("n_shingles"), F.col("n").alias("keys"), F.col("shingle").alias("key")).join(ids, "class_id")
     across = lambda mixed: near_dedup.pairs_between(run, run.table(heads.join(mixed, "class_id"), "prefixes"), PERCENT)
     return near_dedup.settle(run, index, lambda pairs: tree_links(run, paths, pairs), across, PERCENT)
 

@@ -255,7 +255,7 @@ def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
 def settle(run: Run, index: DataFrame, confirm: Callable[[DataFrame], DataFrame], across: Callable[[DataFrame], DataFrame], percent: int = 75) -> DataFrame:
     """Links that connect all classes of so high a similarity that meet under a key of ``index``.
 
-    ``index`` has key, class_id, n_shingles, doc_id and keys (how many keys the class may have); ``confirm`` returns
+    ``index`` has key, class_id, n_shingles, doc_id and keys (how many the class may have, or its size); ``confirm`` returns
     those of some pairs (a, b) that are links, ``across`` the pairs of different components among classes
     (class_id, root) that may be. A link that would only close a circle inside a component need not be listed.
     """
