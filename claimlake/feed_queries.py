@@ -13,6 +13,7 @@ from .plans.incremental import CLAIM, REMITTANCE, GoldViews
 from .queries import CTE, fees, query
 from .session import scratch
 from .sources.mapped import AS_OF, Mapped
+from .streaming import versions
 
 
 @query("t1_patients", "SELECT c_custkey AS patient_id, c_name AS last_name, c_mktsegment AS insurance_id FROM customer")
@@ -227,16 +228,41 @@ def _stream_claims(m: Mapped) -> str:
 
 
 def _register_claims() -> None:
-    from .source_queries import _AFTER, _AFTER_LINES
+    from .source_queries import _AFTER, _AFTER_LINES, _UNTOUCHED
 
-    untouched = " UNION ALL SELECT claim_id, CAST(total_billed AS DOUBLE), 'filed' FROM m_claims WHERE claim_id % 4 = 0 AND claim_id NOT IN (SELECT claim_id FROM m_lines)"
-    query("st2_stream_claims", _AFTER + untouched)(lambda m: VersionedTable(m.spark, f"{_stream_claims(m)}/claims").read().select("claim_id", "total_billed", "status"))
+    query("st2_stream_claims", _AFTER + _UNTOUCHED)(lambda m: VersionedTable(m.spark, f"{_stream_claims(m)}/claims").read().select("claim_id", "total_billed", "status"))
     query("st2_stream_lines", _AFTER_LINES)(lambda m: VersionedTable(m.spark, f"{_stream_claims(m)}/lines").read().groupBy("claim_id").agg(F.count("*").alias("n_lines")))
 
 
 _register_claims()
 
 
+def _claim_versions(m: Mapped) -> DataFrame:
+    """Stored claims, then records in the wrong order over two runs: replacements and last voids before originals."""
+    from .source_queries import _incoming, _stored
+
+    base = scratch(m.spark, "claims")
+    claims, lines = _stored(m)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("line_number", "cpt_code"))), lambda x: F.struct(x["cpt_code"].alias("cpt_code")))
+    rows = _incoming(m).withColumn("arrival", F.timestamp_add("day", F.col("arrival"), F.lit("2024-01-01").cast("timestamp"))).withColumn("status", F.lit(None).cast("string"))
+    stored = claims.join(lines.groupBy("claim_id").agg(in_order.alias("lines")), "claim_id", "left").withColumns({"frequency_code": F.lit(None).cast("string"), "arrival": F.lit(None).cast("timestamp")})
+    late = F.col("arrival") >= "2024-01-04"
+    for batch in (stored.select(rows.columns), rows.where(late), rows.where(~late)):
+        batch.write.mode("append").parquet(f"{base}/in")
+        streaming.run_to_table(versions.claim_changes(streaming.source(m.spark, f"{base}/in", rows.schema)), f"{base}/out", f"{base}/checkpoint")
+    return versions.current(m.spark.read.parquet(f"{base}/out"), ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("total_billed", "lines")))
+
+
+def _register_versions() -> None:
+    from .source_queries import _AFTER, _AFTER_LINES, _UNTOUCHED
+
+    query("st2_stateful_claims", _AFTER + _UNTOUCHED)(lambda m: _claim_versions(m).select("claim_id", "total_billed", "status"))
+    query("st2_stateful_lines", _AFTER_LINES)(lambda m: _claim_versions(m).select("claim_id", F.explode("lines")).groupBy("claim_id").agg(F.count("*").alias("n_lines")))
+
+
+_register_versions()
+
+
 @query(
     "st5_claims_with_remittances",
     "SELECT c.claim_id, CAST(r.paid_amount AS DOUBLE) AS paid_amount, CAST(r.era_date AS TIMESTAMP) AS paid_at FROM m_claims c JOIN m_remits r ON r.claim_id = c.claim_id AND r.era_date BETWEEN c.date_of_service AND c.date_of_service + 45",

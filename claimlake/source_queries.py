@@ -387,9 +387,10 @@ def _stored(m: Mapped) -> tuple[DataFrame, DataFrame]:
 _HAS_LINES = "claim_id IN (SELECT claim_id FROM m_lines)"
 _AFTER = f"SELECT claim_id, CAST(total_billed + CASE WHEN claim_id % 2 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS total_billed, CASE WHEN claim_id % 5 = 0 THEN 'voided' WHEN claim_id % 2 = 0 THEN 'corrected' WHEN claim_id % 3 = 0 THEN 'voided' ELSE 'received' END AS status FROM m_claims WHERE {_HAS_LINES}"
 _AFTER_LINES = "SELECT c.claim_id, count(*) AS n_lines FROM (SELECT claim_id FROM m_claims) c JOIN m_lines l ON l.claim_id = c.claim_id WHERE c.claim_id % 2 = 1 GROUP BY c.claim_id UNION ALL SELECT claim_id, 1 FROM m_claims WHERE claim_id % 2 = 0 AND claim_id IN (SELECT claim_id FROM m_lines)"
+_UNTOUCHED = " UNION ALL SELECT claim_id, CAST(total_billed AS DOUBLE), 'filed' FROM m_claims WHERE claim_id % 4 = 0 AND claim_id NOT IN (SELECT claim_id FROM m_lines)"
 
 
-@query("e2_apply_actions", _AFTER + " UNION ALL SELECT claim_id, CAST(total_billed AS DOUBLE), 'filed' FROM m_claims WHERE claim_id % 4 = 0 AND claim_id NOT IN (SELECT claim_id FROM m_lines)")
+@query("e2_apply_actions", _AFTER + _UNTOUCHED)
 def _apply(m: Mapped) -> DataFrame:
     claims, lines = _stored(m)
     return ingest.apply_claim_actions(claims, lines, ingest.claim_actions(_incoming(m), claims))[0]

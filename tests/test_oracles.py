@@ -26,7 +26,7 @@ def duck(sf_dir):
     return con
 
 
-HEADLINE = ["c4_resolve_cdc", "c1_snapshot_diff", "m2_scd2_merge", "g2b_rate_as_of", "t3_claims", "g1_recovery_by_payer", "g5_claims_aging", "g9_win_loss", "g13_monthly_trends", "w8_monitor", "w9_transitions", "q4_consistency", "z4_business_days", "g2_cpt_analysis", "z6_award_spread", "e2_apply_actions", "e2_apply_lines", "m3_provider_scd2", "p1_claims_837", "p2_remittances_835", "w9_apply", "w9_deadlines", "q1_orphans", "p9_chunks", "s4_crosswalk_csv", "st5_claims_with_remittances", "z5_recovery_cube", "k2_snapshots", "st1_replayed", "st6_replayed", "st7_incremental", "z1_decisions", "c1_ranged_diff", "p1_claims_split", "q6_frequent_values", "w11_windowed_alerts", "q2_coverage", "z16_median_rates", "w2_cases", "g10_analyst_productivity", "s11_jdbc_incremental"]
+HEADLINE = ["c4_resolve_cdc", "c1_snapshot_diff", "m2_scd2_merge", "g2b_rate_as_of", "t3_claims", "g1_recovery_by_payer", "g5_claims_aging", "g9_win_loss", "g13_monthly_trends", "w8_monitor", "w9_transitions", "q4_consistency", "z4_business_days", "g2_cpt_analysis", "z6_award_spread", "e2_apply_actions", "e2_apply_lines", "m3_provider_scd2", "p1_claims_837", "p2_remittances_835", "w9_apply", "w9_deadlines", "q1_orphans", "p9_chunks", "s4_crosswalk_csv", "st5_claims_with_remittances", "z5_recovery_cube", "k2_snapshots", "st1_replayed", "st6_replayed", "st7_incremental", "z1_decisions", "c1_ranged_diff", "p1_claims_split", "q6_frequent_values", "w11_windowed_alerts", "q2_coverage", "z16_median_rates", "w2_cases", "g10_analyst_productivity", "s11_jdbc_incremental", "st2_stateful_lines"]
 
 
 @pytest.mark.parametrize("name", HEADLINE)
