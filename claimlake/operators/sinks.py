@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +49,54 @@ def write_topics(events: DataFrame, path: str) -> None:
 def write_topics_once(spark: SparkSession, events: DataFrame, path: str, tag: tuple[str, int]) -> Snapshot:
     """ST6: :func:`write_topics` to a versioned table; a batch that comes again changes nothing."""
     return VersionedTable(spark, path).append(events, "topic", tag, form="json")
+
+
+def text_files(rows: DataFrame, path: str, order: list[str], join: str = "", head: str = "", tail: str = "") -> int:
+    """Rows (folder, file_no, text) as a file for each file_no, its texts by ``order``; returns how many files there are.
+
+    A file is written row by row, so it may be larger than a task's memory; a null text adds nothing. Files are made
+    through pyarrow, as Hadoop's local file system starts two processes for each. They get their names when they are
+    whole, so a task that is run again leaves the same ones.
+    """
+    spark = rows.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    uri = f"file://{where.toUri().getPath()}" if fs.getUri().getScheme() == "file" else path
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pa.fs.FileSystem.from_uri(uri)
+        now, out, draft, first, n, made = None, None, "", True, 0, set()
+
+        def close() -> None:
+            nonlocal n
+            if out is not None:
+                out.write(f"{tail}\n".encode())
+                out.close()
+                fs.move(draft, f"{base}/folder={now[0]}/{now[1]}.txt")
+                n += 1
+
+        for batch in batches:
+            folders, numbers = batch.column("folder"), batch.column("file_no")
+            numbers = numbers.to_pylist()
+            starts = [i for i in range(len(numbers)) if not i or numbers[i] != numbers[i - 1]]
+            for i, j in zip(starts, [*starts[1:], len(batch)], strict=True):
+                at = folders[i].as_py(), numbers[i]
+                if at != now:
+                    close()
+                    now, first = at, True
+                    if at[0] not in made:
+                        fs.create_dir(f"{base}/folder={at[0]}", recursive=True)
+                        made.add(at[0])
+                    draft = f"{base}/folder={at[0]}/.{at[1]}-{uuid.uuid4().hex}"
+                    out = fs.open_output_stream(draft)
+                    out.write(head.encode())
+                texts = pc.drop_null(batch.column("text")[i:j]).to_pylist()
+                if texts:
+                    out.write(((join if not first else "") + join.join(texts)).encode())
+                    first = False
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    placed = rows.repartition("folder").sortWithinPartitions("folder", "file_no", *order).select("folder", "file_no", "text")
+    return placed.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

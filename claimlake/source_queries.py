@@ -18,6 +18,8 @@ from .sources.mapped import AS_OF, Mapped
 
 #: Records of a rendered file, about.
 PER_FILE = 200
+#: Rendered files of a folder, about.
+PER_FOLDER = 100
 
 
 def _csv(m: Mapped, df: DataFrame, tag: str) -> str:
@@ -26,14 +28,16 @@ def _csv(m: Mapped, df: DataFrame, tag: str) -> str:
     return path
 
 
-def _files(m: Mapped, records: DataFrame, tag: str, key: str, text: str, join: str = "", head: str = "", tail: str = "", ending: str = "txt") -> str:
+def _folder(number: Column) -> Column:
+    return F.floor(number / PER_FOLDER).alias("folder")
+
+
+def _files(m: Mapped, records: DataFrame, tag: str, key: str, text: str, join: str = "", head: str = "", tail: str = "") -> str:
     """Records (key, text) as files of about PER_FILE each, in order of key."""
     n = max(1, -(-records.count() // PER_FILE))
-    number = F.pmod(F.xxhash64(key), F.lit(n))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, text))), lambda x: x[text]), join)
     path = scratch(m.spark, tag)
-    whole = records.groupBy(number.alias("file_no")).agg(F.concat(F.lit(head), body, F.lit(tail)).alias("value"))
-    whole.repartition("file_no").write.partitionBy("file_no").text(path)
+    placed = records.select(key, F.col(text).alias("text"), F.pmod(F.xxhash64(key), F.lit(n)).alias("file_no")).withColumn("folder", _folder(F.col("file_no")))
+    sinks.text_files(placed, path, [key, "text"], join, head, tail)
     return path
 
 
@@ -250,7 +254,8 @@ def _contracts(m: Mapped) -> DataFrame:
 def _texts(m: Mapped) -> str:
     """A file a supplier, with its name."""
     path = scratch(m.spark, "texts")
-    m.raw("supplier").select(F.col("s_suppkey").alias("k"), F.concat(F.lit("Section "), F.col("s_suppkey").cast("string"), F.lit(". Rule\nof "), "s_name").alias("value")).repartition("k").write.partitionBy("k").text(path)
+    key = F.col("s_suppkey").alias("file_no")
+    sinks.text_files(m.raw("supplier").select(key, _folder(F.col("s_suppkey")), F.concat(F.lit("Section "), key.cast("string"), F.lit(". Rule\nof "), "s_name").alias("text")), path, [])
     return path
 
 
@@ -445,7 +450,9 @@ _EOB = "(SELECT DISTINCT claim_id, (claim_id * 10 + trace_number) AS n FROM m_re
     f"SELECT 'artifacts' AS part, count(*) AS n FROM {_EOB} UNION ALL SELECT 'remittances', count(*) FROM {_EOB} WHERE n % 4 <> 0 AND claim_id IN (SELECT claim_id FROM m_claims) UNION ALL SELECT 'review', count(*) FROM {_EOB} WHERE n % 4 = 0 UNION ALL SELECT 'unmatched', count(*) FROM {_EOB} WHERE n % 4 <> 0 AND claim_id NOT IN (SELECT claim_id FROM m_claims)",
 )
 def _ingest_eobs(m: Mapped) -> DataFrame:
-    parsed = parsers.eob_fields(_eobs(m))
+    path = scratch(m.spark, "parsed")
+    parsers.eob_fields(_eobs(m)).write.parquet(path)  # four tables are made of it
+    parsed = m.spark.read.parquet(path)
     claims = m.claims().select(F.col("claim_id").cast("string").alias("claim_id"))
     none = m.spark.createDataFrame([], "payer_claim_id string, payer_id string, claim_id string")
     hashed = parsed.withColumn("content_hash", F.sha2("source_file", 256))

@@ -17,13 +17,20 @@ def segments(files: DataFrame) -> DataFrame:
     """Segments of X12 files that begin with ISA: file, block (0), pos, tag and elements e (from 0). Separators are
     the characters at 3 and 105."""
     element, end = F.substring("content", 4, 1), F.substring("content", 106, 1)
-    parts = F.split(F.col("content"), F.concat(F.lit("\\Q"), end, F.lit("\\E")))
-    rows = files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", F.lit(0).cast("long").alias("block"), element.alias("sep"), F.posexplode(parts).alias("pos", "raw"))
-    text = F.trim(F.regexp_replace("raw", r"[\r\n]+", ""))
-    out = rows.select("file", "block", "pos", F.split(text, F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))).alias("e"), text.alias("raw")).where("raw <> ''").drop("raw")
+    plain = F.when(end == "\n", F.replace("content", F.lit("\r"), F.lit(""))).when(end == "\r", F.replace("content", F.lit("\n"), F.lit(""))).otherwise(F.translate("content", "\r\n", ""))
+    parts = F.transform(F.split(plain, _literal(end)), lambda x: F.trim(x))
+    # Separators and parts come first: what is derived beside an explode is derived after it, from a copy of the text in each row.
+    whole = files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", _literal(element).alias("sep"), parts.alias("parts"))
+    rows = whole.select("file", F.lit(0).cast("long").alias("block"), "sep", F.posexplode("parts").alias("pos", "raw"))
+    out = rows.where("raw <> ''").select("file", "block", "pos", F.split("raw", F.col("sep")).alias("e"))
     return out.withColumn("tag", F.get("e", F.lit(0)))
 
 
+def _literal(c: Column) -> Column:
+    """A pattern that matches one character; for all but letters and digits one that Java splits at without a regex."""
+    return F.when(c.rlike("^[^0-9A-Za-z]$"), F.concat(F.lit("\\"), c)).otherwise(F.concat(F.lit("\\Q"), c, F.lit("\\E")))
+
+
 def split_segments(spark: SparkSession, path: str, terminator: str = "~") -> DataFrame:
     """The same of files that Spark reads in splits, each from one segment terminator to the next.
 
@@ -32,9 +39,9 @@ def split_segments(spark: SparkSession, path: str, terminator: str = "~") -> Dat
     """
     raw = _split_text(spark, path, terminator)
     heads = raw.where("block = 0 and raw like 'ISA%' and length(raw) = 105").groupBy("file").agg(F.min_by(F.substring("raw", 4, 1), "pos").alias("sep"), F.min("pos").alias("first"))
-    text = F.trim(F.regexp_replace("raw", r"[\r\n]+", ""))
-    rows = raw.join(heads, "file").select("file", "block", "pos", "sep", text.alias("raw")).where("raw <> ''")
-    return rows.select("file", "block", "pos", F.split("raw", F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))).alias("e")).withColumn("tag", F.get("e", F.lit(0)))
+    text = F.trim(F.translate("raw", "\r\n", ""))
+    rows = raw.join(heads, "file").select("file", "block", "pos", _literal(F.col("sep")).alias("sep"), text.alias("raw")).where("raw <> ''")
+    return rows.select("file", "block", "pos", F.split("raw", F.col("sep")).alias("e")).withColumn("tag", F.get("e", F.lit(0)))
 
 
 def odd_terminators(spark: SparkSession, path: str, terminator: str = "~") -> DataFrame:
@@ -48,16 +55,19 @@ def _split_text(spark: SparkSession, path: str, terminator: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.col("value").alias("raw"))
 
 
-def carried(seg: DataFrame, starts: Column, values: dict[str, Column]) -> DataFrame:
+def carried(seg: DataFrame, starts: Column, values: dict[str, Column], in_splits: bool = True) -> DataFrame:
     """``seg`` (file, block, pos) with ``seq``, how many rows that ``starts`` were there so far, and the last of each of
     ``values`` that isn't null, both over the file up to the row.
 
-    A segmented prefix scan: windows see one split (block) at a time; one row a split goes through the second.
+    A segmented prefix scan: windows see one split (block) at a time; one row a split goes through the second. Of
+    files that aren't split (not ``in_splits``) the first is all.
     """
     names = list(values)
     rows = seg.withColumns({n: v for n, v in values.items()} | {"seq": starts.cast("int")})
-    inside = Window.partitionBy("file", "block").orderBy("pos")
+    inside = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumns({n: F.last(n, ignorenulls=True).over(inside) for n in names} | {"seq": F.sum("seq").over(inside)})
+    if not in_splits:
+        return local
     each = rows.groupBy("file", "block").agg(F.sum("seq").alias("seq"), *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in names])
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     into = each.select("file", "block", F.coalesce(F.sum("seq").over(before), F.lit(0)).alias("_seq"), *[F.last(n, ignorenulls=True).over(before).alias(f"_{n}") for n in names])
@@ -90,7 +100,7 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     named = lambda code: F.when((F.col("tag") == "NM1") & (_el(1) == code), _el(9))
     kind = F.when(F.col("tag") == "ST", F.when(F.contains(F.coalesce(_el(3), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P"))
-    seg = carried(_segments(files), F.col("tag") == "CLM", {"npi": named("85"), "member": named("IL"), "payer": named("PR"), "kind": kind}).withColumnRenamed("seq", "claim_seq")
+    seg = carried(_segments(files), F.col("tag") == "CLM", {"npi": named("85"), "member": named("IL"), "payer": named("PR"), "kind": kind}, "tag" in files.columns).withColumnRenamed("seq", "claim_seq")
     inside = seg.where("claim_seq > 0")
     clm, hi, sv = F.col("tag") == "CLM", F.col("tag") == "HI", F.col("tag").isin("SV1", "SV2")
     codes = F.filter(F.transform(F.slice("e", F.lit(2), F.size("e")), lambda x: F.get(F.split(x, ":"), F.lit(1))), lambda x: x.isNotNull())
@@ -131,7 +141,7 @@ def remittances_835(files: DataFrame) -> DataFrame:
         "payer": F.when((F.col("tag") == "N1") & (_el(1) == "PR"), F.coalesce(F.nullif(_el(4), F.lit("")), _el(2))),
         "era": F.when((F.col("tag") == "DTM") & (_el(1) == "405"), _el(2)),
     }
-    seg = carried(_segments(files), F.col("tag") == "CLP", given)
+    seg = carried(_segments(files), F.col("tag") == "CLP", given, "tag" in files.columns)
     inside = seg.where("seq > 0")
     clp, cas, svc = F.col("tag") == "CLP", F.col("tag") == "CAS", F.col("tag") == "SVC"
     at = F.when(F.size("e") > 2, F.sequence(F.lit(2), F.greatest(F.size("e") - 1, F.lit(2)), F.lit(3))).otherwise(F.array().cast("array<int>"))
