@@ -377,11 +377,10 @@ def _incoming(m: Mapped) -> DataFrame:
     lines = m.claim_lines().groupBy("claim_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "cpt_code"))), lambda x: F.struct(x["cpt_code"].alias("cpt_code"))).alias("lines"))
     base = m.claims().join(lines, "claim_id").select("claim_id", "total_billed", "lines")
     money = lambda c: c.cast("decimal(18,2)")
-    first = base.select("claim_id", F.lit("1").alias("frequency_code"), F.lit(1).alias("arrival"), "total_billed", "lines")
-    void = base.where("claim_id % 3 = 0").select("claim_id", F.lit("8").alias("frequency_code"), F.lit(2).alias("arrival"), "total_billed", "lines")
-    again = base.where("claim_id % 2 = 0").select("claim_id", F.lit("7").alias("frequency_code"), F.lit(3).alias("arrival"), money(F.col("total_billed") + 1).alias("total_billed"), F.slice("lines", 1, 1).alias("lines"))
-    late = base.where("claim_id % 5 = 0").select("claim_id", F.lit("8").alias("frequency_code"), F.lit(4).alias("arrival"), "total_billed", "lines")
-    return first.unionByName(void).unionByName(again).unionByName(late)
+    record = lambda cond, code, n, total, of: F.when(cond, F.struct(F.lit(code).alias("frequency_code"), F.lit(n).alias("arrival"), total.alias("total_billed"), of.alias("lines")))
+    n, total, every = F.col("claim_id"), F.col("total_billed"), F.col("lines")
+    records = F.array_compact(F.array(record(F.lit(True), "1", 1, total, every), record(n % 3 == 0, "8", 2, total, every), record(n % 2 == 0, "7", 3, money(total + 1), F.slice("lines", 1, 1)), record(n % 5 == 0, "8", 4, total, every)))
+    return base.select("claim_id", F.explode(records).alias("r")).select("claim_id", "r.*")
 
 
 def _stored(m: Mapped) -> tuple[DataFrame, DataFrame]:

@@ -96,3 +96,12 @@ def test_state_ends(spark, tmp_path):
     again[2] = datetime.datetime(2026, 1, 2)
     log = run(spark, tmp_path, [[old], [tuple(new)], [record("n", "7", 2, 9.0, "late")], [tuple(again)]])
     assert state_of(log) == [("m", 1.0, "received", ("g",)), ("n", 8.0, "received", ("h",))]
+
+
+def test_many_claims_share_a_group(spark, tmp_path):
+    """Of all claims in one group each has its own turns and end, also when the group is rewritten by others."""
+    src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    for batch in ([record(f"c{i}", "1", 1, float(i), "a") for i in range(500)], [record(f"c{i}", "7", 2, -float(i), "b") for i in range(0, 500, 5)]):
+        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        streaming.run_to_table(versions.claim_changes(streaming.source(spark, src, SCHEMA), buckets=1), out, cp)
+    assert state_of(spark.read.parquet(out)) == sorted((f"c{i}", float(i) if i % 5 else -float(i), "received" if i % 5 else "corrected", ("a",) if i % 5 else ("b",)) for i in range(500))
