@@ -172,7 +172,8 @@ class VersionedTable:
             plan, df, touched = rows(base)
             if touched == []:
                 return replace(plan), set()
-            df.withColumn(BUCKET, self._number(plan)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+            # A bucket of many rows is written by several tasks, as adaptive execution splits what one of them would get.
+            df.withColumn(BUCKET, self._number(plan)).hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
             seen = self._counts(folder, df.schema, "parquet", BUCKET)
             parts = {k: v for k, v in plan.parts.items() if touched is not None and int(k) not in touched}
             parts |= {b: (f"{folder}/{BUCKET}={b}", n) for b, n in seen.items()}

@@ -45,11 +45,14 @@ def ingest_claims(stream: DataFrame, claims_path: str, lines_path: str, checkpoi
         spark, tag = batch.sparkSession, _tag(batch, number)
         stored_claims, stored_lines = VersionedTable(spark, claims_path), VersionedTable(spark, lines_path)
         claims, lines = stored_claims.read_of(batch), stored_lines.read_of(batch)
-        acted = ingest.claim_actions(batch, claims)
-        new_claims, new_lines = ingest.apply_claim_actions(claims, lines, acted)
-        ids = acted.where("action <> 'skip'").select("claim_id").distinct()
-        stored_lines.upsert(new_lines.join(ids, "claim_id", "left_semi"), ["claim_id"], gone=ids, tag=tag)
-        stored_claims.upsert(new_claims.join(ids, "claim_id", "left_semi"), ["claim_id"], tag=tag)
+        acted = ingest.claim_actions(batch, claims).persist()  # both tables take it several times
+        try:
+            new_claims, new_lines = ingest.apply_claim_actions(claims, lines, acted)
+            ids = acted.where("action <> 'skip'").select("claim_id").distinct()
+            stored_lines.upsert(new_lines.join(ids, "claim_id", "left_semi"), ["claim_id"], gone=ids, tag=tag)
+            stored_claims.upsert(new_claims.join(ids, "claim_id", "left_semi"), ["claim_id"], tag=tag)
+        finally:
+            acted.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

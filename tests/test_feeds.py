@@ -47,3 +47,17 @@ def test_newlines_and_separators(spark):
         [["ST", "837", "1"], ["CLM", "c", "2"]],
         [["ST", "837", "1"], ["CLM", "d", "3"]],
     ]
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    from claimlake.operators.table import VersionedTable
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        VersionedTable(spark, str(tmp_path / "t")).upsert(spark.range(0, 400_000, 1, 8).selectExpr("id", "uuid() AS v"), ["id"], buckets=1)
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) > 1
+    assert VersionedTable(spark, str(tmp_path / "t")).read().select("id").distinct().count() == 400_000
