@@ -308,6 +308,13 @@ def _numbered(m: Mapped) -> DataFrame:
     return m.remittances().withColumn("remit_id", F.col("claim_id") * 100 + F.row_number().over(order)).select([c.split()[0] for c in REMITTANCE.split(", ")])
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    """The same rows, made once for all batches that have events of them."""
+    path = scratch(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _views(m: Mapped, batches: list[DataFrame]) -> GoldViews:
     """Each batch's events come as files once the batch before is done."""
     base = scratch(m.spark, "gold")
@@ -330,7 +337,7 @@ def _stream_gold(m: Mapped) -> DataFrame:
 
 def _three_batches(m: Mapped) -> GoldViews:
     """Inserts; inserts, updates and a changed payer; deletes, changed remittances and a claim twice in a batch."""
-    claims, remits = _claim_rows(m), _numbered(m)
+    claims, remits = _written(_claim_rows(m)), _written(_numbered(m))
     one = [_events(claims.where("claim_id % 5 <> 0"), "claims", "I", 0), _events(remits.where("claim_id % 3 <> 0"), "remittances", "I", 0)]
     moved = claims.where("claim_id % 4 = 0 and claim_id % 5 <> 0").withColumns({"total_billed": (F.col("total_billed") + 1).cast("decimal(18,2)"), "payer_id": (F.col("payer_id") + 1) % 25})
     two = [_events(claims.where("claim_id % 5 = 0"), "claims", "I", 1), _events(moved, "claims", "U", 2), _events(remits.where("claim_id % 3 = 0"), "remittances", "I", 1)]

@@ -7,17 +7,19 @@ a batch reads and writes only buckets with claims and groups that it touches; ra
 tables are read. Amounts and shares of percent are decimals, so sums don't depend on the order of batches.
 
 All four tables are versioned and take each batch once, the stored rows last: a batch that is run again
-after a crash finds the differences that it hasn't added yet as they were.
+after a crash finds the differences that it hasn't added yet as they were. The changes of a batch are parsed
+once, and are the rows that are merged into the stored ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import mean, percent
 from ..operators import merge
-from ..operators.table import VersionedTable
+from ..operators.table import VersionedTable, no_rows
 from . import silver
 from .gold import BUCKETS
 from .silver import as_date
@@ -39,6 +41,10 @@ def _typed(df: DataFrame, names: str) -> DataFrame:
     return df.select([F.col(c.split()[0]).cast(c.split()[1] if "decimal" not in c else c.split(None, 1)[1]) for c in names.split(", ")])
 
 
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.sum(c).cast(t).alias(c) for c, t in _SUMS.items()])
+
+
 class GoldViews:
     """G1, G3 and G5 over claims and remittances as the events so far have left them."""
 
@@ -50,7 +56,7 @@ class GoldViews:
 
     def _stored(self, table: VersionedTable, ids: DataFrame, schema: str) -> DataFrame:
         if table.snapshot().version < 0:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, StructType.fromDDL(schema))
         return table.read_of(ids).join(ids, "claim_id", "left_semi")
 
     def _changes(self, events: DataFrame, source: str, schema: str, keys: list[str]) -> DataFrame:
@@ -65,35 +71,41 @@ class GoldViews:
 
     def apply(self, events: DataFrame, batch: tuple[str, int]) -> None:
         """Take in a batch of bronze events (payload: the row as JSON, of a delete its key), once."""
-        claims, remits = self._changes(events, "claims", CLAIM, ["claim_id"]), self._changes(events, "remittances", REMITTANCE, ["claim_id", "remit_id"])
-        ids = claims.select("claim_id").unionByName(remits.select("claim_id")).distinct().persist()
+        made: list[DataFrame] = []
+
+        def kept(df: DataFrame) -> DataFrame:
+            made.append(df.persist())
+            return df
+
         try:
+            claims, remits = kept(self._changes(events, "claims", CLAIM, ["claim_id"])), kept(self._changes(events, "remittances", REMITTANCE, ["claim_id", "remit_id"]))
+            ids = kept(claims.select("claim_id").unionByName(remits.select("claim_id")).distinct())
             old_claims, old_remits = self._stored(self.claims, ids, CLAIM), self._stored(self.remits, ids, REMITTANCE)
             new_claims, new_remits = self._after(old_claims, claims, ["claim_id"]), self._after(old_remits, remits, ["claim_id", "remit_id"])
             before, after = (silver.claim_remittance(c, r, self.payers) for c, r in ((old_claims, old_remits), (new_claims, new_remits)))
             rows = before.withColumn("sign", F.lit(-1)).unionByName(after.withColumn("sign", F.lit(1)))
             ratio = F.when(F.col("total_billed") > 0, F.col("total_paid") * 100 / F.col("total_billed")).cast("decimal(28,10)")
             values = {"claims": F.lit(1), "billed": F.col("total_billed"), "paid": F.col("total_paid"), "underpaid": F.col("underpayment"), "denied": F.col("has_denial"), "ratios": F.coalesce(ratio, F.lit(0)), "ratio_count": ratio.isNotNull().cast("int")}
-            signed = rows.select("payer_id", "date_of_service", *[(v.cast("decimal(28,10)" if k == "ratios" else "decimal(28,2)") * F.col("sign")).cast(_SUMS[k]).alias(k) for k, v in values.items()]).persist()
-            try:
-                self._add(self.by_payer, signed.where("payer_id is not null"), "payer_id", batch)
-                self._add(self.by_day, signed.where("date_of_service is not null"), "date_of_service", batch)
-            finally:
-                signed.unpersist()
-            self.claims.upsert(_typed(new_claims, CLAIM), ["claim_id"], gone=ids, tag=batch, buckets=self.buckets)
-            self.remits.upsert(_typed(new_remits, REMITTANCE), ["claim_id"], gone=ids, tag=batch, buckets=self.buckets)
+            signed = rows.select("payer_id", "date_of_service", *[(v.cast("decimal(28,10)" if k == "ratios" else "decimal(28,2)") * F.col("sign")).cast(_SUMS[k]).alias(k) for k, v in values.items()])
+            cells = kept(_summed(signed, "payer_id", "date_of_service"))  # as many as payers times days, whatever the claims
+            self._add(self.by_payer, cells.where("payer_id is not null"), "payer_id", batch)
+            self._add(self.by_day, cells.where("date_of_service is not null"), "date_of_service", batch)
+            live, gone = F.col("_cdc_operation") != "D", F.col("_cdc_operation") == "D"
+            self.claims.upsert(_typed(claims.where(live), CLAIM), ["claim_id"], gone=claims.where(gone), tag=batch, buckets=self.buckets)
+            self.remits.upsert(_typed(remits.where(live), REMITTANCE), ["claim_id"], gone=remits.where(gone), tag=batch, buckets=self.buckets, within=["remit_id"])
         finally:
-            ids.unpersist()
+            for df in made:
+                df.unpersist()
 
     def _add(self, table: VersionedTable, signed: DataFrame, key: str, batch: tuple[str, int]) -> None:
         """Merge differences into the sums of their groups; a group without claims goes."""
         at = table.snapshot()
         if at.tags.get(batch[0], -1) >= batch[1]:
             return
-        change = signed.groupBy(key).agg(*[F.sum(c).cast(t).alias(c) for c, t in _SUMS.items()])
+        change = _summed(signed, key)
         groups = change.select(key)
         rows = change if at.version < 0 else change.unionByName(table.read_of(groups, at.version).join(groups, key, "left_semi"))
-        sums = rows.groupBy(key).agg(*[F.sum(c).cast(t).alias(c) for c, t in _SUMS.items()])
+        sums = _summed(rows, key)
         table.upsert(sums.where("claims <> 0"), [key], gone=groups, tag=batch, buckets=self.buckets, expected=at.version)
 
     # ---- tables

@@ -3,6 +3,8 @@
 import pytest
 
 from claimlake.operators import table as tables
+from pyspark.sql import functions as F
+
 from claimlake.operators.table import Conflict, VersionedTable
 from claimlake.plans.incremental import GoldViews
 
@@ -152,6 +154,36 @@ def test_gold_views_touch_their_groups_only(spark, tmp_path):
     assert all(before.parts.get(b) == after.parts.get(b) for b in number.values() if b not in touched)
 
 
+def test_gold_views_read_a_batch_once_for_each_table(spark, tmp_path):
+    """Events of claims and of remittances are parsed once each, however many tables they change."""
+    payers = spark.createDataFrame([(0, "p", "commercial")], "payer_id long, name string, type string")
+    views = GoldViews(spark, str(tmp_path / "views"), payers, buckets=2)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    claim = '{"claim_id":%d,"payer_id":0,"date_of_service":"2024-01-01","total_billed":10}'
+    paid = '{"claim_id":%d,"remit_id":1,"paid_amount":%d}'
+    for turn in range(2):
+        rows = [("I", turn, "claims", claim % i) for i in range(6)] + [("I", turn, "remittances", paid % (i, turn + 1)) for i in range(6)]
+        events = spark.createDataFrame(rows, "_cdc_operation string, _cdc_seq long, _source_table string, payload string")
+        events = events.selectExpr("_cdc_operation", "timestamp'2024-01-01 00:00:00' as _cdc_timestamp", "_cdc_seq", "_source_table", "payload")
+        views.apply(events.withColumn("payload", F.udf(counted).asNondeterministic()("payload")), ("t", turn))
+    assert seen.value <= 2 * 2 * 12
+    assert [(r["total_claims"], r["total_paid"]) for r in views.recovery().collect()] == [(6, 12.0)]
+    assert views.remits.read().count() == 6
+
+
+def test_rows_of_a_key_are_told_apart_within(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "w"))
+    put = lambda rows, gone=None: t.upsert(spark.createDataFrame(rows, "id int, n int, v string"), ["id"], gone=spark.createDataFrame(gone, "id int, n int") if gone else None, buckets=2, within=["n"])
+    put([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (2, 2, "d")])
+    put([(1, 2, "B"), (1, 3, "e")], [(2, 1)])
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, 1, "a"), (1, 2, "B"), (1, 3, "e"), (2, 2, "d")]
+
+
 def test_ranged_diff_reads_changed_ranges_only(spark, tmp_path):
     from claimlake.operators import merge
     from claimlake.operators.digests import SnapshotState
