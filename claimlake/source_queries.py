@@ -20,6 +20,8 @@ from .sources.mapped import AS_OF, Mapped
 PER_FILE = 200
 #: Rendered files of a folder, about.
 PER_FOLDER = 100
+#: Bytes of small splits that a task reads, about.
+SPLIT_TASK_BYTES = 32 << 20
 
 
 def _csv(m: Mapped, df: DataFrame, tag: str) -> str:
@@ -128,16 +130,22 @@ query("p1_lines_837", "SELECT CAST(claim_id AS VARCHAR) AS claim_id, cpt_code, C
 
 
 def _in_splits(m: Mapped, path: str) -> DataFrame:
-    """Segments of files that are read in splits of 64 kB."""
-    before = m.spark.conf.get("spark.sql.files.maxPartitionBytes")
-    m.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    """Segments of files that are cut into splits of 64 kB, of which a task takes as many as make SPLIT_TASK_BYTES."""
+    where = m.spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = where.getFileSystem(m.spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    tasks = max(m.spark.sparkContext.defaultParallelism, -(-size // SPLIT_TASK_BYTES))
+    set_to = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.maxPartitionNum": str(tasks)}
+    before = {k: m.spark.conf.get(k, None) for k in set_to}
+    for k, v in set_to.items():
+        m.spark.conf.set(k, v)
     try:
         rows = parsers.split_segments(m.spark, path)
         out = scratch(m.spark, "segments")
         rows.write.parquet(out)
         return m.spark.read.parquet(out)
     finally:
-        m.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for k, v in before.items():
+            m.spark.conf.unset(k) if v is None else m.spark.conf.set(k, v)
 
 
 query("p1_claims_split", ORACLES["p1_claims_837"], whole=True)(

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import blank, money
+from ..session import scratch
+
+#: Files, about, whose headers are sent to every task.
+BROADCAST_ROWS = 500_000
 
 
 def segments(files: DataFrame) -> DataFrame:
@@ -38,9 +42,15 @@ def split_segments(spark: SparkSession, path: str, terminator: str = "~") -> Dat
     for :func:`segments`.
     """
     raw = _split_text(spark, path, terminator)
-    heads = raw.where("block = 0 and raw like 'ISA%' and length(raw) = 105").groupBy("file").agg(F.min_by(F.substring("raw", 4, 1), "pos").alias("sep"), F.min("pos").alias("first"))
-    text = F.trim(F.translate("raw", "\r\n", ""))
-    rows = raw.join(heads, "file").select("file", "block", "pos", _literal(F.col("sep")).alias("sep"), text.alias("raw")).where("raw <> ''")
+    heads = raw.where("block = 0 and raw like 'ISA%' and length(raw) = 105").groupBy("file").agg(F.min_by(F.substring("raw", 4, 1), "pos").alias("sep"))
+    where = scratch(spark, "heads")
+    heads.write.parquet(where)
+    heads = spark.read.schema(heads.schema).parquet(where)
+    # One row a file: up to so many go to every task, so that no text is shuffled before it is cut.
+    few = F.broadcast(heads) if heads.count() <= BROADCAST_ROWS else heads
+    broken = F.contains("raw", F.lit("\n")) | F.contains("raw", F.lit("\r"))  # few are, and a translation costs more than the split
+    text = F.trim(F.when(broken, F.translate("raw", "\r\n", "")).otherwise(F.col("raw")))
+    rows = raw.join(few, "file").select("file", "block", "pos", _literal(F.col("sep")).alias("sep"), text.alias("raw")).where("raw <> ''")
     return rows.select("file", "block", "pos", F.split("raw", F.col("sep")).alias("e")).withColumn("tag", F.get("e", F.lit(0)))
 
 
@@ -100,8 +110,10 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     named = lambda code: F.when((F.col("tag") == "NM1") & (_el(1) == code), _el(9))
     kind = F.when(F.col("tag") == "ST", F.when(F.contains(F.coalesce(_el(3), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P"))
-    seg = carried(_segments(files), F.col("tag") == "CLM", {"npi": named("85"), "member": named("IL"), "payer": named("PR"), "kind": kind}, "tag" in files.columns).withColumnRenamed("seq", "claim_seq")
-    inside = seg.where("claim_seq > 0")
+    seg, split = _segments(files), "tag" in files.columns
+    # Lines need only the claim that they follow; claims take nothing from lines, so each shuffles its own segments.
+    about = seg.where(F.col("tag").isin("ST", "NM1", "CLM", "DTP", "HI"))
+    inside = carried(about, F.col("tag") == "CLM", {"npi": named("85"), "member": named("IL"), "payer": named("PR"), "kind": kind}, split).withColumnRenamed("seq", "claim_seq").where("claim_seq > 0")
     clm, hi, sv = F.col("tag") == "CLM", F.col("tag") == "HI", F.col("tag").isin("SV1", "SV2")
     codes = F.filter(F.transform(F.slice("e", F.lit(2), F.size("e")), lambda x: F.get(F.split(x, ":"), F.lit(1))), lambda x: x.isNotNull())
     head = inside.groupBy("file", "claim_seq").agg(
@@ -120,7 +132,9 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     service = F.when(second, _el(2)).otherwise(_el(1))
     amount = F.when(second, _el(3)).otherwise(_el(2))
     units = F.when(second, _el(5)).otherwise(_el(4))
-    lines = inside.where(sv).select(
+    of_claim = F.when(clm, F.struct(_el(1).alias("claim_id")))  # not null, even where the claim_id is
+    served = carried(seg.where(clm | sv), clm, {"of": of_claim}, split).withColumnRenamed("seq", "claim_seq").where("claim_seq > 0")
+    lines = served.where(sv).select(
         "file",
         "claim_seq",
         F.row_number().over(Window.partitionBy("file", "claim_seq").orderBy("block", "pos")).alias("line_number"),
@@ -128,9 +142,9 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(_part(service, 2), F.lit("")).alias("modifier"),
         money(F.try_to_number(amount, F.lit("999999999999.99"))).alias("billed_amount"),
         F.coalesce(units.try_cast("double").cast("int"), F.lit(1)).alias("units"),
+        F.col("of.claim_id").alias("claim_id"),
     )
-    ids = claims.select("file", "claim_seq", "claim_id")
-    return claims, lines.join(ids, ["file", "claim_seq"])
+    return claims, lines
 
 
 def remittances_835(files: DataFrame) -> DataFrame:

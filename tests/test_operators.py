@@ -197,6 +197,26 @@ def test_x12_in_splits_equals_whole_files(spark, tmp_path, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_small_splits_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Splits of 64 kB go many to a task, and claims and lines are those of whole files; lines know their claim without its head."""
+    from claimlake import source_queries
+
+    body = "ST*837*1*005010X222A1~NM1*85*2*C*****XX*N0~" + "".join(f"NM1*IL*1*D*J****MI*P{i}~CLM*{i}*1***11:B:1~HI*" + "*".join(["ABF:X"] * 300) + "~\r\nLX*1~SV1*HC:9*2.00*UN*3~" for i in range(900)) + "CLM~SV1*HC:8*1*UN*1~SE*1*1~"
+    (tmp_path / "a.edi").write_text(x12(body))
+    monkeypatch.setattr(source_queries, "SPLIT_TASK_BYTES", 1 << 20)
+    m = type("M", (), {"spark": spark})()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    split = source_queries._in_splits(m, str(tmp_path))
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before and spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+    assert split.select("block").distinct().count() > 20
+    written = {r[0] for r in split.select(F.col("_metadata.file_path")).distinct().collect()}
+    assert len(written) <= 5
+    whole = files.whole_texts(spark, f"{tmp_path}/a.edi")
+    for got, want in zip(parsers.claims_837(split), parsers.claims_837(whole), strict=True):
+        assert sorted(map(repr, got.drop("file").collect())) == sorted(map(repr, want.drop("file").collect())) and got.count() == 901
+    assert parsers.claims_837(split)[1].where("claim_id is null and cpt_code = '8'").count() == 1
+
+
 def test_means_are_exact(spark):
     from claimlake.functions import mean, share
 
