@@ -117,8 +117,13 @@ def apply_claim_actions(claims: DataFrame, lines: DataFrame, acted: DataFrame) -
     return merged, kept.unionByName(new_lines.select([F.col(c).cast(dict(lines.dtypes)[c]) if c in new_lines.columns else F.lit(None).cast(dict(lines.dtypes)[c]).alias(c) for c in lines.columns]))
 
 
-def new_by_key(incoming: DataFrame, existing: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """Incoming rows whose key isn't known; of several in a batch the first by ``order``, then by values."""
+def new_by_key(incoming: DataFrame, existing: DataFrame, keys: list[str], *order: str, tasks: int | None = None) -> DataFrame:
+    """Incoming rows whose key isn't known; of several in a batch the first by ``order``, then by values.
+
+    A task sorts the keys that fall to it; ``tasks`` says how many there are, in place of the session's partitions.
+    """
+    if tasks is not None:  # on both sides, as the anti-join moves below the first's repartition
+        incoming, existing = incoming.repartition(tasks, *keys), existing.select(keys).repartition(tasks, *keys)
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, _value_order(incoming)))
     return incoming.join(existing.select(keys).distinct(), keys, "left_anti").withColumn("_n", first).where("_n = 1").drop("_n")
 

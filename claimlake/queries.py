@@ -14,7 +14,7 @@ from .operators.digests import SnapshotState
 from .operators.text_index import ChunkIndex
 from .plans import analyses, design, gold, measures, quality, reports, silver, workflow
 from .session import scratch
-from .sources import parsers, workload
+from .sources import mapped, parsers, workload
 from .sources.mapped import AS_OF, Mapped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -498,7 +498,7 @@ query("q6_malformed", "SELECT count(*) FILTER (WHERE NOT regexp_matches(c_name,
 # ---- ingest on the given tables
 
 query("e3_dedup_remittances", "SELECT claim_id, trace_number, era_date, CAST(paid_amount AS DOUBLE) AS paid_amount FROM (SELECT *, row_number() OVER (PARTITION BY claim_id, trace_number ORDER BY era_date, paid_amount) AS k FROM (SELECT * FROM m_remits UNION ALL SELECT claim_id, trace_number, era_date + 30, paid_amount + 1, allowed_amount, denial_code FROM m_remits) u WHERE claim_id % 10 <> 0) t WHERE k = 1")(
-    lambda m: (lambda r: ingest.new_by_key(r.unionByName(r.withColumns({"era_date": F.date_add("era_date", 30), "paid_amount": money(F.col("paid_amount") + 1)})), r.where("claim_id % 10 = 0"), ["claim_id", "trace_number"], "era_date", "paid_amount").select("claim_id", "trace_number", "era_date", "paid_amount"))(m.remittances())
+    lambda m: (lambda r: ingest.new_by_key(r.unionByName(r.withColumns({"era_date": F.date_add("era_date", 30), "paid_amount": money(F.col("paid_amount") + 1)})), r.where("claim_id % 10 = 0"), ["claim_id", "trace_number"], "era_date", "paid_amount", tasks=m.tasks("lineitem", mapped.ROWS_PER_TASK)).select("claim_id", "trace_number", "era_date", "paid_amount"))(m.remittances())
 )
 query("e4_dedup_documents", "SELECT count(*) AS n FROM (SELECT DISTINCT sha256(text) FROM documents) t")(lambda m: ingest.new_by_key(m.raw("documents").withColumn("content_hash", F.sha2("text", 256)), m.raw("documents").limit(0).withColumn("content_hash", F.sha2("text", 256)), ["content_hash"], "doc_id").agg(F.count("*").alias("n")))
 query("e14_search", "SELECT doc_id AS chunk_id, (CAST(contains(lower(text), 'license') AS INT) + CAST(contains(lower(text), 'apache') AS INT)) AS matches FROM documents WHERE contains(lower(text), 'license') OR contains(lower(text), 'apache') ORDER BY matches DESC, chunk_id LIMIT 10")(

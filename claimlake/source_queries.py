@@ -13,7 +13,7 @@ from .plans import design, quality, reports, silver, workflow
 from .plans import gold as gold_plans
 from .queries import ORACLES, Gold, fees, query
 from .session import scratch
-from .sources import files, parsers, workload
+from .sources import files, mapped, parsers, workload
 from .sources.mapped import AS_OF, Mapped
 
 #: Records of a rendered file, about.
@@ -382,7 +382,8 @@ def _stale(m: Mapped) -> DataFrame:
 
 def _incoming(m: Mapped) -> DataFrame:
     """Three records a claim in order of arrival: as known, replaced, and for some voided or replaced once more."""
-    lines = m.claim_lines().groupBy("claim_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "cpt_code"))), lambda x: F.struct(x["cpt_code"].alias("cpt_code"))).alias("lines"))
+    placed = m.claim_lines().repartition(m.tasks("lineitem", mapped.LISTED_PER_TASK), "claim_id")  # all that follows is by claim, in these tasks
+    lines = placed.groupBy("claim_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "cpt_code"))), lambda x: F.struct(x["cpt_code"].alias("cpt_code"))).alias("lines"))
     base = m.claims().join(lines, "claim_id").select("claim_id", "total_billed", "lines")
     money = lambda c: c.cast("decimal(18,2)")
     record = lambda cond, code, n, total, of: F.when(cond, F.struct(F.lit(code).alias("frequency_code"), F.lit(n).alias("arrival"), total.alias("total_billed"), of.alias("lines")))

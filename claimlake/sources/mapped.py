@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import money
 
 AS_OF = "2001-08-01"
+#: Claim lines that a task of a keyed shuffle takes, about, once there are more than the session's partitions: as
+#: plain rows, and as lists inside the records of their claim, of which a task holds several forms at once.
+ROWS_PER_TASK, LISTED_PER_TASK = 1_000_000, 250_000
 
 
 class Mapped:
@@ -22,6 +25,11 @@ class Mapped:
             self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
+    def tasks(self, name: str, per_task: int) -> int:
+        """Partitions for a shuffle of a raw table's rows: those of the session, or more where the table is larger."""
+        rows = self.raw(name).count()  # Parquet footers hold it
+        return max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+
     def payers(self) -> DataFrame:
         kind = F.when(F.col("n_regionkey") % 3 == 0, "commercial").when(F.col("n_regionkey") % 3 == 1, "medicare").otherwise("medicaid")
         joined = self.raw("nation").join(F.broadcast(self.raw("region")), F.col("n_regionkey") == F.col("r_regionkey"))  # five rows

@@ -61,3 +61,21 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.set(name, before)
     assert len(list((tmp_path / "t").rglob("*.parquet"))) > 1
     assert VersionedTable(spark, str(tmp_path / "t")).read().select("id").distinct().count() == 400_000
+
+
+def test_tasks_of_claim_records_and_remittances_grow_with_the_lines(spark, sf_dir, monkeypatch):
+    """With more lines than the session's partitions are for, there are more tasks, not larger ones."""
+    from claimlake import queries, source_queries
+    from claimlake.sources import mapped
+
+    monkeypatch.setattr(mapped, "ROWS_PER_TASK", 600)
+    monkeypatch.setattr(mapped, "LISTED_PER_TASK", 500)
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    tasks = lambda df: df.rdd.getNumPartitions()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are too large to broadcast
+    try:
+        assert tasks(source_queries._incoming(mapped.Mapped(spark, sf_dir))) == -(-n // 500) > 4
+        assert tasks(queries.QUERIES["e3_dedup_remittances"](spark, sf_dir)) == -(-n // 600) > 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
