@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,25 @@ from .table import VersionedTable
 PARTS = 64
 
 
+def _trigram_list(text: str) -> list[str]:
+    """Characters go by number, three of 21 bits to one, so that sorting numbers finds the distinct ones."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    if len(c) < 3:
+        return []
+    one = np.unique(c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:])
+    each = np.stack([one >> np.uint64(42), one >> np.uint64(21) & np.uint64(0x1FFFFF), one & np.uint64(0x1FFFFF)], axis=1)
+    flat = each.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return [flat[i : i + 3] for i in range(0, len(flat), 3)]
+
+
 def trigrams(text: Column) -> Column:
     """All distinct runs of three characters in lower case; none of a shorter text."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(?=(.{3}))"), F.lit(1)))
+
+    @F.pandas_udf("array<string>")
+    def grams(texts: pd.Series) -> pd.Series:
+        return texts.map(_trigram_list, na_action="ignore")
+
+    return grams(F.lower(text))
 
 
 class ChunkIndex:

@@ -108,3 +108,13 @@ def test_jdbc_loads_in_parts_after_the_stored_watermark(spark, tmp_path):
     files.jdbc_load(spark, url, "t", "id", path, **driver)
     got = VersionedTable(spark, path).read()
     assert sorted(r[0] for r in got.select("id" if "id" in got.columns else "ID").collect()) == list(range(1, 111))
+
+
+def test_trigrams_go_by_characters(spark):
+    """Also of characters beyond 16 bits, of which no half is a character; a short or missing text has none."""
+    from claimlake.operators.text_index import trigrams
+
+    texts = ["ABcabC", "a\U0001f600b\nc", "ab", "", None, "\u00c4\u00d6\u00fc\u00e4"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = {r["id"]: r["g"] and sorted(r["g"]) for r in rows.select("id", trigrams(F.col("t")).alias("g")).collect()}
+    assert got == {0: ["abc", "bca", "cab"], 1: sorted(["a\U0001f600b", "\U0001f600b\n", "b\nc"]), 2: [], 3: [], 4: None, 5: ["\u00e4\u00f6\u00fc", "\u00f6\u00fc\u00e4"]}
