@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +12,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import freed
 from .table import Snapshot, VersionedTable
 
 
@@ -51,14 +53,18 @@ def write_topics_once(spark: SparkSession, events: DataFrame, path: str, tag: tu
     return VersionedTable(spark, path).append(events, "topic", tag, form="json")
 
 
-def text_files(rows: DataFrame, path: str, order: list[str], join: str = "", head: str = "", tail: str = "") -> int:
+def text_files(rows: DataFrame, path: str, order: list[str], join: str = "", head: str = "", tail: str = "", text: Column | str = "text", packed: bool = False) -> int:
     """Rows (folder, file_no, text) as a file for each file_no, its texts by ``order``; returns how many files there are.
 
+    ``text`` may be made of other columns of the rows, which are then shuffled in its place. With ``packed`` the files
+    are gzip ones, which Spark reads like plain ones, but not in splits.
+
     A file is written row by row, so it may be larger than a task's memory; a null text adds nothing. Files are made
     through pyarrow, as Hadoop's local file system starts two processes for each. They get their names when they are
-    whole, so a task that is run again leaves the same ones.
+    whole, so a task that is run again leaves the same ones. What the job shuffled is freed when it ends.
     """
     spark = rows.sparkSession
+    ending = ".txt.gz" if packed else ".txt"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(where)
@@ -66,14 +72,16 @@ def text_files(rows: DataFrame, path: str, order: list[str], join: str = "", hea
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pa.fs.FileSystem.from_uri(uri)
-        now, out, draft, first, n, made = None, None, "", True, 0, set()
+        now, stream, out, draft, first, n, made = None, None, None, "", True, 0, set()
 
         def close() -> None:
             nonlocal n
             if out is not None:
                 out.write(f"{tail}\n".encode())
                 out.close()
-                fs.move(draft, f"{base}/folder={now[0]}/{now[1]}.txt")
+                if packed:
+                    stream.close()
+                fs.move(draft, f"{base}/folder={now[0]}/{now[1]}{ending}")
                 n += 1
 
         for batch in batches:
@@ -89,7 +97,8 @@ def text_files(rows: DataFrame, path: str, order: list[str], join: str = "", hea
                         fs.create_dir(f"{base}/folder={at[0]}", recursive=True)
                         made.add(at[0])
                     draft = f"{base}/folder={at[0]}/.{at[1]}-{uuid.uuid4().hex}"
-                    out = fs.open_output_stream(draft)
+                    stream = fs.open_output_stream(draft)
+                    out = gzip.GzipFile("", "wb", 1, stream, 0) if packed else stream
                     out.write(head.encode())
                 texts = pc.drop_null(batch.column("text")[i:j]).to_pylist()
                 if texts:
@@ -98,5 +107,7 @@ def text_files(rows: DataFrame, path: str, order: list[str], join: str = "", hea
         close()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-    placed = rows.repartition("folder").sortWithinPartitions("folder", "file_no", *order).select("folder", "file_no", "text")
-    return placed.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    made_of = F.col(text) if isinstance(text, str) else text
+    placed = rows.repartition("folder").sortWithinPartitions("folder", "file_no", *order).select("folder", "file_no", made_of.alias("text"))
+    with freed(spark):
+        return placed.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,3 +33,22 @@ def scratch(spark: SparkSession, tag: str) -> str:
         where = "file://" + tempfile.mkdtemp(prefix="claimlake-")
         spark.conf.set("spark.checkpoint.dir", where)
     return f"{where.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def setting(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session (dots as ``__``) that hold inside and are put back afterwards."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def freed(spark: SparkSession):
+    """Inside, the shuffle files of a job are removed when it ends, not when the driver next collects garbage."""
+    return setting(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")

@@ -12,7 +12,7 @@ from .operators.table import VersionedTable
 from .plans import design, quality, reports, silver, workflow
 from .plans import gold as gold_plans
 from .queries import ORACLES, Gold, fees, query
-from .session import scratch
+from .session import scratch, setting
 from .sources import files, mapped, parsers, workload
 from .sources.mapped import AS_OF, Mapped
 
@@ -34,12 +34,13 @@ def _folder(number: Column) -> Column:
     return F.floor(number / PER_FOLDER).alias("folder")
 
 
-def _files(m: Mapped, records: DataFrame, tag: str, key: str, text: str, join: str = "", head: str = "", tail: str = "") -> str:
-    """Records (key, text) as files of about PER_FILE each, in order of key."""
-    n = max(1, -(-records.count() // PER_FILE))
+def _files(m: Mapped, records: DataFrame, tag: str, key: str, text: Column | str, join: str = "", head: str = "", tail: str = "", about: int | None = None, packed: bool = False) -> str:
+    """Records (key, and what the text is made of) as files of about PER_FILE each, in order of key; ``about`` so many
+    records, if that is known without counting them."""
+    n = max(1, -(-(records.count() if about is None else about) // PER_FILE))
     path = scratch(m.spark, tag)
-    placed = records.select(key, F.col(text).alias("text"), F.pmod(F.xxhash64(key), F.lit(n)).alias("file_no")).withColumn("folder", _folder(F.col("file_no")))
-    sinks.text_files(placed, path, [key, "text"], join, head, tail)
+    placed = records.withColumn("file_no", F.pmod(F.xxhash64(key), F.lit(n))).withColumn("folder", _folder(F.col("file_no")))
+    sinks.text_files(placed, path, [key, *(c for c in records.columns if c != key)], join, head, tail, text, packed)
     return path
 
 
@@ -100,11 +101,11 @@ def _amount(c: str) -> Column:
 
 
 def _x12_claims(m: Mapped) -> DataFrame:
-    return files.whole_texts(m.spark, _x12_claim_files(m))
+    return files.whole_texts(m.spark, _x12_claim_files(m, packed=True))
 
 
-def _x12_claim_files(m: Mapped) -> str:
-    """Files of 837 claims made of orders and their lines."""
+def _x12_claim_files(m: Mapped, packed: bool = False) -> str:
+    """Files of 837 claims made of orders and their lines; ``packed`` ones where each is read whole."""
     lines = m.claim_lines().groupBy("claim_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "cpt_code", "billed_amount", "units"))), lambda x: F.concat(F.lit("LX*1~SV1*HC:"), x["cpt_code"], F.lit("*"), x["billed_amount"].cast("string"), F.lit("*UN*"), x["units"].cast("string"), F.lit("~"))), "").alias("sv")
     )
@@ -113,8 +114,9 @@ def _x12_claim_files(m: Mapped) -> str:
         F.lit("~CLM*"), F.col("claim_id").cast("string"), F.lit("*"), _amount("total_billed"), F.lit("***11:B:"), F.when(F.col("claim_id") % 5 == 0, "7").otherwise("1"),
         F.lit("~DTP*472*D8*"), F.date_format("date_of_service", "yyyyMMdd"), F.lit("~HI*" + "*".join("ABF:" + c for c in _CODES) + "~"), "sv",
     )
-    records = m.claims().join(lines, "claim_id").select("claim_id", body.alias("text"))
-    return _files(m, records, "x837", "claim_id", "text", head=_ISA + "ST*837*0001*005010X222A1~", tail="SE*1*1~")
+    records = m.claims().drop("status").join(lines, "claim_id")
+    # Each order is a claim at most.
+    return _files(m, records, "x837", "claim_id", body, head=_ISA + "ST*837*0001*005010X222A1~", tail="SE*1*1~", about=m.raw("orders").count(), packed=packed)
 
 
 query("s5_segments", "SELECT 'CLM' AS tag, count(*) AS n FROM m_claims c WHERE claim_id IN (SELECT claim_id FROM m_lines) UNION ALL SELECT 'SV1', count(*) FROM m_lines l WHERE claim_id IN (SELECT claim_id FROM m_claims)")(
@@ -134,18 +136,8 @@ def _in_splits(m: Mapped, path: str) -> DataFrame:
     where = m.spark._jvm.org.apache.hadoop.fs.Path(path)
     size = where.getFileSystem(m.spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
     tasks = max(m.spark.sparkContext.defaultParallelism, -(-size // SPLIT_TASK_BYTES))
-    set_to = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.maxPartitionNum": str(tasks)}
-    before = {k: m.spark.conf.get(k, None) for k in set_to}
-    for k, v in set_to.items():
-        m.spark.conf.set(k, v)
-    try:
-        rows = parsers.split_segments(m.spark, path)
-        out = scratch(m.spark, "segments")
-        rows.write.parquet(out)
-        return m.spark.read.parquet(out)
-    finally:
-        for k, v in before.items():
-            m.spark.conf.unset(k) if v is None else m.spark.conf.set(k, v)
+    with setting(m.spark, spark__sql__files__maxPartitionBytes="64k", spark__sql__files__maxPartitionNum=str(tasks)):
+        return parsers.split_segments(m.spark, path)
 
 
 query("p1_claims_split", ORACLES["p1_claims_837"], whole=True)(

@@ -1,12 +1,15 @@
-"""Healthcare formats as set-based Spark jobs: a row a segment, context carried forward by windows.
+"""Healthcare formats as set-based Spark jobs: a row a segment or a claim, context carried forward by windows.
 
-X12 files come as (file, content), or in splits of any size (:func:`split_segments`). What a segment takes from
-those before it is carried forward inside its split first, then from split to split by one scan over the
-splits' last values, so one large interchange parses in as many tasks as it has splits.
+X12 files come as (file, content), or in splits of any size (:func:`split_segments`). Their text is cut in the task
+that reads it; of claims one short row each is shuffled. What a row takes from those before it is carried forward
+inside its split first, then from split to split by one scan over the splits' last values, so one large interchange
+parses in as many tasks as it has splits.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,16 +20,28 @@ from ..session import scratch
 BROADCAST_ROWS = 500_000
 
 
-def segments(files: DataFrame) -> DataFrame:
-    """Segments of X12 files that begin with ISA: file, block (0), pos, tag and elements e (from 0). Separators are
-    the characters at 3 and 105."""
+def _runs(files: DataFrame) -> DataFrame:
+    """X12 files that begin with ISA as one run each: file, block (0), pos (0), sep and its segments as texts, some of
+    them empty. Separators are the characters at 3 and 105."""
     element, end = F.substring("content", 4, 1), F.substring("content", 106, 1)
     plain = F.when(end == "\n", F.replace("content", F.lit("\r"), F.lit(""))).when(end == "\r", F.replace("content", F.lit("\n"), F.lit(""))).otherwise(F.translate("content", "\r\n", ""))
-    parts = F.transform(F.split(plain, _literal(end)), lambda x: F.trim(x))
-    # Separators and parts come first: what is derived beside an explode is derived after it, from a copy of the text in each row.
-    whole = files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", _literal(element).alias("sep"), parts.alias("parts"))
-    rows = whole.select("file", F.lit(0).cast("long").alias("block"), "sep", F.posexplode("parts").alias("pos", "raw"))
-    out = rows.where("raw <> ''").select("file", "block", "pos", F.split("raw", F.col("sep")).alias("e"))
+    zero = F.lit(0).cast("long")
+    return files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", zero.alias("block"), zero.alias("pos"), element.alias("sep"), _cut(plain, end).alias("parts"))
+
+
+def _cut(text: Column, end: Column) -> Column:
+    return F.transform(F.split(text, _literal(end)), lambda x: F.trim(x))
+
+
+def segments(files: DataFrame) -> DataFrame:
+    """Segments of X12 files (file, content), or of runs of them: file, block, pos, tag and elements e (from 0)."""
+    split = "parts" in files.columns
+    runs = files if split else _runs(files)
+    # Separators and parts come first: what is derived beside an explode is derived after it, from a copy of the text in
+    # each row. An outer one, as for others Spark filters by the parts' number, for which it makes them again.
+    whole = runs.select("file", "block", F.col("pos").alias("run"), _literal(F.col("sep")).alias("sep"), "parts")
+    rows = whole.select("file", "block", "run", "sep", F.posexplode_outer("parts").alias("i", "raw"))
+    out = rows.where("raw <> ''").select("file", "block", (F.struct("run", "i") if split else F.col("i")).alias("pos"), F.split("raw", F.col("sep")).alias("e"))
     return out.withColumn("tag", F.get("e", F.lit(0)))
 
 
@@ -35,23 +50,51 @@ def _literal(c: Column) -> Column:
     return F.when(c.rlike("^[^0-9A-Za-z]$"), F.concat(F.lit("\\"), c)).otherwise(F.concat(F.lit("\\Q"), c, F.lit("\\E")))
 
 
-def split_segments(spark: SparkSession, path: str, terminator: str = "~") -> DataFrame:
-    """The same of files that Spark reads in splits, each from one segment terminator to the next.
+def split_segments(spark: SparkSession, path: str, terminator: str = "~", begin: str = "CLM") -> DataFrame:
+    """The same of files that Spark reads in splits, for :func:`segments` and the parsers: rows (file, block, pos, sep,
+    parts) of runs of segments. A run is of the split in which it begins, with a file's first segment or a ``begin``.
 
-    Of files whose header ends with another terminator nothing comes; :func:`odd_terminators` has their names,
-    for :func:`segments`.
+    Spark cuts the text before each ``begin`` as the first file writes it (its separator, its line breaks behind
+    terminators); a file that has others is right too, but one run. Of files whose header ends with another terminator
+    nothing comes; :func:`odd_terminators` has their names, for :func:`segments`.
     """
-    raw = _split_text(spark, path, terminator)
-    heads = raw.where("block = 0 and raw like 'ISA%' and length(raw) = 105").groupBy("file").agg(F.min_by(F.substring("raw", 4, 1), "pos").alias("sep"))
-    where = scratch(spark, "heads")
-    heads.write.parquet(where)
-    heads = spark.read.schema(heads.schema).parquet(where)
-    # One row a file: up to so many go to every task, so that no text is shuffled before it is cut.
-    few = F.broadcast(heads) if heads.count() <= BROADCAST_ROWS else heads
-    broken = F.contains("raw", F.lit("\n")) | F.contains("raw", F.lit("\r"))  # few are, and a translation costs more than the split
-    text = F.trim(F.when(broken, F.translate("raw", "\r\n", "")).otherwise(F.col("raw")))
-    rows = raw.join(few, "file").select("file", "block", "pos", _literal(F.col("sep")).alias("sep"), text.alias("raw")).where("raw <> ''")
-    return rows.select("file", "block", "pos", F.split("raw", F.col("sep")).alias("e")).withColumn("tag", F.get("e", F.lit(0)))
+    breaks, usual = _habits(spark, path, terminator)
+    between = terminator + breaks + begin + usual
+    raw = _split_text(spark, path, between)
+    head = (F.col("block") == 0) & F.col("raw").startswith("ISA") & (F.length(F.substring_index("raw", terminator, 1)) == 105)
+    where = scratch(spark, "runs")
+    raw.withColumn("sep", F.when(head, F.substring("raw", 4, 1))).write.option("compression", "zstd").parquet(where)
+    runs = spark.read.parquet(where)
+    heads = runs.where("block = 0").groupBy("file").agg(F.min("pos").alias("first"), F.min_by("sep", "pos").alias("sep")).where("sep is not null")
+    n, others = heads.agg(F.count("*"), F.count_if(F.col("sep") != usual)).first()
+    # One row a file: up to so many go to every task, so that no text is shuffled.
+    text = F.when((F.col("block") == 0) & (F.col("pos") == F.col("first")), F.col("raw")).otherwise(F.concat(F.lit(begin + usual), "raw"))
+    known = runs.select("file", "block", "pos", "raw", "_metadata").join(F.broadcast(heads) if n <= BROADCAST_ROWS else heads, "file").withColumn("text", text)  # _metadata: of the written runs
+    broken = F.contains("text", F.lit("\n")) | F.contains("text", F.lit("\r"))  # few are, and a translation costs more than the split
+    parts = _cut(F.when(broken, F.translate("text", "\r\n", "")).otherwise(F.col("text")), F.lit(terminator)).alias("parts")
+    kept = ["file", "block", "pos", "sep", parts, "_metadata"]
+    if not others:
+        return known.select(*kept)
+    # What looks like a ``begin`` under another separator is none: such a file is put together again.
+    pieces = F.array_sort(F.collect_list(F.struct("block", "pos", "text")))
+    whole = known.where(F.col("sep") != usual).groupBy("file").agg(F.min("block").alias("block"), F.min("pos").alias("pos"), F.min("sep").alias("sep"), F.array_join(F.transform(pieces, lambda x: x["text"]), terminator + breaks).alias("text"), F.first("_metadata").alias("_metadata"))
+    return known.where(F.col("sep") == usual).select(*kept).unionByName(whole.select(*kept))
+
+
+def _habits(spark: SparkSession, path: str, terminator: str) -> tuple[str, str]:
+    """Line breaks behind the first segment, and the separator, of a file under the path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for at in fs.globStatus(where) or []:
+        each = fs.listFiles(at.getPath(), True)
+        while each.hasNext():
+            name = each.next().getPath()
+            if name.getName()[0] not in "._":
+                rows = [r[0] for r in spark.read.option("lineSep", terminator).text(name.toString()).head(2)]
+                if len(rows) == 2 and rows[0].startswith("ISA"):
+                    return re.match(r"[\r\n]*", rows[1])[0], rows[0][3:4]
+                return "", "*"
+    return "", "*"
 
 
 def odd_terminators(spark: SparkSession, path: str, terminator: str = "~") -> DataFrame:
@@ -65,9 +108,9 @@ def _split_text(spark: SparkSession, path: str, terminator: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.col("value").alias("raw"))
 
 
-def carried(seg: DataFrame, starts: Column, values: dict[str, Column], in_splits: bool = True) -> DataFrame:
+def carried(seg: DataFrame, starts: Column, values: dict[str, Column], in_splits: bool = True, until: int = 0) -> DataFrame:
     """``seg`` (file, block, pos) with ``seq``, how many rows that ``starts`` were there so far, and the last of each of
-    ``values`` that isn't null, both over the file up to the row.
+    ``values`` that isn't null, both over the file up to the row; the values to the row before it with ``until`` -1.
 
     A segmented prefix scan: windows see one split (block) at a time; one row a split goes through the second. Of
     files that aren't split (not ``in_splits``) the first is all.
@@ -75,7 +118,7 @@ def carried(seg: DataFrame, starts: Column, values: dict[str, Column], in_splits
     names = list(values)
     rows = seg.withColumns({n: v for n, v in values.items()} | {"seq": starts.cast("int")})
     inside = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns({n: F.last(n, ignorenulls=True).over(inside) for n in names} | {"seq": F.sum("seq").over(inside)})
+    local = rows.withColumns({n: F.last(n, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, until)) for n in names} | {"seq": F.sum("seq").over(inside)})
     if not in_splits:
         return local
     each = rows.groupBy("file", "block").agg(F.sum("seq").alias("seq"), *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in names])
@@ -90,10 +133,6 @@ def rejected(files: DataFrame) -> DataFrame:
     return files.where(~(F.col("content").startswith("ISA") & (F.length("content") > 105)))
 
 
-def _segments(files: DataFrame) -> DataFrame:
-    return files if "tag" in files.columns else segments(files)
-
-
 def _el(i: int) -> Column:
     return F.get("e", F.lit(i))
 
@@ -102,47 +141,68 @@ def _part(c: Column, i: int) -> Column:
     return F.nullif(F.get(F.split(F.coalesce(c, F.lit("")), ":"), F.lit(i)), F.lit(""))
 
 
+def _claim_pieces(runs: DataFrame) -> DataFrame:
+    """Runs cut before each CLM: file, block, pos, new (begins with a CLM), sep, cut (the pattern of sep) and the texts
+    of the segments. A run that isn't its file's first begins with a CLM, so a claim is one piece."""
+    sep = F.col("sep")
+    found = runs.select("file", "block", "pos", "sep", "parts", F.array_compact(F.transform("parts", lambda x, i: F.when(_is(x, "CLM", sep), i))).alias("at"))
+    bounds = F.arrays_zip(F.concat(F.array(F.lit(0)), "at").alias("a"), F.concat("at", F.array(F.size("parts"))).alias("b"))
+    pieces = found.select("file", "block", "pos", "sep", F.transform(bounds, lambda x: F.slice("parts", x["a"] + 1, x["b"] - x["a"])).alias("pieces"))
+    rows = pieces.select("file", "block", "pos", "sep", F.posexplode_outer("pieces").alias("k", "segs")).where("k > 0 or size(segs) > 0")
+    return rows.select("file", "block", F.struct("pos", "k").alias("pos"), (F.col("k") > 0).alias("new"), "sep", _literal(sep).alias("cut"), "segs")
+
+
+def _is(x: Column, tag: str, sep: Column) -> Column:
+    return x.startswith(tag) & ((x == tag) | (F.substring(x, len(tag) + 1, 1) == sep))
+
+
 def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(claims, lines) of 837 files (file, content), or of their segments.
+    """(claims, lines) of 837 files (file, content), or of runs of their segments.
 
     A claim takes the last billing provider, subscriber and payer named before it; the service date and
     the diagnoses of its own segments.
     """
-    named = lambda code: F.when((F.col("tag") == "NM1") & (_el(1) == code), _el(9))
-    kind = F.when(F.col("tag") == "ST", F.when(F.contains(F.coalesce(_el(3), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P"))
-    seg, split = _segments(files), "tag" in files.columns
-    # Lines need only the claim that they follow; claims take nothing from lines, so each shuffles its own segments.
-    about = seg.where(F.col("tag").isin("ST", "NM1", "CLM", "DTP", "HI"))
-    inside = carried(about, F.col("tag") == "CLM", {"npi": named("85"), "member": named("IL"), "payer": named("PR"), "kind": kind}, split).withColumnRenamed("seq", "claim_seq").where("claim_seq > 0")
-    clm, hi, sv = F.col("tag") == "CLM", F.col("tag") == "HI", F.col("tag").isin("SV1", "SV2")
-    codes = F.filter(F.transform(F.slice("e", F.lit(2), F.size("e")), lambda x: F.get(F.split(x, ":"), F.lit(1))), lambda x: x.isNotNull())
-    head = inside.groupBy("file", "claim_seq").agg(
-        F.max(F.when(clm, _el(1))).alias("claim_id"),
-        F.max(F.when(clm, money(F.try_to_number(_el(2), F.lit("999999999999.99"))))).alias("total_billed"),
-        F.max(F.when(clm, _el(5))).alias("facility"),
-        F.max(F.when((F.col("tag") == "DTP") & (_el(1) == "472"), _el(3))).alias("date_of_service"),
-        F.max(F.when(clm, F.col("npi"))).alias("provider_npi"),
-        F.max(F.when(clm, F.col("member"))).alias("patient_id"),
-        F.max(F.when(clm, F.col("payer"))).alias("payer_id"),
-        F.max("kind").alias("transaction_type"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.when(hi, F.struct("block", "pos", codes.alias("c"))))), lambda x: x["c"])).alias("diagnosis_codes"),
-    )
-    claims = head.withColumn("frequency_code", F.coalesce(_part(F.col("facility"), 2), F.lit("1"))).withColumn("facility_type", _part(F.col("facility"), 0)).drop("facility")
-    second = F.col("tag") == "SV2"
+    split = "parts" in files.columns
+    pieces = _claim_pieces(files if split else _runs(files))
+    sep, cut, new = F.col("sep"), F.col("cut"), F.col("new")
+    tagged = lambda *tags: F.filter("segs", lambda x: _is(x, tags[0], sep) if len(tags) == 1 else _is(x, tags[0], sep) | _is(x, tags[1], sep))
+    elements = lambda tag: F.transform(tagged(tag), lambda x: F.split(x, cut))
+    # Texts go through the shuffle as they are, and are cut into codes and amounts behind it.
+    clm = F.when(new, F.split(F.get("segs", F.lit(0)), cut)).alias("clm")
+    cells = pieces.select("file", "block", "pos", "new", "cut", clm, elements("NM1").alias("nm1"), elements("DTP").alias("dtp"), elements("ST").alias("st"), tagged("HI").alias("hi"))
+    last = lambda arr, value: F.try_element_at(F.filter(F.transform(arr, value), lambda v: v.isNotNull()), F.lit(-1))
+    named = lambda code: last("nm1", lambda e: F.when(F.get(e, F.lit(1)) == code, F.get(e, F.lit(9))))
+    kinds = F.transform("st", lambda e: F.when(F.contains(F.coalesce(F.get(e, F.lit(3)), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P"))
+    day = F.array_max(F.transform("dtp", lambda e: F.when(F.get(e, F.lit(1)) == "472", F.get(e, F.lit(3)))))
+    of = lambda i: F.get("clm", F.lit(i))
+    short = cells.select(
+        "file", "block", "pos", "new", "cut", of(1).alias("claim_id"), of(2).alias("billed"), of(5).alias("facility"), day.alias("date_of_service"), "hi",
+        named("85").alias("npi"), named("IL").alias("member"), named("PR").alias("payer"), F.try_element_at(kinds, F.lit(-1)).alias("kind"), F.array_max(kinds).alias("own_kind"),
+    )
+    head = carried(short, new, {n: F.col(n) for n in ("npi", "member", "payer", "kind")}, split, until=-1).where(new)
+    coded = F.transform("hi", lambda x: F.filter(F.split(x, cut), lambda y, i: (i > 0) & F.contains(y, F.lit(":"))))
+    codes = F.transform(F.flatten(coded), lambda y: F.substring_index(F.substring_index(y, ":", 2), ":", -1))  # between the first colon and the next
+    claims = head.select(
+        "file", F.col("seq").alias("claim_seq"), "claim_id", money(F.try_to_number("billed", F.lit("999999999999.99"))).alias("total_billed"), "date_of_service", F.col("npi").alias("provider_npi"),
+        F.col("member").alias("patient_id"), F.col("payer").alias("payer_id"), F.greatest("kind", "own_kind").alias("transaction_type"), codes.alias("diagnosis_codes"),
+        F.coalesce(_part(F.col("facility"), 2), F.lit("1")).alias("frequency_code"), _part(F.col("facility"), 0).alias("facility_type"),
+    )
+    served = pieces.select("file", "block", "pos", "new", "cut", F.get(F.split(F.get("segs", F.lit(0)), cut), F.lit(1)).alias("claim_id"), tagged("SV1", "SV2").alias("sv"))
+    placed = carried(served, new, {}, split).where(new)
+    each = placed.select("file", "seq", "claim_id", "cut", F.posexplode_outer("sv").alias("i", "raw")).where("raw is not null").withColumn("e", F.split("raw", cut))
+    second = _el(0) == "SV2"
     service = F.when(second, _el(2)).otherwise(_el(1))
     amount = F.when(second, _el(3)).otherwise(_el(2))
     units = F.when(second, _el(5)).otherwise(_el(4))
-    of_claim = F.when(clm, F.struct(_el(1).alias("claim_id")))  # not null, even where the claim_id is
-    served = carried(seg.where(clm | sv), clm, {"of": of_claim}, split).withColumnRenamed("seq", "claim_seq").where("claim_seq > 0")
-    lines = served.where(sv).select(
+    lines = each.select(
         "file",
-        "claim_seq",
-        F.row_number().over(Window.partitionBy("file", "claim_seq").orderBy("block", "pos")).alias("line_number"),
+        F.col("seq").alias("claim_seq"),
+        (F.col("i") + 1).alias("line_number"),
         _part(service, 1).alias("cpt_code"),
         F.coalesce(_part(service, 2), F.lit("")).alias("modifier"),
         money(F.try_to_number(amount, F.lit("999999999999.99"))).alias("billed_amount"),
         F.coalesce(units.try_cast("double").cast("int"), F.lit(1)).alias("units"),
-        F.col("of.claim_id").alias("claim_id"),
+        "claim_id",
     )
     return claims, lines
 
@@ -155,7 +215,7 @@ def remittances_835(files: DataFrame) -> DataFrame:
         "payer": F.when((F.col("tag") == "N1") & (_el(1) == "PR"), F.coalesce(F.nullif(_el(4), F.lit("")), _el(2))),
         "era": F.when((F.col("tag") == "DTM") & (_el(1) == "405"), _el(2)),
     }
-    seg = carried(_segments(files), F.col("tag") == "CLP", given, "tag" in files.columns)
+    seg = carried(segments(files), F.col("tag") == "CLP", given, "parts" in files.columns)
     inside = seg.where("seq > 0")
     clp, cas, svc = F.col("tag") == "CLP", F.col("tag") == "CAS", F.col("tag") == "SVC"
     at = F.when(F.size("e") > 2, F.sequence(F.lit(2), F.greatest(F.size("e") - 1, F.lit(2)), F.lit(3))).otherwise(F.array().cast("array<int>"))
