@@ -141,9 +141,9 @@ def _in_splits(m: Mapped, path: str) -> DataFrame:
 
 
 query("p1_claims_split", ORACLES["p1_claims_837"], whole=True)(
-    lambda m: parsers.claims_837(_in_splits(m, _x12_claim_files(m)))[0].select("claim_id", "total_billed", "provider_npi", "patient_id", "payer_id", "date_of_service", "frequency_code", F.size("diagnosis_codes").alias("n_codes"), F.element_at("diagnosis_codes", -1).alias("last_code"))
+    lambda m: parsers.claim_heads(_in_splits(m, _x12_claim_files(m))).select("claim_id", "total_billed", "provider_npi", "patient_id", "payer_id", "date_of_service", "frequency_code", F.size("diagnosis_codes").alias("n_codes"), F.element_at("diagnosis_codes", -1).alias("last_code"))
 )
-query("p1_lines_split", ORACLES["p1_lines_837"], whole=True)(lambda m: parsers.claims_837(_in_splits(m, _x12_claim_files(m)))[1].select("claim_id", "cpt_code", "billed_amount", "units"))
+query("p1_lines_split", ORACLES["p1_lines_837"], whole=True)(lambda m: parsers.service_lines(_in_splits(m, _x12_claim_files(m))).select("claim_id", "cpt_code", "billed_amount", "units"))
 
 
 def _x12_remits(m: Mapped) -> DataFrame:

@@ -9,6 +9,7 @@ parses in as many tasks as it has splits.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,13 +25,18 @@ def _runs(files: DataFrame) -> DataFrame:
     """X12 files that begin with ISA as one run each: file, block (0), pos (0), sep and its segments as texts, some of
     them empty. Separators are the characters at 3 and 105."""
     element, end = F.substring("content", 4, 1), F.substring("content", 106, 1)
-    plain = F.when(end == "\n", F.replace("content", F.lit("\r"), F.lit(""))).when(end == "\r", F.replace("content", F.lit("\n"), F.lit(""))).otherwise(F.translate("content", "\r\n", ""))
+    without = lambda c, *chars: F.replace(without(c, *chars[1:]), F.lit(chars[0]), F.lit("")) if chars else c
+    plain = F.when(end == "\n", without(F.col("content"), "\r")).when(end == "\r", without(F.col("content"), "\n")).otherwise(without(F.col("content"), "\r", "\n"))
     zero = F.lit(0).cast("long")
-    return files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", zero.alias("block"), zero.alias("pos"), element.alias("sep"), _cut(plain, end).alias("parts"))
+    whole = files.where(F.col("content").startswith("ISA") & (F.length("content") > 105)).select("file", element.alias("sep"), end.alias("end"), plain.alias("text"))
+    return whole.select("file", zero.alias("block"), zero.alias("pos"), "sep", _cut(F.col("text"), F.col("end")).alias("parts"))
 
 
 def _cut(text: Column, end: Column) -> Column:
-    return F.transform(F.split(text, _literal(end)), lambda x: F.trim(x))
+    """Trimmed parts of a text; few texts have blanks beside a terminator, and trimming costs more than looking for them."""
+    parts = F.split(text, _literal(end))
+    blanks = F.contains(text, F.concat(F.lit(" "), end)) | F.contains(text, F.concat(end, F.lit(" "))) | text.startswith(" ") | text.endswith(" ")
+    return F.when(blanks, F.transform(parts, lambda x: F.trim(x))).otherwise(parts)
 
 
 def segments(files: DataFrame) -> DataFrame:
@@ -70,8 +76,8 @@ def split_segments(spark: SparkSession, path: str, terminator: str = "~", begin:
     # One row a file: up to so many go to every task, so that no text is shuffled.
     text = F.when((F.col("block") == 0) & (F.col("pos") == F.col("first")), F.col("raw")).otherwise(F.concat(F.lit(begin + usual), "raw"))
     known = runs.select("file", "block", "pos", "raw", "_metadata").join(F.broadcast(heads) if n <= BROADCAST_ROWS else heads, "file").withColumn("text", text)  # _metadata: of the written runs
-    broken = F.contains("text", F.lit("\n")) | F.contains("text", F.lit("\r"))  # few are, and a translation costs more than the split
-    parts = _cut(F.when(broken, F.translate("text", "\r\n", "")).otherwise(F.col("text")), F.lit(terminator)).alias("parts")
+    known = known.withColumn("text", F.replace(F.replace("text", F.lit("\r"), F.lit("")), F.lit("\n"), F.lit("")))
+    parts = _cut(F.col("text"), F.lit(terminator)).alias("parts")
     kept = ["file", "block", "pos", "sep", parts, "_metadata"]
     if not others:
         return known.select(*kept)
@@ -157,19 +163,27 @@ def _is(x: Column, tag: str, sep: Column) -> Column:
 
 
 def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(claims, lines) of 837 files (file, content), or of runs of their segments.
+    """(claims, lines) of 837 files (file, content), or of runs of their segments."""
+    return claim_heads(files), service_lines(files)
+
+
+def _tagged(*tags: str) -> Column:
+    return F.filter("segs", lambda x: reduce(lambda a, b: a | b, [_is(x, t, F.col("sep")) for t in tags]))
+
+
+def claim_heads(files: DataFrame) -> DataFrame:
+    """Claims of 837 files, or of runs of their segments.
 
     A claim takes the last billing provider, subscriber and payer named before it; the service date and
     the diagnoses of its own segments.
     """
     split = "parts" in files.columns
     pieces = _claim_pieces(files if split else _runs(files))
-    sep, cut, new = F.col("sep"), F.col("cut"), F.col("new")
-    tagged = lambda *tags: F.filter("segs", lambda x: _is(x, tags[0], sep) if len(tags) == 1 else _is(x, tags[0], sep) | _is(x, tags[1], sep))
-    elements = lambda tag: F.transform(tagged(tag), lambda x: F.split(x, cut))
+    cut, new = F.col("cut"), F.col("new")
+    elements = lambda tag: F.transform(_tagged(tag), lambda x: F.split(x, cut))
     # Texts go through the shuffle as they are, and are cut into codes and amounts behind it.
     clm = F.when(new, F.split(F.get("segs", F.lit(0)), cut)).alias("clm")
-    cells = pieces.select("file", "block", "pos", "new", "cut", clm, elements("NM1").alias("nm1"), elements("DTP").alias("dtp"), elements("ST").alias("st"), tagged("HI").alias("hi"))
+    cells = pieces.select("file", "block", "pos", "new", "cut", clm, elements("NM1").alias("nm1"), elements("DTP").alias("dtp"), elements("ST").alias("st"), _tagged("HI").alias("hi"))
     last = lambda arr, value: F.try_element_at(F.filter(F.transform(arr, value), lambda v: v.isNotNull()), F.lit(-1))
     named = lambda code: last("nm1", lambda e: F.when(F.get(e, F.lit(1)) == code, F.get(e, F.lit(9))))
     kinds = F.transform("st", lambda e: F.when(F.contains(F.coalesce(F.get(e, F.lit(3)), F.lit("")), F.lit("005010X223")), "837I").otherwise("837P"))
@@ -179,22 +193,34 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "file", "block", "pos", "new", "cut", of(1).alias("claim_id"), of(2).alias("billed"), of(5).alias("facility"), day.alias("date_of_service"), "hi",
         named("85").alias("npi"), named("IL").alias("member"), named("PR").alias("payer"), F.try_element_at(kinds, F.lit(-1)).alias("kind"), F.array_max(kinds).alias("own_kind"),
     )
+    if split:  # they are read twice
+        where = scratch(files.sparkSession, "claims")
+        short.write.option("compression", "zstd").parquet(where)
+        short = files.sparkSession.read.schema(short.schema).parquet(where)
     head = carried(short, new, {n: F.col(n) for n in ("npi", "member", "payer", "kind")}, split, until=-1).where(new)
-    coded = F.transform("hi", lambda x: F.filter(F.split(x, cut), lambda y, i: (i > 0) & F.contains(y, F.lit(":"))))
-    codes = F.transform(F.flatten(coded), lambda y: F.substring_index(F.substring_index(y, ":", 2), ":", -1))  # between the first colon and the next
-    claims = head.select(
+    # Of elements with a colon what lies between it and the next.
+    code = F.concat(cut, F.lit("[^"), cut, F.lit(":]*:([^"), cut, F.lit(":]*)"))
+    codes = F.when(cut == "\\:", F.array().cast("array<string>")).otherwise(F.flatten(F.transform("hi", lambda x: F.regexp_extract_all(x, code, F.lit(1)))))
+    return head.select(
         "file", F.col("seq").alias("claim_seq"), "claim_id", money(F.try_to_number("billed", F.lit("999999999999.99"))).alias("total_billed"), "date_of_service", F.col("npi").alias("provider_npi"),
         F.col("member").alias("patient_id"), F.col("payer").alias("payer_id"), F.greatest("kind", "own_kind").alias("transaction_type"), codes.alias("diagnosis_codes"),
         F.coalesce(_part(F.col("facility"), 2), F.lit("1")).alias("frequency_code"), _part(F.col("facility"), 0).alias("facility_type"),
     )
-    served = pieces.select("file", "block", "pos", "new", "cut", F.get(F.split(F.get("segs", F.lit(0)), cut), F.lit(1)).alias("claim_id"), tagged("SV1", "SV2").alias("sv"))
+
+
+def service_lines(files: DataFrame) -> DataFrame:
+    """Service lines of 837 files, or of runs of their segments, with their claim."""
+    split = "parts" in files.columns
+    pieces = _claim_pieces(files if split else _runs(files))
+    cut, new = F.col("cut"), F.col("new")
+    served = pieces.select("file", "block", "pos", "new", "cut", F.get(F.split(F.get("segs", F.lit(0)), cut), F.lit(1)).alias("claim_id"), _tagged("SV1", "SV2").alias("sv"))
     placed = carried(served, new, {}, split).where(new)
     each = placed.select("file", "seq", "claim_id", "cut", F.posexplode_outer("sv").alias("i", "raw")).where("raw is not null").withColumn("e", F.split("raw", cut))
     second = _el(0) == "SV2"
     service = F.when(second, _el(2)).otherwise(_el(1))
     amount = F.when(second, _el(3)).otherwise(_el(2))
     units = F.when(second, _el(5)).otherwise(_el(4))
-    lines = each.select(
+    return each.select(
         "file",
         F.col("seq").alias("claim_seq"),
         (F.col("i") + 1).alias("line_number"),
@@ -204,7 +230,6 @@ def claims_837(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(units.try_cast("double").cast("int"), F.lit(1)).alias("units"),
         "claim_id",
     )
-    return claims, lines
 
 
 def remittances_835(files: DataFrame) -> DataFrame:
