@@ -12,7 +12,7 @@ from .operators.table import VersionedTable
 from .plans import design, quality, reports, silver, workflow
 from .plans import gold as gold_plans
 from .queries import ORACLES, Gold, fees, query
-from .session import scratch, setting
+from .session import freed, scratch, setting
 from .sources import files, mapped, parsers, workload
 from .sources.mapped import AS_OF, Mapped
 
@@ -114,7 +114,10 @@ def _x12_claim_files(m: Mapped, packed: bool = False) -> str:
         F.lit("~CLM*"), F.col("claim_id").cast("string"), F.lit("*"), _amount("total_billed"), F.lit("***11:B:"), F.when(F.col("claim_id") % 5 == 0, "7").otherwise("1"),
         F.lit("~DTP*472*D8*"), F.date_format("date_of_service", "yyyyMMdd"), F.lit("~HI*" + "*".join("ABF:" + c for c in _CODES) + "~"), "sv",
     )
-    records = m.claims().drop("status").join(lines, "claim_id")
+    where = scratch(m.spark, "records")
+    with freed(m.spark):  # what the joins shuffled is gone before the texts are
+        m.claims().drop("status").join(lines, "claim_id").write.option("compression", "zstd").parquet(where)
+    records = m.spark.read.parquet(where)
     # Each order is a claim at most.
     return _files(m, records, "x837", "claim_id", body, head=_ISA + "ST*837*0001*005010X222A1~", tail="SE*1*1~", about=m.raw("orders").count(), packed=packed)
 
